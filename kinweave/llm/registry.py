@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+from .decontaminate import op4_decontamination
 from .language_id import op10_language_id
 from .license_scan import op8_license_scan
+from .mixing import op6_mixing
+from .simhash import op2_simhash
 from .token_store import op3_token_output
+from .topk import OP5_SQL, op5_top_k
 from .toxicity import op7_toxicity
+from .warc import OP9_SQL, op9_warc_archive
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op3_token_output": op3_token_output,
+    "op4_decontamination": op4_decontamination,
+    "op5_top_k": op5_top_k,
+    "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,
     "op8_license_scan": op8_license_scan,
+    "op9_warc_archive": op9_warc_archive,
     "op10_language_id": op10_language_id,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_top_k": OP5_SQL, "op9_warc_archive": OP9_SQL}
