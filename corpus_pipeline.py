@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinweave.llm import language_id, token_store
+from kinweave.llm import decontaminate, language_id, mixing, simhash, token_store
 from kinweave.llm.common import read, scratch
 
 
@@ -13,12 +13,27 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language_id.keep_identified(docs, language_id.train(docs))
 
 
+def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies."""
+    return simhash.keep_one(docs)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold a benchmark item."""
+    return decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixes the sources to their weights: documents go, stay, or repeat up to three times."""
+    return mixing.mixed_documents(docs)
+
+
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes the token ids of the mix and returns their digest."""
     return token_store.digest(token_store.token_output(docs, token_store.tokenizer_path()))
 
 
-STAGES = [("language_id", language_stage), ("token_output", token_stage)]
+STAGES = [("language_id", language_stage), ("simhash_near_copies", near_copy_stage), ("benchmark_decontamination", benchmark_stage), ("source_mixing", mixing_stage), ("token_output", token_stage)]
 
 #: Fitted models, fingerprints and a tokenizer are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

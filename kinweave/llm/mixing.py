@@ -125,6 +125,22 @@ def taken(placed: DataFrame, parts: DataFrame) -> DataFrame:
     return a.join(b, on, "left").select("a.*", F.coalesce("b.got", F.lit(0)).cast("long").alias("taken"))
 
 
+def mixed_documents(docs: DataFrame, slots: int = SLOTS, epochs: int = EPOCHS) -> DataFrame:
+    """The mix as whole documents with their columns: one row for each epoch in which the mix takes a document's first word.
+
+    Documents that the mix does not reach go; rows that repeat a document count as one.
+    """
+    placed, parts = mix(docs, slots, epochs)
+    got = parts.where("from_word = 0").groupBy("doc_id", "th", "at").agg(F.countDistinct("epoch").cast("int").alias("n"))
+    got = cut(got.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.max("n").alias("_n")), "copies")
+    on = docs["doc_id"].cast("long").eqNullSafe(got["_id"]) & (F.xxhash64(docs["text"]) == got["_th"])
+    kept = docs.join(got.hint("shuffle_hash"), on)
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    if repeated:
+        kept = kept.dropDuplicates(["_id", "_th"])
+    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_id", "_th", "_n", "_copy")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, parts = mix(read(spark, sf_dir, "documents"))
     return taken(placed, parts).select("doc_id", "size", "source_size", "target", "taken")

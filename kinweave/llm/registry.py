@@ -7,12 +7,14 @@ from .language_id import op10_language_id
 from .license_scan import op8_license_scan
 from .mixing import op6_mixing
 from .simhash import op2_simhash
+from .substring_dedup import op1_substring_dedup
 from .token_store import op3_token_output
 from .topk import OP5_SQL, op5_top_k
 from .toxicity import op7_toxicity
 from .warc import OP9_SQL, op9_warc_archive
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash": op2_simhash,
     "op3_token_output": op3_token_output,
     "op4_decontamination": op4_decontamination,

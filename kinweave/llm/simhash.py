@@ -226,10 +226,19 @@ def exact_keys(count: int, radius: int, bits: int = WORD) -> list[list[int]]:
     return [[b for block in chosen for b in block] for chosen in combinations(blocks, s)]
 
 
-def sampled_keys(count: int, bits: int, tables: int, seed: int = 3) -> list[list[int]]:
-    """``tables`` random choices of bits, their number following log2 of the number of fingerprints."""
+def radius_of(similarity: float, bits: int, sigmas: float = 1.3) -> int:
+    """Differing bits of two sets of one size with that Jaccard similarity: the mean plus some standard deviations."""
+    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(round(bits * p + sigmas * np.sqrt(bits * p * (1 - p))))
+
+
+def sampled_keys(count: int, bits: int, similarity: float, miss: float = 0.01, seed: int = 3) -> list[list[int]]:
+    """Random choices of bits as keys.  Their width follows log2 of the number of fingerprints, so buckets stay small;
+    their number is such that a pair of that similarity shares none of them with probability ``miss``."""
     rng = np.random.default_rng(seed)
     width = int(np.clip(np.ceil(np.log2(max(count, 2))) - 4, 10, 24))
+    same = (1 - np.arccos(2 * similarity / (1 + similarity)) / np.pi) ** width
+    tables = int(np.ceil(np.log(miss) / np.log(1 - same)))
     return [sorted(rng.choice(bits, width, replace=False).tolist()) for _ in range(tables)]
 
 
@@ -255,10 +264,9 @@ def bucket_links(fps: DataFrame, radius: int, keys: list[list[int]], group: int
                 value = mix64(mix64(value) ^ k)
                 yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), fp], ["key", "fp"])
 
-    keyed = cut(arrow_map(fps.select("fp"), key_rows, "key long, fp binary"), "keys")
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    heavy = cut(sizes.where(F.col("n") > group).select("key", F.ceil(F.col("n") / (group // 2)).cast("int").alias("g")), "heavy")
-    rows = keyed.join(sizes.select("key"), "key")
+    rows = arrow_map(fps.select("fp"), key_rows, "key long, fp binary")
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > group)
+    heavy = cut(sizes.select("key", F.ceil(F.col("n") / (group // 2)).cast("int").alias("g")), "heavy")
     if heavy.limit(1).count():
         dealt = rows.join(heavy, "key").withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("g")).cast("int"))
         dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, g - 1)")))
@@ -297,18 +305,18 @@ def bucket_links(fps: DataFrame, radius: int, keys: list[list[int]], group: int
     return arrow_map(ordered.select("key", "fp", "side"), run, "u binary, v binary")
 
 
-def near_components(fps: DataFrame, radius: int, tables: int = 0) -> DataFrame:
+def near_components(fps: DataFrame, radius: int, similarity: float | None = None) -> DataFrame:
     """``fps(doc_id, fp)`` -> ``(doc_id, fp, component_id)``: the smallest doc_id reachable over links within the radius.
 
-    With ``tables`` = 0 all links are found, by blocks of the fingerprint; else
-    buckets come from that many samples of bits.  Equal fingerprints are one
+    All links are found, by blocks of the fingerprint; with a ``similarity``
+    buckets come from samples of its bits instead, for radii that blocks cannot serve.  Equal fingerprints are one
     node; repeated doc_ids each keep a row; null doc_ids never name a component
     unless it has no other; an empty table gives no rows.
     """
     node = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "fps")
     first = node.agg(F.count("*").alias("n"), F.max(F.length("fp")).alias("bytes")).first()
     count, bits = first["n"], 8 * (first["bytes"] or 8)
-    keys = sampled_keys(count, bits, tables) if tables else exact_keys(count, radius, bits)
+    keys = sampled_keys(count, bits, similarity) if similarity else exact_keys(count, radius, bits)
     root = components(bucket_links(node, radius, keys))
     named = node.join(root, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     label = named.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -316,6 +324,31 @@ def near_components(fps: DataFrame, radius: int, tables: int = 0) -> DataFrame:
     return fps.join(label, "fp").select("doc_id", "fp", "component_id")
 
 
+#: Five-word shingles, similarity 0.8, and words of 64 bits of the wide fingerprint.
+SHINGLE, SIMILARITY, LANES = 5, 0.8, 4
+
+
+def near_copies(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, lanes: int = LANES) -> DataFrame:
+    """``docs(doc_id, text)`` -> ``(doc_id, fp, component_id)`` by set similarity of word shingles.
+
+    Similarity is estimated from wide fingerprints of distinct shingles.
+    """
+    fps = cut(fingerprints(docs, size, lanes, distinct=True), "fingerprints")
+    return near_components(fps, radius_of(similarity, WORD * lanes), similarity)
+
+
+def keep_one(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, lanes: int = LANES) -> DataFrame:
+    """One document of each group of near copies, with its columns as they are: the one with the smallest doc_id.
+
+    Rows that share that doc_id are one document, of which any row stays.
+    """
+    stay = near_copies(docs, size, similarity, lanes).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
+    stay = cut(stay, "stay")
+    kept = docs.join(stay.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(stay["_id"])).drop("_id")
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     fps = cut(fingerprints(read(spark, sf_dir, "documents")), "fingerprints")
     return near_components(fps, 3).select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
