@@ -1,7 +1,8 @@
 """Token-id output: one wavelet matrix per shard, with rank, select and access from the file.
 
 File layout (little endian): the magic ``WMX1``, a 4-byte header length, a JSON
-header, then zstd frames: document ids, document starts, and for every bit
+header, then zstd frames: document ids, document starts, the shard's alphabet
+(its different ids, ascending; the matrix holds places in it), and for every bit
 level the packed plane followed by its rank directory (ones before every
 512-bit block).  Level 0 holds the most significant bit; each level is the
 stable partition of the one above by its bit, zeros first.
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -49,9 +51,9 @@ class WaveletMatrix:
             packed = np.packbits(bit, bitorder="little")
             planes.append(packed)
             ranks.append(_directory(packed))
-            ones = cur[bit]
+            ones = np.compress(bit, cur)
             zeros.append(n - len(ones))
-            cur = np.concatenate([cur[~bit], ones])
+            cur = np.concatenate([np.compress(~bit, cur), ones])
         return cls(n, planes, ranks, zeros)
 
     def rank1(self, level: int, pos: np.ndarray) -> np.ndarray:
@@ -137,8 +139,8 @@ class WaveletMatrix:
             bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             up = np.empty(self.n, kind)
             z = self.zeros[level]
-            up[~bit] = cur[:z]
-            up[bit] = cur[z:] | kind(1 << (self.levels - 1 - level))
+            up[np.flatnonzero(~bit)] = cur[:z]
+            up[np.flatnonzero(bit)] = cur[z:] | kind(1 << (self.levels - 1 - level))
             cur = up
         return cur
 
@@ -152,11 +154,16 @@ def _directory(packed: np.ndarray) -> np.ndarray:
 
 def encode_shard(doc_ids: list[int | None], starts: np.ndarray, ids: np.ndarray, part: int, offset: int) -> bytes:
     """A shard as file bytes; ``starts`` has one more entry than documents, ``offset`` counts ids of the part before it."""
-    wm = WaveletMatrix.build(ids)
+    seen = np.zeros(int(ids.max()) + 1 if len(ids) else 1, bool)
+    seen[ids] = True
+    alphabet = np.flatnonzero(seen)
+    code = np.zeros(len(seen), np.uint32)
+    code[alphabet] = np.arange(len(alphabet))
+    wm = WaveletMatrix.build(code[ids])
     z = zstandard.ZstdCompressor(level=1)
     known = np.array([d if d is not None else 0 for d in doc_ids], np.int64)
     null = np.array([d is None for d in doc_ids], bool)
-    frames = [known.tobytes() + np.packbits(null).tobytes(), np.asarray(starts, np.int64).tobytes()]
+    frames = [known.tobytes() + np.packbits(null).tobytes(), np.asarray(starts, np.int64).tobytes(), alphabet.astype("<u4").tobytes()]
     for plane, rank in zip(wm.planes, wm.ranks, strict=True):
         frames += [plane.tobytes(), rank.tobytes()]
     frames = [z.compress(f) for f in frames]
@@ -181,75 +188,103 @@ class Shard:
         null = np.unpackbits(np.frombuffer(frames[0][8 * n :], np.uint8), count=n).astype(bool)
         self.doc_ids = [None if x else int(d) for d, x in zip(known, null, strict=True)]
         self.starts = np.frombuffer(frames[1], np.int64)
-        planes = [np.frombuffer(f, np.uint8) for f in frames[2::2]]
-        ranks = [np.frombuffer(f, np.uint32) for f in frames[3::2]]
-        self.ids = WaveletMatrix(h["n"], planes, ranks, h["zeros"])
+        self.alphabet = np.frombuffer(frames[2], "<u4")
+        planes = [np.frombuffer(f, np.uint8) for f in frames[3::2]]
+        ranks = [np.frombuffer(f, np.uint32) for f in frames[4::2]]
+        self.codes = WaveletMatrix(h["n"], planes, ranks, h["zeros"])
+
+    def _code(self, value: int) -> int:
+        k = int(np.searchsorted(self.alphabet, value))
+        return k if k < len(self.alphabet) and self.alphabet[k] == value else -1
+
+    def access(self, pos) -> np.ndarray:
+        """The ids at the given positions of the shard."""
+        return self.alphabet[self.codes.access(pos)]
+
+    def rank(self, value: int, pos: int) -> int:
+        """Occurrences of an id before a position."""
+        return self.codes.rank(self._code(value), pos)
+
+    def count(self, value: int) -> int:
+        return self.codes.count(self._code(value))
+
+    def select(self, value: int, k: int) -> int:
+        """The position of the k-th (from 0) occurrence of an id, or -1."""
+        return self.codes.select(self._code(value), k)
+
+    def occurrences(self, value: int) -> np.ndarray:
+        return self.codes.occurrences(self._code(value))
+
+    def decode(self) -> np.ndarray:
+        return self.alphabet[self.codes.decode()]
 
 
 # --------------------------------------------------------------------------- tokenising
 
 #: Pieces one worker remembers; a full cache starts anew.
-PIECES = 400_000
+PIECES = 1_200_000
+_CONTEXT = re.compile(r"[\W_][.,]")
 _state: dict[str, tuple] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class _Pieces(dict):
+    """piece -> its ids as little-endian unsigned 32-bit bytes; new pieces go through the tokenizer."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer, self.letters = tokenizer, _byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        if piece.lstrip(" ").isalpha():  # one word: straight to the merges
+            ids = [x.id for x in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        out = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return out
+
+
 def _tokenizer(path: str):
     if path not in _state:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        kind = t.to_str()
-        blank = '"type":"ByteLevel","add_prefix_space":false' in kind and '"use_regex":true' in kind and '"normalizer":null' in kind
+        kind = json.loads(t.to_str())
+        pre = kind["pre_tokenizer"] or {}
+        byte_level = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex") and not kind["normalizer"] and kind["model"]["type"] == "BPE"
         special = [x.content for x in t.get_added_tokens_decoder().values()]
-        newline = t.encode("\n", add_special_tokens=False).ids
-        _state[path] = (t, special, newline[0] if blank and len(newline) == 1 else None, {})
+        _state[path] = (t, special, byte_level, _Pieces(t))
     return _state[path]
 
 
 def encode_texts(texts: list[str], path: str) -> list[bytes]:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
-    For a byte-level tokenizer the pieces between single blanks are encoded
-    once and remembered: its pattern never lets a token reach over a single
-    blank or line break between two other characters.  Texts with other white
-    space, or with the text of a special token, are encoded as a whole.
+    For a byte-level tokenizer the pieces between single blanks, and before a
+    full stop or comma after a letter or digit, are encoded once and remembered:
+    its pattern never lets a token reach over such a place.  Texts with other
+    white space, or with the text of an added token, are encoded as a whole.
     """
-    t, special, newline, cache = _tokenizer(path)
-    if len(cache) > PIECES:
-        cache.clear()
+    t, special, byte_level, pieces = _tokenizer(path)
+    if len(pieces) > PIECES:
+        pieces.clear()
+    out: list[bytes] = [b""] * len(texts)
     whole: list[int] = []
-    split: list[tuple[int, list[str]]] = []
-    missing: set[str] = set()
+    get = pieces.__getitem__
     for i, text in enumerate(texts):
-        if newline is None or not text or text.count(" ") + text.count("\n") + 1 != len(text.split()) or any(s in text for s in special):
+        simple = byte_level and text and "\0" not in text and text.count(" ") + text.count("\n") + 1 == len(text.split()) and not any(s in text for s in special)
+        if simple and text[0] not in ".," and not _CONTEXT.search(text):
+            marked = text.replace("\n", " \n").replace(" ", "\0 ").replace("\0 \n", "\0\n\0").replace(".", "\0.").replace(",", "\0,")
+            out[i] = b"".join(map(get, marked.split("\0")))
+        else:
             whole.append(i)
-            continue
-        pieces = text.replace("\n", " \n").replace(" ", "\0 ").replace("\0 \n", "\0\n\0").split("\0") if "\0" not in text else None
-        if pieces is None:
-            whole.append(i)
-            continue
-        split.append((i, pieces))
-        missing.update(p for p in pieces if p not in cache)
-    if missing:
-        cache["\n"] = np.array([newline], "<u4").tobytes()
-        missing.discard("\n")
-        todo = list(missing)
-        for at in range(0, len(todo), 2000):
-            some = todo[at : at + 2000]
-            ids = np.array(t.encode("\n".join(some), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(ids == newline)
-            if len(ends) == len(some) - 1:
-                bounds = [0, *(ends + 1).tolist()]
-                stops = [*ends.tolist(), len(ids)]
-                for p, a, b in zip(some, bounds, stops, strict=True):
-                    cache[p] = ids[a:b].tobytes()
-            else:  # a merge held a line break
-                for p in some:
-                    cache[p] = np.array(t.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
-    out: list[bytes] = [b""] * len(texts)
-    for i, pieces in split:
-        out[i] = b"".join([cache[p] for p in pieces])
     for i, e in zip(whole, t.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False), strict=True):
         out[i] = np.array(e.ids, "<u4").tobytes()
     return out
@@ -284,9 +319,9 @@ def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
 
 
 def write_shards(tokens: DataFrame, folder: str, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """Writes ``tokens(doc_id, n_tokens, ids)`` in ascending doc_id order as ``*.wmx`` files; returns the manifest.
+    """Writes ``tokens(doc_id, n_tokens, ids)``, which come in order, as ``*.wmx`` files; returns the manifest.
 
-    Tasks write range partitions; a file is moved to its place when complete,
+    Tasks write their partitions; a file is moved to its place when complete,
     and a repeated task replaces it by the same bytes.  Manifest columns:
     part, seq, docs, n_tokens.
     """
@@ -323,8 +358,7 @@ def write_shards(tokens: DataFrame, folder: str, shard_tokens: int = SHARD_TOKEN
         if held:
             yield close()
 
-    ordered = tokens.repartitionByRange(shuffle_parts(tokens.sparkSession), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n_tokens", "ids")
-    return cut(arrow_map(ordered, run, "part long, seq long, docs long, n_tokens long"), "manifest")
+    return cut(arrow_map(tokens, run, "part long, seq long, docs long, n_tokens long"), "manifest")
 
 
 def read_shards(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
@@ -340,7 +374,7 @@ def read_shards(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFr
         for b in rows:
             for blob in column(b, "content").to_pylist():
                 s = Shard(blob)
-                ids = s.ids.decode()
+                ids = s.decode()
                 base = before[s.head["part"]] + s.head["offset"]
                 for lo in range(0, len(s.doc_ids), 256):
                     n = min(len(s.doc_ids), lo + 256)
@@ -358,12 +392,15 @@ def token_output(docs: DataFrame, tokenizer: str, folder: str | None = None, end
     """Encodes, writes and reads back all documents.
 
     Null texts are empty (their only id is the end id); null doc_ids come
-    first; repeated doc_ids each keep a row, ordered by their ids; an empty
+    first; repeated doc_ids each keep a row, ordered by text; an empty
     table writes no file and gives no row; other columns are ignored.
     """
     spark = docs.sparkSession
     folder = folder or scratch(spark, "tokens")
-    return read_shards(spark, folder, write_shards(tokenize(docs, tokenizer, end_id), folder))
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    by = F.col("doc_id").asc_nulls_first()
+    ordered = ordered.repartitionByRange(shuffle_parts(spark), by).sortWithinPartitions(by, "text")
+    return read_shards(spark, folder, write_shards(tokenize(ordered, tokenizer, end_id), folder))
 
 
 def digest(shards: DataFrame) -> DataFrame:
