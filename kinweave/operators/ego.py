@@ -18,39 +18,42 @@ def kin_steps(parent_links: DataFrame, spouse_links: DataFrame) -> DataFrame:
     return row(parent_links, c, p, "U").unionByName(row(parent_links, p, c, "D")).unionByName(row(spouse_links, h, w, "S")).unionByName(row(spouse_links, w, h, "S")).distinct()
 
 
-def citizen_reach(egos: DataFrame, steps: DataFrame, depth: int = 3, max_rounds: int = 50) -> DataFrame:
+def marriage_chains(steps: DataFrame, max_rounds: int = 200) -> DataFrame:
+    """(from, to, k): persons joined by k spouse steps and no fewer, k > 0.  It does not depend on an ego, so it is walked once."""
+    one = steps.where("kind = 'S'").select("from", "to").distinct()
+    front = settle(one.withColumn("k", F.lit(1)), "chain")
+    chains = front
+    for k in range(2, max_rounds + 1):
+        on = front.select(F.col("from").alias("start"), F.col("to").alias("from")).join(small(one), "from").select(F.col("start").alias("from"), "to").where(F.col("from") != F.col("to")).distinct()
+        front = settle(on.join(chains.select("from", "to"), ["from", "to"], "left_anti").withColumn("k", F.lit(k)), "chain")
+        if not front.limit(1).count():
+            return chains
+        chains = chains.unionByName(front)
+    raise RuntimeError("marriage chains did not end")
+
+
+def citizen_reach(egos: DataFrame, steps: DataFrame, depth: int = 3) -> DataFrame:
     """``egos(id)`` -> ``(ego, id, g, n, path)``: every person within ``depth`` generations, spouses at no cost.
 
     A person keeps its smallest label (g, n, path): generations, steps, and the
-    signature.  Generations run outside; inside one, spouse steps are relaxed
-    from the rows that improved, until none does.  Labels only shrink, so
-    married pairs end the loop.
+    signature.  A generation is one join with parents and children and one with
+    whole marriage chains: a chain through a person of an earlier generation
+    leads only to persons of that generation, so nothing is walked twice.
     """
     if not 1 <= depth <= 5:
         raise ValueError("depth must be from 1 to 5")
-    steps = settle(steps, "steps")
-    vertical, marital = small(steps.where("kind <> 'S'")), small(steps.where("kind = 'S'"))
-    label = F.min(F.struct("n", "path")).alias("l")
-    best = lambda df: df.groupBy("ego", "id").agg(label).select("ego", "id", "l.n", "l.path")
-    walk = lambda df, by: df.join(by, df["id"] == by["from"]).select("ego", F.col("to").alias("id"), (F.col("n") + 1).alias("n"), F.concat("path", "kind").alias("path"))
-    level = egos.distinct().select(F.col("id").alias("ego"), "id", F.lit(0).alias("n"), F.lit("").alias("path"))
+    vertical, chains = small(steps.where("kind <> 'S'")), small(settle(marriage_chains(steps), "chains"))
+    best = lambda df: df.groupBy("ego", "id").agg(F.min(F.struct("n", "path")).alias("l")).select("ego", "id", "l.n", "l.path")
     reached = None
+    level = egos.distinct().select(F.col("id").alias("ego"), "id", F.lit(0).alias("n"), F.lit("").alias("path"))
     for g in range(depth + 1):
         if g:
-            level = best(walk(level, vertical)).join(reached.select("ego", "id"), ["ego", "id"], "left_anti")
-        level = settle(level, "level")
-        front = level
-        for _ in range(max_rounds):
-            new = best(walk(front, marital))
-            if reached is not None:
-                new = new.join(reached.select("ego", "id"), ["ego", "id"], "left_anti")
-            old = level.select("ego", "id", F.struct("n", "path").alias("old"))
-            front = settle(new.join(old, ["ego", "id"], "left").where(F.col("old").isNull() | (F.struct("n", "path") < F.col("old"))).drop("old"), "front")
-            if not front.limit(1).count():
-                break
-            level = settle(best(level.unionByName(front)), "level")
-        else:
-            raise RuntimeError("spouse steps did not settle")
+            level = level.join(vertical, level["id"] == vertical["from"]).select("ego", F.col("to").alias("id"), (F.col("n") + 1).alias("n"), F.concat("path", "kind").alias("path"))
+            level = best(level).join(reached.select("ego", "id"), ["ego", "id"], "left_anti")
+        married = level.join(chains, level["id"] == chains["from"]).select("ego", F.col("to").alias("id"), (F.col("n") + F.col("k")).alias("n"), F.concat("path", F.expr("repeat('S', k)")).alias("path"))
+        if reached is not None:
+            married = married.join(reached.select("ego", "id"), ["ego", "id"], "left_anti")
+        level = settle(best(level.unionByName(married)), "level")
         done = level.withColumn("g", F.lit(g))
         reached = done if reached is None else reached.unionByName(done)
     return reached.select("ego", "id", "g", "n", "path")
@@ -62,7 +65,7 @@ def citizen_ego(persons: DataFrame, parent_links: DataFrame, spouse_links: DataF
     ``persons(id, label, sex)``.  Egos that are no person have no row.
     """
     egos = persons.select("id") if ids is None else ids.join(persons.select("id"), "id", "left_semi")
-    steps = settle(kin_steps(parent_links, spouse_links), "steps")
+    steps = settle(kin_steps(parent_links, spouse_links), "steps")  # both loops and the edges read it
     reach = settle(citizen_reach(egos, steps, depth), "reach")
     nodes = reach.join(persons, "id", "left").withColumn("kin", F.when(F.col("ego") == F.col("id"), kin(F.lit(""), F.lit(None).cast("string"), lang)).otherwise(kin("path", "sex", lang)))
     nodes = nodes.select("ego", "id", F.coalesce("label", "id").alias("label"), "sex", "kin", kin_cluster("kin").alias("cluster"))
