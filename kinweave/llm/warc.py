@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +35,20 @@ def _payloads(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), p.alias("payload")).select("*", F.sha2("payload", 256).alias("key"), F.length("payload").cast("long").alias("size"))
 
 
+def _compressed(rows: DataFrame) -> DataFrame:
+    """``(page_id, key, size, payload)`` with each payload as a zstd frame, so that little moves and is stored."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        z = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            frames = pa.array([z.compress(p) for p in column(b, "payload").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([column(b, c) for c in ("page_id", "key", "size")] + [frames], ["page_id", "key", "size", "frame"])
+
+    return arrow_map(rows.select("page_id", "key", "size", "payload"), run, "page_id long, key string, size long, frame binary")
+
+
 def write_archive(pages: DataFrame, folder: str, min_payload: int = 0) -> None:
-    """Writes ``folder/payloads`` (key, size, payload: each payload once) and ``folder/headers`` (one row for each record).
+    """Writes ``folder/payloads`` (key, size, frame: each payload once, compressed) and ``folder/headers`` (one row for each record).
 
     A payload is known by its SHA-256 and length.  Of records with equal
     payloads of at least ``min_payload`` bytes the one with the largest page_id
@@ -67,14 +80,14 @@ def write_archive(pages: DataFrame, folder: str, min_payload: int = 0) -> None:
     zstd = lambda df, name: df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
     zstd(records.select("page_id", "key", "size", header.alias("header")), "headers")
     # equal keys from repeated rows of one page_id would store a payload twice
-    kept = rows.join(last.select("key", "size", "last"), ["key", "size"]).where(F.col("page_id").eqNullSafe(F.col("last")))
-    zstd(kept.select("key", "size", "payload").dropDuplicates(["key", "size"]), "payloads")
+    kept = _compressed(rows).join(last.select("key", "size", "last"), ["key", "size"]).where(F.col("page_id").eqNullSafe(F.col("last")))
+    zstd(kept.select("key", "size", "frame").dropDuplicates(["key", "size"]), "payloads")
 
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """``(header, payload)`` of every record: exact header bytes with the full payload they stand for."""
+    """``(header, frame)`` of every record: exact header bytes with the compressed full payload they stand for."""
     headers = spark.read.parquet(f"{folder}/headers")
-    return headers.join(spark.read.parquet(f"{folder}/payloads"), ["key", "size"], "left").select("header", "payload")
+    return headers.join(spark.read.parquet(f"{folder}/payloads"), ["key", "size"], "left").select("header", "frame")
 
 
 def record_bytes(header: bytes, payload: bytes) -> bytes:
@@ -99,12 +112,14 @@ def describe(records: DataFrame) -> DataFrame:
     """Parses records and verifies lengths and digests; a damaged archive raises ValueError."""
 
     def run(batches: Iterator[pa.RecordBatch]):
+        z = zstandard.ZstdDecompressor()
         for b in batches:
             out = []
-            for header, payload in zip(column(b, "header").to_pylist(), column(b, "payload").to_pylist(), strict=True):
+            for header, frame in zip(column(b, "header").to_pylist(), column(b, "frame").to_pylist(), strict=True):
                 h = parse_header(header)
-                if payload is None:
+                if frame is None:
                     raise ValueError(f"payload of {h['WARC-Record-ID']} is missing")
+                payload = z.decompress(frame)
                 digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
                 block = len(record_bytes(header, payload)) - 4 - header.index(b"\r\n\r\n") - 4
                 if h["WARC-Payload-Digest"] != f"sha1:{digest}" or int(h["Content-Length"]) != block:
@@ -125,11 +140,11 @@ def export_files(records: DataFrame, folder: str) -> DataFrame:
         fs, root = pafs.FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
         name = f"{root}/records-{ctx.partitionId():06d}"
-        n = 0
+        n, z = 0, zstandard.ZstdDecompressor()
         with fs.open_output_stream(f"{name}.{ctx.taskAttemptId()}.part", compression=None) as f:
             for b in batches:
-                for header, payload in zip(column(b, "header").to_pylist(), column(b, "payload").to_pylist(), strict=True):
-                    f.write(gzip.compress(record_bytes(header, payload), mtime=0))
+                for header, frame in zip(column(b, "header").to_pylist(), column(b, "frame").to_pylist(), strict=True):
+                    f.write(gzip.compress(record_bytes(header, z.decompress(frame)), mtime=0))
                     n += 1
         fs.move(f"{name}.{ctx.taskAttemptId()}.part", f"{name}.warc.gz")
         yield pa.RecordBatch.from_arrays([pa.array([f"{name}.warc.gz"]), pa.array([n], pa.int64())], ["file", "records"])

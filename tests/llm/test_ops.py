@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+import zstandard
 
 from kinweave.llm import components, decontaminate, language_id, license_scan, mixing, simhash, substring_dedup, token_store, topk, toxicity, warc
 
@@ -217,12 +218,14 @@ def test_token_files_hold_what_the_tokenizer_says(spark, tmp_path):
     order = list(range(len(texts)))
     rng.shuffle(order)
     df = docs(spark, [texts[i] for i in order], ids=order).repartition(3)
-    got = token_store.digest(token_store.token_output(df, path, f"file://{tmp_path}/t")).orderBy("doc_id").collect()
+    got = token_store.token_output(df, path, f"file://{tmp_path}/t", checksum=True).orderBy("doc_id").collect()
     at = 0
     for i, r in enumerate(got):
         ids = [*t.encode(texts[i] or "", add_special_tokens=False).ids, 2]
         assert tuple(r) == (i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
+    back = {r["doc_id"]: bytes(r["ids"]) for r in token_store.token_output(df, path).collect()}
+    assert all(zlib.crc32(back[r["doc_id"]]) == r["ids_crc32"] for r in got)
     assert token_store.token_output(docs(spark, []), path).collect() == []
 
 
@@ -253,6 +256,8 @@ def test_contaminated_documents(spark):
         "renamed": (f"{pad} said at noon Anna has 7 apples and buys 9 more apples at the market, how many apples does Anna hold then? {pad}", {0}),
         "inconsistent": (f"{pad} said at noon Anna has 7 apples and buys 9 more apples at the market, how many apples does Berta hold then? {pad}", {0}),
         "clean": (pad, set()),
+        "capitals": (f"{pad} {BENCH[1][1].upper()} {pad}", {1}),
+        "no marks": (f"{pad} {BENCH[0][1].lower().replace(',', '')} {pad}", {0}),
         "part": (f"{pad} The quick brown fox jumps over {pad}", set()),
         "short": (f"{pad} five words make an item {pad}", {4}),
         "null": (None, set()),
@@ -272,7 +277,7 @@ def test_contaminated_documents(spark):
     assert by[1, 0]["renamed"] >= 2 and by[0, 1]["renamed"] == 0
     assert by[2, 0]["coverage"] < by[1, 0]["coverage"]
     kept = decontaminate.decontaminate(docs(spark, texts), bench)
-    assert {r["doc_id"] for r in kept.collect()} == {3, 4, 6, 7} and kept.columns == docs(spark, []).columns
+    assert {r["doc_id"] for r in kept.collect()} == {3, 6, 8, 9} and kept.columns == docs(spark, []).columns
     assert decontaminate.contaminated(docs(spark, texts), bench.limit(0)).collect() == []
     assert decontaminate.contaminated(docs(spark, []), bench).collect() == []
 
@@ -475,7 +480,7 @@ def test_warc_round_trip(spark, tmp_path):
 
 
 def test_damaged_archive_is_refused(spark):
-    bad = spark.createDataFrame([(bytearray(b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Payload-Digest: sha1:X\r\nContent-Length: 3\r\n\r\n"), bytearray(b"abc"))], "header binary, payload binary")
+    bad = spark.createDataFrame([(bytearray(b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Payload-Digest: sha1:X\r\nContent-Length: 3\r\n\r\n"), bytearray(zstandard.compress(b"abc")))], "header binary, frame binary")
     with pytest.raises(Exception, match="does not match"):
         warc.describe(bad).collect()
 
