@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch; a batch of whole texts then stays within tens of MB.
-ARROW_ROWS = 1000
+ARROW_ROWS = 500
 
 #: bytes.translate table: lower-cases A-Z and leaves every other byte.
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -72,11 +72,30 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def _trimmed(fn):
+    """``fn``, after which a worker gives the memory that it no longer needs back to the system."""
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            import ctypes
+            import gc
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with batches small enough for whole texts."""
     ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(_trimmed(fn), schema)
 
 
 def shuffle_parts(spark: SparkSession) -> int:
@@ -169,8 +188,9 @@ class WordRows:
         """The rows of all words, one for each."""
         if len(self.rows) > self.limit:
             self.rows.clear()
-        at = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
-        return self.table[at]
+        rows = self.rows
+        at = np.array([rows[w] for w in words], np.int64)
+        return self.table[at]  # only now: new words may have made it grow
 
 
 class _Rows(dict):

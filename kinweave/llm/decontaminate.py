@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordRows, arrow_map, column, mix64, read
+from .common import arrow_map, column, mix64, read
 
 #: Words of a template window; shorter items of at least SHORTEST words are windows of their own length.
 WINDOW, SHORTEST = 8, 4
@@ -26,60 +27,144 @@ UNITS = frozenset(
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ton tons pound pounds ounce ounces ml l litre litres liter liters "
     "second seconds minute minutes hour hours day days week weeks month months year years dollar dollars euro euros cent cents percent degree degrees mph kmh km/h".split()
 )
-_STRIP = b".,;:!?\"'()[]{}<>*_`\xe2\x80\x9c\xe2\x80\x9d"
 LITERAL, NUMBER, UNIT, NAME = 0, 1, 2, 3
-_TEMPLATE = {NUMBER: b"<number>", UNIT: b"<unit>", NAME: b"<name>"}
-
-
-def _row(word: bytes) -> np.ndarray:
-    """Template hash and slot kind of a word inside and at the start of a sentence; whether it has a core, and ends a sentence."""
-    text = word.decode("utf-8", "replace")
-    core = text.strip(_STRIP.decode())
-    low = core.lower()
-    if any(c.isdigit() for c in core):
-        kinds = NUMBER, NUMBER
-    elif low in UNITS:
-        kinds = UNIT, UNIT
-    elif core[:1].isupper():
-        kinds = NAME, LITERAL
-    else:
-        kinds = LITERAL, LITERAL
-    h = [xxhash.xxh3_64_intdigest(_TEMPLATE.get(k, low.encode())) for k in kinds]
-    return np.array([*h, *kinds, bool(core), text.rstrip("\"')]").endswith((".", "!", "?"))], np.uint64)
-
-
-def template_rows() -> WordRows:
-    return WordRows(_row, 6, dtype=np.uint64)
-
-
-def canonical(text: str, rows: WordRows) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Words with a core, their template hashes and their slot kinds."""
-    w = text.encode("utf-8", "surrogatepass").split()
-    if not w:
-        return [], np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    r = rows(w)
-    start = np.concatenate([[True], r[:-1, 5] > 0])
-    h, kind = np.where(start, r[:, 1], r[:, 0]), np.where(start, r[:, 3], r[:, 2]).astype(np.int64)
-    has = r[:, 4] > 0
-    if has.all():
-        return w, h, kind
-    return [w[i] for i in np.flatnonzero(has)], h[has], kind[has]
+#: Characters of texts that are read at once.  A longer text is read alone, as a whole.
+PIECE = 1 << 21
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+_SPACE, _MARK, _END, _DIGIT = 1, 2, 4, 8
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
+_CLASS[list(b";:\"'()[]{}<>*_`,")] = _MARK
+_CLASS[list(b".!?")] = _MARK | _END
+_CLASS[48:58] = _DIGIT
+#: Bytes of a character by its first byte.
+_WIDTH = np.ones(256, np.int64)
+_WIDTH[0xC0:0xE0], _WIDTH[0xE0:0xF0], _WIDTH[0xF0:] = 2, 3, 4
+_powers: list[np.ndarray] = []
+
+
+def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The base and its inverse to the powers 0 .. n - 1, modulo 2^64."""
+    if not _powers or len(_powers[0]) < n:
+        size = 1 << max(16, (n - 1).bit_length())
+        _powers[:] = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, b, np.uint64)]), dtype=np.uint64) for b in (_BASE, _INVERSE)]
+    return _powers[0], _powers[1]
+
+
+@dataclass
+class Words:
+    """The words of a run of texts: their text, place in it, bytes, and two readings as (template hashes, slot kinds)."""
+
+    text: np.ndarray
+    place: np.ndarray
+    data: bytes
+    start: np.ndarray
+    end: np.ndarray
+    readings: list[tuple[np.ndarray, np.ndarray]]
+
+    def surface(self, i: int) -> str:
+        return self.data[self.start[i] : self.end[i]].decode("utf-8", "replace")
+
+
+def _word_hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    power, inverse = _power(len(low) + 1)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum((low.astype(np.uint64) + np.uint64(1)) * power[: len(low)], dtype=np.uint64)])
+    return mix64((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
+
+
+def _hashes_of(words: list[str]) -> np.ndarray:
+    raw = b" ".join(w.encode() for w in words)
+    sizes = np.array([len(w.encode()) for w in words])
+    start = np.cumsum(sizes + 1) - sizes - 1
+    return _word_hashes(np.frombuffer(raw, np.uint8), start, start + sizes)
+
+
+_TEMPLATE = dict(zip((NUMBER, UNIT, NAME), _hashes_of(["<number>", "<unit>", "<name>"]), strict=True))
+_UNIT_HASHES = np.sort(_hashes_of(sorted(UNITS)))
+
+
+def _lower(text: str, raw: bytes) -> bytes:
+    """Lower case of the same length in bytes."""
+    low = text.lower().encode("utf-8", "surrogatepass")
+    return low if len(low) == len(raw) else raw.lower()
+
+
+def canonical(texts: list[str]) -> Words:
+    """Words of all texts: runs of other than white space and marks; a stop or comma between digits belongs to the number.
+
+    The first reading takes words with one capital, their first letter, inside
+    sentences for names; the second takes no word for a name, so it does not
+    depend on case and punctuation.  Numbers and units are placeholders in both.
+    """
+    for a, b in (("\u201c", '"'), ("\u201d", '"'), ("\u2018", "'"), ("\u2019", "'")):
+        texts = [t.replace(a, b) for t in texts]
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    data = b"\n".join(raw)
+    o = np.frombuffer(data, np.uint8)
+    low = np.frombuffer(b"\n".join(_lower(t, r) for t, r in zip(texts, raw, strict=True)), np.uint8)
+    kind = _CLASS[o]
+    digit = kind == _DIGIT
+    inner = np.zeros(len(o), bool)
+    if len(o) > 2:
+        inner[1:-1] = digit[:-2] & digit[2:] & ((o[1:-1] == 46) | (o[1:-1] == 44))
+    word = (kind & (_SPACE | _MARK) == 0) | inner
+    edge = np.diff(np.concatenate([[0], word.view(np.int8), [0]]))
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    count = lambda mask: np.concatenate([[0], np.cumsum(mask, dtype=np.int32)])
+    changed, digits, stops = count(o != low), count(digit), count((kind & _END > 0) & ~inner)
+    bounds = np.cumsum([0] + [len(r) + 1 for r in raw])
+    text = np.searchsorted(bounds, start, side="right") - 1
+    first = np.ones(len(start), bool)
+    first[1:] = (text[1:] != text[:-1]) | (stops[start[1:]] > stops[end[:-1]])
+    h = _word_hashes(low, start, end)
+    second = np.minimum(start + _WIDTH[o[start]], end) if len(start) else start
+    capital = changed[second] - changed[start]
+    name = (capital > 0) & (changed[end] == changed[second]) & (second < end) & ~first
+    unit = _UNIT_HASHES[np.minimum(np.searchsorted(_UNIT_HASHES, h), len(_UNIT_HASHES) - 1)] == h
+    plain = np.where(digits[end] > digits[start], NUMBER, np.where(unit, UNIT, LITERAL)).astype(np.int8)
+    named = np.where((plain == LITERAL) & name, NAME, plain)
+    for k in (NUMBER, UNIT):
+        h[plain == k] = _TEMPLATE[k]
+    first_word = np.searchsorted(text, np.arange(len(texts)))
+    return Words(text, np.arange(len(start)) - first_word[text] if len(start) else start, data, start, end, [(np.where(named == NAME, _TEMPLATE[NAME], h), named), (h ^ np.uint64(0x5851F42D4C957F2D), plain)])
+
+
+def _pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """Texts by their numbers, gathered or alone, so that about PIECE characters are read at once."""
+    held: list[int] = []
+    size = 0
+    for i, t in enumerate(texts):
+        if held and size + len(t) > PIECE:
+            yield held, [texts[k] for k in held]
+            held, size = [], 0
+        held.append(i)
+        size += len(t)
+    if held:
+        yield held, [texts[k] for k in held]
 
 
 def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
-    """A hash of each window of ``size`` template words."""
+    """A polynomial hash of each window of ``size`` template words, by doubling."""
     n = len(h) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    acc = np.full(n, size, np.uint64)
-    for k in range(size):
-        acc = acc * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n]
-    return mix64(acc)
-
-
-def _slots(words: list[bytes], kinds: np.ndarray, p: int, size: int) -> list[str]:
+    out, done = np.full(n, size, np.uint64), 0
+    power, span, base = h, 1, 0x9E3779B97F4A7C15  # hashes of windows of ``span`` words, and the base to its power
+    while done < size:
+        if size - done & span:
+            out = out * np.uint64(base) + power[done : done + n]
+            done += span
+        if done < size:
+            power = power[:-span] * np.uint64(base) + power[span:]
+            base, span = base * base % (1 << 64), 2 * span
+    return out
+
+
+def _slots(words: Words, kinds: np.ndarray, p: int, size: int) -> list[str]:
     """Surface of each slot in a window, empty for ordinary words."""
-    return [words[p + k].decode("utf-8", "replace").strip(_STRIP.decode()) if kinds[p + k] else "" for k in range(size)]
+    return [words.surface(p + k) if kinds[p + k] else "" for k in range(size)]
 
 
 def windows(rows: DataFrame, sizes: list[int], wanted: np.ndarray | None, least: int = 0) -> DataFrame:
@@ -90,28 +175,38 @@ def windows(rows: DataFrame, sizes: list[int], wanted: np.ndarray | None, least:
     full = max(sizes)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        cache = template_rows()
         if wanted is not None:  # a bit table says no to nearly all windows at once
-            bits = np.zeros(1 << 22, bool)
-            bits[wanted & np.uint64((1 << 22) - 1)] = True
+            shift = np.uint64(64 - min(24, max(16, len(wanted).bit_length() + 6)))
+            bits = np.zeros(1 << 64 - int(shift), bool)
+            bits[wanted >> shift] = True
         for b in batches:
             out: list[tuple] = []
-            for i, th, t in zip(column(b, "id").to_pylist(), column(b, "th").to_pylist(), column(b, "text").to_pylist(), strict=True):
-                w, h, kinds = canonical(t or "", cache)
-                lit = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
-                for size in [full] if least and len(w) >= full else [len(w)] if least and len(w) >= least else [] if least else sizes:
+            ids, ths = column(b, "id").to_pylist(), column(b, "th").to_pylist()
+            for own, texts in _pieces([t or "" for t in column(b, "text").to_pylist()]):
+                w = canonical(texts)
+                n = np.bincount(w.text, minlength=len(texts))
+                for (h, kinds), size in product(w.readings, range(least, full + 1) if least else sizes):
                     wh = window_hashes(h, size)
                     if not len(wh):
                         continue
+                    use = w.text[: len(wh)] == w.text[size - 1 :]
+                    if least:  # a short text is one window
+                        whole = n[w.text[: len(wh)]]
+                        use &= (whole == size) if size < full else (whole >= size)
                     if wanted is not None:
-                        at = np.flatnonzero(bits[wh & np.uint64((1 << 22) - 1)])
+                        at = np.flatnonzero(bits[wh >> shift] & use)
                         if len(at):
                             near = np.searchsorted(wanted, wh[at])
                             at = at[wanted[np.minimum(near, len(wanted) - 1)] == wh[at]]
                     else:
-                        at = np.arange(len(wh))
-                    at = at[lit[at + size] - lit[at] >= min(LITERALS, size - 1)]
-                    out += [(i, th, int(p), size, int(wh[p].astype(np.int64)), _slots(w, kinds, int(p), size), len(w)) for p in at]
+                        at = np.flatnonzero(use)
+                    if not len(at):
+                        continue
+                    literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
+                    at = at[literal[at + size] - literal[at] >= min(LITERALS, size - 1)]
+                    for p in at.tolist():
+                        i = own[w.text[p]]
+                        out.append((ids[i], ths[i], int(w.place[p]), size, int(wh[p].astype(np.int64)), _slots(w, kinds, p, size), int(n[w.text[p]])))
             kinds_ = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds_)], ["id", "th", "p", "size", "h", "slots", "n"])
 
@@ -153,7 +248,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     ``th`` is a hash of the text and tells rows apart that share a doc_id.
     Numbers, units and capitalised words inside sentences are placeholders, so
     a question with other names and figures is found, if the replacements are
-    consistent.  Null and empty texts match nothing; items of fewer than
+    consistent; a second reading without names finds it in other case.  Null and empty texts match nothing; items of fewer than
     SHORTEST words, or without enough ordinary words, cannot match; repeated
     items and documents each give their pairs once for each text; empty tables
     give no rows.
