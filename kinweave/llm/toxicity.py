@@ -15,11 +15,11 @@ from .common import WordRows, arrow_map, column, held_out, mix64, read, sample_b
 
 #: Labelled rows that a model is fitted on, at most.
 TRAIN_DOCS = 8000
-BITS = 18
-EPOCHS = 3
+BITS = 20
+EPOCHS = 5
 #: Lengths of word stems that count as 1-grams beside the word, so that inflected forms share a weight.
 STEMS = (4, 5, 6)
-ALPHA, BETA, L1, L2 = 0.15, 1.0, 1.0, 0.5
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.1
 
 #: Bytes that separate words: ASCII but letters, digits and the apostrophe.
 _WORDS = bytes((b + 32 if 65 <= b <= 90 else b) if b >= 128 or chr(b).isalnum() or b == 39 else 32 for b in range(256))
