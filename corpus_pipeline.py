@@ -30,7 +30,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes the token ids of the mix and returns their digest."""
-    return token_store.digest(token_store.token_output(docs, token_store.tokenizer_path()))
+    return token_store.token_output(docs, token_store.tokenizer_path(), checksum=True)
 
 
 STAGES = [("language_id", language_stage), ("simhash_near_copies", near_copy_stage), ("benchmark_decontamination", benchmark_stage), ("source_mixing", mixing_stage), ("token_output", token_stage)]

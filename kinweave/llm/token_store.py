@@ -12,9 +12,10 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -221,12 +222,15 @@ class Shard:
 
 # --------------------------------------------------------------------------- tokenising
 
-#: Pieces one worker remembers; a full cache starts anew.
-PIECES = 1_200_000
-_CONTEXT = re.compile(r"[\W_][.,]")
+#: Pieces one worker remembers: those met twice, and those met once lately.  Either starts anew when full.
+PIECES, YOUNG = 700_000, 300_000
 _state: dict[str, tuple] = {}
 
 
+class _Irregular(Exception):
+    """A text that cannot be cut into pieces."""
+
+
 def _byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, others from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -235,18 +239,40 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Pieces(dict):
-    """piece -> its ids as little-endian unsigned 32-bit bytes; new pieces go through the tokenizer."""
+    """piece -> its ids as little-endian unsigned 32-bit bytes; new pieces go through the tokenizer.
 
-    def __init__(self, tokenizer):
+    A piece is a line break, or a run of other than white space with at most one
+    blank before it.  Anything else is never remembered and raises _Irregular.
+    """
+
+    def __init__(self, tokenizer, special: list[str]):
         super().__init__()
-        self.tokenizer, self.letters = tokenizer, _byte_letters()
+        self.tokenizer, self.model, self.special = tokenizer, tokenizer.model, special
+        letters = _byte_letters()
+        self.letters = "".join(letters[b] for b in range(256))
+        self.young: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        if piece.lstrip(" ").isalpha():  # one word: straight to the merges
-            ids = [x.id for x in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
+        young = self.young
+        out = young.pop(piece, None)
+        if out is not None:
+            self[piece] = out
+            return out
+        core = piece[1:] if piece[:1] == " " else piece
+        if core.isalpha():  # one word: straight to the merges
+            plain = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
+            out = array("I", [x.id for x in self.model.tokenize(plain if core is piece else self.letters[32] + plain)]).tobytes()
+        elif piece == "\n":
+            out = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        elif not core or core.split() != [core] or any(s in piece for s in self.special):
+            raise _Irregular
+        elif core[-1] in ".," and core[-2:-1].isalnum():  # the pattern always ends a token between the two
+            out = self[piece[:-1]] + self[piece[-1]]
         else:
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        out = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            out = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        if len(young) >= YOUNG:
+            young.clear()
+        young[piece] = out
         return out
 
 
@@ -258,138 +284,154 @@ def _tokenizer(path: str):
         t = Tokenizer.from_file(path)
         kind = json.loads(t.to_str())
         pre = kind["pre_tokenizer"] or {}
-        byte_level = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex") and not kind["normalizer"] and kind["model"]["type"] == "BPE"
         special = [x.content for x in t.get_added_tokens_decoder().values()]
-        _state[path] = (t, special, byte_level, _Pieces(t))
+        cut = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex") and not kind["normalizer"] and kind["model"]["type"] == "BPE"
+        cut = cut and sys.byteorder == "little" and all(len(s.split()) == 1 for s in special)
+        _state[path] = (t, _Pieces(t, special) if cut else None)
     return _state[path]
 
 
 def encode_texts(texts: list[str], path: str) -> list[bytes]:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
-    For a byte-level tokenizer the pieces between single blanks, and before a
-    full stop or comma after a letter or digit, are encoded once and remembered:
-    its pattern never lets a token reach over such a place.  Texts with other
-    white space, or with the text of an added token, are encoded as a whole.
+    For a byte-level tokenizer the pieces between single blanks and line breaks
+    are encoded once and remembered: its pattern never lets a token reach over
+    such a place.  Texts with other white space, or with the text of an added
+    token, are encoded as a whole.
     """
-    t, special, byte_level, pieces = _tokenizer(path)
-    if len(pieces) > PIECES:
-        pieces.clear()
+    t, pieces = _tokenizer(path)
     out: list[bytes] = [b""] * len(texts)
     whole: list[int] = []
-    get = pieces.__getitem__
-    for i, text in enumerate(texts):
-        simple = byte_level and text and "\0" not in text and text.count(" ") + text.count("\n") + 1 == len(text.split()) and not any(s in text for s in special)
-        if simple and text[0] not in ".," and not _CONTEXT.search(text):
-            marked = text.replace("\n", " \n").replace(" ", "\0 ").replace("\0 \n", "\0\n\0").replace(".", "\0.").replace(",", "\0,")
-            out[i] = b"".join(map(get, marked.split("\0")))
-        else:
-            whole.append(i)
+    if pieces is None:
+        whole = list(range(len(texts)))
+    else:
+        if len(pieces) > PIECES:
+            pieces.clear()
+        for i, text in enumerate(texts):
+            if "\0" in text:
+                whole.append(i)
+            elif text:
+                marked = text.replace("\n", " \n").replace(" ", "\0 ").replace("\0 \n", "\0\n\0")
+                try:
+                    out[i] = b"".join([pieces[p] for p in marked.split("\0")])
+                except _Irregular:
+                    whole.append(i)
     for i, e in zip(whole, t.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False), strict=True):
         out[i] = np.array(e.ids, "<u4").tobytes()
     return out
 
 
+def _encoded(rows: Iterator[pa.RecordBatch], tokenizer: str, end_id: int) -> Iterator[tuple[int | None, bytes]]:
+    """(doc_id, ids with the end id) of each document."""
+    end = np.array([end_id], "<u4").tobytes()
+    for b in rows:
+        texts, doc_ids = column(b, "text").to_pylist(), column(b, "doc_id").to_pylist()
+        for at in range(0, len(texts), 200):
+            ids = encode_texts([x or "" for x in texts[at : at + 200]], tokenizer)
+            for d, x in zip(doc_ids[at : at + 200], ids, strict=True):
+                yield d, x + end
+
+
+def _stored(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes]]:
+    for b in rows:
+        yield from zip(column(b, "doc_id").to_pylist(), column(b, "ids").to_pylist(), strict=True)
+
+
+def _two(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """``docs(doc_id, text)`` -> ``(doc_id, n_tokens, ids)``; ids are packed in 2 bytes each where all fit, else 4."""
+    """``docs(doc_id, text)`` -> ``(doc_id, n_tokens, ids)``, ids as little-endian unsigned 32-bit bytes with the end id."""
 
     def run(rows: Iterator[pa.RecordBatch]):
-        end = np.array([end_id], "<u4").tobytes()
         for b in rows:
-            texts = [x or "" for x in column(b, "text").to_pylist()]
-            ids, packed = [], []
-            for at in range(0, len(texts), 200):
-                ids += encode_texts(texts[at : at + 200], tokenizer)
-            counts = []
-            for x in ids:
-                v = np.frombuffer(x + end, "<u4")
-                counts.append(len(v))
-                packed.append(b"\2" + v.astype("<u2").tobytes() if v.max() < 65536 else b"\4" + v.tobytes())
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id").cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "n_tokens", "ids"])
-
-    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), run, "doc_id long, n_tokens long, ids binary")
-
+            got = list(_encoded(iter([b]), tokenizer, end_id))
+            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in got], pa.int64()), pa.array([len(x) // 4 for _, x in got], pa.int64()), pa.array([x for _, x in got], pa.binary())], ["doc_id", "n_tokens", "ids"])
 
-def _unpack(x: bytes) -> np.ndarray:
-    return np.frombuffer(x, "<u2" if x[0] == 2 else "<u4", offset=1)
+    return arrow_map(_two(docs), run, "doc_id long, n_tokens long, ids binary")
 
 
 def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{os.path.abspath(folder)}")
 
 
-def write_shards(tokens: DataFrame, folder: str, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """Writes ``tokens(doc_id, n_tokens, ids)``, which come in order, as ``*.wmx`` files; returns the manifest.
+def write_shards(rows: DataFrame, folder: str, shard_tokens: int = SHARD_TOKENS, encode=_stored) -> DataFrame:
+    """Writes rows ``(doc_id, ids)``, which come in order, as ``*.wmx`` files; returns the manifest.
 
+    ``encode`` turns the batches of ``rows`` into (doc_id, ids) in the same task.
     Tasks write their partitions; a file is moved to its place when complete,
     and a repeated task replaces it by the same bytes.  Manifest columns:
     part, seq, docs, n_tokens.
     """
     from pyspark import TaskContext
 
-    def run(rows: Iterator[pa.RecordBatch]):
+    def run(batches: Iterator[pa.RecordBatch]):
         part = TaskContext.get().partitionId()
         attempt = TaskContext.get().taskAttemptId()
         fs, root = _filesystem(folder)
         fs.create_dir(root, recursive=True)
         seq, offset = 0, 0
         docs: list[int | None] = []
-        parts: list[np.ndarray] = []
+        parts: list[bytes] = []
         held = 0
 
         def close():
-            starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-            ids = np.concatenate([p.astype(np.uint32) for p in parts])
+            starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) // 4)])
+            ids = np.frombuffer(b"".join(parts), "<u4")
             name = f"{root}/shard-{part:06d}-{seq:06d}"
             with fs.open_output_stream(f"{name}.{attempt}.part", compression=None) as f:
                 f.write(encode_shard(docs, starts, ids, part, offset))
             fs.move(f"{name}.{attempt}.part", f"{name}.wmx")
             return pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in (part, seq, len(docs), len(ids))], ["part", "seq", "docs", "n_tokens"])
 
-        for b in rows:
-            for d, x in zip(column(b, "doc_id").to_pylist(), column(b, "ids").to_pylist(), strict=True):
-                v = _unpack(x)
-                if held and held + len(v) > shard_tokens:
-                    yield close()
-                    offset, seq, docs, parts, held = offset + held, seq + 1, [], [], 0
-                docs.append(d)
-                parts.append(v)
-                held += len(v)
+        for d, x in encode(batches):
+            n = len(x) // 4
+            if held and held + n > shard_tokens:
+                yield close()
+                offset, seq, docs, parts, held = offset + held, seq + 1, [], [], 0
+            docs.append(d)
+            parts.append(x)
+            held += n
         if held:
             yield close()
 
-    return cut(arrow_map(tokens, run, "part long, seq long, docs long, n_tokens long"), "manifest")
+    return cut(arrow_map(rows, run, "part long, seq long, docs long, n_tokens long"), "manifest")
 
 
-def read_shards(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
-    """Reads the files back: ``(doc_id, start, n_tokens, ids)``, ids as little-endian unsigned 32-bit bytes."""
+def read_shards(spark: SparkSession, folder: str, manifest: DataFrame, checksum: bool = False) -> DataFrame:
+    """Reads the files back: ``(doc_id, start, n_tokens, ids)``, ids as little-endian unsigned 32-bit bytes.
+
+    ``checksum``: ``ids_crc32`` instead of ids, so that no ids leave the task.
+    """
+    last = "ids_crc32 long" if checksum else "ids binary"
     before, at = {}, 0
     for r in manifest.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect():  # one row for each task of the write
         before[r["part"]] = at
         at += r["n"]
     if not before:
-        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids binary")
+        return spark.createDataFrame([], f"doc_id long, start long, n_tokens long, {last}")
 
     def run(rows: Iterator[pa.RecordBatch]):
         for b in rows:
             for blob in column(b, "content").to_pylist():
                 s = Shard(blob)
-                ids = s.decode()
+                raw = memoryview(s.decode().astype("<u4")).cast("B")
                 base = before[s.head["part"]] + s.head["offset"]
-                for lo in range(0, len(s.doc_ids), 256):
-                    n = min(len(s.doc_ids), lo + 256)
-                    st = s.starts[lo : n + 1]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(s.doc_ids[lo:n], pa.int64()), pa.array(base + st[:-1], pa.int64()), pa.array(np.diff(st), pa.int64()), pa.array([ids[x:y].astype("<u4").tobytes() for x, y in zip(st[:-1], st[1:], strict=True)], pa.binary())],
-                        ["doc_id", "start", "n_tokens", "ids"],
-                    )
+                step = len(s.doc_ids) if checksum else 256
+                for lo in range(0, len(s.doc_ids), step):
+                    st = s.starts[lo : lo + step + 1]
+                    cuts = (4 * st).tolist()
+                    values = [raw[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+                    values = pa.array(map(zlib.crc32, values), pa.int64()) if checksum else pa.array([bytes(v) for v in values], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(s.doc_ids[lo : lo + step], pa.int64()), pa.array(base + st[:-1], pa.int64()), pa.array(np.diff(st), pa.int64()), values], ["doc_id", "start", "n_tokens", last.split()[0]])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wmx").load(folder).select("content")
-    return arrow_map(files, run, "doc_id long, start long, n_tokens long, ids binary")
+    return arrow_map(files, run, f"doc_id long, start long, n_tokens long, {last}")
 
 
-def token_output(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """Encodes, writes and reads back all documents.
+def token_output(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = END_ID, checksum: bool = False) -> DataFrame:
+    """Encodes, writes and reads back all documents; columns as ``read_shards`` says.
 
     Null texts are empty (their only id is the end id); null doc_ids come
     first; repeated doc_ids each keep a row, ordered by text; an empty
@@ -397,15 +439,10 @@ def token_output(docs: DataFrame, tokenizer: str, folder: str | None = None, end
     """
     spark = docs.sparkSession
     folder = folder or scratch(spark, "tokens")
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     by = F.col("doc_id").asc_nulls_first()
-    ordered = ordered.repartitionByRange(shuffle_parts(spark), by).sortWithinPartitions(by, "text")
-    return read_shards(spark, folder, write_shards(tokenize(ordered, tokenizer, end_id), folder))
-
-
-def digest(shards: DataFrame) -> DataFrame:
-    """``(doc_id, start, n_tokens, ids_crc32)`` of what was read back."""
-    return shards.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    ordered = _two(docs).repartitionByRange(shuffle_parts(spark), by).sortWithinPartitions(by, "text")
+    manifest = write_shards(ordered, folder, encode=lambda rows: _encoded(rows, tokenizer, end_id))
+    return read_shards(spark, folder, manifest, checksum)
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -415,7 +452,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(token_output(read(spark, sf_dir, "documents"), tokenizer_path()))
+    return token_output(read(spark, sf_dir, "documents"), tokenizer_path(), checksum=True)
 
 
 def crc_of(ids: np.ndarray) -> int:
