@@ -36,6 +36,6 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
-def small(df: DataFrame, rows: int = 2_000_000) -> DataFrame:
-    """A settled table, marked for broadcast if it has at most ``rows`` rows; larger ones are left to shuffle joins."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """A settled table, marked for broadcast if it has at most ``rows`` rows (a count from file footers); larger ones are left to shuffle joins."""
+    return F.broadcast(df) if df.count() <= rows else df

@@ -52,6 +52,17 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/v{version}")
 
 
+def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Deletes all but the latest ``keep`` versions; readers of an older one fail from then on."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path
+    fs = hpath(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    latest = current_version(spark, path)
+    for n in range((latest if latest is not None else -1) - max(1, keep) + 1):
+        fs.delete(hpath(f"{path}/_current_{n}"), False)
+        fs.delete(hpath(f"{path}/v{n}"), True)
+
+
 def loadable_edges(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     """``edges(src, dst, ...)`` with both ends in ``vertices(id)``, once each."""
     v = vertices.select("id").distinct()

@@ -148,6 +148,8 @@ def test_upsert_is_idempotent(spark, tmp_path):
         upsert.upsert_table(spark, path, b, ["k"])
         assert {tuple(r) for r in upsert.read_table(spark, path).collect()} == {("1", "a"), ("2", "c"), ("3", "d")}
     assert not upsert.repeated_keys(upsert.read_table(spark, path), ["k"]).collect()
+    upsert.expire_versions(spark, path, keep=1)
+    assert upsert.read_table(spark, path).count() == 3 and not (tmp_path / "cache" / "v0").exists()
 
 
 def test_edges_need_both_ends(spark):
