@@ -66,7 +66,7 @@ def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
 def loadable_edges(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     """``edges(src, dst, ...)`` with both ends in ``vertices(id)``, once each."""
     v = vertices.select("id").distinct()
-    return edges.join(v.withColumnRenamed("id", "src"), "src", "left_semi").join(v.withColumnRenamed("id", "dst"), "dst", "left_semi").distinct()
+    return edges.join(v.withColumnRenamed("id", "src"), "src", "left_semi").join(v.withColumnRenamed("id", "dst"), "dst", "left_semi").select(*edges.columns).distinct()
 
 
 def with_missing(vertices: DataFrame, ends: DataFrame, person_type) -> DataFrame:
