@@ -2,7 +2,8 @@
 
 File layout (little endian): the magic ``WMX1``, a 4-byte header length, a JSON
 header, then zstd frames: document ids, document starts, the shard's alphabet
-(its different ids, ascending; the matrix holds places in it), and for every bit
+(its different ids, ascending; the matrices hold places in it), and for every
+segment of the ids (so many that its matrix is built within a processor's cache) and bit
 level the packed plane followed by its rank directory (ones before every
 512-bit block).  Level 0 holds the most significant bit; each level is the
 stable partition of the one above by its bit, zeros first.
@@ -31,7 +32,9 @@ MAGIC = b"WMX1"
 BLOCK = 512
 END_ID = 2
 #: A shard is closed at this many ids; a longer document has a shard of its own.
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 21
+#: Ids of a segment.
+SEGMENT = 1 << 18
 
 
 class WaveletMatrix:
@@ -42,9 +45,9 @@ class WaveletMatrix:
         self.levels = len(planes)
 
     @classmethod
-    def build(cls, ids: np.ndarray) -> WaveletMatrix:
+    def build(cls, ids: np.ndarray, levels: int = 0) -> WaveletMatrix:
         n = len(ids)
-        levels = max(1, int(ids.max()).bit_length()) if n else 1
+        levels = levels or (max(1, int(ids.max()).bit_length()) if n else 1)
         cur = ids.astype(np.uint16 if levels <= 16 else np.uint32)
         planes, ranks, zeros = [], [], []
         for level in range(levels):
@@ -160,15 +163,17 @@ def encode_shard(doc_ids: list[int | None], starts: np.ndarray, ids: np.ndarray,
     alphabet = np.flatnonzero(seen)
     code = np.zeros(len(seen), np.uint32)
     code[alphabet] = np.arange(len(alphabet))
-    wm = WaveletMatrix.build(code[ids])
+    codes, levels = code[ids], max(1, (len(alphabet) - 1).bit_length())
+    segments = [WaveletMatrix.build(codes[i : i + SEGMENT], levels) for i in range(0, len(ids), SEGMENT)]
     z = zstandard.ZstdCompressor(level=1)
     known = np.array([d if d is not None else 0 for d in doc_ids], np.int64)
     null = np.array([d is None for d in doc_ids], bool)
     frames = [known.tobytes() + np.packbits(null).tobytes(), np.asarray(starts, np.int64).tobytes(), alphabet.astype("<u4").tobytes()]
-    for plane, rank in zip(wm.planes, wm.ranks, strict=True):
-        frames += [plane.tobytes(), rank.tobytes()]
+    for wm in segments:
+        for plane, rank in zip(wm.planes, wm.ranks, strict=True):
+            frames += [plane.tobytes(), rank.tobytes()]
     frames = [z.compress(f) for f in frames]
-    head = json.dumps({"n": wm.n, "docs": len(doc_ids), "levels": wm.levels, "zeros": wm.zeros, "frames": [len(f) for f in frames], "part": part, "offset": offset}).encode()
+    head = json.dumps({"n": len(ids), "docs": len(doc_ids), "levels": levels, "zeros": [wm.zeros for wm in segments], "frames": [len(f) for f in frames], "part": part, "offset": offset}).encode()
     return b"".join([MAGIC, struct.pack("<I", len(head)), head, *frames])
 
 
@@ -192,7 +197,8 @@ class Shard:
         self.alphabet = np.frombuffer(frames[2], "<u4")
         planes = [np.frombuffer(f, np.uint8) for f in frames[3::2]]
         ranks = [np.frombuffer(f, np.uint32) for f in frames[4::2]]
-        self.codes = WaveletMatrix(h["n"], planes, ranks, h["zeros"])
+        k, self.n = h["levels"], h["n"]
+        self.segments = [WaveletMatrix(min(SEGMENT, self.n - i * SEGMENT), planes[i * k : i * k + k], ranks[i * k : i * k + k], zeros) for i, zeros in enumerate(h["zeros"])]
 
     def _code(self, value: int) -> int:
         k = int(np.searchsorted(self.alphabet, value))
@@ -200,30 +206,44 @@ class Shard:
 
     def access(self, pos) -> np.ndarray:
         """The ids at the given positions of the shard."""
-        return self.alphabet[self.codes.access(pos)]
+        pos = np.atleast_1d(np.asarray(pos, np.int64))
+        out = np.zeros(len(pos), np.uint32)
+        for i, wm in enumerate(self.segments):
+            here = pos // SEGMENT == i
+            if here.any():
+                out[here] = self.alphabet[wm.access(pos[here] - i * SEGMENT)]
+        return out
 
     def rank(self, value: int, pos: int) -> int:
         """Occurrences of an id before a position."""
-        return self.codes.rank(self._code(value), pos)
+        code = self._code(value)
+        return sum(wm.rank(code, min(wm.n, pos - i * SEGMENT)) for i, wm in enumerate(self.segments) if pos > i * SEGMENT)
 
     def count(self, value: int) -> int:
-        return self.codes.count(self._code(value))
+        return self.rank(value, self.n)
 
     def select(self, value: int, k: int) -> int:
         """The position of the k-th (from 0) occurrence of an id, or -1."""
-        return self.codes.select(self._code(value), k)
+        code = self._code(value)
+        for i, wm in enumerate(self.segments):
+            n = wm.count(code)
+            if 0 <= k < n:
+                return i * SEGMENT + wm.select(code, k)
+            k -= n
+        return -1
 
     def occurrences(self, value: int) -> np.ndarray:
-        return self.codes.occurrences(self._code(value))
+        code = self._code(value)
+        return np.concatenate([np.zeros(0, np.int64), *(i * SEGMENT + wm.occurrences(code) for i, wm in enumerate(self.segments))])
 
     def decode(self) -> np.ndarray:
-        return self.alphabet[self.codes.decode()]
+        return np.concatenate([np.zeros(0, np.uint32), *(self.alphabet[wm.decode()] for wm in self.segments)])
 
 
 # --------------------------------------------------------------------------- tokenising
 
 #: Pieces one worker remembers: those met twice, and those met once lately.  Either starts anew when full.
-PIECES, YOUNG = 700_000, 300_000
+PIECES, YOUNG = 800_000, 500_000
 _state: dict[str, tuple] = {}
 
 

@@ -189,7 +189,9 @@ def test_components_of_a_long_chain_and_a_hub(spark):
 # ------------------------------------------------------------------ op3
 
 
-def test_wavelet_matrix():
+@pytest.mark.parametrize("segment", [1 << 18, 997])
+def test_wavelet_matrix(segment, monkeypatch):
+    monkeypatch.setattr(token_store, "SEGMENT", segment)
     rng = np.random.default_rng(0)
     for n, top in ((0, 1), (1, 1), (700, 2), (5000, 50257), (3000, 1)):
         ids = rng.integers(0, top, n).astype(np.uint32)
