@@ -98,13 +98,17 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[p
     return df.mapInArrow(_trimmed(fn), schema)
 
 
-def shuffle_parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def place(fs, source: str, target: str) -> None:
+    """Moves a finished file to its place; what an earlier attempt of the task left there is the same file."""
+    import pyarrow.fs as pafs
+
+    if fs.get_file_info(target).type != pafs.FileType.NotFound:
+        fs.delete_file(target)
+    fs.move(source, target)
 
 
-def batch(columns: dict[str, pa.Array | np.ndarray | list], types: dict[str, pa.DataType]) -> pa.RecordBatch:
-    arrays = [v if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, types[k]) for k, v in columns.items()]
-    return pa.RecordBatch.from_arrays([a.cast(types[k]) for k, a in zip(columns, arrays, strict=True)], list(columns))
+def shuffle_parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def column(rows: pa.RecordBatch, name: str) -> pa.Array:
@@ -147,20 +151,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class WordCache(dict):
-    """word -> value, bounded; a full cache starts anew, so memory does not grow with the corpus."""
-
-    def __init__(self, make: Callable[[bytes], object], limit: int = 300_000):
-        super().__init__()
-        self.make, self.limit = make, limit
-
-    def __missing__(self, word):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = self.make(word)
-        return value
-
-
 def held_out(doc_id: str = "doc_id"):
     """True if crc32 of the id as text is divisible by 5."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, column, cut, read, scratch, shuffle_parts
+from .common import arrow_map, column, cut, place, read, scratch, shuffle_parts
 
 MAGIC = b"WMX1"
 BLOCK = 512
@@ -402,7 +402,7 @@ def write_shards(rows: DataFrame, folder: str, shard_tokens: int = SHARD_TOKENS,
             name = f"{root}/shard-{part:06d}-{seq:06d}"
             with fs.open_output_stream(f"{name}.{attempt}.part", compression=None) as f:
                 f.write(encode_shard(docs, starts, ids, part, offset))
-            fs.move(f"{name}.{attempt}.part", f"{name}.wmx")
+            place(fs, f"{name}.{attempt}.part", f"{name}.wmx")
             return pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in (part, seq, len(docs), len(ids))], ["part", "seq", "docs", "n_tokens"])
 
         for d, x in encode(batches):
@@ -473,7 +473,3 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(read(spark, sf_dir, "documents"), tokenizer_path(), checksum=True)
-
-
-def crc_of(ids: np.ndarray) -> int:
-    return zlib.crc32(np.asarray(ids, "<u4").tobytes())

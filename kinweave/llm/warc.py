@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, column, read, scratch
+from .common import arrow_map, column, place, read, scratch
 
 #: Fixed value: the base32 alphabet.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -146,7 +146,7 @@ def export_files(records: DataFrame, folder: str) -> DataFrame:
                 for header, frame in zip(column(b, "header").to_pylist(), column(b, "frame").to_pylist(), strict=True):
                     f.write(gzip.compress(record_bytes(header, z.decompress(frame)), mtime=0))
                     n += 1
-        fs.move(f"{name}.{ctx.taskAttemptId()}.part", f"{name}.warc.gz")
+        place(fs, f"{name}.{ctx.taskAttemptId()}.part", f"{name}.warc.gz")
         yield pa.RecordBatch.from_arrays([pa.array([f"{name}.warc.gz"]), pa.array([n], pa.int64())], ["file", "records"])
 
     return arrow_map(records, run, "file string, records long")

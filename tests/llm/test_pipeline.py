@@ -1,11 +1,13 @@
 """The pipeline over the smallest folder: each stage's decisions on its own input."""
 
 import os
+import re
+from collections import Counter
 
 import pytest
 
 import corpus_pipeline
-from kinweave.llm import registry
+from kinweave.llm import mixing, registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,5 +31,44 @@ def test_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, SF).count() == sizes[-1]
 
 
+def _plain(text):
+    return " " + " ".join(re.sub(r"[.,]", " ", (text or "").lower()).split()) + " "
+
+
+def _shingles(text):
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+def test_decisions_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    # language: clean documents stay
+    kept = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, SF).collect()}
+    assert kept >= {i for i, t in text.items() if t and sum(map(str.isalpha, t)) > 20}
+    # near copies: close pairs never both stay, and what goes has a close partner
+    kept = {r["doc_id"] for r in corpus_pipeline.near_copy_stage(spark, docs, SF).collect()}
+    sh = {i: _shingles(t or "") for i, t in text.items()}
+    close = {(i, j): len(sh[i] & sh[j]) / len(sh[i] | sh[j]) for i in sh for j in sh if i < j}
+    assert not [p for p, v in close.items() if v >= 0.9 and p[0] in kept and p[1] in kept]
+    partner = {i for p, v in close.items() if v >= 0.5 for i in p}
+    assert set(text) - kept <= partner
+    # benchmark: exactly the documents that hold an item go
+    items = [_plain(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    hold = {i for i, t in text.items() if any(x in _plain(t) for x in items)}
+    assert {r["doc_id"] for r in corpus_pipeline.benchmark_stage(spark, docs, SF).collect()} == set(text) - hold
+    # mixing: each source's words come near its target
+    size = {i: len(re.findall("[^\x20\x09-\x0d]+", t or "")) for i, t in text.items()}
+    source = {r["doc_id"]: r["source"] for r in docs.collect()}
+    sums, got = Counter(), Counter()
+    for i, n in size.items():
+        sums[source[i]] += n
+    for r in corpus_pipeline.mixing_stage(spark, docs, SF).collect():
+        got[r["source"]] += size[r["doc_id"]]
+    longest = max(size.values())
+    assert all(abs(got[s] - t) <= 2 * longest for s, t in mixing.targets(dict(sums)).items())
+
+
 def test_every_operator_is_registered():
     assert [n.split("_")[0] for n in registry.QUERIES] == [f"op{k}" for k in range(1, 11)]
