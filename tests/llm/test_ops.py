@@ -179,6 +179,45 @@ def test_near_copies_keep_one(spark):
     assert kept == [*range(0, 90, 3), *range(90, 110)]
 
 
+def test_near_copies_are_decided_by_exact_similarity(spark):
+    rng = random.Random(80)
+    texts, alike = [], {}
+    for n, s in ((400, 356), (400, 350), (100, 89), (100, 88), (45, 40), (45, 39), (30, 27), (30, 26), (4, 4)):
+        for _ in range(40):  # pairs of n shingles that share s, on both sides of 0.8
+            t = [f"w{rng.randrange(10**9)}" for _ in range(n + 4)]
+            alike[len(texts) + 1] = s / (2 * n - s) >= 0.8
+            texts += [" ".join(t), " ".join(t[: s + 4] + [f"v{rng.randrange(10**9)}" for _ in range(n - s)])]
+    for _ in range(40):  # 4 of 5 shingles
+        t = [f"w{rng.randrange(10**9)}" for _ in range(9)]
+        alike[len(texts) + 1] = True
+        texts += [" ".join(t), " ".join(t[:8])]
+    kept = {r["doc_id"] for r in simhash.keep_one(docs(spark, texts)).collect()}
+    assert kept == {i for i in range(len(texts)) if not alike.get(i)}
+
+
+@pytest.mark.parametrize("group", [4096, 6])
+def test_chains_of_near_copies_equal_brute_force(spark, group):
+    rng = random.Random(81)
+    texts = []
+    for _ in range(6):
+        t = [f"w{rng.randrange(10**9)}" for _ in range(60)]
+        for _ in range(15):
+            texts.append(" ".join(t))
+            for _ in range(rng.randrange(1, 4)):
+                t[rng.randrange(len(t))] = f"v{rng.randrange(10**9)}"
+    texts += ["", None, texts[3]]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in ((t or "").split() for t in texts)]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    rows, label = simhash.near_copies(docs(spark, texts), group=group)
+    got = {r["doc_id"]: r["first"]["doc_id"] for r in rows.join(label, "sid").collect()}
+    assert [got[i] for i in range(len(texts))] == root
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, j) for j in range(200, 260)] + [(300, 300), (None, 3), (7, 200)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
