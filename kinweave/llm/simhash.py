@@ -459,13 +459,15 @@ def repeats(rows: DataFrame) -> bool:
 def keep_one(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, lanes: int = LANES) -> DataFrame:
     """One document of each group of near copies, with its columns as they are: the one with the smallest doc_id.
 
-    Rows that share that doc_id are one document, of which any row stays.
+    Of texts that share that doc_id, the one with the smallest hash; a null
+    doc_id comes last.  Rows with one doc_id and one text are one document, of which any row stays.
     """
-    _, label = near_copies(docs, size, similarity, lanes)
-    stay = cut(label.select(F.col("first.doc_id").alias("_id")).distinct(), "stay")
-    kept = docs.join(stay.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(stay["_id"])).drop("_id")
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    rows, label = near_copies(docs, size, similarity, lanes)
+    stay = cut(label.select(F.col("first.doc_id").alias("_id"), F.col("first.th").alias("_th")).distinct(), "stay")
+    kept = docs.join(stay.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(stay["_id"]) & (F.xxhash64(docs["text"]) == stay["_th"]))
+    if repeats(rows):
+        kept = kept.dropDuplicates(["_id", "_th"])
+    return kept.drop("_id", "_th")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

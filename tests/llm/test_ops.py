@@ -218,6 +218,15 @@ def test_chains_of_near_copies_equal_brute_force(spark, group):
     assert [got[i] for i in range(len(texts))] == root
 
 
+def test_documents_that_share_an_id_stay_unless_near_copies(spark):
+    rng = random.Random(82)
+    texts = [prose(rng, 60, 10**6) for _ in range(12)]
+    texts += [texts[0], texts[1], texts[6]]
+    ids = [None] * 4 + [5] * 4 + [6, 7, 8, 9] + [None, 3, 5]
+    kept = Counter((r["doc_id"], r["text"]) for r in simhash.keep_one(docs(spark, texts, ids=ids)).collect())
+    assert kept == Counter((ids[i], texts[i]) for i in [0, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 13])
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, j) for j in range(200, 260)] + [(300, 300), (None, 3), (7, 200)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
