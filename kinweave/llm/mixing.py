@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,13 +38,14 @@ def targets(sizes: dict[str | None, int], weights=(1, 2, 3), epochs: int = EPOCH
         full |= over
 
 
-def schedule(spark: SparkSession, goal: dict[str | None, float], slots: int) -> DataFrame:
+def schedule(spark: SparkSession, goal: dict[str | None, float], slots: int, block_words: int = 1) -> DataFrame:
     """``(slot, s, block)``: the source number of each slot and the rank of the slot within it.
 
     Slot i holds the golden-ratio point frac(i * phi), kept as a 32-bit fixed
     point so that every engine agrees, and goes to the source whose share of
     the cumulative weights holds that point.  Ranks come from two levels: slots
-    counted by chunk and source, then numbered inside a chunk.
+    counted by chunk and source, then numbered inside a chunk.  A source with
+    fewer slots than its target has begun blocks gets the rest behind the last slot.
     """
     total = sum(goal.values())
     edges, acc = [], 0.0
@@ -59,7 +62,11 @@ def schedule(spark: SparkSession, goal: dict[str | None, float], slots: int) ->
     counts = s.groupBy("s", "chunk").agg(F.count("*").alias("n"))
     before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("s").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     numbered = s.withColumn("r", F.row_number().over(Window.partitionBy("s", "chunk").orderBy("slot")) - 1)
-    return numbered.join(before, ["s", "chunk"]).select("slot", "s", (F.col("r") + F.col("before")).alias("block"))
+    ranked = numbered.join(before, ["s", "chunk"]).select("slot", "s", (F.col("r") + F.col("before")).alias("block"))
+    need = spark.createDataFrame([(i, -(-math.floor(t + 0.5) // block_words)) for i, t in enumerate(goal.values())], "s int, need long")
+    lack = need.join(counts.groupBy("s").agg(F.sum("n").alias("have")), "s", "left").select("s", "need", F.coalesce("have", F.lit(0)).alias("have")).where("need > have")
+    lack = lack.select("s", "have", F.explode(F.expr("sequence(have, need - 1)")).alias("block"))
+    return ranked.unionByName(lack.select((F.lit(slots) + (F.col("block") - F.col("have")) * len(goal) + F.col("s")).alias("slot"), "s", "block"))
 
 
 def stream(sized: DataFrame, seed: int = 1) -> DataFrame:
@@ -84,12 +91,15 @@ def pieces(placed: DataFrame, blocks: DataFrame, block_words: int, epochs: int =
 
     A source's stream is its documents, up to ``epochs`` times over, cut into
     blocks of equal tokens; blocks meet the slots of the same rank by an equi-join.
+    The stream ends at the source's target, so the last block may be cut short.
     """
+    goal = F.floor(F.col("target") + 0.5)
     d = placed.where("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))).withColumn("a", F.col("at") + F.col("epoch") * F.col("source_size"))
-    first, last = F.floor(F.col("a") / block_words), F.floor((F.col("a") + F.col("size") - 1) / block_words)
+    d = d.withColumn("z", F.least(F.col("a") + F.col("size"), goal)).where("a < z")
+    first, last = F.floor(F.col("a") / block_words), F.floor((F.col("z") - 1) / block_words)
     d = d.withColumn("block", F.explode(F.sequence(first, last)))
     lo = F.greatest(F.col("a"), F.col("block") * block_words)
-    hi = F.least(F.col("a") + F.col("size"), (F.col("block") + 1) * block_words)
+    hi = F.least(F.col("z"), (F.col("block") + 1) * block_words)
     return d.join(blocks, ["s", "block"]).select("slot", "s", "doc_id", "th", "at", "epoch", (lo - F.col("a")).alias("from_word"), (hi - lo).alias("n"))
 
 
@@ -112,7 +122,7 @@ def mix(docs: DataFrame, slots: int = SLOTS, epochs: int = EPOCHS, weights=(1, 2
     table = table.withColumnRenamed("source", "name")
     sized = sized.join(table, sized["source"].eqNullSafe(table["name"])).drop("name")
     placed = cut(stream(sized), "placed")
-    blocks = schedule(spark, goal, -(-total // block_words))
+    blocks = schedule(spark, goal, -(-total // block_words), block_words)
     return placed, pieces(placed, blocks, block_words, epochs)
 
 

@@ -400,6 +400,21 @@ def test_mix_meets_its_targets(spark):
     assert sorted((r["doc_id"], r["taken"]) for r in rows) == sorted((r["doc_id"], r["taken"]) for r in again)
 
 
+@pytest.mark.parametrize("slots", [1 << 18, 1000, 16, 1])
+def test_sources_below_a_block_meet_their_targets(spark, slots):
+    rng = random.Random(60)
+    texts, sources = [], []
+    for s, n in (("a", 3), ("b", 400), ("c", 2), ("d", 1), (None, 30)):
+        for _ in range(n):
+            texts.append(prose(rng, rng.randrange(20, 60)))
+            sources.append(s)
+    rows = mixing.taken(*mixing.mix(docs(spark, texts, sources), slots)).collect()
+    got, goal = Counter(), {r["source"]: r["target"] for r in rows}
+    for r in rows:
+        got[r["source"]] += r["taken"]
+    assert all(abs(got[s] - t) <= 1 for s, t in goal.items()), (got, goal)
+
+
 def test_mix_of_nothing(spark):
     for texts in ([], ["", None]):
         placed, parts = mixing.mix(docs(spark, texts, ["s"] * len(texts)))
