@@ -7,6 +7,7 @@ Edges are ``child_of(child, parent)`` and ``spouse_of(a, b)``; persons are
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,15 +43,15 @@ def inlaws(child_of: DataFrame, spouse_of: DataFrame) -> DataFrame:
     return s.join(up, "b").select(F.col("a").alias("id"), "inlaw").distinct().join(own, ["id", "inlaw"], "left_anti")
 
 
-def closure(start: DataFrame, child_of: DataFrame, depth: int, up: bool = True) -> DataFrame:
-    """``start(id)`` -> ``(id, rel, d)``: all within ``depth`` steps up (or down), itself at 0, at the least distance.
+def closure(start: DataFrame, child_of: DataFrame, depth: int | None, up: bool = True) -> DataFrame:
+    """``start(id)`` -> ``(id, rel, d)``: all within ``depth`` steps up (or down), or all without one, itself at 0, at the least distance.
 
     One join a level; a pair that was reached before is dropped, so diamonds do not multiply.
     """
     step = child_of.select(F.col("child" if up else "parent").alias("rel"), F.col("parent" if up else "child").alias("to")).distinct()
     front = start.select("id").distinct().select("id", F.col("id").alias("rel"), F.lit(0).alias("d"))
     reached = front
-    for d in range(1, depth + 1):
+    for d in count(1) if depth is None else range(1, depth + 1):
         front = front.select("id", "rel").join(step, "rel").select("id", F.col("to").alias("rel")).distinct().join(reached.select("id", "rel"), ["id", "rel"], "left_anti")
         front = settle(front.withColumn("d", F.lit(d)), "closure")
         if not front.limit(1).count():
@@ -59,10 +60,11 @@ def closure(start: DataFrame, child_of: DataFrame, depth: int, up: bool = True)
     return reached
 
 
-def common_ancestors(pairs: DataFrame, child_of: DataFrame, persons: DataFrame, limit: int | None = 5, depth: int = 10) -> DataFrame:
+def common_ancestors(pairs: DataFrame, child_of: DataFrame, persons: DataFrame, limit: int | None = 5, depth: int | None = 10) -> DataFrame:
     """``pairs(a, b)`` -> ``(a, b, ancestor_id, full_name, da, db, total_depth, rank)``, nearest first, at most ``limit`` for each pair.
 
     A person is its own ancestor at distance 0, so a = b gives itself first.
+    Without a ``depth`` ancestors of all generations count.
     """
     if limit is not None and not 1 <= limit <= 20:
         raise ValueError("limit must be from 1 to 20")

@@ -254,8 +254,8 @@ FUNCTIONS = {
     "tree_resident_edges": lambda r: graph.resident_tree(r.residents.select(F.col("entity_person_id").alias("id")), r.names, r.sponsored_by)[1],
     "tree_unified": lambda r: graph.unified_tree(r.egos.unionByName(r.residents.select(F.col("entity_person_id").alias("id"))), graph.citizen_tree_nodes(r.egos, r.people, r.child_of, r.spouse_of), graph.resident_tree(r.residents.select(F.col("entity_person_id").alias("id")), r.names, r.sponsored_by)[0]),
     "sponsored_family": lambda r: graph.sponsored_family(r.sponsored_by, r.residents.select(F.col("entity_person_id").alias("id")), r.sponsored_by.select(F.col("parent").alias("id"))),
-    "lca_pairs": lambda r: graph.common_ancestors(r.pairs, r.child_of, r.people, limit=None).drop("rank"),
-    "lca_topk": lambda r: graph.common_ancestors(r.pairs, r.child_of, r.people, limit=1),
+    "lca_pairs": lambda r: graph.common_ancestors(r.pairs, r.child_of, r.people, limit=None, depth=None).drop("rank"),
+    "lca_topk": lambda r: graph.common_ancestors(r.pairs, r.child_of, r.people, limit=1, depth=None),
     "relationships_of": lambda r: graph.relationships(graph.induced_edges(settle(r.tiers, "tiers"), r.child_of, r.spouse_of)),
     "layout_five_tier": _layout,
     "layout_bounds": lambda r: _round(layout.bounding_box(_layout(r))),

@@ -101,6 +101,20 @@ def test_common_ancestors(spark):
     assert not any(k[:2] == ("gf", "wf") for k in got)
 
 
+def test_common_ancestor_queries_have_no_bound_of_depth(spark):
+    from types import SimpleNamespace
+
+    from kinweave.plans import queries
+
+    up = [(f"a{i}", f"a{i + 1}") for i in range(12)] + [(f"b{i}", f"b{i + 1}") for i in range(13)] + [("a12", "top"), ("b13", "top"), ("top", "over"), ("over", "top")]
+    c = spark.createDataFrame(up, "child string, parent string")
+    people = c.select(F.col("child").alias("id"), F.col("child").alias("label")).distinct()
+    r = SimpleNamespace(pairs=spark.createDataFrame([("a0", "b0")], "a string, b string"), child_of=c, people=people)
+    rows = queries.FUNCTIONS["lca_pairs"](r).collect()
+    assert sorted((x["ancestor_id"], x["da"], x["db"]) for x in rows) == [("over", 14, 15), ("top", 13, 14)]
+    assert [x["ancestor_id"] for x in queries.FUNCTIONS["lca_topk"](r).collect()] == ["top"]
+
+
 def test_five_tiers_and_layout(spark):
     persons, _, _ = family(spark)
     s = spark.createDataFrame(SPOUSES, "a string, b string")
