@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, column, mix64, read
 
-#: Words of a template window; shorter items of at least SHORTEST words are windows of their own length.
+#: Words of a template window; shorter items are windows of their own length, below SHORTEST words by their surface alone.
 WINDOW, SHORTEST = 8, 4
-#: Ordinary words that a window needs: one of placeholders alone says nothing.
+#: Ordinary words that a template window needs: one of placeholders alone says nothing, and goes by its surface.
 LITERALS = 3
-#: Share of an item's words that consistent windows must cover.
-COVERAGE = 0.5
+#: Share of an item's words that consistent windows must cover, or words in a row of them (all, if the item is shorter).
+COVERAGE, RUN = 0.5, 13
 #: Benchmark windows up to which their hashes go to all tasks (8 bytes each); above, all windows are shuffled.
 BROADCAST_WINDOWS = 2_000_000
 
@@ -55,14 +55,20 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Words:
-    """The words of a run of texts: their text, place in it, bytes, and two readings as (template hashes, slot kinds)."""
+    """The words of a run of texts: their text, place in it, bytes, and the readings.
+
+    A reading is (hashes, slot kinds, words one of which a window must hold, or
+    None).  The last is of surfaces and serves the windows that ``plain``, the
+    kinds of the reading without names, leaves too few ordinary words.
+    """
 
     text: np.ndarray
     place: np.ndarray
     data: bytes
     start: np.ndarray
     end: np.ndarray
-    readings: list[tuple[np.ndarray, np.ndarray]]
+    readings: list[tuple[np.ndarray, np.ndarray, np.ndarray | None]]
+    plain: np.ndarray
 
     def surface(self, i: int) -> str:
         return self.data[self.start[i] : self.end[i]].decode("utf-8", "replace")
@@ -93,6 +99,7 @@ def _lower(text: str, raw: bytes) -> bytes:
 
 def canonical(texts: list[str]) -> Words:
     """Words of all texts: runs of other than white space and marks; a stop or comma between digits belongs to the number.
+    Each character of Chinese or Japanese is a word.
 
     The first reading takes words with one capital, their first letter, inside
     sentences for names; the second takes no word for a name, so it does not
@@ -110,8 +117,14 @@ def canonical(texts: list[str]) -> Words:
     if len(o) > 2:
         inner[1:-1] = digit[:-2] & digit[2:] & ((o[1:-1] == 46) | (o[1:-1] == 44))
     word = (kind & (_SPACE | _MARK) == 0) | inner
-    edge = np.diff(np.concatenate([[0], word.view(np.int8), [0]]))
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    wide = np.flatnonzero((o >= 0xE3) & (o <= 0xE9))
+    seam = np.zeros(len(o) + 1, bool)
+    if len(wide):
+        stop = wide[(o[wide] == 0xE3) & (o[wide + 1] == 0x80) & (o[wide + 2] <= 0x82)]  # ideographic blank, comma, stop
+        word[(stop[:, None] + np.arange(3)).ravel()] = False
+        seam[wide] = seam[wide + 3] = True
+    around = np.concatenate([[False], word, [False]])
+    start, end = np.flatnonzero(word & (~around[:-2] | seam[:-1])), np.flatnonzero(word & (~around[2:] | seam[1:])) + 1
     count = lambda mask: np.concatenate([[0], np.cumsum(mask, dtype=np.int32)])
     changed, digits, stops = count(o != low), count(digit), count((kind & _END > 0) & ~inner)
     bounds = np.cumsum([0] + [len(r) + 1 for r in raw])
@@ -121,14 +134,20 @@ def canonical(texts: list[str]) -> Words:
     h = _word_hashes(low, start, end)
     second = np.minimum(start + _WIDTH[o[start]], end) if len(start) else start
     capital = changed[second] - changed[start]
-    name = (capital > 0) & (changed[end] == changed[second]) & (second < end) & ~first
+    name = (capital > 0) & (changed[end] == changed[second]) & (second < end)
     unit = _UNIT_HASHES[np.minimum(np.searchsorted(_UNIT_HASHES, h), len(_UNIT_HASHES) - 1)] == h
     plain = np.where(digits[end] > digits[start], NUMBER, np.where(unit, UNIT, LITERAL)).astype(np.int8)
-    named = np.where((plain == LITERAL) & name, NAME, plain)
+    named = np.where((plain == LITERAL) & name & ~first, NAME, plain)
+    surface = h ^ np.uint64(0xA0761D6478BD642F)
     for k in (NUMBER, UNIT):
         h[plain == k] = _TEMPLATE[k]
     first_word = np.searchsorted(text, np.arange(len(texts)))
-    return Words(text, np.arange(len(start)) - first_word[text] if len(start) else start, data, start, end, [(np.where(named == NAME, _TEMPLATE[NAME], h), named), (h ^ np.uint64(0x5851F42D4C957F2D), plain)])
+    readings = [
+        (np.where(named == NAME, _TEMPLATE[NAME], h), named, None),
+        (h ^ np.uint64(0x5851F42D4C957F2D), plain, None),
+        (surface, np.zeros_like(plain), None),
+    ]
+    return Words(text, np.arange(len(start)) - first_word[text] if len(start) else start, data, start, end, readings, plain)
 
 
 def _pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
@@ -185,7 +204,11 @@ def windows(rows: DataFrame, sizes: list[int], wanted: np.ndarray | None, least:
             for own, texts in _pieces([t or "" for t in column(b, "text").to_pylist()]):
                 w = canonical(texts)
                 n = np.bincount(w.text, minlength=len(texts))
-                for (h, kinds), size in product(w.readings, range(least, full + 1) if least else sizes):
+                ordinary = np.concatenate([[0], np.cumsum(w.plain == LITERAL)])
+                for (number, (h, kinds, asked)), size in product(enumerate(w.readings), range(least, full + 1) if least else sizes):
+                    by_surface = number == len(w.readings) - 1
+                    if size < SHORTEST and not by_surface:
+                        continue
                     wh = window_hashes(h, size)
                     if not len(wh):
                         continue
@@ -202,8 +225,14 @@ def windows(rows: DataFrame, sizes: list[int], wanted: np.ndarray | None, least:
                         at = np.flatnonzero(use)
                     if not len(at):
                         continue
-                    literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
-                    at = at[literal[at + size] - literal[at] >= min(LITERALS, size - 1)]
+                    if by_surface:
+                        at = at[(ordinary[at + size] - ordinary[at] < min(LITERALS, size - 1)) | (size < SHORTEST)]
+                    else:
+                        literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
+                        at = at[literal[at + size] - literal[at] >= min(LITERALS, size - 1)]
+                    if asked is not None:
+                        held = np.concatenate([[0], np.cumsum(asked)])
+                        at = at[held[at + size] > held[at]]
                     for p in at.tolist():
                         i = own[w.text[p]]
                         out.append((ids[i], ths[i], int(w.place[p]), size, int(wh[p].astype(np.int64)), _slots(w, kinds, p, size), int(n[w.text[p]])))
@@ -213,8 +242,8 @@ def windows(rows: DataFrame, sizes: list[int], wanted: np.ndarray | None, least:
     return arrow_map(rows, run, "id long, th long, p int, size int, h long, slots array<string>, n int")
 
 
-def judge_pair(hits: list[tuple[int, int, list[str], list[str]]], n: int) -> tuple[float, int, int, int]:
-    """(share of item words covered, windows used, first document word, slots that were renamed).
+def judge_pair(hits: list[tuple[int, int, list[str], list[str]]], n: int) -> tuple[float, int, int, int, int]:
+    """(share of item words covered, windows used, first document word, slots that were renamed, most words in a row on a diagonal).
 
     ``hits``: (document word, item word, document slots, item slots).  On each
     diagonal the slots must map one to one; windows against the mapping of the
@@ -222,13 +251,14 @@ def judge_pair(hits: list[tuple[int, int, list[str], list[str]]], n: int) -> tup
     """
     covered: set[int] = set()
     renamed: set[str] = set()
-    used, first = 0, -1
+    used, first, longest = 0, -1, 0
     by: dict[int, list] = {}
     for x in sorted(set((p, q, tuple(a), tuple(b)) for p, q, a, b in hits)):
         by.setdefault(x[0] - x[1], []).append(x)
     for diagonal in by.values():
         to: dict[str, str] = {}
         back: dict[str, str] = {}
+        begin = until = -1
         for p, q, doc, item in diagonal:
             pairs = [(i, d) for d, i in zip(doc, item, strict=True) if d or i]
             if any(to.get(i, d) != d or back.get(d, i) != i for i, d in pairs) or len(set(pairs)) != len({i for i, _ in pairs}) or len(set(pairs)) != len({d for _, d in pairs}):
@@ -237,9 +267,13 @@ def judge_pair(hits: list[tuple[int, int, list[str], list[str]]], n: int) -> tup
             back.update((d, i) for i, d in pairs)
             renamed.update(i for i, d in pairs if i != d)
             covered.update(range(q, q + len(doc)))
+            if q > until:
+                begin = q
+            until = max(until, q + len(doc))
+            longest = max(longest, until - begin)
             used += 1
             first = p if first < 0 else min(first, p)
-    return len(covered) / n if n else 0.0, used, first, len(renamed)
+    return len(covered) / n if n else 0.0, used, first, len(renamed), longest
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -248,23 +282,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     ``th`` is a hash of the text and tells rows apart that share a doc_id.
     Numbers, units and capitalised words inside sentences are placeholders, so
     a question with other names and figures is found, if the replacements are
-    consistent; a second reading without names finds it in other case.  Null and empty texts match nothing; items of fewer than
-    SHORTEST words, or without enough ordinary words, cannot match; repeated
+    consistent; a second reading without names finds it in other case.  A pair counts from half of the item or RUN words in a row.  Null and empty texts match nothing; items of fewer than
+    SHORTEST words, and windows without enough ordinary words, match by their very words; repeated
     items and documents each give their pairs once for each text; empty tables
     give no rows.
     """
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
     b = benchmark.select(F.col("item_id").cast("long").alias("id"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
-    item = windows(b, [WINDOW], None, least=SHORTEST).distinct()
+    item = windows(b, [WINDOW], None, least=1).distinct()
     known = item.select("h", "size").distinct()
-    wanted, sizes = None, list(range(SHORTEST, WINDOW + 1))
+    wanted, sizes = None, sorted(r["size"] for r in known.select("size").distinct().collect())
     if known.count() <= BROADCAST_WINDOWS:
         rows = known.collect()  # bounded by BROADCAST_WINDOWS
         if not rows:
             return spark.createDataFrame([], "doc_id long, th long, item_id long, coverage double, windows int, first_word int, renamed int")
         wanted = np.unique(np.array([r["h"] for r in rows], np.int64).astype(np.uint64))
-        sizes = sorted({r["size"] for r in rows})
     found = windows(d, sizes, wanted).alias("d").join(item.alias("i"), (F.col("d.h") == F.col("i.h")) & (F.col("d.size") == F.col("i.size")))
     pairs = found.groupBy(F.col("d.id").alias("doc_id"), F.col("d.th").alias("th"), F.col("i.id").alias("item_id"), F.col("i.th").alias("ith"), F.col("i.n").alias("n")).agg(
         F.collect_set(F.struct(F.col("d.p").alias("p"), F.col("i.p").alias("q"), F.col("d.slots").alias("a"), F.col("i.slots").alias("b"))).alias("hits")
@@ -274,8 +307,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
         for b in batches:
             out = []
             for i, th, item_id, n, hits in zip(*(column(b, c).to_pylist() for c in ("doc_id", "th", "item_id", "n", "hits")), strict=True):
-                share, used, first, renamed = judge_pair([(x["p"], x["q"], x["a"], x["b"]) for x in hits], n)
-                if share >= coverage:
+                share, used, first, renamed, run_words = judge_pair([(x["p"], x["q"], x["a"], x["b"]) for x in hits], n)
+                if share >= coverage or run_words >= min(RUN, n):
                     out.append((i, th, item_id, share, used, first, renamed))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], ["doc_id", "th", "item_id", "coverage", "windows", "first_word", "renamed"])

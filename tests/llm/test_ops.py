@@ -332,6 +332,21 @@ def test_contaminated_documents(spark):
     assert decontaminate.contaminated(docs(spark, []), bench).collect() == []
 
 
+def _found(spark, items, texts):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs(spark, texts), bench).collect()}
+
+
+def test_passages_and_items_without_templates_are_found(spark):
+    rng = random.Random(41)
+    item = prose(rng, 59).replace("x", "").replace("w", "word")
+    item = " ".join("".join(chr(97 + int(c)) if c.isdigit() else c for c in w) for w in item.split())
+    w, pad = item.split(), " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit"]) for _ in range(40))
+    items = [item, "12 + 34 = 46 and 7", "3 5 8 13 21 34 55 89 144", "forty two", "日本の首都はどこですか", "5 km 7 kg 9 cm"]
+    texts = [f"{pad} {' '.join(w[20:33])} {pad}", f"{pad} {' '.join(w[20:32])} {pad}", *(f"{pad} {t} {pad}" for t in items[1:4]), f"質問。{items[4]}。答え", f"{pad} {items[5]} {pad}", f"{pad} 3 5 8 13 21 35 56 91 147 {pad}", pad]
+    assert _found(spark, items, texts) == {(0, 0), (2, 1), (3, 2), (4, 3), (5, 4), (6, 5)}
+
+
 def test_slots_must_map_one_to_one():
     ok = [(0, 0, ["7", ""], ["3", ""]), (1, 1, ["", "9"], ["", "4"])]
     assert decontaminate.judge_pair(ok, 3)[0] == 1.0
