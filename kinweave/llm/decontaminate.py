@@ -103,7 +103,8 @@ def canonical(texts: list[str]) -> Words:
 
     The first reading takes words with one capital, their first letter, inside
     sentences for names; the second takes no word for a name, so it does not
-    depend on case and punctuation.  Numbers and units are placeholders in both.
+    depend on case and punctuation; the third takes such words that begin a
+    sentence for names too.  Numbers and units are placeholders in these.
     """
     for a, b in (("\u201c", '"'), ("\u201d", '"'), ("\u2018", "'"), ("\u2019", "'")):
         texts = [t.replace(a, b) for t in texts]
@@ -138,6 +139,7 @@ def canonical(texts: list[str]) -> Words:
     unit = _UNIT_HASHES[np.minimum(np.searchsorted(_UNIT_HASHES, h), len(_UNIT_HASHES) - 1)] == h
     plain = np.where(digits[end] > digits[start], NUMBER, np.where(unit, UNIT, LITERAL)).astype(np.int8)
     named = np.where((plain == LITERAL) & name & ~first, NAME, plain)
+    every = np.where((plain == LITERAL) & name, NAME, plain)
     surface = h ^ np.uint64(0xA0761D6478BD642F)
     for k in (NUMBER, UNIT):
         h[plain == k] = _TEMPLATE[k]
@@ -145,6 +147,7 @@ def canonical(texts: list[str]) -> Words:
     readings = [
         (np.where(named == NAME, _TEMPLATE[NAME], h), named, None),
         (h ^ np.uint64(0x5851F42D4C957F2D), plain, None),
+        (np.where(every == NAME, _TEMPLATE[NAME], h), every, every != named),
         (surface, np.zeros_like(plain), None),
     ]
     return Words(text, np.arange(len(start)) - first_word[text] if len(start) else start, data, start, end, readings, plain)
@@ -282,7 +285,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     ``th`` is a hash of the text and tells rows apart that share a doc_id.
     Numbers, units and capitalised words inside sentences are placeholders, so
     a question with other names and figures is found, if the replacements are
-    consistent; a second reading without names finds it in other case.  A pair counts from half of the item or RUN words in a row.  Null and empty texts match nothing; items of fewer than
+    consistent; a second reading without names finds it in other case, a third also takes names that begin
+    sentences.  A pair counts from half of the item or RUN words in a row.  Null and empty texts match nothing; items of fewer than
     SHORTEST words, and windows without enough ordinary words, match by their very words; repeated
     items and documents each give their pairs once for each text; empty tables
     give no rows.

@@ -347,6 +347,13 @@ def test_passages_and_items_without_templates_are_found(spark):
     assert _found(spark, items, texts) == {(0, 0), (2, 1), (3, 2), (4, 3), (5, 4), (6, 5)}
 
 
+def test_renamed_persons_that_begin_sentences_are_found(spark):
+    pad = prose(random.Random(42), 30)
+    items = ["Tom has 3 apples. Tom buys 4 more. Tom gives 2 away. How many are left?", "Berta runs 5 km. Then Berta walks home slowly."]
+    texts = [f"{pad}. Anna has 7 apples. Anna buys 9 more. Anna gives 5 away. How many are left? {pad}", f"{pad}. Carl runs 8 km. Then Carl walks home slowly. {pad}", pad]
+    assert _found(spark, items, texts) == {(0, 0), (1, 1)}
+
+
 def test_slots_must_map_one_to_one():
     ok = [(0, 0, ["7", ""], ["3", ""]), (1, 1, ["", "9"], ["", "4"])]
     assert decontaminate.judge_pair(ok, 3)[0] == 1.0
