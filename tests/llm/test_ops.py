@@ -46,8 +46,8 @@ def brute_dedup(texts, k):
     return out
 
 
-@pytest.mark.parametrize("length,group", [(400, 20000), (40, 20000), (40, 3), (5, 2), (1, 50)])
-def test_dedup_equals_brute_force(spark, length, group):
+@pytest.mark.parametrize("length,group,split", [(400, 20000, 2048), (400, 20, 2), (40, 3, 3), (1, 50, 4)])
+def test_dedup_equals_brute_force(spark, length, group, split):
     rng = random.Random(length * 100 + group)
     base = [prose(rng, 200) for _ in range(6)]
     texts = list(base) + AWKWARD
@@ -58,7 +58,7 @@ def test_dedup_equals_brute_force(spark, length, group):
     texts += [base[0], base[0][:700] + "!" + base[0][701:], "ab" * 600, "a" * 450]
     if length < 40:
         texts = texts[:10] + texts[-8:]
-    got = {r["doc_id"]: r for r in substring_dedup.dedup_substrings(docs(spark, texts), length, group).collect()}
+    got = {r["doc_id"]: r for r in substring_dedup.dedup_substrings(docs(spark, texts), length, group, split=split).collect()}
     for i, want in enumerate(brute_dedup(texts, length)):
         r = got[i]
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want, i
@@ -73,10 +73,69 @@ def test_dedup_of_repeated_rows_and_null_ids(spark):
     assert substring_dedup.dedup_substrings(docs(spark, [])).collect() == []
 
 
+def test_dedup_splits_a_bucket_that_all_rows_share(spark):
+    rng = random.Random(8)
+    core, texts = prose(rng, 20), []
+    for i in range(40):  # one anchor; contexts differ at either end, in groups
+        texts.append(f"{i % 5:03d} head {'h' * (i % 7)}" + core + f"{'t' * (i % 6)} tail {i % 4:03d}")
+    for split in (2048, 2):
+        got = {r["doc_id"]: r for r in substring_dedup.dedup_substrings(docs(spark, texts), 100, 10, split=split, least=60).collect()}
+        for i, want in enumerate(brute_dedup(texts, 100)):
+            assert (got[i]["n_bytes"], got[i]["n_removed"], got[i]["n_spans"], got[i]["kept_sha256"]) == want, (split, i)
+
+
+def brute_passages(texts, least):
+    raw = [(t or "").encode() for t in texts]
+    seen = Counter(t[i : i + least] for t in raw for i in range(len(t) - least + 1))
+    out = []
+    for t in raw:
+        runs = []
+        for i in range(len(t) - least + 1):
+            if seen[t[i : i + least]] > 1:
+                if runs and i <= runs[-1][1]:
+                    runs[-1][1] = i + least
+                else:
+                    runs.append([i, i + least])
+        ends = {0, len(t)} | {i for i in range(1, len(t)) if t[i - 1 : i].isspace() != t[i : i + 1].isspace()}
+        n = 0
+        for a, b in runs:
+            inner = [e for e in sorted(ends) if a <= e <= b]
+            n += sum(not t[x:y].isspace() for x, y in zip(inner, inner[1:])) > 50
+        out.append(n)
+    return out
+
+
+def test_passages_below_the_length_are_reported_and_stay(spark):
+    rng = random.Random(4)
+    shared = prose(rng, 52)
+    assert 256 < len(shared) < 400
+    texts = [prose(rng, 90) + " " + shared + " " + prose(rng, 90), prose(rng, 5) + " " + shared, prose(rng, 300), " ".join(shared.split()[:48]), None, ""]
+    rows = sorted(substring_dedup.dedup_substrings(docs(spark, texts)).collect(), key=lambda r: r["doc_id"])
+    assert [r["passages"] for r in rows] == [1, 1, 0, 0, 0, 0] == brute_passages(texts, 256)
+    assert all(r["n_removed"] == 0 for r in rows)
+
+
 def test_refine_finds_repeated_intervals():
-    plan = substring_dedup.Plan(8)
-    far, near = substring_dedup.refine([b"xxabcdefgh", b"yyabcdefgh", b"zzzbcdefghq"], np.array([2, 2, 2]), plan)
+    plan = substring_dedup.Plan(8, 8)
+    far, near, long_far, long_near = substring_dedup.refine([b"xxabcdefgh", b"yyabcdefgh", b"zzzbcdefgh"], np.array([2, 2, 2]), plan)
     assert far.tolist()[:2] == [0, 0] and near.tolist()[:2] == [0, 0]
+    assert long_far.tolist() == far.tolist() and long_near.tolist() == near.tolist()
+
+
+@pytest.mark.parametrize("shards", [1, 2, 5])
+def test_merged_bwts_equal_sorted_suffixes(shards):
+    rng = random.Random(shards)
+    rows = [bytes(rng.choice(b"ab") for _ in range(12)) for _ in range(30)]
+    table = substring_dedup.align(rows, np.full(30, 4), 4, 12)
+    owner = np.array([rng.randrange(shards) for _ in rows])
+    parts = [np.flatnonzero(owner == k) for k in range(shards)]
+    numbers = np.concatenate(parts)
+    for j, merged, prefix in substring_dedup.merge_bwts([substring_dedup.shard_bwt(np.ascontiguousarray(table[:, x])) for x in parts if len(x)], 6):
+        suffixes = [rows[numbers[i]][j:] for i in merged]
+        assert suffixes == sorted(suffixes)
+        for i in range(1, 30):
+            a, b = suffixes[i - 1], suffixes[i]
+            assert prefix[i] == min(6, next((k for k in range(len(a)) if a[k] != b[k]), len(a)))
 
 
 # ------------------------------------------------------------------ op2
