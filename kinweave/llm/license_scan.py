@@ -34,6 +34,40 @@ TEMPLATES = (
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    # whole licence texts
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction "
+        "including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so "
+        "subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software "
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement "
+        "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with "
+        "the software or the use or other dealings in the software",
+    ),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies "
+        "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness "
+        "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits "
+        "whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    ),
+    (
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution "
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    ),
+    (
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software "
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely",
+    ),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software "
+        "either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+    ),
 )
 
 #: Shortest match of the chain, in words; longest gap between chained matches; share of a template that labels a text.
@@ -115,67 +149,80 @@ class Scanner:
         self.coded = [[self.ids[w] for w in t] for _, t in self.templates]
         self.base = [([self.ids[w] for w in p], label) for p, label in self.phrases]
         self.automaton = SuffixAutomaton([*self.coded, *(p for p, _ in self.base)])
+        #: base phrases that end where a state's strings end, with their sizes
+        self.ending = [[(t - len(self.coded), e + 1) for t, e in ends if t >= len(self.coded) and e + 1 == len(self.base[t - len(self.coded)][0]) <= size] for ends, size in zip(self.automaton.ends, self.automaton.length, strict=True)]
+        for s in sorted(range(1, len(self.ending)), key=lambda s: self.automaton.length[s]):
+            self.ending[s] = sorted({*self.ending[s], *self.ending[self.automaton.link[s]]})
 
     def scan(self, text: bytes) -> tuple:
         """n_words, n_base, first, last, base labels, all labels, score, spans (label, first word, words)."""
         w = words(text)
         get = self.ids.get
         codes = np.array([get(x, 0) for x in w], np.int32)
-        starts, base = [], set()
-        if len(codes):
-            for p, label in self.base:
-                if len(codes) < len(p):
-                    continue
-                hit = codes[: len(codes) - len(p) + 1] == p[0]
-                for k in range(1, len(p)):
-                    hit = hit & (codes[k : len(codes) - len(p) + 1 + k] == p[k])
-                at = np.flatnonzero(hit)
-                if len(at):
-                    starts.append(at)
-                    base.add(label)
-        spans = self.spans(codes)
+        starts, found = self._read(codes)
+        base = {self.base[p][1] for p, _ in starts}
+        spans = self._chains(found)
         labels = base | {label for label, _, _, _ in spans}
         score = max([1.0 if base else 0.0, *(c for _, _, _, c in spans)])
-        at = np.concatenate(starts) if starts else None
-        return len(w), 0 if at is None else len(at), None if at is None else int(at.min()), None if at is None else int(at.max()), ",".join(sorted(base)), ",".join(sorted(labels)), float(score), [(label, a, n) for label, a, n, _ in spans]
+        at = [a for _, a in starts]
+        return len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), float(score), [(label, a, n) for label, a, n, _ in spans]
 
-    def spans(self, codes: np.ndarray) -> list[tuple[str, int, int, float]]:
-        """Chains of matches that cover enough of a template: (label, first word, words, share covered)."""
+    def _read(self, codes: np.ndarray) -> tuple[list[tuple[int, int]], list[dict[int, list[tuple[int, int, int]]]]]:
+        """One pass of the automaton over the runs of known words: (phrase, first word) of base places, and each run's
+        right-maximal matches (first word, first word in the template, words) by template."""
         known = np.flatnonzero(codes)
-        if len(known) < MIN_MATCH:
-            return []
-        cuts = np.flatnonzero(np.diff(known) > MAX_GAP + 1) + 1
-        found = []
-        for run in np.split(known, cuts):  # words outside all templates end every match
-            if len(run) < MIN_MATCH:
+        if not len(known):
+            return [], []
+        base, found = [], []
+        shortest = min(len(p) for p, _ in self.base) if self.base else MIN_MATCH
+        for run in np.split(known, np.flatnonzero(np.diff(known) > MAX_GAP + 1) + 1):  # words outside all templates end every match
+            if len(run) < min(MIN_MATCH, shortest):
                 continue
             lo, hi = int(run[0]), int(run[-1]) + 1
             matches: dict[int, list[tuple[int, int, int]]] = {}
             stats = [*self.automaton.statistics(codes[lo:hi].tolist()), (0, 0)]
             for i, ((state, n), (_, following)) in enumerate(zip(stats, stats[1:], strict=False)):
+                for p, size in self.ending[state]:
+                    if size <= n:
+                        base.append((p, lo + i - size + 1))
                 if n >= MIN_MATCH and following <= n:  # right-maximal
                     for t, end in self.automaton.ends[state]:
                         if t < len(self.templates):
                             matches.setdefault(t, []).append((lo + i - n + 1, end - n + 1, n))
-            for t, ms in matches.items():
-                found += self._chain(t, ms)
-        return found
+            if matches:
+                found.append(matches)
+        return base, found
+
+    def spans(self, codes: np.ndarray) -> list[tuple[str, int, int, float]]:
+        """Chains of matches that cover enough of a template: (label, first word, words, share covered)."""
+        return self._chains(self._read(codes)[1])
+
+    def _chains(self, found: list[dict[int, list[tuple[int, int, int]]]]) -> list[tuple[str, int, int, float]]:
+        return [span for matches in found for t, ms in matches.items() for span in self._chain(t, ms)]
 
     def _chain(self, t: int, ms: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
-        """Colinear chaining, left to right: each match continues the best chain that ends shortly before it."""
+        """Colinear chaining, left to right: each match continues the best chain that ends shortly before it.
+
+        A match is no longer than the template, so only matches that begin within
+        its length and the gap before this one can be continued; none of these is left out.
+        """
         ms.sort()
-        best: list[tuple[int, int]] = []  # words covered, first match of the chain
+        reach = len(self.templates[t][1]) + MAX_GAP
+        best: list[tuple[int, int, int]] = []  # words covered, first match of the chain (negated for ties, then itself)
+        low = 0
         for i, (a, u, n) in enumerate(ms):
-            top = (n, i)
-            for j in range(max(0, i - 20), i):
+            while ms[low][0] + reach < a:
+                low += 1
+            top = (n, -i, i)
+            for j in range(low, i):
                 b, v, m = ms[j]
                 gap, skip = a - (b + m), u - (v + m)
                 over = max(0, -gap, -skip)
                 if b < a and v < u and gap <= MAX_GAP and over < n:
-                    top = max(top, (best[j][0] + n - over, best[j][1]))
+                    top = max(top, (best[j][0] + n - over, -best[j][2], best[j][2]))
             best.append(top)
         chains: dict[int, tuple[int, int]] = {}
-        for i, (cover, first) in enumerate(best):
+        for i, (cover, _, first) in enumerate(best):
             chains[first] = max(chains.get(first, (0, 0)), (cover, i))
         label, size = self.templates[t][0], len(self.templates[t][1])
         out = []
@@ -192,8 +239,11 @@ SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word lon
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``, over whole texts.
 
-    Null and empty texts have no word, no label and score 0; repeated rows are
-    each scanned; empty tables give no rows; other columns are ignored.
+    Base phrases and template matches both come from one pass of the automaton.
+    Null and empty texts have no word, no label and score 0; long texts are
+    scanned whole; of chains that cover the same, that with the earlier first
+    match counts; repeated rows are each scanned; empty tables give no rows;
+    other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -210,4 +260,5 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES) -> Data
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``scan_licenses`` over all documents; nulls, repeats and empty tables as there."""
     return scan_licenses(read(spark, sf_dir, "documents")).drop("spans")

@@ -548,15 +548,136 @@ def test_language_of_held_out_documents(spark):
     held = [i for i in range(450) if zlib.crc32(str(i).encode()) % 5 == 0]
     assert np.mean([rows[i]["lang_pred"] == langs[i] for i in held]) > 0.97
     assert [rows[450 + k]["lang_pred"] == "und" for k in range(6)] == [True, True, True, True, False, False]
-    kept = language_id.keep_identified(df, language_id.train(df))
-    assert {r["doc_id"] for r in kept.collect()} >= set(range(450)) and kept.columns == df.columns
+    model = language_id.train(df)
+    kept = language_id.keep_identified(df, model)
+    assert len({r["doc_id"] for r in kept.collect()} & set(range(450))) >= 448 and kept.columns == df.columns
     nobody = docs(spark, ["abc"])
     assert [r["lang_pred"] for r in language_id.identify(nobody, language_id.train(nobody)).collect()] == ["und"]
 
 
+STEMS = {"en": ["the", "thing", "ought", "shed"], "de": ["und", "schon", "über", "nicht"], "fr": ["été", "vous", "eaux", "quelle"], "es": ["año", "los", "muy", "calle"]}
+
+
+def invented(rng, lang, n=30):
+    return " ".join(rng.choice(STEMS[lang]) + rng.choice(STEMS[lang]) for _ in range(n))
+
+
+@pytest.mark.parametrize("rows", [120, 1400])
+def test_language_rejection_is_calibrated(rows):
+    rng = random.Random(rows)
+    langs = [["en", "de", "fr", "es"][i % 4] for i in range(rows)]
+    model = language_id.fit([invented(rng, x) for x in langs], langs)
+    own = [invented(rng, x) for x in langs[:200]]
+    foreign = [" ".join(rng.choice(["kyz", "wojn", "szcz", "przy", "łódź"]) + rng.choice(["ąk", "owy", "gzy"]) for _ in range(30)) for _ in range(50)]
+    no = model.rejects(model.raw(own + foreign), own + foreign)
+    assert no[: len(own)].mean() <= 0.01 and no[len(own) :].mean() >= 0.9
+    assert set(model.rates) == {"learned", "foreign", "shuffled"} and model.rates["learned"] <= 0.01
+
+
+def test_language_scores_equal_a_plain_version_and_do_not_depend_on_the_batch(monkeypatch):
+    rng = random.Random(3)
+    langs = [["en", "de", "fr"][i % 3] for i in range(60)]
+    model = language_id.fit([invented(rng, x) for x in langs], langs)
+    texts = [invented(rng, "de"), "", "A", "é!x", "a" * 500, " 12 ", "The  thing"]
+    together = model.probabilities(texts)
+
+    def plain(text):
+        words = "".join(c if ord(c) >= 128 or c.isalpha() else " " for c in text.lower()).split()
+        z, n = np.zeros(3), 0
+        for w in words:
+            w = f" {w} "
+            for k in range(1, 5):
+                for i in range(len(w) - k + 1):
+                    g = w[i : i + k]
+                    if g == " ":
+                        continue
+                    h = 0
+                    for c in g:
+                        h = ((h ^ ord(c)) * 0x9E3779B1) % 2**32
+                        h ^= h >> 15
+                    z, n = z + model.logits[(h * 0x85EBCA6B) % 2**32 >> 17], n + 1
+        z = (z / max(n, 1) + model.bias) / model.temperature
+        return np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+
+    for t, p in zip(texts, together):
+        assert np.allclose(p, plain(t), atol=1e-4) and np.allclose(model.probabilities([t])[0], p, atol=1e-5)
+    monkeypatch.setattr(language_id, "PIECE", 64)
+    assert np.allclose(model.probabilities(texts)[0], together[0], atol=1e-2)
+
+
 # ------------------------------------------------------------------ op8
 
 
+def brute_spans(scanner, codes):
+    """All chains of right-maximal matches, by trying every earlier match."""
+    out = []
+    for t, seq in enumerate(scanner.coded):
+        ms = []
+        for a in range(len(codes)):
+            for u in range(len(seq)):
+                n = 0
+                while a + n < len(codes) and u + n < len(seq) and codes[a + n] == seq[u + n]:
+                    n += 1
+                ms.append((a, u, n))
+        # longest match that ends at each place, and only those that no longer match of any template continues
+        longest = [0] * (len(codes) + 1)
+        for other in scanner.coded + [p for p, _ in scanner.base]:
+            for e in range(1, len(codes) + 1):
+                for v in range(1, len(other) + 1):
+                    n = 0
+                    while n < min(e, v) and codes[e - 1 - n] == other[v - 1 - n]:
+                        n += 1
+                    longest[e] = max(longest[e], n)
+        good = []
+        for e in range(1, len(codes) + 1):
+            n = longest[e]
+            if n >= license_scan.MIN_MATCH and (e == len(codes) or longest[e + 1] <= n):
+                good += [(e - n, v - n, n) for v in range(n, len(seq) + 1) if codes[e - n : e] == seq[v - n : v]]
+        good.sort()
+        best = []
+        for i, (a, u, n) in enumerate(good):
+            top = (n, -i, i)
+            for j in range(i):
+                b, v, m = good[j]
+                gap, skip = a - (b + m), u - (v + m)
+                over = max(0, -gap, -skip)
+                if b < a and v < u and gap <= license_scan.MAX_GAP and over < n:
+                    top = max(top, (best[j][0] + n - over, -best[j][2], best[j][2]))
+            best.append(top)
+        ends = {}
+        for i, (cover, _, first) in enumerate(best):
+            if first not in ends or (cover, i) > ends[first]:
+                ends[first] = (cover, i)
+        for first, (cover, i) in ends.items():
+            if cover >= license_scan.MIN_COVER * len(seq):
+                out.append((scanner.templates[t][0], good[first][0], good[i][0] + good[i][2] - good[first][0], min(1.0, cover / len(seq))))
+    return sorted(out)
+
+
+def test_license_spans_equal_brute_force():
+    rng = random.Random(88)
+    templates = [("x", "a b c d e f g h i j k l"), ("y", "c d e a b c q r s t"), ("z", "a b c a b c a b c d")]
+    scanner = license_scan.Scanner(templates, {"a b": "ab"})
+    for _ in range(60):
+        words = []
+        for _ in range(rng.randrange(1, 9)):
+            t = rng.choice(templates)[1].split()
+            i = rng.randrange(len(t))
+            words += t[i : i + rng.randrange(1, 12)] + ["zz"] * rng.randrange(0, 3)
+        codes = [scanner.ids.get(w.encode(), 0) for w in words]
+        assert sorted(scanner.spans(np.array(codes, np.int32))) == brute_spans(scanner, codes), words
+
+
+def test_a_chain_looks_back_past_many_fragments():
+    # the second half of the notice comes after far more than twenty matches of its own repeated words
+    notice = [f"n{i}" for i in range(30)]
+    repeated = ["a", "b", "c"] * 15
+    scanner = license_scan.Scanner([("x", " ".join(notice[:15] + repeated + notice[15:]))], {"a b": "ab"})
+    codes = [scanner.ids[w.encode()] for w in notice[:15] + ["a", "b", "c"] * 14 + notice[15:]]
+    (span,) = [s for s in scanner.spans(np.array(codes, np.int32)) if s[1] == 0]
+    assert span[3] > 0.9 and span[2] == len(codes)
+
+
 def test_license_phrases_equal_brute_force(spark):
     import re
 
