@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, column, mix64, read
+from .common import arrow_map, column, cut, mix64, read
 
 #: Words of a template window; shorter items are windows of their own length, below SHORTEST words by their surface alone.
 WINDOW, SHORTEST = 8, 4
@@ -19,13 +19,18 @@ WINDOW, SHORTEST = 8, 4
 LITERALS = 3
 #: Share of an item's words that consistent windows must cover, or words in a row of them (all, if the item is shorter).
 COVERAGE, RUN = 0.5, 13
-#: Benchmark windows up to which their hashes go to all tasks (8 bytes each); above, all windows are shuffled.
-BROADCAST_WINDOWS = 2_000_000
+#: Bits (as powers of two) of the table that says which window hashes the benchmark may have: 64 a window within these bounds.
+#: It only spares the shuffle of other windows; the join decides.
+FILTER_BITS = (16, 26)
 
 #: Units of measure and money that become a placeholder.
 UNITS = frozenset(
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ton tons pound pounds ounce ounces ml l litre litres liter liters "
-    "second seconds minute minutes hour hours day days week weeks month months year years dollar dollars euro euros cent cents percent degree degrees mph kmh km/h".split()
+    "second seconds minute minutes hour hours day days week weeks month months year years dollar dollars euro euros cent cents percent degree degrees mph kmh km/h "
+    # German, French and Spanish
+    "sekunde sekunden minuten stunde stunden tag tage tagen woche wochen monat monate monaten jahr jahre jahren gramm kilogramm kilometer zentimeter prozent grad pfund "
+    "seconde secondes heure heures jour jours semaine semaines mois an ans mètre mètres kilomètre kilomètres gramme grammes degrés centime centimes "
+    "segundo segundos minuto minutos hora horas día días semana semanas mes meses año años metro metros kilómetro kilómetros gramo gramos grado grados céntimo céntimos".split()
 )
 LITERAL, NUMBER, UNIT, NAME = 0, 1, 2, 3
 #: Characters of texts that are read at once.  A longer text is read alone, as a whole.
@@ -189,8 +194,20 @@ def _slots(words: Words, kinds: np.ndarray, p: int, size: int) -> list[str]:
     return [words.surface(p + k) if kinds[p + k] else "" for k in range(size)]
 
 
-def windows(rows: DataFrame, sizes: list[int], wanted: np.ndarray | None, least: int = 0) -> DataFrame:
-    """``rows(id, th, text)`` -> ``(id, th, p, size, h, slots, n)``; only windows whose hash is ``wanted``, if given.
+def hash_filter(windows: DataFrame) -> tuple[int, np.ndarray]:
+    """(leading bits of a hash that count, packed table of those that occur) for ``windows(h)``, of bounded size whatever their number."""
+    n = windows.count()
+    bits = min(FILTER_BITS[1], max(FILTER_BITS[0], (64 * n).bit_length()))
+    at = F.shiftrightunsigned("h", 64 - bits)
+    bit = F.expr("shiftleft(1L, cast(pmod(at, 32) as int))")
+    rows = windows.select(at.alias("at")).groupBy(F.shiftright("at", 5).alias("w")).agg(F.bit_or(bit).alias("b")).collect()  # bounded by FILTER_BITS
+    table = np.zeros(1 << bits - 5, np.uint32)
+    table[[r["w"] for r in rows]] = [r["b"] for r in rows]
+    return bits, table
+
+
+def windows(rows: DataFrame, sizes: list[int], wanted: tuple[int, np.ndarray] | None, least: int = 0) -> DataFrame:
+    """``rows(id, th, text)`` -> ``(id, th, p, size, h, slots, n)``; only windows that the filter ``wanted`` lets pass, if given.
 
     ``least`` > 0: texts below the longest window give one window of their whole length, from ``least`` words on.
     """
@@ -198,9 +215,8 @@ def windows(rows: DataFrame, sizes: list[int], wanted: np.ndarray | None, least:
 
     def run(batches: Iterator[pa.RecordBatch]):
         if wanted is not None:  # a bit table says no to nearly all windows at once
-            shift = np.uint64(64 - min(24, max(16, len(wanted).bit_length() + 6)))
-            bits = np.zeros(1 << 64 - int(shift), bool)
-            bits[wanted >> shift] = True
+            shift = np.uint64(64 - wanted[0])
+            table = np.unpackbits(wanted[1].view(np.uint8), bitorder="little").view(bool)
         for b in batches:
             out: list[tuple] = []
             ids, ths = column(b, "id").to_pylist(), column(b, "th").to_pylist()
@@ -220,10 +236,7 @@ def windows(rows: DataFrame, sizes: list[int], wanted: np.ndarray | None, least:
                         whole = n[w.text[: len(wh)]]
                         use &= (whole == size) if size < full else (whole >= size)
                     if wanted is not None:
-                        at = np.flatnonzero(bits[wh >> shift] & use)
-                        if len(at):
-                            near = np.searchsorted(wanted, wh[at])
-                            at = at[wanted[np.minimum(near, len(wanted) - 1)] == wh[at]]
+                        at = np.flatnonzero(table[wh >> shift] & use)
                     else:
                         at = np.flatnonzero(use)
                     if not len(at):
@@ -245,38 +258,59 @@ def windows(rows: DataFrame, sizes: list[int], wanted: np.ndarray | None, least:
     return arrow_map(rows, run, "id long, th long, p int, size int, h long, slots array<string>, n int")
 
 
-def judge_pair(hits: list[tuple[int, int, list[str], list[str]]], n: int) -> tuple[float, int, int, int, int]:
-    """(share of item words covered, windows used, first document word, slots that were renamed, most words in a row on a diagonal).
+@dataclass
+class Diagonal:
+    """What consistent windows on one diagonal of a document and an item show."""
+
+    covered: set[int]
+    used: int
+    first: int
+    renamed: set[str]
+    longest: int
+
+
+def judge_diagonal(hits: list[tuple[int, int, list[str], list[str]]]) -> Diagonal:
+    """``hits``: (document word, item word, document slots, item slots), all with the same difference of words.
 
-    ``hits``: (document word, item word, document slots, item slots).  On each
-    diagonal the slots must map one to one; windows against the mapping of the
-    diagonal's earlier windows do not count.
+    The slots of the windows that count must map one to one.  Where windows
+    contradict each other, each of them is tried as the one to believe, the
+    rest joins it by the number of windows that hold the same replacements, and
+    the set that covers most is taken: a wrong slot costs its own windows, not
+    those of a consistent rest.
     """
-    covered: set[int] = set()
-    renamed: set[str] = set()
-    used, first, longest = 0, -1, 0
-    by: dict[int, list] = {}
-    for x in sorted(set((p, q, tuple(a), tuple(b)) for p, q, a, b in hits)):
-        by.setdefault(x[0] - x[1], []).append(x)
-    for diagonal in by.values():
+    rows = sorted({(p, q, tuple(a), tuple(b)) for p, q, a, b in hits})
+    pairs = [frozenset((i, d) for d, i in zip(doc, item, strict=True) if d or i) for _, _, doc, item in rows]
+    sound = [k for k, x in enumerate(pairs) if len(x) == len({i for i, _ in x}) == len({d for _, d in x})]
+
+    def gather(order: list[int]) -> list[int]:
         to: dict[str, str] = {}
         back: dict[str, str] = {}
-        begin = until = -1
-        for p, q, doc, item in diagonal:
-            pairs = [(i, d) for d, i in zip(doc, item, strict=True) if d or i]
-            if any(to.get(i, d) != d or back.get(d, i) != i for i, d in pairs) or len(set(pairs)) != len({i for i, _ in pairs}) or len(set(pairs)) != len({d for _, d in pairs}):
+        taken = []
+        for k in order:
+            if any(to.get(i, d) != d or back.get(d, i) != i for i, d in pairs[k]):
                 continue
-            to.update(pairs)
-            back.update((d, i) for i, d in pairs)
-            renamed.update(i for i, d in pairs if i != d)
-            covered.update(range(q, q + len(doc)))
-            if q > until:
-                begin = q
-            until = max(until, q + len(doc))
-            longest = max(longest, until - begin)
-            used += 1
-            first = p if first < 0 else min(first, p)
-    return len(covered) / n if n else 0.0, used, first, len(renamed), longest
+            to.update(pairs[k])
+            back.update((d, i) for i, d in pairs[k])
+            taken.append(k)
+        return sorted(taken)
+
+    cover = lambda taken: set().union(*(range(rows[k][1], rows[k][1] + len(rows[k][2])) for k in taken))
+    best = gather(sound)
+    if len(best) < len(sound):
+        votes: dict[tuple[str, str], int] = {}
+        for k in sound:
+            for x in pairs[k]:
+                votes[x] = votes.get(x, 0) + 1
+        order = sorted(sound, key=lambda k: (-sum(votes[x] for x in pairs[k]), k))
+        seeds = {pairs[k]: k for k in reversed(sound)}  # windows with the same replacements lead to the same set
+        best = max([best, *(gather([seed, *order]) for seed in seeds.values())], key=lambda taken: (len(cover(taken)), [-k for k in taken]))
+        best = sorted(set(best))
+    longest, begin, until = 0, -1, -1
+    for q, size in ((rows[k][1], len(rows[k][2])) for k in best):
+        begin = q if q > until else begin
+        until = max(until, q + size)
+        longest = max(longest, until - begin)
+    return Diagonal(cover(best), len(best), min((rows[k][0] for k in best), default=-1), {i for k in best for i, d in pairs[k] if i != d}, longest)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -286,46 +320,49 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     Numbers, units and capitalised words inside sentences are placeholders, so
     a question with other names and figures is found, if the replacements are
     consistent; a second reading without names finds it in other case, a third also takes names that begin
-    sentences.  A pair counts from half of the item or RUN words in a row.  Null and empty texts match nothing; items of fewer than
-    SHORTEST words, and windows without enough ordinary words, match by their very words; repeated
-    items and documents each give their pairs once for each text; empty tables
-    give no rows.
+    sentences.  A pair counts from half of the item or RUN words in a row on one diagonal.  Null and empty texts match nothing; items of fewer than
+    SHORTEST words, and windows without enough ordinary words, match by their very words; long texts are read whole; repeated
+    items and documents each give their pairs once for each text, null ids included; empty tables
+    give no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
     b = benchmark.select(F.col("item_id").cast("long").alias("id"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
-    item = windows(b, [WINDOW], None, least=1).distinct()
+    item = cut(windows(b, [WINDOW], None, least=1).distinct(), "items")
     known = item.select("h", "size").distinct()
-    wanted, sizes = None, sorted(r["size"] for r in known.select("size").distinct().collect())
-    if known.count() <= BROADCAST_WINDOWS:
-        rows = known.collect()  # bounded by BROADCAST_WINDOWS
-        if not rows:
-            return spark.createDataFrame([], "doc_id long, th long, item_id long, coverage double, windows int, first_word int, renamed int")
-        wanted = np.unique(np.array([r["h"] for r in rows], np.int64).astype(np.uint64))
-    found = windows(d, sizes, wanted).alias("d").join(item.alias("i"), (F.col("d.h") == F.col("i.h")) & (F.col("d.size") == F.col("i.size")))
-    pairs = found.groupBy(F.col("d.id").alias("doc_id"), F.col("d.th").alias("th"), F.col("i.id").alias("item_id"), F.col("i.th").alias("ith"), F.col("i.n").alias("n")).agg(
+    sizes = sorted(r["size"] for r in known.select("size").distinct().collect())
+    found = windows(d, sizes or [WINDOW], hash_filter(known)).alias("d").join(item.alias("i"), (F.col("d.h") == F.col("i.h")) & (F.col("d.size") == F.col("i.size")))
+    # a diagonal has at most the item's windows, however long the document is
+    diagonal = (F.col("d.p") - F.col("i.p")).alias("diagonal")
+    lines = found.groupBy(F.col("d.id").alias("doc_id"), F.col("d.th").alias("th"), F.col("i.id").alias("item_id"), F.col("i.th").alias("ith"), F.col("i.n").alias("n"), diagonal).agg(
         F.collect_set(F.struct(F.col("d.p").alias("p"), F.col("i.p").alias("q"), F.col("d.slots").alias("a"), F.col("i.slots").alias("b"))).alias("hits")
     )
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
-            out = []
-            for i, th, item_id, n, hits in zip(*(column(b, c).to_pylist() for c in ("doc_id", "th", "item_id", "n", "hits")), strict=True):
-                share, used, first, renamed, run_words = judge_pair([(x["p"], x["q"], x["a"], x["b"]) for x in hits], n)
-                if share >= coverage or run_words >= min(RUN, n):
-                    out.append((i, th, item_id, share, used, first, renamed))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], ["doc_id", "th", "item_id", "coverage", "windows", "first_word", "renamed"])
-
-    return arrow_map(pairs, run, "doc_id long, th long, item_id long, coverage double, windows int, first_word int, renamed int")
+            keys = [column(b, c) for c in ("doc_id", "th", "item_id", "ith", "n")]
+            got = [judge_diagonal([(x["p"], x["q"], x["a"], x["b"]) for x in hits]) for hits in column(b, "hits").to_pylist()]
+            cols = [pa.array([sorted(g.covered) for g in got], pa.list_(pa.int32())), pa.array([sorted(g.renamed) for g in got], pa.list_(pa.string()))]
+            cols += [pa.array([getattr(g, c) for g in got], pa.int32()) for c in ("used", "first", "longest")]
+            yield pa.RecordBatch.from_arrays(keys + cols, ["doc_id", "th", "item_id", "ith", "n", "covered", "renamed", "used", "first", "longest"])
+
+    key = ["doc_id", "th", "item_id", "ith", "n"]
+    schema = "doc_id long, th long, item_id long, ith long, n int, covered array<int>, renamed array<string>, used int, first int, longest int"
+    judged = cut(arrow_map(lines, run, schema).where("used > 0"), "diagonals")
+    shown = F.explode(F.concat(F.transform("covered", lambda x: F.struct(x.alias("word"), F.lit(None).cast("string").alias("name"))), F.transform("renamed", lambda x: F.struct(F.lit(None).cast("int").alias("word"), x.alias("name"))))).alias("x")
+    counts = judged.select(*key, shown).select(*key, "x.*").distinct().groupBy(*key).agg(F.count("word").alias("words"), F.count("name").cast("int").alias("renamed"))
+    sums = judged.groupBy(*key).agg(F.sum("used").cast("int").alias("windows"), F.min("first").alias("first_word"), F.max("longest").alias("longest"))
+    a, c = sums.alias("a"), counts.alias("c")
+    pairs = a.join(c, [F.col(f"a.{k}").eqNullSafe(F.col(f"c.{k}")) for k in key]).select("a.*", "c.words", "c.renamed").withColumn("coverage", F.col("words") / F.col("n"))
+    return pairs.where((F.col("coverage") >= coverage) | (F.col("longest") >= F.least(F.lit(RUN), F.col("n")))).select("doc_id", "th", "item_id", "coverage", "windows", "first_word", "renamed")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item, with their columns as they are."""
+    """The documents that hold no benchmark item, with their columns as they are; null and empty texts stay, repeated rows go or stay together."""
     bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("_bad_id"), F.col("th").alias("_bad_th")).distinct()
     on = docs["doc_id"].cast("long").eqNullSafe(bad["_bad_id"]) & (F.xxhash64(docs["text"]) == bad["_bad_th"])
     return docs.join(bad, on, "left_anti")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``contaminated`` over all documents and the whole benchmark; nulls, repeats and empty tables as there."""
     return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("th")

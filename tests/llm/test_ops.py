@@ -358,7 +358,7 @@ BENCH = [
 ]
 
 
-def test_contaminated_documents(spark):
+def test_contaminated_documents(spark, monkeypatch):
     pad = prose(random.Random(3), 60)
     cases = {
         "verbatim": (f"{pad} {BENCH[1][1]} {pad}", {1}),
@@ -374,12 +374,9 @@ def test_contaminated_documents(spark):
     }
     texts = [t for t, _ in cases.values()]
     bench = spark.createDataFrame([*BENCH, BENCH[1]], "item_id long, text string")
-    for limit in (2_000_000, 0):  # with and without the broadcast of window hashes
-        old, decontaminate.BROADCAST_WINDOWS = decontaminate.BROADCAST_WINDOWS, limit
-        try:
-            rows = decontaminate.contaminated(docs(spark, texts), bench).collect()
-        finally:
-            decontaminate.BROADCAST_WINDOWS = old
+    for bits in ((16, 26), (5, 5)):  # a filter that holds, and one so full that the join alone decides
+        monkeypatch.setattr(decontaminate, "FILTER_BITS", bits)
+        rows = decontaminate.contaminated(docs(spark, texts), bench).collect()
         for i, (name, (_, want)) in enumerate(cases.items()):
             assert {r["item_id"] for r in rows if r["doc_id"] == i} == want, name
     by = {(r["doc_id"], r["item_id"]): r for r in rows}
@@ -415,9 +412,74 @@ def test_renamed_persons_that_begin_sentences_are_found(spark):
 
 def test_slots_must_map_one_to_one():
     ok = [(0, 0, ["7", ""], ["3", ""]), (1, 1, ["", "9"], ["", "4"])]
-    assert decontaminate.judge_pair(ok, 3)[0] == 1.0
+    assert decontaminate.judge_diagonal(ok).covered == {0, 1, 2}
     clash = [(0, 0, ["7", ""], ["3", ""]), (2, 2, ["8", ""], ["3", ""])]
-    assert decontaminate.judge_pair(clash, 4)[0] == 0.5
+    assert decontaminate.judge_diagonal(clash).covered == {0, 1}
+
+
+def test_one_wrong_slot_costs_only_its_own_windows():
+    wrong = [(0, 0, ["8", ""], ["3", ""])]
+    rest = [(2 * i, 2 * i, ["7", ""], ["3", ""]) for i in range(1, 6)]
+    got = decontaminate.judge_diagonal(wrong + rest)
+    assert got.covered == set(range(2, 12)) and got.used == 5 and got.renamed == {"3"} and got.first == 2
+
+
+def test_largest_consistent_set_equals_all_subsets():
+    from itertools import combinations
+
+    rng = random.Random(6)
+    for _ in range(150):
+        hits = [(q, q, [str(rng.randrange(3)), ""], [str(rng.randrange(3)), ""]) for q in range(0, 2 * rng.randrange(1, 8), 2)]
+
+        def fits(chosen):
+            pairs = {(b[0], a[0]) for _, _, a, b in chosen}
+            return len(pairs) == len({i for i, _ in pairs}) == len({d for _, d in pairs})
+
+        most = max(2 * n for n in range(len(hits) + 1) for c in combinations(hits, n) if fits(c))
+        assert len(decontaminate.judge_diagonal(hits).covered) >= 0.75 * most
+
+
+def test_verbatim_items_equal_brute_force(spark):
+    rng = random.Random(44)
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta", "theta", "iota", "kappa"]
+    items = [" ".join(rng.choice(words) for _ in range(rng.randrange(4, 30))) for _ in range(12)]
+    texts = []
+    for i in range(60):
+        w = [rng.choice(words) for _ in range(rng.randrange(0, 60))]
+        if i % 2:
+            x = rng.choice(items).split()
+            a = rng.randrange(len(x))
+            at = rng.randrange(len(w) + 1)
+            w[at:at] = x[a : a + rng.randrange(1, 31)]
+        texts.append(" ".join(w))
+    want = set()
+    for d, t in enumerate(texts):
+        w = t.split()
+        for k, item in enumerate(items):
+            x = item.split()
+            size = min(8, len(x))
+            hit = [(p, q) for p in range(len(w) - size + 1) for q in range(len(x) - size + 1) if w[p : p + size] == x[q : q + size]]
+            covered = {j for _, q in hit for j in range(q, q + size)}
+            longest = 0
+            for diagonal in {p - q for p, q in hit}:
+                here = {j for p, q in hit if p - q == diagonal for j in range(q, q + size)}
+                run = 0
+                for j in range(len(x) + 1):
+                    run = run + 1 if j in here else 0
+                    longest = max(longest, run)
+            if len(covered) >= 0.5 * len(x) or longest >= min(13, len(x)):
+                want.add((d, k))
+    assert _found(spark, items, texts) == want and len(want) > 5
+
+
+def test_decontamination_of_null_and_repeated_ids_and_long_texts(spark):
+    item = BENCH[1][1]
+    pad = prose(random.Random(9), 20000)
+    bench = spark.createDataFrame([(1, item), (1, item), (None, "five words make an item")], "item_id long, text string")
+    df = docs(spark, [item, item, "clean text here", f"{pad} {item} {pad}", "five words make an item", item], ids=[None, 7, 7, 8, 9, 7])
+    rows = sorted(((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(df, bench).collect()), key=str)
+    assert rows == sorted([(None, 1), (7, 1), (8, 1), (9, None)], key=str)
+    assert [r["text"] for r in decontaminate.decontaminate(df, bench).collect()] == ["clean text here"]
 
 
 # ------------------------------------------------------------------ op5
