@@ -22,9 +22,11 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or an own one where it is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``; where it is unset, an own one on a local master, else an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="kinweave-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -99,12 +101,13 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[p
 
 
 def place(fs, source: str, target: str) -> None:
-    """Moves a finished file to its place; what an earlier attempt of the task left there is the same file."""
+    """Moves a finished file to its place.  What an earlier attempt of the task left there is the same file and stays, so it is never missing."""
     import pyarrow.fs as pafs
 
-    if fs.get_file_info(target).type != pafs.FileType.NotFound:
-        fs.delete_file(target)
-    fs.move(source, target)
+    if fs.get_file_info(target).type == pafs.FileType.NotFound:
+        fs.move(source, target)
+    else:
+        fs.delete_file(source)
 
 
 def shuffle_parts(spark: SparkSession) -> int:

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.tables import small
 from .common import cut, read
 
 #: Slots of the schedule; a slot takes one block of about total / SLOTS words.
@@ -138,19 +139,34 @@ def taken(placed: DataFrame, parts: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, slots: int = SLOTS, epochs: int = EPOCHS) -> DataFrame:
     """The mix as whole documents with their columns: one row for each epoch in which the mix takes a document's first word.
 
-    Documents that the mix does not reach go; rows that repeat a document count as one.
+    Documents that the mix does not reach go.  Rows that repeat a document
+    (doc_id, text and source) are documents of their own: the mix takes words of
+    each, and the rows, numbered in the order of their other columns, get the
+    copies of the places in the order of these.  Null ids, null sources, texts
+    without a word, and empty tables are as in ``mix``.
     """
     placed, parts = mix(docs, slots, epochs)
-    got = parts.where("from_word = 0").groupBy("doc_id", "th", "at").agg(F.countDistinct("epoch").cast("int").alias("n"))
-    got = cut(got.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.max("n").alias("_n")), "copies")
-    on = docs["doc_id"].cast("long").eqNullSafe(got["_id"]) & (F.xxhash64(docs["text"]) == got["_th"])
-    kept = docs.join(got.hint("shuffle_hash"), on)
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    if repeated:
-        kept = kept.dropDuplicates(["_id", "_th"])
-    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_id", "_th", "_n", "_copy")
+    key = ["_id", "_th", "_s"]
+    whole = lambda df: df.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("s").alias("_s"), F.col("at").alias("_at"), *([F.col("epoch")] if "epoch" in df.columns else []))
+    places = whole(placed.where("size > 0")).withColumn("_k", F.row_number().over(Window.partitionBy(*key).orderBy("_at")))
+    got = whole(parts.where("from_word = 0")).groupBy(*key, "_at").agg(F.countDistinct("epoch").cast("int").alias("_n"))
+    a, g = places.alias("a"), got.alias("g")
+    copies = a.join(g, [F.col(f"a.{k}").eqNullSafe(F.col(f"g.{k}")) for k in [*key, "_at"]]).select("a._id", "a._th", "a._s", "a._k", "g._n")
+    copies = cut(copies, "copies")
+    names = small(cut(placed.select(F.col("source").alias("_name"), F.col("s").alias("_own")).distinct(), "sources"))
+    rows = docs.withColumns({"_rid": F.col("doc_id").cast("long"), "_rth": F.xxhash64("text"), "_rname": F.col("source").cast("string")})
+    rows = rows.join(names, F.col("_rname").eqNullSafe(F.col("_name"))).drop("_rname", "_name")
+    if copies.where("_k > 1").limit(1).count():  # only then do rows need numbers
+        rest = [F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])]
+        rows = rows.withColumn("_rk", F.row_number().over(Window.partitionBy("_rid", "_rth", "_own").orderBy(*rest)))
+    else:
+        rows = rows.withColumn("_rk", F.lit(1))
+    on = F.col("_rid").eqNullSafe(F.col("_id")) & (F.col("_rth") == F.col("_th")) & (F.col("_own") == F.col("_s")) & (F.col("_rk") == F.col("_k"))
+    kept = rows.join(copies.hint("shuffle_hash"), on)
+    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of each of all documents; nulls, repeats and empty tables as in ``mix``."""
     placed, parts = mix(read(spark, sf_dir, "documents"))
     return taken(placed, parts).select("doc_id", "size", "source_size", "target", "taken")

@@ -1,12 +1,14 @@
-"""Token-id output: one wavelet matrix per shard, with rank, select and access from the file.
+"""Token-id output: one wavelet matrix per shard, with rank, select and access from the compressed file.
 
 File layout (little endian): the magic ``WMX1``, a 4-byte header length, a JSON
 header, then zstd frames: document ids, document starts, the shard's alphabet
-(its different ids, ascending; the matrices hold places in it), and for every
-segment of the ids (so many that its matrix is built within a processor's cache) and bit
-level the packed plane followed by its rank directory (ones before every
-512-bit block).  Level 0 holds the most significant bit; each level is the
-stable partition of the one above by its bit, zeros first.
+(its different ids, ascending; the matrix holds places in it), and for every
+bit level its rank directory (ones before every 512-bit block) and the packed
+plane in chunks of CHUNK blocks.  Level 0 holds the most significant bit; each
+level is the stable partition of the one above by its bit, zeros first.
+
+A frame is read and unpacked when a lookup needs it: access and rank touch one
+block on each level, select finds its block in the rank directory.
 """
 
 from __future__ import annotations
@@ -17,7 +19,10 @@ import struct
 import sys
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
+from io import BytesIO
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -33,75 +38,103 @@ BLOCK = 512
 END_ID = 2
 #: A shard is closed at this many ids; a longer document has a shard of its own.
 SHARD_TOKENS = 1 << 21
-#: Ids of a segment.
-SEGMENT = 1 << 18
+#: Blocks of a chunk of a plane, the least that a lookup unpacks.
+CHUNK = 512
+
+
+class Plane:
+    """A bit vector in blocks of 512 bits with the ones before each block; ``chunk(i)`` gives the packed bytes of chunk i."""
+
+    def __init__(self, chunk: Callable[[int], np.ndarray], ranks: Callable[[], np.ndarray], per_chunk: int, chunks: int):
+        self.chunk, self._ranks, self.per_chunk, self.chunks = chunk, ranks, per_chunk, chunks
+
+    @property
+    def ranks(self) -> np.ndarray:
+        return self._ranks()
+
+    def whole(self) -> np.ndarray:
+        return np.concatenate([self.chunk(i) for i in range(self.chunks)]) if self.chunks else np.zeros(0, np.uint8)
+
+    def _blocks(self, block: np.ndarray) -> np.ndarray:
+        """Packed bytes of the blocks, one row each; blocks past the end are zero."""
+        out = np.zeros((len(block), BLOCK // 8), np.uint8)
+        where = block // self.per_chunk
+        for i in np.unique(where[where < self.chunks]).tolist():
+            data = self.chunk(i)
+            data = np.concatenate([data, np.zeros(-len(data) % (BLOCK // 8) + BLOCK // 8, np.uint8)]).reshape(-1, BLOCK // 8)
+            here = where == i
+            out[here] = data[np.minimum(block[here] - i * self.per_chunk, len(data) - 1)]
+        return out
+
+    def read(self, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bit, ones before it) at each position."""
+        pos = np.asarray(pos, np.int64)
+        rows, at = self._blocks(pos // BLOCK), pos % BLOCK
+        byte = rows[np.arange(len(pos)), at >> 3]
+        low = (at & 7).astype(np.uint8)
+        ahead = np.where(np.arange(BLOCK // 8) < (at >> 3)[:, None], np.bitwise_count(rows), 0).sum(1, dtype=np.int64)
+        partial = np.bitwise_count(byte & ((np.uint8(1) << low) - np.uint8(1)))
+        return byte >> low & 1, self.ranks[pos // BLOCK].astype(np.int64) + ahead + partial
+
+    def find(self, k: np.ndarray, one: int) -> np.ndarray:
+        """Positions of the k-th (from 0) ones or zeros."""
+        ranks = self.ranks.astype(np.int64)
+        before = ranks if one else BLOCK * np.arange(len(ranks)) - ranks
+        out = np.empty(len(k), np.int64)
+        for lo in range(0, len(k), 4096):
+            part = np.asarray(k[lo : lo + 4096], np.int64)
+            block = np.searchsorted(before, part, side="right") - 1
+            bits = np.unpackbits(self._blocks(block), axis=1, bitorder="little") == one
+            inside = np.cumsum(bits, axis=1, dtype=np.int32) > (part - before[block])[:, None]
+            out[lo : lo + 4096] = block * BLOCK + inside.argmax(1)
+        return out
 
 
 class WaveletMatrix:
     """Succinct sequence of unsigned integers: ``access``, ``rank``, ``select``, ``count``, ``decode``."""
 
-    def __init__(self, n: int, planes: list[np.ndarray], ranks: list[np.ndarray], zeros: list[int]):
-        self.n, self.planes, self.ranks, self.zeros = n, planes, ranks, zeros
+    def __init__(self, n: int, planes: list[Plane], zeros: list[int]):
+        self.n, self.planes, self.zeros = n, planes, zeros
         self.levels = len(planes)
 
-    @classmethod
-    def build(cls, ids: np.ndarray, levels: int = 0) -> WaveletMatrix:
-        n = len(ids)
-        levels = levels or (max(1, int(ids.max()).bit_length()) if n else 1)
+    @staticmethod
+    def pack(ids: np.ndarray, levels: int) -> tuple[list[np.ndarray], list[int]]:
+        """(packed planes, zeros of each level) of a sequence."""
         cur = ids.astype(np.uint16 if levels <= 16 else np.uint32)
-        planes, ranks, zeros = [], [], []
+        planes, zeros = [], []
         for level in range(levels):
             bit = (cur >> cur.dtype.type(levels - 1 - level) & cur.dtype.type(1)).astype(bool)
-            packed = np.packbits(bit, bitorder="little")
-            planes.append(packed)
-            ranks.append(_directory(packed))
+            planes.append(np.packbits(bit, bitorder="little"))
             ones = np.compress(bit, cur)
-            zeros.append(n - len(ones))
+            zeros.append(len(ids) - len(ones))
             cur = np.concatenate([np.compress(~bit, cur), ones])
-        return cls(n, planes, ranks, zeros)
+        return planes, zeros
 
-    def rank1(self, level: int, pos: np.ndarray) -> np.ndarray:
-        """Ones before ``pos`` on a level."""
-        pos = np.asarray(pos, np.int64)
-        plane, block = self.planes[level], pos // BLOCK
-        out = self.ranks[level][block].astype(np.int64)
-        words = np.zeros(len(plane) // 8 + 10, np.uint64)
-        words.view(np.uint8)[: len(plane)] = plane
-        first = block * (BLOCK // 64)
-        word = pos // 64
-        for k in range(BLOCK // 64):
-            w = words[np.minimum(first + k, len(words) - 1)]
-            full = first + k < word
-            mask = (np.uint64(1) << (pos % 64).astype(np.uint64)) - np.uint64(1)
-            out += np.where(full, np.bitwise_count(w), np.where(first + k == word, np.bitwise_count(w & mask), 0)).astype(np.int64)
-        return out
-
-    def _bit(self, level: int, pos: np.ndarray) -> np.ndarray:
-        return (self.planes[level][pos >> 3] >> (pos & 7).astype(np.uint8)) & 1
+    @classmethod
+    def build(cls, ids: np.ndarray, levels: int = 0) -> WaveletMatrix:
+        """A matrix in memory."""
+        packed, zeros = cls.pack(ids, levels or (max(1, int(ids.max()).bit_length()) if len(ids) else 1))
+        return cls(len(ids), [Plane(lambda _, p=p: p, lambda r=_directory(p): r, max(1, -(-len(p) // (BLOCK // 8))), 1) for p in packed], zeros)
 
     def access(self, pos) -> np.ndarray:
         """The ids at the given positions."""
-        p = np.atleast_1d(np.asarray(pos, np.int64)).copy()
+        p = np.atleast_1d(np.asarray(pos, np.int64))
         value = np.zeros(len(p), np.int64)
-        for level in range(self.levels):
-            bit = self._bit(level, p)
-            ones = self.rank1(level, p)
+        for plane, zeros in zip(self.planes, self.zeros, strict=True):
+            bit, ones = plane.read(p)
             value = value << 1 | bit
-            p = np.where(bit == 1, self.zeros[level] + ones, p - ones)
+            p = np.where(bit == 1, zeros + ones, p - ones)
         return value
 
     def _range(self, value: int, lo: int, hi: int) -> tuple[int, int]:
-        for level in range(self.levels):
-            a, b = self.rank1(level, np.array([lo, hi]))
-            if value >> (self.levels - 1 - level) & 1:
-                lo, hi = self.zeros[level] + a, self.zeros[level] + b
-            else:
-                lo, hi = lo - a, hi - b
-        return int(lo), int(hi)
+        for level, (plane, zeros) in enumerate(zip(self.planes, self.zeros, strict=True)):
+            a, b = plane.read(np.array([lo, hi]))[1].tolist()
+            lo, hi = (zeros + a, zeros + b) if value >> (self.levels - 1 - level) & 1 else (lo - a, hi - b)
+        return lo, hi
 
     def rank(self, value: int, pos: int) -> int:
         """Occurrences of a value before a position."""
-        if value < 0 or value >> self.levels:
+        if value < 0 or value >> self.levels or not self.n:
             return 0
         lo, hi = self._range(value, 0, pos)
         return hi - lo
@@ -109,29 +142,24 @@ class WaveletMatrix:
     def count(self, value: int) -> int:
         return self.rank(value, self.n)
 
+    def _up(self, value: int, p: np.ndarray) -> np.ndarray:
+        """Positions in the sequence of places in the value's last range, from the last level up."""
+        for level in reversed(range(self.levels)):
+            one = value >> (self.levels - 1 - level) & 1
+            p = self.planes[level].find(p - self.zeros[level] if one else p, one)
+        return p
+
     def select(self, value: int, k: int) -> int:
         """The position of the k-th (from 0) occurrence, or -1."""
         if k < 0 or k >= self.count(value):
             return -1
-        lo, _ = self._range(value, 0, self.n)
-        p = lo + k
-        for level in reversed(range(self.levels)):
-            bits = np.unpackbits(self.planes[level], count=self.n, bitorder="little")
-            one = value >> (self.levels - 1 - level) & 1
-            p = int(np.flatnonzero(bits == one)[p - self.zeros[level] if one else p])
-        return p
+        return int(self._up(value, np.array([self._range(value, 0, self.n)[0] + k]))[0])
 
     def occurrences(self, value: int) -> np.ndarray:
-        """All positions of a value, ascending: the leaf range is mapped up level by level."""
-        if value < 0 or value >> self.levels:
+        """All positions of a value, ascending."""
+        if value < 0 or value >> self.levels or not self.n:
             return np.zeros(0, np.int64)
-        lo, hi = self._range(value, 0, self.n)
-        p = np.arange(lo, hi)
-        for level in reversed(range(self.levels)):
-            bits = np.unpackbits(self.planes[level], count=self.n, bitorder="little")
-            one = value >> (self.levels - 1 - level) & 1
-            p = np.flatnonzero(bits == one)[p - self.zeros[level] if one else p]
-        return p
+        return self._up(value, np.arange(*self._range(value, 0, self.n)))
 
     def decode(self) -> np.ndarray:
         """The whole sequence: stable partitions are undone from the last level up."""
@@ -140,7 +168,7 @@ class WaveletMatrix:
         kind = np.uint16 if self.levels <= 16 else np.uint32
         cur = np.zeros(self.n, kind)
         for level in reversed(range(self.levels)):
-            bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
+            bit = np.unpackbits(self.planes[level].whole(), count=self.n, bitorder="little").view(bool)
             up = np.empty(self.n, kind)
             z = self.zeros[level]
             up[np.flatnonzero(~bit)] = cur[:z]
@@ -164,80 +192,93 @@ def encode_shard(doc_ids: list[int | None], starts: np.ndarray, ids: np.ndarray,
     code = np.zeros(len(seen), np.uint32)
     code[alphabet] = np.arange(len(alphabet))
     codes, levels = code[ids], max(1, (len(alphabet) - 1).bit_length())
-    segments = [WaveletMatrix.build(codes[i : i + SEGMENT], levels) for i in range(0, len(ids), SEGMENT)]
+    planes, zeros = WaveletMatrix.pack(codes, levels)
     z = zstandard.ZstdCompressor(level=1)
     known = np.array([d if d is not None else 0 for d in doc_ids], np.int64)
     null = np.array([d is None for d in doc_ids], bool)
     frames = [known.tobytes() + np.packbits(null).tobytes(), np.asarray(starts, np.int64).tobytes(), alphabet.astype("<u4").tobytes()]
-    for wm in segments:
-        for plane, rank in zip(wm.planes, wm.ranks, strict=True):
-            frames += [plane.tobytes(), rank.tobytes()]
+    size = CHUNK * BLOCK // 8
+    for plane in planes:
+        frames.append(_directory(plane).tobytes())
+        frames += [plane[i : i + size].tobytes() for i in range(0, len(plane), size)]
     frames = [z.compress(f) for f in frames]
-    head = json.dumps({"n": len(ids), "docs": len(doc_ids), "levels": levels, "zeros": [wm.zeros for wm in segments], "frames": [len(f) for f in frames], "part": part, "offset": offset}).encode()
+    head = json.dumps({"n": len(ids), "docs": len(doc_ids), "levels": levels, "zeros": zeros, "chunk": CHUNK, "frames": [len(f) for f in frames], "part": part, "offset": offset}).encode()
     return b"".join([MAGIC, struct.pack("<I", len(head)), head, *frames])
 
 
 class Shard:
-    """A shard read from its file bytes."""
+    """A shard in its file (or the file's bytes): only the header is read at once, frames when they are asked for."""
 
-    def __init__(self, blob: bytes):
-        if blob[:4] != MAGIC:
+    def __init__(self, file: bytes | BinaryIO, remember: int = 256):
+        f = BytesIO(file) if isinstance(file, (bytes, bytearray, memoryview)) else file
+        if f.read(4) != MAGIC:
             raise ValueError("not a token shard")
-        (k,) = struct.unpack("<I", blob[4:8])
-        self.head = h = json.loads(blob[8 : 8 + k])
-        z, at, frames = zstandard.ZstdDecompressor(), 8 + k, []
-        for size in h["frames"]:
-            frames.append(z.decompress(blob[at : at + size]))
-            at += size
-        n = h["docs"]
-        known = np.frombuffer(frames[0][: 8 * n], np.int64)
-        null = np.unpackbits(np.frombuffer(frames[0][8 * n :], np.uint8), count=n).astype(bool)
-        self.doc_ids = [None if x else int(d) for d, x in zip(known, null, strict=True)]
-        self.starts = np.frombuffer(frames[1], np.int64)
-        self.alphabet = np.frombuffer(frames[2], "<u4")
-        planes = [np.frombuffer(f, np.uint8) for f in frames[3::2]]
-        ranks = [np.frombuffer(f, np.uint32) for f in frames[4::2]]
-        k, self.n = h["levels"], h["n"]
-        self.segments = [WaveletMatrix(min(SEGMENT, self.n - i * SEGMENT), planes[i * k : i * k + k], ranks[i * k : i * k + k], zeros) for i, zeros in enumerate(h["zeros"])]
+        (k,) = struct.unpack("<I", f.read(4))
+        self.head = h = json.loads(f.read(k))
+        at = 8 + k + np.concatenate([[0], np.cumsum(h["frames"])])
+        self.unpacked = 0  # frames that lookups have needed
+        z = zstandard.ZstdDecompressor()
+        held: dict[int, bytes] = {}
+
+        def frame(i: int) -> bytes:
+            if i not in held:
+                if len(held) >= remember:
+                    held.pop(next(iter(held)))
+                f.seek(int(at[i]))
+                held[i] = z.decompress(f.read(h["frames"][i]))
+                self.unpacked += 1
+            return held[i]
+
+        self._frame = frame
+        self.n = n = h["n"]
+        chunks = -(-(-(-n // 8)) // (h["chunk"] * BLOCK // 8))
+
+        def plane(level: int) -> Plane:
+            first = 3 + level * (chunks + 1)
+            return Plane(lambda i: np.frombuffer(frame(first + 1 + i), np.uint8), cache(lambda: np.frombuffer(frame(first), np.uint32)), h["chunk"], chunks)
+
+        self.matrix = WaveletMatrix(n, [plane(level) for level in range(h["levels"])], h["zeros"])
+
+    @property
+    def doc_ids(self) -> list[int | None]:
+        n, raw = self.head["docs"], self._frame(0)
+        known = np.frombuffer(raw[: 8 * n], np.int64)
+        null = np.unpackbits(np.frombuffer(raw[8 * n :], np.uint8), count=n).astype(bool)
+        return [None if x else int(d) for d, x in zip(known, null, strict=True)]
+
+    @property
+    def starts(self) -> np.ndarray:
+        return np.frombuffer(self._frame(1), np.int64)
+
+    @property
+    def alphabet(self) -> np.ndarray:
+        return np.frombuffer(self._frame(2), "<u4")
 
     def _code(self, value: int) -> int:
-        k = int(np.searchsorted(self.alphabet, value))
-        return k if k < len(self.alphabet) and self.alphabet[k] == value else -1
+        alphabet = self.alphabet
+        k = int(np.searchsorted(alphabet, value))
+        return k if k < len(alphabet) and alphabet[k] == value else -1
 
     def access(self, pos) -> np.ndarray:
         """The ids at the given positions of the shard."""
-        pos = np.atleast_1d(np.asarray(pos, np.int64))
-        out = np.zeros(len(pos), np.uint32)
-        for i, wm in enumerate(self.segments):
-            here = pos // SEGMENT == i
-            if here.any():
-                out[here] = self.alphabet[wm.access(pos[here] - i * SEGMENT)]
-        return out
+        return self.alphabet[self.matrix.access(pos)]
 
     def rank(self, value: int, pos: int) -> int:
         """Occurrences of an id before a position."""
-        code = self._code(value)
-        return sum(wm.rank(code, min(wm.n, pos - i * SEGMENT)) for i, wm in enumerate(self.segments) if pos > i * SEGMENT)
+        return self.matrix.rank(self._code(value), pos)
 
     def count(self, value: int) -> int:
         return self.rank(value, self.n)
 
     def select(self, value: int, k: int) -> int:
         """The position of the k-th (from 0) occurrence of an id, or -1."""
-        code = self._code(value)
-        for i, wm in enumerate(self.segments):
-            n = wm.count(code)
-            if 0 <= k < n:
-                return i * SEGMENT + wm.select(code, k)
-            k -= n
-        return -1
+        return self.matrix.select(self._code(value), k)
 
     def occurrences(self, value: int) -> np.ndarray:
-        code = self._code(value)
-        return np.concatenate([np.zeros(0, np.int64), *(i * SEGMENT + wm.occurrences(code) for i, wm in enumerate(self.segments))])
+        return self.matrix.occurrences(self._code(value))
 
     def decode(self) -> np.ndarray:
-        return np.concatenate([np.zeros(0, np.uint32), *(self.alphabet[wm.decode()] for wm in self.segments)])
+        return self.alphabet[self.matrix.decode()] if self.n else np.zeros(0, np.uint32)
 
 
 # --------------------------------------------------------------------------- tokenising
@@ -437,14 +478,14 @@ def read_shards(spark: SparkSession, folder: str, manifest: DataFrame, checksum:
             for blob in column(b, "content").to_pylist():
                 s = Shard(blob)
                 raw = memoryview(s.decode().astype("<u4")).cast("B")
-                base = before[s.head["part"]] + s.head["offset"]
-                step = len(s.doc_ids) if checksum else 256
-                for lo in range(0, len(s.doc_ids), step):
-                    st = s.starts[lo : lo + step + 1]
+                base, doc_ids, starts = before[s.head["part"]] + s.head["offset"], s.doc_ids, s.starts
+                step = len(doc_ids) if checksum else 256
+                for lo in range(0, len(doc_ids), step):
+                    st = starts[lo : lo + step + 1]
                     cuts = (4 * st).tolist()
                     values = [raw[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
                     values = pa.array(map(zlib.crc32, values), pa.int64()) if checksum else pa.array([bytes(v) for v in values], pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(s.doc_ids[lo : lo + step], pa.int64()), pa.array(base + st[:-1], pa.int64()), pa.array(np.diff(st), pa.int64()), values], ["doc_id", "start", "n_tokens", last.split()[0]])
+                    yield pa.RecordBatch.from_arrays([pa.array(doc_ids[lo : lo + step], pa.int64()), pa.array(base + st[:-1], pa.int64()), pa.array(np.diff(st), pa.int64()), values], ["doc_id", "start", "n_tokens", last.split()[0]])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wmx").load(folder).select("content")
     return arrow_map(files, run, f"doc_id long, start long, n_tokens long, {last}")
@@ -453,8 +494,8 @@ def read_shards(spark: SparkSession, folder: str, manifest: DataFrame, checksum:
 def token_output(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = END_ID, checksum: bool = False) -> DataFrame:
     """Encodes, writes and reads back all documents; columns as ``read_shards`` says.
 
-    Null texts are empty (their only id is the end id); null doc_ids come
-    first; repeated doc_ids each keep a row, ordered by text; an empty
+    Null texts are empty (their only id is the end id); long texts are encoded
+    whole, in a shard of their own if need be; null doc_ids come first; repeated doc_ids each keep a row, ordered by text; an empty
     table writes no file and gives no row; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -472,4 +513,5 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``token_output`` of all documents, with checksums read from the files; nulls, repeats and empty tables as there."""
     return token_output(read(spark, sf_dir, "documents"), tokenizer_path(), checksum=True)

@@ -54,7 +54,8 @@ def write_archive(pages: DataFrame, folder: str, min_payload: int = 0) -> None:
     payloads of at least ``min_payload`` bytes the one with the largest page_id
     is the response and the others revisit it; smaller ones are all responses.
     Null html is empty, a null url leaves out the target line, a null page_id
-    counts as the smallest; rows that repeat a page_id and payload share its type.
+    counts as the smallest; rows that repeat a page_id and payload share its type;
+    long payloads are stored whole; an empty table gives an archive without records.
     """
     rows = _payloads(pages)
     meta = rows.select("page_id", "url", "key", "size", F.sha1("payload").alias("sha1"))
@@ -79,9 +80,8 @@ def write_archive(pages: DataFrame, folder: str, min_payload: int = 0) -> None:
     ).cast("binary")
     zstd = lambda df, name: df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
     zstd(records.select("page_id", "key", "size", header.alias("header")), "headers")
-    # equal keys from repeated rows of one page_id would store a payload twice
-    kept = _compressed(rows).join(last.select("key", "size", "last"), ["key", "size"]).where(F.col("page_id").eqNullSafe(F.col("last")))
-    zstd(kept.select("key", "size", "frame").dropDuplicates(["key", "size"]), "payloads")
+    # a frame for each payload of a map task, not of a record, is moved; equal payloads have equal frames
+    zstd(_compressed(rows).groupBy("key", "size").agg(F.max_by("frame", F.coalesce("page_id", F.lit(-(1 << 63)))).alias("frame")), "payloads")
 
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,27 +108,63 @@ def _page(uid: str | None) -> int | None:
     return None if value == "null" else int(value)
 
 
+_RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+
+
+def _record(header: bytes, size: int | None, digest: str | None) -> tuple:
+    """A row of ``_RECORD`` from a header and its payload's size and digest; raises ValueError if they do not fit."""
+    h = parse_header(header)
+    if size is None:
+        raise ValueError(f"payload of {h['WARC-Record-ID']} is missing")
+    block = len(header) - header.index(b"\r\n\r\n") - 4 + (size if h["WARC-Type"] == "response" else 0)
+    if h["WARC-Payload-Digest"] != f"sha1:{digest}" or int(h["Content-Length"]) != block:
+        raise ValueError(f"record {h['WARC-Record-ID']} does not match its header")
+    return _page(h["WARC-Record-ID"]), size, digest, h["WARC-Type"], _page(h.get("WARC-Refers-To"))
+
+
+def _records(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+
+
+def _facts(z: zstandard.ZstdDecompressor, frame: bytes | None) -> tuple[int | None, str | None]:
+    """(size, base32 SHA-1) of the payload in a frame."""
+    if frame is None:
+        return None, None
+    payload = z.decompress(frame)
+    return len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
 def describe(records: DataFrame) -> DataFrame:
-    """Parses records and verifies lengths and digests; a damaged archive raises ValueError."""
+    """Parses whole records ``(header, frame)`` and verifies lengths and digests; a damaged archive raises ValueError."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         z = zstandard.ZstdDecompressor()
         for b in batches:
-            out = []
-            for header, frame in zip(column(b, "header").to_pylist(), column(b, "frame").to_pylist(), strict=True):
-                h = parse_header(header)
-                if frame is None:
-                    raise ValueError(f"payload of {h['WARC-Record-ID']} is missing")
-                payload = z.decompress(frame)
-                digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                block = len(record_bytes(header, payload)) - 4 - header.index(b"\r\n\r\n") - 4
-                if h["WARC-Payload-Digest"] != f"sha1:{digest}" or int(h["Content-Length"]) != block:
-                    raise ValueError(f"record {h['WARC-Record-ID']} does not match its header")
-                out.append((_page(h["WARC-Record-ID"]), len(payload), digest, h["WARC-Type"], _page(h.get("WARC-Refers-To"))))
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-
-    return arrow_map(records, run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+            yield _records([_record(h, *_facts(z, f)) for h, f in zip(column(b, "header").to_pylist(), column(b, "frame").to_pylist(), strict=True)])
+
+    return arrow_map(records, run, _RECORD)
+
+
+def describe_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """``describe`` of all records of an archive: each stored payload is unpacked and verified once, and its size and digest join the headers, so no payload moves.
+
+    An archive without records gives no rows; one whose header lacks its payload, or differs from it, raises ValueError.
+    """
+
+    def verify(batches: Iterator[pa.RecordBatch]):
+        z = zstandard.ZstdDecompressor()
+        for b in batches:
+            got = [_facts(z, f) for f in column(b, "frame").to_pylist()]
+            yield pa.RecordBatch.from_arrays([column(b, "key"), column(b, "size"), pa.array([n for n, _ in got], pa.int64()), pa.array([d for _, d in got], pa.string())], ["key", "size", "bytes", "digest"])
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            yield _records([_record(*x) for x in zip(*(column(b, c).to_pylist() for c in ("header", "bytes", "digest")), strict=True)])
+
+    facts = arrow_map(spark.read.parquet(f"{folder}/payloads"), verify, "key string, size long, bytes long, digest string")
+    headers = spark.read.parquet(f"{folder}/headers")
+    return arrow_map(headers.join(facts, ["key", "size"], "left").select("header", "bytes", "digest"), run, _RECORD)
 
 
 def export_files(records: DataFrame, folder: str) -> DataFrame:
@@ -165,9 +201,10 @@ def read_files(blob: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes all pages as records and describes the archive read back; nulls, repeats and empty tables as in ``write_archive``."""
     folder = scratch(spark, "warc")
     write_archive(read(spark, sf_dir, "pages"), folder)
-    return describe(read_archive(spark, folder))
+    return describe_archive(spark, folder)
 
 
 #: DuckDB has no base32; the digest is built from the bits of the hexadecimal SHA-1.

@@ -296,9 +296,9 @@ def test_components_of_a_long_chain_and_a_hub(spark):
 # ------------------------------------------------------------------ op3
 
 
-@pytest.mark.parametrize("segment", [1 << 18, 997])
-def test_wavelet_matrix(segment, monkeypatch):
-    monkeypatch.setattr(token_store, "SEGMENT", segment)
+@pytest.mark.parametrize("chunk", [512, 1])
+def test_wavelet_matrix(chunk, monkeypatch):
+    monkeypatch.setattr(token_store, "CHUNK", chunk)
     rng = np.random.default_rng(0)
     for n, top in ((0, 1), (1, 1), (700, 2), (5000, 50257), (3000, 1)):
         ids = rng.integers(0, top, n).astype(np.uint32)
@@ -316,6 +316,28 @@ def test_wavelet_matrix(segment, monkeypatch):
             assert [s.select(v, k) for k in range(min(3, len(at)))] == at[:3].tolist() and s.select(v, len(at)) == -1
 
 
+def test_lookups_unpack_only_what_they_need(tmp_path):
+    ids = np.random.default_rng(3).integers(0, 50000, 1 << 20).astype(np.uint32)
+    (tmp_path / "s.wmx").write_bytes(token_store.encode_shard([1], np.array([0, len(ids)]), ids, 0, 0))
+    with open(tmp_path / "s.wmx", "rb") as f:
+        s = token_store.Shard(f)
+        assert s.unpacked == 0 and s.access([777777])[0] == ids[777777]
+        levels = s.head["levels"]
+        assert s.unpacked <= 2 * levels + 1 < len(s.head["frames"]) / 2  # a chunk and a directory on each level, and the alphabet
+        before, v = s.unpacked, int(ids[123456])
+        at = np.flatnonzero(ids == v)
+        assert s.select(v, len(at) - 1) == at[-1] and s.count(v) == len(at) and (s.occurrences(v) == at).all()
+        assert s.unpacked - before < len(s.head["frames"])
+
+
+def test_tokens_of_null_and_repeated_ids(spark):
+    df = docs(spark, ["b", "a", None, "c", "a"], ids=[5, 5, None, 1, 5])
+    rows = token_store.token_output(df, token_store.tokenizer_path()).collect()
+    rows = sorted(rows, key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == [None, 1, 5, 5, 5]
+    assert [r["n_tokens"] for r in rows] == [1, 2, 2, 2, 2] and rows[2]["ids"] == rows[3]["ids"] != rows[4]["ids"]
+
+
 def test_token_files_hold_what_the_tokenizer_says(spark, tmp_path):
     from tokenizers import Tokenizer
 
@@ -571,6 +593,45 @@ def test_mixed_documents_repeat_whole(spark):
     assert max(n.values()) == 3 and all(n[i] == 3 for i in range(55, 60)) and out.columns == docs(spark, []).columns
 
 
+def brute_mix(sizes_in_order, goal, epochs=3):
+    """Words taken of each document of a source whose stream comes in that order and ends at the goal."""
+    left, out = goal, [0] * len(sizes_in_order)
+    for _ in range(epochs):
+        for i, n in enumerate(sizes_in_order):
+            take = min(n, left)
+            out[i] += take
+            left -= take
+    return out
+
+
+def test_mix_takes_what_a_plain_loop_takes(spark):
+    rng = random.Random(61)
+    texts = [prose(rng, rng.randrange(0, 90)) if rng.random() < 0.95 else rng.choice([None, ""]) for _ in range(200)]
+    sources = [rng.choice(["a", "b", "c", "c", "c", "c", None]) for _ in range(200)]
+    ids = [i if rng.random() < 0.9 else rng.choice([None, 3, 3]) for i in range(200)]
+    for slots in (1 << 14, 97):
+        placed, parts = mixing.mix(docs(spark, texts, sources, ids), slots=slots)
+        rows = mixing.taken(placed, parts).collect()
+        goal = mixing.targets({s: sum(len((t or "").split()) for t, x in zip(texts, sources) if x == s) for s in set(sources)})
+        assert len(rows) == 200
+        for s in set(sources):
+            own = sorted((r for r in rows if r["source"] == s), key=lambda r: (r["at"], r["size"] > 0))
+            assert [r["at"] for r in own if r["size"]] == list(np.cumsum([0] + [r["size"] for r in own if r["size"]])[:-1])
+            assert [r["taken"] for r in own] == brute_mix([r["size"] for r in own], int(goal[s] + 0.5))
+
+
+def test_mixed_documents_keep_repeated_and_null_ids_apart(spark):
+    rng = random.Random(62)
+    texts = [prose(rng, 40) for _ in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (6, texts[4]), (6, texts[4])]
+    df = docs(spark, [t for _, t in rows], ["a"] * 6, [i for i, _ in rows])
+    for _ in range(2):
+        got = mixing.mixed_documents(df)
+        assert got.columns == df.columns
+        assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter(rows)
+    assert mixing.mixed_documents(docs(spark, [])).collect() == []
+
+
 # ------------------------------------------------------------------ op7, op10
 
 
