@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,18 +20,37 @@ def kin_steps(parent_links: DataFrame, spouse_links: DataFrame) -> DataFrame:
     return row(parent_links, c, p, "U").unionByName(row(parent_links, p, c, "D")).unionByName(row(spouse_links, h, w, "S")).unionByName(row(spouse_links, w, h, "S")).distinct()
 
 
-def marriage_chains(steps: DataFrame, max_rounds: int = 200) -> DataFrame:
-    """(from, to, k): persons joined by k spouse steps and no fewer, k > 0.  It does not depend on an ego, so it is walked once."""
+def marriage_chains(steps: DataFrame) -> DataFrame:
+    """(from, to, k): persons joined by k spouse steps and no fewer, k > 0, however long the chain.  It does not depend on an ego, so it is walked once."""
     one = steps.where("kind = 'S'").select("from", "to").distinct()
-    front = settle(one.withColumn("k", F.lit(1)), "chain")
-    chains = front
-    for k in range(2, max_rounds + 1):
+    front = chains = settle(one.withColumn("k", F.lit(1)), "chain")
+    for k in count(2):
         on = front.select(F.col("from").alias("start"), F.col("to").alias("from")).join(small(one), "from").select(F.col("start").alias("from"), "to").where(F.col("from") != F.col("to")).distinct()
         front = settle(on.join(chains.select("from", "to"), ["from", "to"], "left_anti").withColumn("k", F.lit(k)), "chain")
         if not front.limit(1).count():
-            return chains
+            break
         chains = chains.unionByName(front)
-    raise RuntimeError("marriage chains did not end")
+    return chains
+
+
+def near_steps(egos: DataFrame, steps: DataFrame, depth: int) -> DataFrame:
+    """The steps that networks of these egos can take: only what they reach is walked, not the whole population.
+
+    Whoever all egos together reach is collected generation by generation, with
+    whole marriage chains; there is no row for each ego, so this costs less than
+    the networks themselves.
+    """
+    vertical, married = steps.where("kind <> 'S'"), steps.where("kind = 'S'")
+    seen = front = settle(egos.select("id").distinct(), "near")
+    for g in range(depth + 1):
+        if g:
+            front = settle(vertical.join(small(front), vertical["from"] == front["id"]).select(F.col("to").alias("id")).distinct().join(seen, "id", "left_anti"), "near")
+            seen = seen.unionByName(front)
+        wave = front
+        while wave.limit(1).count():
+            wave = settle(married.join(small(wave), married["from"] == wave["id"]).select(F.col("to").alias("id")).distinct().join(seen, "id", "left_anti"), "near")
+            seen, front = seen.unionByName(wave), front.unionByName(wave)
+    return settle(steps.join(small(settle(seen, "near")), F.col("from") == F.col("id"), "left_semi"), "steps")
 
 
 def citizen_reach(egos: DataFrame, steps: DataFrame, depth: int = 3) -> DataFrame:
@@ -66,6 +87,8 @@ def citizen_ego(persons: DataFrame, parent_links: DataFrame, spouse_links: DataF
     """
     egos = persons.select("id") if ids is None else ids.join(persons.select("id"), "id", "left_semi")
     steps = settle(kin_steps(parent_links, spouse_links), "steps")  # both loops and the edges read it
+    if ids is not None:
+        steps = near_steps(egos, steps, depth)
     reach = settle(citizen_reach(egos, steps, depth), "reach")
     nodes = reach.join(persons, "id", "left").withColumn("kin", F.when(F.col("ego") == F.col("id"), kin(F.lit(""), F.lit(None).cast("string"), lang)).otherwise(kin("path", "sex", lang)))
     nodes = nodes.select("ego", "id", F.coalesce("label", "id").alias("label"), "sex", "kin", kin_cluster("kin").alias("cluster"))
@@ -81,6 +104,12 @@ def citizen_ego(persons: DataFrame, parent_links: DataFrame, spouse_links: DataF
     return nodes, edges.unionByName(back).distinct()
 
 
+def with_details(nodes: DataFrame, entities: DataFrame) -> DataFrame:
+    """``nodes`` of networks with ``label_ar`` and ``dob`` of ``entities(entity_person_id, full_name_ar, dob)``; a node that is no entity has none."""
+    more = entities.select(F.col("entity_person_id").alias("id"), F.coalesce("full_name_ar", "full_name").alias("label_ar"), F.col("dob").cast("string").alias("dob"))
+    return nodes.join(more, "id", "left").select(*nodes.columns, "label_ar", "dob")
+
+
 #: Order of the ways to reach a person in one level of a sponsorship network.
 UP, DOWN, PEER = 1, 2, 3
 
@@ -100,16 +129,19 @@ def resident_ego(residents: DataFrame, links: DataFrame, groups: DataFrame, name
     up = one.select("from", "s.to", F.lit(UP).alias("way"), F.when(F.col("s.sponsor_type") == "citizen", "citizen_sponsor").otherwise("resident_sponsor").alias("role"), F.col("s.relation_to_sponsor").alias("relation"))
     down = links.groupBy(F.col("sponsor_entity_person_id").alias("from"), F.col("sponsored_entity_person_id").alias("to")).agg(F.min("relationship_code").alias("code"))
     down = down.select("from", "to", F.lit(DOWN).alias("way"), F.lit("sponsored_resident").alias("role"), relation_label("code", lang).alias("relation"))
-    member = groups.select("family_group_id", F.col("entity_person_id").alias("to")).distinct()
-    code = residents.select(F.col("entity_person_id").alias("to"), "relationship_code")
-    peer = member.withColumnRenamed("to", "from").join(member, "family_group_id").where("from <> to").select("from", "to").distinct().join(code, "to", "left")
-    peer = peer.select("from", "to", F.lit(PEER).alias("way"), F.lit("family_member").alias("role"), relation_label("relationship_code", lang).alias("relation"))
-    moves = small(settle(up.unionByName(down).unionByName(peer), "moves"))
+    moves = small(settle(up.unionByName(down), "moves"))
+    member = groups.select("family_group_id", F.col("entity_person_id").alias("member")).distinct()
+    code = residents.select(F.col("entity_person_id").alias("member"), relation_label("relationship_code", lang).alias("relation"))
+    member = small(settle(member.join(code, "member", "left"), "members"))
     start = residents.select(F.col("entity_person_id").alias("id")).distinct()
     start = start if ids is None else start.join(ids, "id", "left_semi")
     reached = front = settle(start.select(F.col("id").alias("ego"), "id", F.lit(None).cast("string").alias("from"), F.lit(0).alias("way"), F.lit("self").alias("role"), F.lit(None).cast("string").alias("relation")), "start")
     for _ in range(depth):
-        seen = front.where(F.col("way") < PEER).select("ego", F.col("id").alias("from")).join(moves, "from").where("to <> ego")
+        ahead = front.where(F.col("way") < PEER).select("ego", F.col("id").alias("from"))
+        # a person meets its group, and the group its members: pairs of members are rows of networks only
+        inside = ahead.join(member.select(F.col("member").alias("from"), "family_group_id"), "from").join(member, "family_group_id").where(F.col("from") != F.col("member"))
+        inside = inside.select("ego", "from", F.col("member").alias("to"), F.lit(PEER).alias("way"), F.lit("family_member").alias("role"), "relation")
+        seen = ahead.join(moves, "from").select("ego", "from", "to", "way", "role", "relation").unionByName(inside).where("to <> ego")
         best = seen.groupBy("ego", F.col("to").alias("id")).agg(F.min(F.struct("way", "from", "role", "relation")).alias("b"))
         new = best.select("ego", "id", "b.from", "b.way", "b.role", "b.relation").join(reached.select("ego", "id"), ["ego", "id"], "left_anti")
         front = settle(new, "front")

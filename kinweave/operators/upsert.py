@@ -2,38 +2,72 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def merge(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
-    """Rows of ``source``, and those of ``target`` whose key it lacks."""
-    return target.join(source.select(*key).distinct(), key, "left_anti").unionByName(source)
+    """Rows of ``source``, and those of ``target`` whose key it lacks; a null in a key is a value like others, so a rerun changes nothing."""
+    t, k = target.alias("t"), source.select(*key).distinct().alias("k")
+    kept = t.join(k, [F.col(f"t.{c}").eqNullSafe(F.col(f"k.{c}")) for c in key], "left_anti")
+    return kept.unionByName(source)
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: list[str], partition_by: list[str] | None = None) -> None:
     """Merges into a table kept as numbered versions below ``path``.
 
-    The new version is written whole beside the old one, and the pointer file
-    that names it is renamed into place only then, so a reader never meets a
-    half-written table and a failed run changes nothing.
+    The new version is written whole beside the old one, under a name of its
+    own, and moved to its number only then; the pointer file that names it is
+    created last, so a reader never meets a half-written table and a failed run
+    changes nothing.  A source that repeats a key is refused.  Of two writers of
+    one version the second finds the number taken and raises RuntimeError.
     """
     from pyspark.errors import AnalysisException
 
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    hpath = jvm.org.apache.hadoop.fs.Path
-    fs = hpath(path).getFileSystem(conf)
     version = current_version(spark, path)
+    if repeated_keys(source, key).limit(1).count():
+        raise ValueError(f"{path}: the source repeats a key")
     if version is not None:
         try:
             source = merge(read_table(spark, path).select(*source.columns), source, key)
         except AnalysisException as e:
             raise ValueError(f"{path}: the table and the source have different columns") from e
+    _publish(spark, path, source, partition_by, version)
+
+
+def _publish(spark: SparkSession, path: str, source: DataFrame, partition_by: list[str] | None, version: int | None) -> None:
+    """Writes ``source`` as the version after ``version``, which it was made from."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path
+    fs = hpath(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     new = 0 if version is None else version + 1
-    writer = source.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{path}/v{new}")
-    fs.create(hpath(f"{path}/_current_{new}"), True).close()
+    own = f"{path}/_new-{uuid.uuid4().hex}"
+    (source.write.partitionBy(*partition_by) if partition_by else source.write).parquet(own)
+    try:
+        fs.create(hpath(f"{path}/_writer_{new}"), False).close()
+    except Exception as e:  # the file system refuses to create what is there
+        fs.delete(hpath(own), True)
+        raise RuntimeError(f"{path}: version {new} is being written by another run, or by one that failed (then remove _writer_{new})") from e
+    try:
+        if fs.exists(hpath(f"{path}/_current_{new}")):
+            raise RuntimeError(f"{path}: another run has written version {new}")
+        fs.delete(hpath(f"{path}/v{new}"), True)  # left by a run that failed before its pointer
+        if not fs.rename(hpath(own), hpath(f"{path}/v{new}")):
+            raise RuntimeError(f"{path}: version {new} could not be moved into place")
+        fs.create(hpath(f"{path}/_current_{new}"), False).close()
+    finally:
+        fs.delete(hpath(f"{path}/_writer_{new}"), False)
+
+
+def delete_keys(spark: SparkSession, path: str, gone: DataFrame, key: list[str], partition_by: list[str] | None = None) -> None:
+    """A new version without the rows whose key is in ``gone``; nothing happens if there is no version yet."""
+    version = current_version(spark, path)
+    if version is None:
+        return
+    t, k = read_table(spark, path).alias("t"), gone.select(*key).distinct().alias("k")
+    _publish(spark, path, t.join(k, [F.col(f"t.{c}").eqNullSafe(F.col(f"k.{c}")) for c in key], "left_anti"), partition_by, version)
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:

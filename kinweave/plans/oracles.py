@@ -24,7 +24,28 @@ _LAYOUT = """SELECT ego, id, CAST(round(x, 6) AS DOUBLE) AS x, CAST(y AS DOUBLE)
       ON e.ego = k.ego AND e.source = k.id WHERE k.kin IN ('son', 'daughter', 'child') GROUP BY 1, 2))"""
 _TOP = "SELECT {k}, count(*) AS n FROM {t} GROUP BY 1 ORDER BY n DESC, {k} LIMIT 10"
 
+_ONE = "(SELECT entity_person_id FROM cit_alias WHERE spm_person_no = 'P0000000100')"
+_JSON = """SELECT n.ego AS entity_person_id, CAST(to_json(struct_pack(root := n.ego, lang := 'en', depth := 3, nodes := n.nodes, edges := coalesce(e.edges, []), generated_at := '2024-01-01T00:00:00Z')) AS VARCHAR) AS ego_json
+  FROM (SELECT ego, list(struct_pack(id := id, label := label, sex := sex, kin := kin, cluster := cluster) ORDER BY id) AS nodes FROM ego_nodes GROUP BY 1) n
+  LEFT JOIN (SELECT ego, list(struct_pack(source := source, target := target, type := type) ORDER BY source, target, type) AS edges FROM ego_edges GROUP BY 1) e USING (ego)"""
 _FINAL = {
+    "ego_one_nodes": f"SELECT * FROM ego_nodes WHERE ego IN {_ONE}",
+    "ego_one_edges": f"SELECT * FROM ego_edges WHERE ego IN {_ONE}",
+    "ego_one_nodes_ar": f"SELECT ego, id, coalesce(label, id) AS label, sex, CASE WHEN ego = id THEN {kin_ar("''", "CAST(NULL AS VARCHAR)")} ELSE {kin_ar('path', 'sex')} END AS kin FROM ego_reach WHERE ego IN {_ONE}",
+    "ego_one_nodes_depth1": f"SELECT n.* FROM ego_nodes n JOIN ego_reach r USING (ego, id) WHERE r.g <= 1 AND n.ego IN {_ONE}",
+    "ego_one_details": f"SELECT n.*, coalesce(c.full_name_ar, c.full_name) AS label_ar, CAST(c.dob AS VARCHAR) AS dob FROM ego_nodes n LEFT JOIN cit_gold c ON c.entity_person_id = n.id WHERE n.ego IN {_ONE}",
+    "ego_resident_one_nodes": "SELECT * FROM net_nodes WHERE ego = (SELECT min(entity_person_id) FROM res_gold)",
+    "tree_one": "SELECT * FROM tier_nodes WHERE ego = 'P0000000100'",
+    "lca_one": """SELECT a, b, ancestor_id, full_name, da, db, total_depth, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY total_depth, da, db, ancestor_id) AS rank FROM (
+  WITH RECURSIVE up(start, id, d) AS (SELECT id, id, 0 FROM people WHERE id IN ('P0000000100', 'P0000000109') UNION SELECT u.start, c.parent, u.d + 1 FROM up u JOIN child_of c ON c.child = u.id),
+    near AS (SELECT start, id, min(d) AS d FROM up GROUP BY 1, 2)
+  SELECT x.start AS a, y.start AS b, x.id AS ancestor_id, p.label AS full_name, x.d AS da, y.d AS db, x.d + y.d AS total_depth
+  FROM near x JOIN near y USING (id) LEFT JOIN people p ON p.id = x.id WHERE x.start = 'P0000000100')) WHERE rank <= 20""",
+    "cache_one": f"SELECT * FROM ({_JSON}) WHERE entity_person_id IN {_ONE}",
+    "payload_json": _JSON,
+    "csv_roundtrip": "SELECT me AS spm_person_no, father AS spm_person_no_father, mother AS spm_person_no_mother, crm_seq, rel1 AS rel1_code FROM detail",
+    "id_file": "SELECT * FROM people WHERE id IN (SELECT head FROM master)",
+    "table_upsert": "SELECT id, CASE WHEN sex = 'F' THEN upper(label) ELSE label END AS label, coalesce(sex, '?') AS sex, CASE WHEN sex = 'F' THEN 'new' ELSE 'old' END AS state FROM people",
     "normalize_person": "SELECT spm_person_no, name_ar_norm, name_en_norm, CAST(dob_norm AS VARCHAR) AS dob_norm, national_id_norm, gender_norm FROM cit_norm",
     "cluster_key_citizen": "SELECT spm_person_no, cluster_key FROM cit_key",
     "cluster_key_basic": "SELECT spm_person_no, cluster_key FROM basic_key",

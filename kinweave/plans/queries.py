@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 from ..functions import kin as K
 from ..functions import text as T
 from ..operators import ego, graph, layout, links, payload, reports, resolve, upsert
-from ..operators.tables import settle
+from ..operators.tables import settle, shared_dir
 from ..sources import bronze
 
 #: The instant that cached payloads carry in queries.
 GENERATED = "2024-01-01 00:00:00"
+#: Person numbers of the queries about one person, or one pair.
+ONE, OTHER = "P0000000100", "P0000000109"
 
 
 class Registry:
@@ -58,6 +61,15 @@ class Registry:
     def residents(self) -> DataFrame:
         return resolve.golden_residents(self.joined)
 
+    @cached_property
+    def resident_table(self) -> DataFrame:
+        """The residents, written once: links, names and networks read them."""
+        return settle(self.residents, "residents")
+
+    @cached_property
+    def resident_ids(self) -> DataFrame:
+        return self.resident_table.select(F.col("entity_person_id").alias("id"))
+
     @cached_property
     def resident_alias(self) -> DataFrame:
         return resolve.alias_residents(self.joined)
@@ -76,11 +88,11 @@ class Registry:
 
     @cached_property
     def sponsorship(self) -> DataFrame:
-        return settle(links.sponsorship_links(self.residents, self.sponsors), "sponsorship")
+        return settle(links.sponsorship_links(self.resident_table, self.sponsors), "sponsorship")
 
     @cached_property
     def groups(self) -> DataFrame:
-        return links.family_groups(self.residents, self.sponsors)
+        return links.family_groups(self.resident_table, self.sponsors)
 
     @cached_property
     def child_of(self) -> DataFrame:
@@ -109,11 +121,11 @@ class Registry:
     @cached_property
     def names(self) -> DataFrame:
         cols = [F.col("entity_person_id").alias("id"), F.col("full_name").alias("label"), "sex", "person_type"]
-        return self.citizens.select(*cols).unionByName(self.residents.select(*cols))
+        return settle(self.citizens.select(*cols).unionByName(self.resident_table.select(*cols)), "names")
 
     @cached_property
     def network(self) -> tuple[DataFrame, DataFrame]:
-        return ego.resident_ego(settle(self.residents, "residents"), self.sponsorship, settle(self.groups, "groups"), self.names.drop("person_type"))
+        return ego.resident_ego(self.resident_table, self.sponsorship, settle(self.groups, "groups"), self.names.drop("person_type"))
 
     @cached_property
     def sponsored_by(self) -> DataFrame:
@@ -127,6 +139,14 @@ class Registry:
     def cache(self) -> DataFrame:
         return payload.payloads(*self.ego, generated_at=GENERATED)
 
+    @cached_property
+    def one(self) -> DataFrame:
+        """The entity of one person number."""
+        return self.citizen_alias.where(F.col("spm_person_no") == ONE).select(F.col("entity_person_id").alias("id"))
+
+    def ego_of_one(self, lang: str = "en", depth: int = 3) -> tuple[DataFrame, DataFrame]:
+        return ego.citizen_ego(settle(self.ego_people, "people"), settle(self.parents, "parents"), settle(self.spouses, "spouses"), ids=self.one, lang=lang, depth=depth)
+
     @cached_property
     def pairs(self) -> DataFrame:
         """Pairs of persons nine numbers apart."""
@@ -136,6 +156,53 @@ class Registry:
         return k.join(other, "k").select(no(F.col("k")).alias("a"), no(F.col("k") + 9).alias("b"))
 
 
+def _files(r: Registry, name: str) -> str:
+    """A new folder below the shared one."""
+    return f"{shared_dir(r.spark)}/registry/{name}-{uuid.uuid4().hex}"
+
+
+def _csv(r: Registry) -> DataFrame:
+    """Details exported as a delimited file and read back by their declared schema, with a file that is absent."""
+    path = _files(r, "csv")
+    upsert.export_csv(r.detail.select(*bronze.DETAIL_SCHEMA.names), path)
+    return bronze.read_csv(r.spark, path, bronze.DETAIL_SCHEMA).unionByName(bronze.read_optional_csv(r.spark, f"{path}-absent", bronze.DETAIL_SCHEMA))
+
+
+def _id_file(r: Registry) -> DataFrame:
+    """Heads of books as a file of ids, and the persons that it names."""
+    path = _files(r, "ids")
+    r.master.select(F.col("spm_person_no").alias("value")).write.text(path)
+    return r.people.join(bronze.read_ids(r.spark, path), "id", "left_semi")
+
+
+def _table(r: Registry) -> DataFrame:
+    """All persons in a partitioned table, then all women merged over them with other values, twice."""
+    path = _files(r, "table")
+    people = r.people.select("id", "label", F.coalesce("sex", F.lit("?")).alias("sex"))
+    new = people.where("sex = 'F'").select("id", F.upper("label").alias("label"), "sex", F.lit("new").alias("state"))
+    upsert.upsert_table(r.spark, path, people.withColumn("state", F.lit("old")), ["id"], partition_by=["sex"])
+    for _ in range(2):
+        upsert.upsert_table(r.spark, path, new, ["id"], partition_by=["sex"])
+    return upsert.read_table(r.spark, path).select("id", "label", "sex", "state")
+
+
+def _cached(r: Registry) -> DataFrame:
+    """The document of one person, looked up in a cache table of it and its parents, which was also exported line by line."""
+    path = _files(r, "cache")
+    made = settle(payload.payloads(*r.ego_of_one(), generated_at=GENERATED), "payloads")
+    upsert.upsert_table(r.spark, path, made, ["entity_person_id"])
+    upsert.export_json(upsert.read_table(r.spark, path), f"{path}-json")
+    lines = r.spark.read.text(f"{path}-json").select(F.col("value").alias("ego_json")).distinct()
+    hit = upsert.read_table(r.spark, path).join(r.one.withColumnRenamed("id", "entity_person_id"), "entity_person_id", "left_semi")
+    return hit.join(lines, "ego_json", "left_semi").select("entity_person_id", "ego_json")
+
+
+def _lca_one(r: Registry) -> DataFrame:
+    """Common ancestors of one pair, and of a person with itself."""
+    pairs = r.people.where(F.col("id") == ONE).select(F.col("id").alias("a"), F.explode(F.array(F.lit(OTHER), F.col("id"))).alias("b"))
+    return graph.common_ancestors(pairs, r.child_of, r.people, limit=20, depth=None)
+
+
 #: Paths that the kin queries label: all signatures of up to five steps.
 def _paths(spark: SparkSession) -> DataFrame:
     """All signatures of at most five steps with each sex."""
@@ -250,15 +317,29 @@ FUNCTIONS = {
     "tree_five_tier_nodes": lambda r: r.tiers,
     "tree_five_tier_edges": lambda r: graph.induced_edges(settle(r.tiers, "tiers"), r.child_of, r.spouse_of),
     "tree_citizen_kin": lambda r: graph.citizen_tree_nodes(r.egos, r.people, r.child_of, r.spouse_of),
-    "tree_resident": lambda r: graph.resident_tree(r.residents.select(F.col("entity_person_id").alias("id")), r.names, r.sponsored_by)[0],
-    "tree_resident_edges": lambda r: graph.resident_tree(r.residents.select(F.col("entity_person_id").alias("id")), r.names, r.sponsored_by)[1],
-    "tree_unified": lambda r: graph.unified_tree(r.egos.unionByName(r.residents.select(F.col("entity_person_id").alias("id"))), graph.citizen_tree_nodes(r.egos, r.people, r.child_of, r.spouse_of), graph.resident_tree(r.residents.select(F.col("entity_person_id").alias("id")), r.names, r.sponsored_by)[0]),
+    "tree_resident": lambda r: graph.resident_tree(r.resident_ids, r.names, r.sponsored_by)[0],
+    "tree_resident_edges": lambda r: graph.resident_tree(r.resident_ids, r.names, r.sponsored_by)[1],
+    "tree_unified": lambda r: graph.unified_tree(r.egos.unionByName(r.resident_ids), graph.citizen_tree_nodes(r.egos, r.people, r.child_of, r.spouse_of), graph.resident_tree(r.resident_ids, r.names, r.sponsored_by)[0]),
     "sponsored_family": lambda r: graph.sponsored_family(r.sponsored_by, r.residents.select(F.col("entity_person_id").alias("id")), r.sponsored_by.select(F.col("parent").alias("id"))),
-    "lca_pairs": lambda r: graph.common_ancestors(r.pairs, r.child_of, r.people, limit=None, depth=None).drop("rank"),
-    "lca_topk": lambda r: graph.common_ancestors(r.pairs, r.child_of, r.people, limit=1, depth=None),
+    "lca_pairs": lambda r: graph.common_ancestors(r.pairs, r.child_of, r.people, limit=None, depth=None, bulk=True).drop("rank"),
+    "lca_topk": lambda r: graph.common_ancestors(r.pairs, r.child_of, r.people, limit=1, depth=None, bulk=True),
     "relationships_of": lambda r: graph.relationships(graph.induced_edges(settle(r.tiers, "tiers"), r.child_of, r.spouse_of)),
     "layout_five_tier": _layout,
     "layout_bounds": lambda r: _round(layout.bounding_box(_layout(r))),
+    # one person
+    "ego_one_nodes": lambda r: r.ego_of_one()[0],
+    "ego_one_edges": lambda r: r.ego_of_one()[1],
+    "ego_one_nodes_ar": lambda r: r.ego_of_one(lang="ar")[0].drop("cluster"),
+    "ego_one_nodes_depth1": lambda r: r.ego_of_one(depth=1)[0],
+    "ego_one_details": lambda r: ego.with_details(r.ego_of_one()[0], r.citizens),
+    "ego_resident_one_nodes": lambda r: ego.resident_ego(r.resident_table, r.sponsorship, settle(r.groups, "groups"), r.names.drop("person_type"), ids=r.resident_ids.agg(F.min("id").alias("id")))[0],
+    "tree_one": lambda r: graph.five_tier_nodes(r.egos.where(F.col("id") == ONE), r.people, r.child_of, r.spouse_of),
+    "lca_one": _lca_one,
+    "cache_one": _cached,
+    # files and tables
+    "csv_roundtrip": _csv,
+    "id_file": _id_file,
+    "table_upsert": _table,
     # cache and loads
     "upsert_merge": _upsert,
     "edge_endpoint_check": lambda r: upsert.loadable_edges(r.sponsorship.select(F.col("sponsored_entity_person_id").alias("src"), F.col("sponsor_entity_person_id").alias("dst")), r.residents.select(F.col("entity_person_id").alias("id"))),

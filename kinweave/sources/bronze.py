@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -30,8 +28,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def read_optional_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """As ``read_csv``; a local file that is absent gives an empty table of the same schema."""
-    if "://" not in path and not os.path.exists(path):
+    """As ``read_csv``; a file that is absent, in whatever file system, gives an empty table of the same schema."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
         return spark.createDataFrame([], schema)
     return read_csv(spark, path, schema)
 

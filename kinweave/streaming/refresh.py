@@ -8,25 +8,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ego import citizen_reach, kin_steps
-from ..operators.upsert import upsert_table
+from ..operators.ego import citizen_reach, kin_steps, near_steps
+from ..operators.tables import settle
+from ..operators.upsert import delete_keys, read_table, upsert_table
 
 
-def affected(changed: DataFrame, parent_links: DataFrame, spouse_links: DataFrame, depth: int = 3) -> DataFrame:
-    """The changed ids and everybody whose network of that depth holds one of them: reach is symmetric."""
-    return citizen_reach(changed.select("id"), kin_steps(parent_links, spouse_links), depth).select("id").distinct()
+def affected(changed: DataFrame, parent_links: DataFrame, spouse_links: DataFrame, depth: int = 3, old: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """The changed ids and everybody whose network of that depth holds one of them: reach is symmetric.
+
+    ``old``: the parent and spouse links before the change; who lost a link to a
+    changed person is found over these, so both are walked.
+    """
+    ids = changed.select("id").distinct()
+    found = ids
+    for parents, spouses in ((parent_links, spouse_links), *([old] if old else [])):
+        steps = near_steps(ids, settle(kin_steps(parents, spouses), "steps"), depth)
+        found = found.unionByName(citizen_reach(ids, steps, depth).select("id"))
+    return found.distinct()
 
 
 def refresh(changes: DataFrame, build: Callable[[DataFrame], DataFrame], widen: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """For each batch of ``changes(id)``: widen the ids, rebuild their documents and merge them into the table at ``path``.
 
-    A batch that runs again merges the same rows, so the table is exact after a failure.
+    Ids for which ``build`` gives no document (persons that are gone) lose
+    theirs.  A batch that runs again merges the same rows, so the table is exact
+    after a failure.
     """
 
     def one(batch: DataFrame, _: int) -> None:
         ids = batch.where(F.col("id").isNotNull()).select("id").distinct()
         if ids.limit(1).count():
-            upsert_table(batch.sparkSession, path, build(widen(ids)), ["entity_person_id"])
+            spark = batch.sparkSession
+            wide = settle(widen(ids), "refresh")
+            made = settle(build(wide), "documents")
+            upsert_table(spark, path, made, ["entity_person_id"])
+            gone = wide.select(F.col("id").alias("entity_person_id")).join(made.select("entity_person_id"), "entity_person_id", "left_anti")
+            if read_table(spark, path).join(gone, "entity_person_id", "left_semi").limit(1).count():
+                delete_keys(spark, path, gone, ["entity_person_id"])
 
     writer = changes.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
