@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.kin import kin, kin_cluster
 from ..functions.text import relation_label
-from .tables import settle, small
+from .tables import SMALL, settle, small
 
 
 def kin_steps(parent_links: DataFrame, spouse_links: DataFrame) -> DataFrame:
@@ -41,16 +41,27 @@ def near_steps(egos: DataFrame, steps: DataFrame, depth: int) -> DataFrame:
     the networks themselves.
     """
     vertical, married = steps.where("kind <> 'S'"), steps.where("kind = 'S'")
+    hint = lambda df, n: F.broadcast(df) if n <= SMALL else df
     seen = front = settle(egos.select("id").distinct(), "near")
+    total = count_ = front.count()
+
+    def walk(over: DataFrame, start: DataFrame, n: int) -> tuple[DataFrame, int]:
+        """Who one step from ``start`` leads to and nobody has reached yet."""
+        ahead = over.join(hint(start.withColumnRenamed("id", "from"), n), "from", "left_semi").select(F.col("to").alias("id")).join(hint(seen, total), "id", "left_anti").distinct()
+        new = settle(ahead.coalesce(1) if n <= SMALL // 100 else ahead, "near")
+        return new, new.count()
+
     for g in range(depth + 1):
         if g:
-            front = settle(vertical.join(small(front), vertical["from"] == front["id"]).select(F.col("to").alias("id")).distinct().join(seen, "id", "left_anti"), "near")
-            seen = seen.unionByName(front)
-        wave = front
-        while wave.limit(1).count():
-            wave = settle(married.join(small(wave), married["from"] == wave["id"]).select(F.col("to").alias("id")).distinct().join(seen, "id", "left_anti"), "near")
-            seen, front = seen.unionByName(wave), front.unionByName(wave)
-    return settle(steps.join(small(settle(seen, "near")), F.col("from") == F.col("id"), "left_semi"), "steps")
+            front, count_ = walk(vertical, front, count_)
+            seen, total = seen.unionByName(front), total + count_
+        wave, n = front, count_
+        while n:
+            wave, n = walk(married, wave, n)
+            if n:
+                seen, total, front, count_ = seen.unionByName(wave), total + n, front.unionByName(wave), count_ + n
+    near = steps.join(hint(seen.withColumnRenamed("id", "from"), total), "from", "left_semi").select(*steps.columns)
+    return settle(near.coalesce(1) if total <= SMALL // 100 else near, "steps")
 
 
 def citizen_reach(egos: DataFrame, steps: DataFrame, depth: int = 3) -> DataFrame:

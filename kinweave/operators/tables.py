@@ -36,6 +36,10 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
-def small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+#: Rows up to which a settled table may be sent to all tasks.
+SMALL = 200_000
+
+
+def small(df: DataFrame, rows: int = SMALL) -> DataFrame:
     """A settled table, marked for broadcast if it has at most ``rows`` rows (a count from file footers); larger ones are left to shuffle joins."""
     return F.broadcast(df) if df.count() <= rows else df
