@@ -336,7 +336,7 @@ def near_components(fps: DataFrame, radius: int, similarity: float | None = None
     keys = sampled_keys(count, bits, similarity) if similarity else exact_keys(count, radius, bits)
     root = components(bucket_links(node, radius, keys))
     named = node.join(root, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    label = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    label = cut(named.groupBy("root").agg(F.min("low").alias("component_id")), "lows")
     label = cut(named.join(label, "root").select("fp", "component_id"), "labels")
     return fps.join(label, "fp").select("doc_id", "fp", "component_id")
 
@@ -447,7 +447,7 @@ def near_copies(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILA
         texts = texts.dropDuplicates(["key", "sid"])
     root = components(verified_links(cut(texts, "asked-texts"), radius, size, similarity, group))
     named = nodes.join(root, F.col("sid") == F.col("node"), "left").select("sid", "low", F.coalesce("root", "sid").alias("root"))
-    label = named.groupBy("root").agg(F.min("low").alias("first"))
+    label = cut(named.groupBy("root").agg(F.min("low").alias("first")), "lows")
     return rows, cut(named.join(label, "root").select("sid", "first"), "labels")
 
 
