@@ -297,10 +297,7 @@ part(
     UNION SELECT x.child, y.parent FROM spon x JOIN spon y ON y.child = x.parent UNION SELECT y.parent, x.child FROM spon x JOIN spon y ON y.child = x.parent) e JOIN net_names n ON n.id = e.id JOIN res_gold r ON r.entity_person_id = e.ego""",
 )
 part("pairs", "SELECT DISTINCT 'P' || lpad(CAST(k AS VARCHAR), 10, '0') AS a, 'P' || lpad(CAST(k + 9 AS VARCHAR), 10, '0') AS b FROM pedigree WHERE k + 9 IN (SELECT k FROM pedigree)")
-part("anc_0", "SELECT id, id AS rel, 0 AS d FROM people")
-for _d in range(1, 11):
-    part(f"anc_{_d}", f"SELECT DISTINCT x.id, c.parent AS rel, {_d} AS d FROM anc_{_d - 1} x JOIN child_of c ON c.child = x.rel")
-part("anc", "SELECT id, rel, min(d) AS d FROM (" + " UNION ALL ".join(f"SELECT * FROM anc_{d}" for d in range(11)) + ") GROUP BY 1, 2")
+part("anc", """SELECT id, rel, min(d) AS d FROM (WITH RECURSIVE up(id, rel, d) AS (SELECT id, id, 0 FROM people UNION SELECT u.id, c.parent, u.d + 1 FROM up u JOIN child_of c ON c.child = u.rel) SELECT * FROM up) GROUP BY 1, 2""")
 part(
     "lca",
     """SELECT p.a, p.b, x.rel AS ancestor_id, n.label AS full_name, x.d AS da, y.d AS db, x.d + y.d AS total_depth, CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY x.d + y.d, x.d, y.d, x.rel) AS INTEGER) AS rank

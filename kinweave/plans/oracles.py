@@ -107,14 +107,15 @@ _FINAL = {
   UNION ALL SELECT ego, 'spouse', CASE WHEN source = ego THEN target ELSE source END FROM tier_edges WHERE type = 'SPOUSE_OF' AND ego IN (source, target))""",
     "layout_five_tier": _LAYOUT,
     "layout_bounds": f"SELECT ego, min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y, round((min(x) + max(x)) / 2, 6) AS mid_x, round((min(y) + max(y)) / 2, 6) AS mid_y FROM ({_LAYOUT}) GROUP BY 1",
-    "upsert_merge": """SELECT id, label, 'old' AS state FROM people WHERE id < 'P0000001000' AND NOT (id LIKE '%7' OR id >= 'P0000000990') UNION ALL SELECT id, upper(label), 'new' FROM people WHERE id LIKE '%7' OR id >= 'P0000000990'""",
+    "upsert_merge": """SELECT id, label, 'old' AS state FROM people WHERE id IN (SELECT child FROM child_of) AND id NOT IN (SELECT parent FROM child_of WHERE parent IS NOT NULL)
+  UNION ALL SELECT id, upper(label), 'new' FROM people WHERE id IN (SELECT parent FROM child_of)""",
     "edge_endpoint_check": "SELECT DISTINCT child AS src, parent AS dst FROM spon WHERE child IN (SELECT entity_person_id FROM res_gold) AND parent IN (SELECT entity_person_id FROM res_gold)",
     "sponsor_autocreate": "SELECT entity_person_id AS id, person_type FROM res_gold UNION ALL SELECT DISTINCT parent, CASE WHEN parent LIKE 'C:%' THEN 'citizen' ELSE 'resident' END FROM spon WHERE parent NOT IN (SELECT entity_person_id FROM res_gold)",
     "payload_roundtrip": "SELECT n.ego, n.nodes, coalesce(e.edges, 0) AS edges FROM (SELECT ego, count(*) AS nodes FROM ego_nodes GROUP BY 1) n LEFT JOIN (SELECT ego, count(*) AS edges FROM ego_edges GROUP BY 1) e USING (ego)",
     "payload_adjacency": "SELECT DISTINCT ego, target AS a, source AS b, type AS kind FROM ego_edges",
     "dup_entities_having": "SELECT entity_person_id, count(*) AS n FROM cit_alias GROUP BY 1 HAVING count(*) > 1",
     "count_by_person_type": "SELECT person_type, count(*) AS n FROM (SELECT person_type FROM cit_gold UNION ALL SELECT person_type FROM res_gold) GROUP BY 1",
-    "cache_coverage": "SELECT count(*) AS persons, count(*) FILTER (substr(entity_person_id, 3, 1) < '8') AS cached, CAST(round(count(*) FILTER (substr(entity_person_id, 3, 1) < '8') * 100.0 / count(*), 2) AS DOUBLE) AS percent FROM cit_gold",
+    "cache_coverage": "SELECT count(*) AS persons, count(child) AS cached, CAST(round(count(child) * 100.0 / count(*), 2) AS DOUBLE) AS percent FROM cit_gold LEFT JOIN (SELECT DISTINCT child_entity_person_id AS child FROM plinks) ON child = entity_person_id",
     "top_parents": _TOP.format(k="parent_entity_person_id", t="plinks"),
     "largest_books": _TOP.format(k="family_book_id", t="membership"),
     "top_sponsors": _TOP.format(k="sponsor_entity_person_id", t="slinks_r"),

@@ -223,9 +223,10 @@ def _query(f):
 
 
 def _upsert(r: Registry) -> DataFrame:
-    """Entities of person numbers below a bound, then all books' heads with other values merged over them."""
-    base = r.people.where("id < 'P0000001000'").select("id", "label", F.lit("old").alias("state"))
-    new = r.people.where("id like '%7' or id >= 'P0000000990'").select("id", F.upper("label").alias("label"), F.lit("new").alias("state"))
+    """All persons with a parent, then all parents with other values merged over them: some are new, some change, some stay."""
+    has = lambda column: r.people.join(r.child_of.select(F.col(column).alias("id")).distinct(), "id", "left_semi")
+    base = has("child").select("id", "label", F.lit("old").alias("state"))
+    new = has("parent").select("id", F.upper("label").alias("label"), F.lit("new").alias("state"))
     return upsert.merge(base, new, ["id"])
 
 
@@ -245,9 +246,9 @@ def _relation_labels(r: Registry) -> DataFrame:
     return codes.select("code", T.relation_label("code").alias("en"), T.relation_label("code", "ar").alias("ar"))
 
 
-def _half(r: Registry) -> DataFrame:
-    """A cache that holds some of the entities, for the coverage report."""
-    return r.citizens.where("substring(entity_person_id, 3, 1) < '8'").select("entity_person_id")
+def _with_parents(r: Registry) -> DataFrame:
+    """A cache that holds the entities with a linked parent, for the coverage report."""
+    return r.parents.select(F.col("child_entity_person_id").alias("entity_person_id")).distinct()
 
 
 def _latest(r: Registry) -> DataFrame:
@@ -350,7 +351,7 @@ FUNCTIONS = {
     # reports
     "dup_entities_having": lambda r: upsert.repeated_keys(r.citizen_alias, ["entity_person_id"]),
     "count_by_person_type": lambda r: reports.count_by_type(r.citizens, r.residents),
-    "cache_coverage": lambda r: reports.coverage(r.citizens, _half(r)),
+    "cache_coverage": lambda r: reports.coverage(r.citizens, _with_parents(r)),
     "top_parents": lambda r: reports.top(r.parents, "parent_entity_person_id"),
     "largest_books": lambda r: reports.top(links.family_membership(r.detail, r.master, r.citizen_alias), "family_book_id"),
     "top_sponsors": lambda r: reports.top(r.sponsorship, "sponsor_entity_person_id"),
