@@ -72,3 +72,64 @@ def test_decisions_equal_brute_force(spark):
 
 def test_every_operator_is_registered():
     assert [n.split("_")[0] for n in registry.QUERIES] == [f"op{k}" for k in range(1, 11)]
+
+
+AWKWARD = [
+    (1, "the quick brown fox jumps over the lazy dog near the old river bank today", "en", "a", 1),
+    (1, "a completely different text that only shares its number with the first one", "en", "a", 1),
+    (None, "der schnelle braune Fuchs springt heute wieder über den faulen Hund am Fluss", "de", None, 2),
+    (None, "das Wetter in den Bergen war gestern Abend kalt und sehr windig geblieben", "de", None, 2),
+    (2, "word " * 40_000 + "at the very end another sentence stands that nothing repeats", "en", "b", 3),
+    (3, None, None, None, None),
+    (4, "", "en", "b", 4),
+    (5, "12 34 -- 56", None, "b", 5),
+    (6, "the quick brown fox jumps over the lazy dog near the old river bank today", "en", "a", 6),
+    (6, "the quick brown fox jumps over the lazy dog near the old river bank today", "en", "a", 6),
+]
+#: Columns of documents, and some whose names the stages use themselves.
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars int"
+
+
+def _docs(spark, rows):
+    docs = spark.createDataFrame(rows, SCHEMA)
+    return docs.selectExpr("*", "'t' AS th", "1 AS size", "'k' AS key", "0L AS start", "'r' AS root")
+
+
+def _benchmark(spark, folder, rows):
+    spark.createDataFrame(rows, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+def test_stages_of_awkward_rows(spark, tmp_path):
+    sf = _benchmark(spark, tmp_path, [(1, "the weather is not what it was when all of us were young"), (2, None), (3, "")])
+    stages, docs = dict(corpus_pipeline.STAGES), _docs(spark, AWKWARD)
+    ids = lambda df: Counter((r["doc_id"], (r["text"] or "")[:9]) for r in df.collect())
+    every = ids(docs)
+    # without a letter nothing is recognised
+    kept = stages["language_id"](spark, docs, sf)
+    assert kept.columns == docs.columns
+    assert not {3, 4, 5} & {i for i, _ in ids(kept)}
+    # copies give one row, null and empty texts one, and what only shares an id (or has none) stays
+    kept = stages["simhash_near_copies"](spark, docs, sf)
+    assert kept.columns == docs.columns
+    assert ids(kept) == Counter(k for k in every if k[0] not in (4, 6))
+    # nothing holds an item
+    kept = stages["benchmark_decontamination"](spark, docs, sf)
+    assert kept.columns == docs.columns and ids(kept) == every
+    # texts without a word go, no document stays more than three times for each of its rows
+    kept = stages["source_mixing"](spark, docs, sf)
+    assert kept.columns == docs.columns
+    assert all(i not in (3, 4) and n <= 3 * every[i, t] for (i, t), n in ids(kept).items())
+    # each row has its tokens
+    rows = stages["token_output"](spark, docs, sf).collect()
+    assert Counter(r["doc_id"] for r in rows) == Counter(i for i, *_ in AWKWARD)
+    assert {r["n_tokens"] for r in rows if r["doc_id"] in (3, 4)} == {1}
+
+
+def test_stages_of_nothing(spark, tmp_path):
+    sf = _benchmark(spark, tmp_path, [])
+    docs = _docs(spark, []).cache()
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, sf).collect() == []
+    full = _docs(spark, AWKWARD)
+    assert corpus_pipeline.benchmark_stage(spark, full, sf).count() == len(AWKWARD)
