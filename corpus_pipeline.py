@@ -12,8 +12,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Drops the documents whose language is not recognised; all columns stay as they are.
 
     Texts without a letter, null ones included, go.  Long texts are read whole,
-    repeated rows are each judged alike.  With no labelled row there is no
-    model, as ``language_id.train`` says; an empty table stays empty.
+    repeated rows are each judged alike.  With no labelled row to learn from
+    nothing is recognised and all go; an empty table stays empty.
     """
     return language_id.keep_identified(docs, language_id.train(docs))
 
