@@ -11,7 +11,7 @@ from .common import read, ship
 
 K = 5
 #: Rows of a block of candidates and of queries: what one task holds at a time.
-CANDIDATES, QUERIES = 8192, 512
+CANDIDATES, QUERIES = 8192, 4096
 #: Dimensions of a vertical block.
 DIMS = 16
 
