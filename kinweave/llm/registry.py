@@ -6,6 +6,7 @@ from .decontaminate import op4_decontamination
 from .language_id import op10_language_id
 from .license_scan import op8_license_scan
 from .mixing import op6_mixing
+from .ranking import OP11_SQL, op11_grouped_ranking
 from .simhash import op2_simhash
 from .substring_dedup import op1_substring_dedup
 from .token_store import op3_token_output
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_warc_archive": op9_warc_archive,
     "op10_language_id": op10_language_id,
+    "op11_grouped_ranking": op11_grouped_ranking,
 }
 
-SQL: dict[str, str] = {"op5_top_k": OP5_SQL, "op9_warc_archive": OP9_SQL}
+SQL: dict[str, str] = {"op5_top_k": OP5_SQL, "op9_warc_archive": OP9_SQL, "op11_grouped_ranking": OP11_SQL}
