@@ -13,6 +13,7 @@ from .token_store import op3_token_output
 from .topk import OP5_SQL, op5_top_k
 from .toxicity import op7_toxicity
 from .warc import OP9_SQL, op9_warc_archive
+from .whitening import op12_whitening
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_warc_archive": op9_warc_archive,
     "op10_language_id": op10_language_id,
     "op11_grouped_ranking": op11_grouped_ranking,
+    "op12_whitening": op12_whitening,
 }
 
 SQL: dict[str, str] = {"op5_top_k": OP5_SQL, "op9_warc_archive": OP9_SQL, "op11_grouped_ranking": OP11_SQL}
