@@ -45,7 +45,7 @@ class Moments:
         if len(self.sums) != len(other.sums):
             raise ValueError(f"vectors of {len(self.sums)} and of {len(other.sums)} entries")
         n = self.n + other.n
-        delta = (other.sums / other.n - self.sums / self.n).astype(np.float64)
+        delta = ((other.sums * self.n - self.sums * other.n) / (self.n * other.n)).astype(np.float64)  # of exact sums, rounded once
         return Moments(n, self.sums + other.sums, self.scatter + other.scatter + np.outer(delta, delta) * (self.n * other.n / n))
 
 
