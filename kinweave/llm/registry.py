@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontaminate import op4_decontamination
 from .language_id import op10_language_id
 from .license_scan import op8_license_scan
+from .minhash import OP13_SQL, op13_minhash
 from .mixing import op6_mixing
 from .ranking import OP11_SQL, op11_grouped_ranking
 from .simhash import op2_simhash
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_grouped_ranking": op11_grouped_ranking,
     "op12_whitening": op12_whitening,
+    "op13_minhash": op13_minhash,
 }
 
-SQL: dict[str, str] = {"op5_top_k": OP5_SQL, "op9_warc_archive": OP9_SQL, "op11_grouped_ranking": OP11_SQL}
+SQL: dict[str, str] = {"op5_top_k": OP5_SQL, "op9_warc_archive": OP9_SQL, "op11_grouped_ranking": OP11_SQL, "op13_minhash": OP13_SQL}
