@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from itertools import count
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.kin import kin, kin_cluster
 from ..functions.text import relation_label
-from .tables import SMALL, settle, small
+from .tables import SMALL, bucketed, hold, settle, small
 
 
 def kin_steps(parent_links: DataFrame, spouse_links: DataFrame) -> DataFrame:
@@ -20,17 +18,44 @@ def kin_steps(parent_links: DataFrame, spouse_links: DataFrame) -> DataFrame:
     return row(parent_links, c, p, "U").unionByName(row(parent_links, p, c, "D")).unionByName(row(spouse_links, h, w, "S")).unionByName(row(spouse_links, w, h, "S")).distinct()
 
 
-def marriage_chains(steps: DataFrame) -> DataFrame:
-    """(from, to, k): persons joined by k spouse steps and no fewer, k > 0, however long the chain.  It does not depend on an ego, so it is walked once."""
-    one = steps.where("kind = 'S'").select("from", "to").distinct()
-    front = chains = settle(one.withColumn("k", F.lit(1)), "chain")
-    for k in count(2):
-        on = front.select(F.col("from").alias("start"), F.col("to").alias("from")).join(small(one), "from").select(F.col("start").alias("from"), "to").where(F.col("from") != F.col("to")).distinct()
-        front = settle(on.join(chains.select("from", "to"), ["from", "to"], "left_anti").withColumn("k", F.lit(k)), "chain")
-        if not front.limit(1).count():
-            break
-        chains = chains.unionByName(front)
-    return chains
+def spouse_hubs(steps: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Distances over spouse steps without a row for each pair of persons: ``moves(from, to array<struct<hub, at, d>>)``, ``back(at, to, d)`` and the longest d.
+
+    A couple of which neither has another spouse is one move.  Of each larger
+    component one person is the hub, the one with most spouses: everybody gets
+    its distance to the hub, the hub is taken out, and what is left is treated
+    alike.  A shortest way between two persons leads through the hub of some
+    round, so its length is the least sum of two distances to a common hub.  A
+    star of any size has one hub; a person has about log2 of its component's size.
+    """
+    edges = settle(steps.where("kind = 'S'").where(F.col("from") != F.col("to")).select("from", "to").distinct(), "spouses")
+    degree = edges.groupBy("from").agg(F.count("*").alias("k"))
+    ends = edges.join(degree, "from").join(degree.select(F.col("from").alias("to"), F.col("k").alias("l")), "to").select("from", "to", "k", "l")
+    ends = settle(ends, "ends")
+    couple = ends.where("k = 1 and l = 1").select("from", F.lit(False).alias("hub"), F.col("to").alias("at"), F.lit(1).alias("d"))
+    rest = settle(ends.where("k > 1 or l > 1").select("from", "to"), "rest")
+    labels = None
+    while rest.limit(1).count():
+        near = rest.groupBy("from").agg(F.count("*").alias("k")).select(F.col("from").alias("id"), F.struct("k", F.col("from").alias("hub")).alias("p"), F.lit(0).alias("d"))
+        before = None
+        while True:  # everybody takes the foremost hub that a spouse knows, at the least distance
+            ahead = rest.join(near, rest["from"] == near["id"]).select(F.col("to").alias("id"), "p", (F.col("d") + 1).alias("d"))
+            near = near.unionByName(ahead).groupBy("id").agg(F.max(F.struct("p", (-F.col("d")).alias("m"))).alias("b")).select("id", "b.p", (-F.col("b.m")).alias("d"))
+            near = settle(near, "hubs")
+            now = near.agg(F.sum(F.xxhash64("id", "p", "d").cast("decimal(38,0)"))).first()[0]
+            if now == before:
+                break
+            before = now
+        found = near.select("id", F.col("p.hub").alias("at"), "d")
+        labels = found if labels is None else labels.unionByName(found)
+        taken = found.where("d = 0").select(F.col("id").alias("from"))
+        rest = settle(rest.join(taken, "from", "left_anti").join(taken.withColumnRenamed("from", "to"), "to", "left_anti").select("from", "to"), "rest")
+    if labels is None:
+        labels = couple.select(F.col("from").alias("id"), "at", "d").limit(0)
+    moves = couple.unionByName(labels.select(F.col("id").alias("from"), F.lit(True).alias("hub"), "at", "d"))
+    moves = settle(moves.groupBy("from").agg(F.collect_list(F.struct("hub", "at", "d")).alias("to")), "moves")
+    back = settle(labels.select("at", F.col("id").alias("to"), "d"), "back")
+    return moves, back, back.agg(F.coalesce(F.max("d"), F.lit(0))).first()[0]
 
 
 def near_steps(egos: DataFrame, steps: DataFrame, depth: int) -> DataFrame:
@@ -64,31 +89,106 @@ def near_steps(egos: DataFrame, steps: DataFrame, depth: int) -> DataFrame:
     return settle(near.coalesce(1) if total <= SMALL // 100 else near, "steps")
 
 
-def citizen_reach(egos: DataFrame, steps: DataFrame, depth: int = 3) -> DataFrame:
+class _Short:
+    """A label (steps, signature) as one number: a leading 1, then two bits a step, so that numbers are ordered as labels are."""
+
+    MOST = 31
+    CODES = {"D": 0, "S": 1, "U": 2}
+
+    @staticmethod
+    def start() -> Column:
+        return F.lit(1).cast("long")
+
+    @staticmethod
+    def step(label: Column, kind: Column) -> Column:
+        return label * 4 + F.when(kind == "U", 2).otherwise(0)
+
+    @staticmethod
+    def spouses(label: str, k: str) -> Column:
+        return F.expr(f"shiftleft({label}, 2 * ({k})) + (shiftleft(1L, 2 * ({k})) - 1) div 3")
+
+    @staticmethod
+    def parts(label: str) -> tuple[Column, Column]:
+        path = F.translate(F.substring(F.conv(F.col(label).cast("string"), 10, 4), 2, _Short.MOST), "012", "DSU")
+        return F.length(path), path
+
+
+class _Long:
+    """A label as (steps, signature), for marriage chains too long for a number."""
+
+    @staticmethod
+    def start() -> Column:
+        return F.struct(F.lit(0).alias("n"), F.lit("").alias("path"))
+
+    @staticmethod
+    def step(label: Column, kind: Column) -> Column:
+        return F.struct((label["n"] + 1).alias("n"), F.concat(label["path"], kind).alias("path"))
+
+    @staticmethod
+    def spouses(label: str, k: str) -> Column:
+        return F.expr(f"named_struct('n', {label}.n + ({k}), 'path', concat({label}.path, repeat('S', {k})))")
+
+    @staticmethod
+    def parts(label: str) -> tuple[Column, Column]:
+        return F.col(f"{label}.n"), F.col(f"{label}.path")
+
+
+Hubs = tuple[DataFrame, DataFrame, int]
+
+
+def citizen_reach(egos: DataFrame, steps: DataFrame, depth: int = 3, hubs: Hubs | None = None) -> DataFrame:
     """``egos(id)`` -> ``(ego, id, g, n, path)``: every person within ``depth`` generations, spouses at no cost.
 
     A person keeps its smallest label (g, n, path): generations, steps, and the
-    signature.  A generation is one join with parents and children and one with
-    whole marriage chains: a chain through a person of an earlier generation
-    leads only to persons of that generation, so nothing is walked twice.
+    signature.  A generation is a join with parents and children, then one from
+    persons to the hubs of their marriages and one from hubs to persons, and one
+    anti join with who was reached before: a chain through a person of an earlier
+    generation leads only to persons of that generation.
+
+    While the steps are small enough to be sent to all tasks, rows stay
+    partitioned by ego from the first level to the last and nothing is shuffled.
+    ``hubs``: those of the steps, where these are the few near some egos; levels are then kept in the plan.
     """
+    reached, label = _reached(egos, steps, depth, hubs)
+    n, path = label.parts("label")
+    return reached.select("ego", "id", "g", n.cast("int").alias("n"), path.alias("path"))
+
+
+def _reached(egos: DataFrame, steps: DataFrame, depth: int, hubs: Hubs | None) -> tuple[DataFrame, type[_Short] | type[_Long]]:
+    """As ``citizen_reach``, with labels as they are kept, and what reads them."""
     if not 1 <= depth <= 5:
         raise ValueError("depth must be from 1 to 5")
-    vertical, chains = small(steps.where("kind <> 'S'")), small(settle(marriage_chains(steps), "chains"))
-    best = lambda df: df.groupBy("ego", "id").agg(F.min(F.struct("n", "path")).alias("l")).select("ego", "id", "l.n", "l.path")
+    spark = steps.sparkSession
+    few = hubs is not None
+    moves, back, longest = hubs or spouse_hubs(steps)
+    label = _Short if depth + 2 * longest * (depth + 1) <= _Short.MOST else _Long
+    vertical = steps.where("kind <> 'S'")
+    tables, sizes = (vertical, moves, back), []
+    if not few:
+        sizes = [t.count() for t in tables]
+        tables = tuple(F.broadcast(t) if n <= SMALL else t for t, n in zip(tables, sizes, strict=True))
+    vertical, moves, back = tables
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    together = not few and max(sizes) <= SMALL
+    keep = (lambda df: bucketed(df, "level", "ego", parts)) if together else (lambda df: hold(df, "level", few))
     reached = None
-    level = egos.distinct().select(F.col("id").alias("ego"), "id", F.lit(0).alias("n"), F.lit("").alias("path"))
+    level = egos.distinct().select(F.col("id").alias("ego"), "id", label.start().alias("label"))
+    level = level.repartition(parts, "ego") if together else level
+    least = F.min("label").alias("label")
     for g in range(depth + 1):
         if g:
-            level = level.join(vertical, level["id"] == vertical["from"]).select("ego", F.col("to").alias("id"), (F.col("n") + 1).alias("n"), F.concat("path", "kind").alias("path"))
-            level = best(level).join(reached.select("ego", "id"), ["ego", "id"], "left_anti")
-        married = level.join(chains, level["id"] == chains["from"]).select("ego", F.col("to").alias("id"), (F.col("n") + F.col("k")).alias("n"), F.concat("path", F.expr("repeat('S', k)")).alias("path"))
+            level = level.join(vertical, level["id"] == vertical["from"]).select("ego", F.col("to").alias("id"), label.step(F.col("label"), F.col("kind")).alias("label"))
+        me = F.struct(F.lit(False).alias("hub"), F.col("id").alias("at"), F.lit(0).alias("d"))
+        ahead = level.join(moves.withColumnRenamed("to", "more"), level["id"] == moves["from"], "left").select("ego", "label", F.explode(F.when(F.col("more").isNull(), F.array(me)).otherwise(F.concat(F.array(me), "more"))).alias("m"))
+        ahead = ahead.select("ego", "m.hub", "m.at", label.spouses("label", "m.d").alias("label")).groupBy("ego", "hub", "at").agg(least)
+        b = back.select(F.lit(True).alias("hub"), "at", "to", "d")
+        level = ahead.join(b, ["hub", "at"], "left").select("ego", F.coalesce("to", "at").alias("id"), label.spouses("label", "coalesce(d, 0)").alias("label")).groupBy("ego", "id").agg(least)
         if reached is not None:
-            married = married.join(reached.select("ego", "id"), ["ego", "id"], "left_anti")
-        level = settle(best(level.unionByName(married)), "level")
+            level = level.join(reached.select("ego", "id"), ["ego", "id"], "left_anti")
+        level = keep(level)
         done = level.withColumn("g", F.lit(g))
         reached = done if reached is None else reached.unionByName(done)
-    return reached.select("ego", "id", "g", "n", "path")
+    return reached.select("ego", "id", "g", "label"), label
 
 
 def citizen_ego(persons: DataFrame, parent_links: DataFrame, spouse_links: DataFrame, ids: DataFrame | None = None, lang: str = "en", depth: int = 3) -> tuple[DataFrame, DataFrame]:
@@ -100,19 +200,52 @@ def citizen_ego(persons: DataFrame, parent_links: DataFrame, spouse_links: DataF
     steps = settle(kin_steps(parent_links, spouse_links), "steps")  # both loops and the edges read it
     if ids is not None:
         steps = near_steps(egos, steps, depth)
-    reach = settle(citizen_reach(egos, steps, depth), "reach")
-    nodes = reach.join(persons, "id", "left").withColumn("kin", F.when(F.col("ego") == F.col("id"), kin(F.lit(""), F.lit(None).cast("string"), lang)).otherwise(kin("path", "sex", lang)))
-    nodes = nodes.select("ego", "id", F.coalesce("label", "id").alias("label"), "sex", "kin", kin_cluster("kin").alias("cluster"))
-    walked = reach.select("ego", F.col("id").alias("from"), "g").join(small(steps), "from").where((F.col("kind") == "S") | (F.col("g") < depth))
-    up = F.col("kind") == "U"
-    edges = walked.select(
-        "ego",
-        F.when(F.col("kind") == "D", F.col("to")).otherwise(F.col("from")).alias("source"),
-        F.when(F.col("kind") == "D", F.col("from")).otherwise(F.col("to")).alias("target"),
-        F.when(up | (F.col("kind") == "D"), "CHILD_OF").otherwise("SPOUSE_OF").alias("type"),
-    )
-    back = edges.where("type = 'SPOUSE_OF'").select("ego", F.col("target").alias("source"), F.col("source").alias("target"), "type")
-    return nodes, edges.unionByName(back).distinct()
+    return networks(egos, steps, persons, lang, depth)
+
+
+def networks(egos: DataFrame, steps: DataFrame, persons: DataFrame, lang: str = "en", depth: int = 3, hubs: Hubs | None = None) -> tuple[DataFrame, DataFrame]:
+    """As ``citizen_ego``, of ``egos(id)`` over ``steps(from, to, kind)``.
+
+    Numbers stand for ids in the walk and are joined back to the result; with
+    ``hubs`` (see ``citizen_reach``) the steps are few, and ids are walked as they are.
+    """
+    if hubs is not None:
+        reach, label = _reached(egos, steps, depth, hubs)
+        reach = reach.withColumn("path", label.parts("label")[1]).drop("label")
+        term = F.when(F.col("ego") == F.col("id"), kin(F.lit(""), F.lit(None).cast("string"), lang)).otherwise(kin("path", "sex", lang))
+        nodes = reach.join(F.broadcast(persons), "id", "left").select("ego", "id", F.coalesce("label", "id").alias("label"), "sex", term.alias("kin"))
+        return nodes.withColumn("cluster", kin_cluster("kin")), _walked(reach, F.broadcast(steps), depth)
+    ids = egos.select("id").unionByName(steps.select(F.explode(F.array("from", "to")).alias("id"))).distinct()
+    known = ids.select("id", F.monotonically_increasing_id().alias("code")).join(persons, "id", "left")
+    known = settle(known, "codes")
+    known = F.broadcast(known) if known.count() <= SMALL else known
+    code = lambda df, c: df.join(known.select(F.col("id").alias(c), F.col("code").alias(f"_{c}")), c).drop(c).withColumnRenamed(f"_{c}", c)
+    name = lambda df, c: df.join(known.select(F.col("code").alias(c), F.col("id").alias(f"_{c}")), c).drop(c).withColumnRenamed(f"_{c}", c)
+    walk = settle(code(code(steps, "from"), "to").select("from", "to", "kind"), "walk")
+    reach, label = _reached(code(egos.select("id"), "id"), walk, depth, None)
+    # a signature's term is made once for each sex, not for each person that it leads to
+    signs = settle(reach.select(F.col("label").alias("l")).distinct(), "signs")
+    sex = F.when(F.col("sex").isin("M", "F"), F.col("sex")).otherwise("?")
+    terms = signs.select("l", F.explode(F.array(*map(F.lit, "MF?"))).alias("s"), label.parts("l")[1].alias("path"))
+    terms = terms.select("l", "s", kin("path", "s", lang).alias("kin")).select("l", "s", "kin", kin_cluster("kin").alias("cluster"))
+    terms = F.broadcast(terms) if signs.count() * 3 <= SMALL else terms
+    own = F.col("ego") == F.col("code")
+    itself = kin(F.lit(""), F.lit(None).cast("string"), lang)
+    nodes = reach.withColumnRenamed("label", "l").withColumnRenamed("id", "code").join(known.withColumn("s", sex), "code").join(terms, ["l", "s"])
+    nodes = nodes.select("ego", "id", F.coalesce("label", "id").alias("label"), "sex", F.when(own, itself).otherwise(F.col("kin")).alias("kin"), F.when(own, kin_cluster(itself)).otherwise(F.col("cluster")).alias("cluster"))
+    nodes = name(nodes, "ego").select("ego", "id", "label", "sex", "kin", "cluster")
+    edges = _walked(reach, small(walk), depth)
+    return nodes, name(name(name(edges, "ego"), "source"), "target").select("ego", "source", "target", "type")
+
+
+def _walked(reach: DataFrame, steps: DataFrame, depth: int) -> DataFrame:
+    """``reach(ego, id, g)`` -> ``(ego, source, target, type)``: every step from persons that are expanded, children to parents, spouses both ways."""
+    walked = reach.select("ego", F.col("id").alias("from"), "g").join(steps, "from").where((F.col("kind") == "S") | (F.col("g") < depth))
+    down, spouse = F.col("kind") == "D", F.col("kind") == "S"
+    one = F.struct(F.when(down, F.col("to")).otherwise(F.col("from")).alias("source"), F.when(down, F.col("from")).otherwise(F.col("to")).alias("target"))
+    both = F.when(spouse, F.array(one, F.struct(F.col("to").alias("source"), F.col("from").alias("target")))).otherwise(F.array(one))
+    edges = walked.select("ego", F.explode(both).alias("e"), spouse.alias("spouse")).select("ego", "e.source", "e.target", "spouse").distinct()
+    return edges.select("ego", "source", "target", F.when(F.col("spouse"), "SPOUSE_OF").otherwise("CHILD_OF").alias("type"))
 
 
 def with_details(nodes: DataFrame, entities: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from itertools import count
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import settle
+from .tables import hold, settle
 
 
 def symmetric(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -43,18 +43,19 @@ def inlaws(child_of: DataFrame, spouse_of: DataFrame) -> DataFrame:
     return s.join(up, "b").select(F.col("a").alias("id"), "inlaw").distinct().join(own, ["id", "inlaw"], "left_anti")
 
 
-def closure(start: DataFrame, child_of: DataFrame, depth: int | None, up: bool = True) -> DataFrame:
+def closure(start: DataFrame, child_of: DataFrame, depth: int | None, up: bool = True, few: bool = False) -> DataFrame:
     """``start(id)`` -> ``(id, rel, d)``: all within ``depth`` steps up (or down), or all without one, itself at 0, at the least distance.
 
     One join a level; a pair that was reached before is dropped, so diamonds do not multiply.
+    ``few``: the edges are those near a few persons, and levels are kept in the plan.
     """
     step = child_of.select(F.col("child" if up else "parent").alias("rel"), F.col("parent" if up else "child").alias("to")).distinct()
     front = start.select("id").distinct().select("id", F.col("id").alias("rel"), F.lit(0).alias("d"))
     reached = front
     for d in count(1) if depth is None else range(1, depth + 1):
         front = front.select("id", "rel").join(step, "rel").select("id", F.col("to").alias("rel")).distinct().join(reached.select("id", "rel"), ["id", "rel"], "left_anti")
-        front = settle(front.withColumn("d", F.lit(d)), "closure")
-        if not front.limit(1).count():
+        front = hold(front.withColumn("d", F.lit(d)), "closure", few)
+        if front.isEmpty():
             break
         reached = reached.unionByName(front)
     return reached
@@ -79,7 +80,7 @@ def all_ancestors(child_of: DataFrame, depth: int | None = None) -> DataFrame:
     return known.where(F.col("id") != F.col("rel")).unionByName(selves.select("id", F.col("id").alias("rel"), F.lit(0).alias("d")))
 
 
-def common_ancestors(pairs: DataFrame, child_of: DataFrame, persons: DataFrame, limit: int | None = 5, depth: int | None = 10, bulk: bool = False) -> DataFrame:
+def common_ancestors(pairs: DataFrame, child_of: DataFrame, persons: DataFrame, limit: int | None = 5, depth: int | None = 10, bulk: bool = False, few: bool = False) -> DataFrame:
     """``pairs(a, b)`` -> ``(a, b, ancestor_id, full_name, da, db, total_depth, rank)``, nearest first, at most ``limit`` for each pair.
 
     A person is its own ancestor at distance 0, so a = b gives itself first.
@@ -94,7 +95,7 @@ def common_ancestors(pairs: DataFrame, child_of: DataFrame, persons: DataFrame,
         alone = ids.join(known.where("d = 0").select("id"), "id", "left_anti").select("id", F.col("id").alias("rel"), F.lit(0).alias("d"))
         c = settle(known.join(ids, "id", "left_semi").unionByName(alone), "ancestors")
     else:
-        c = closure(ids, child_of, depth)
+        c = closure(ids, child_of, depth, few=few)
     up_a = c.select(F.col("id").alias("a"), F.col("rel").alias("ancestor_id"), F.col("d").alias("da"))
     up_b = c.select(F.col("id").alias("b"), F.col("rel").alias("ancestor_id"), F.col("d").alias("db"))
     rows = pairs.distinct().join(up_a, "a").join(up_b, ["b", "ancestor_id"]).withColumn("total_depth", F.col("da") + F.col("db"))
@@ -126,11 +127,11 @@ def _by_sex(m: str, f: str, else_: str):
     return F.when(sex == "M", m).when(sex == "F", f).otherwise(else_)
 
 
-def five_tier_nodes(egos: DataFrame, persons: DataFrame, child_of: DataFrame, spouse_of: DataFrame, depth: int = 3) -> DataFrame:
+def five_tier_nodes(egos: DataFrame, persons: DataFrame, child_of: DataFrame, spouse_of: DataFrame, depth: int = 3, few: bool = False) -> DataFrame:
     """``egos(id)`` -> ``(ego, id, label, sex, kin)``: spouses, siblings, up to two generations up and down, with full kin labels."""
     hops = min(2, check_depth(depth) - 1)
     e = egos.join(persons.select("id"), "id", "left_semi").distinct()
-    up, down = closure(e, child_of, hops), closure(e, child_of, hops, up=False)
+    up, down = closure(e, child_of, hops, few=few), closure(e, child_of, hops, up=False, few=few)
     of = lambda df, other: df.join(e, "id", "left_semi").select(F.col("id").alias("ego"), F.col(other).alias("id"))
     spouses = of(symmetric(spouse_of).withColumnRenamed("a", "id"), "b")
     sib = of(siblings(child_of), "sibling")

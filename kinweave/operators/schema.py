@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -36,6 +36,36 @@ def constant(name: str, value: str) -> Field:
 class Table:
     name: str
     fields: tuple[Field, ...]
+    key: tuple[str, ...] = ()
+
+    def observed(self, df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+        """``df`` to be written, and what to call afterwards: it raises if a required value was null in what was written.
+
+        Columns that are missing, unknown or of another type than declared are an error at once.
+        """
+        names = [f.name for f in self.fields]
+        if set(df.columns) != set(names) or len(df.columns) != len(names):
+            raise ValueError(f"{self.name}: columns {', '.join(df.columns)} in place of {', '.join(names)}")
+        for f in self.fields:
+            if f.type and df.schema[f.name].dataType.simpleString() != f.type:
+                raise ValueError(f"{self.name}: {f.name} is {df.schema[f.name].dataType.simpleString()}, not {f.type}")
+        required = [f.name for f in self.fields if f.required]
+        if not required:
+            return df.select(*names), lambda: None
+        seen = Observation()
+        out = df.select(*names).observe(seen, *(F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in required))
+
+        def verdict() -> None:
+            bad = [c for c in required if seen.get[c]]
+            if bad:
+                raise ValueError(f"{self.name}: null in {', '.join(bad)}")
+
+        return out, verdict
+
+    def check_key(self, df: DataFrame) -> None:
+        """Raises if two rows share the key."""
+        if self.key and df.groupBy(*self.key).agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
+            raise ValueError(f"{self.name}: {', '.join(self.key)} is not unique")
 
     def of(self, df: DataFrame) -> DataFrame:
         """The table made from ``df``; rows without a required value go, and a missing source is an error that names it."""

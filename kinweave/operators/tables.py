@@ -30,6 +30,29 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """As ``settle``, bucketed by ``key``: what is grouped or joined by it later is not shuffled again.  ``df`` should be partitioned by ``key`` already."""
+    spark = df.sparkSession
+    unique = f"{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/registry/{unique}"
+    df.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(unique)
+    atexit.register(_drop, spark, unique)
+    atexit.register(_remove, spark, path)
+    return spark.table(unique)
+
+
+def hold(df: DataFrame, name: str, few: bool = False) -> DataFrame:
+    """``settle``; with ``few``, for results that the caller has bounded, rows are kept in the plan instead of in files."""
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema) if few else settle(df, name)
+
+
+def _drop(spark: SparkSession, table: str) -> None:
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    except Exception:  # the session has ended
+        pass
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

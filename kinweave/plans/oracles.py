@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from .oracle import RELATION, kin_ar, kin_en, sql
 
-_PATHS = "SELECT DISTINCT a || b || c || d || e AS path FROM (VALUES (''), ('U'), ('D'), ('S')) t1(a), (VALUES (''), ('U'), ('D'), ('S')) t2(b), (VALUES (''), ('U'), ('D'), ('S')) t3(c), (VALUES (''), ('U'), ('D'), ('S')) t4(d), (VALUES (''), ('U'), ('D'), ('S')) t5(e)"
-_PATHS = f"SELECT path, sex FROM ({_PATHS}) CROSS JOIN (VALUES ('M'), ('F'), ('X')) s(sex)"
+_PATHS = "SELECT path, sex, count(*) AS n FROM ego_reach WHERE g <= 2 GROUP BY 1, 2"
 _REL_AR = "CASE code WHEN '2' THEN 'زوجة' WHEN '3' THEN 'ابن' WHEN '4' THEN 'ابنة' WHEN '5' THEN 'أخ' WHEN '6' THEN 'أخت' WHEN '7' THEN 'أب' WHEN '8' THEN 'أم' ELSE 'فرد من العائلة' END"
 _FIXED = """SELECT ego, id, o, CASE o WHEN 0 THEN 'self' WHEN 1 THEN CASE sex WHEN 'M' THEN 'husband' WHEN 'F' THEN 'wife' ELSE 'spouse' END WHEN 2 THEN CASE sex WHEN 'M' THEN 'father' WHEN 'F' THEN 'mother' ELSE 'parent' END
   WHEN 3 THEN CASE sex WHEN 'M' THEN 'son' WHEN 'F' THEN 'daughter' ELSE 'child' END ELSE CASE sex WHEN 'M' THEN 'brother' WHEN 'F' THEN 'sister' ELSE 'sibling' END END AS kin
@@ -28,11 +27,28 @@ _ONE = "(SELECT entity_person_id FROM cit_alias WHERE spm_person_no = 'P00000001
 _JSON = """SELECT n.ego AS entity_person_id, CAST(to_json(struct_pack(root := n.ego, lang := 'en', depth := 3, nodes := n.nodes, edges := coalesce(e.edges, []), generated_at := '2024-01-01T00:00:00Z')) AS VARCHAR) AS ego_json
   FROM (SELECT ego, list(struct_pack(id := id, label := label, sex := sex, kin := kin, cluster := cluster) ORDER BY id) AS nodes FROM ego_nodes GROUP BY 1) n
   LEFT JOIN (SELECT ego, list(struct_pack(source := source, target := target, type := type) ORDER BY source, target, type) AS edges FROM ego_edges GROUP BY 1) e USING (ego)"""
+# one person to depth 1, walked from that person alone: spouses of spouses without end, one generation, and their spouses
+_WED = "wed_{b} AS (SELECT id, n, path FROM {a} UNION SELECT s.t, w.n + 1, w.path || 'S' FROM wed_{b} w JOIN ego_steps s ON s.f = w.id AND s.kind = 'S' WHERE w.n < 12), best_{b} AS (SELECT id, min(n) AS n, arg_min(path, (n, path)) AS path FROM wed_{b} GROUP BY 1)"
+_NEAR = f"""SELECT * FROM (WITH RECURSIVE me AS (SELECT DISTINCT entity_person_id AS id, 0 AS n, '' AS path FROM cit_alias WHERE spm_person_no = 'P0000000100'), {_WED.format(a='me', b='a')},
+  next AS (SELECT s.t AS id, b.n + 1 AS n, b.path || s.kind AS path FROM best_a b JOIN ego_steps s ON s.f = b.id AND s.kind <> 'S'), {_WED.format(a='next', b='b')},
+  near AS (SELECT * FROM best_a UNION ALL SELECT * FROM best_b WHERE id NOT IN (SELECT id FROM best_a)),
+  termed AS (SELECT m.id AS ego, x.id, coalesce(p.label, x.id) AS label, p.sex, CASE WHEN m.id = x.id THEN 'self' ELSE {kin_en('x.path', 'p.sex')} END AS kin FROM near x CROSS JOIN me m LEFT JOIN ego_people p ON p.id = x.id)
+  SELECT *, CASE WHEN kin LIKE '%-in-law%' OR kin = 'spouse' THEN 'inlaws' WHEN kin IN ('grandfather', 'grandmother', 'grandparent') THEN 'ancestors' WHEN kin IN ('grandson', 'granddaughter', 'grandchild') THEN 'descendants' END AS cluster FROM termed)"""
+_STAGES = {
+    "citizens": "cit_gold", "citizen_alias": "cit_alias", "parents": "plinks", "spouses": "slinks", "people": "people", "child_of": "child_of", "spouse_of": "spouse_of", "residency": "joined", "residents": "res_gold",
+    "resident_alias": "res_alias", "sponsorship": "slinks_r", "groups": "fgroups", "entity_steps": "ego_steps", "entity_index": "cit_gold", "number_index": "cit_alias", "person_index": "people", "ego_cache": "ego_people",
+    "person_steps": "(SELECT child, parent, 'U' FROM child_of UNION SELECT parent, child, 'D' FROM child_of UNION SELECT a, b, 'S' FROM spouse_sym)",
+}
 _FINAL = {
+    "stage_counts": " UNION ALL ".join(f"SELECT '{name}' AS stage, count(*) AS n FROM {of}" for name, of in _STAGES.items()),
+    "bounds_refused": """SELECT sex, count(*) AS persons, what, true AS below, true AS above, CAST(1 AS BIGINT) AS egos FROM people, (VALUES ('depth of networks'), ('depth of trees'), ('depth of sponsorship'), ('common ancestors')) w(what) GROUP BY sex, what""",
+    "table_keyed": "SELECT id, CASE WHEN sex = 'M' THEN upper(label) ELSE label END AS label, sex, CASE WHEN sex = 'M' THEN 'new' ELSE 'old' END AS state FROM people WHERE sex IS NOT NULL",
+    "cache_export": "SELECT n.ego AS root, 'en' AS lang, CAST(n.nodes AS INTEGER) AS nodes, CAST(coalesce(e.edges, 0) AS INTEGER) AS edges FROM (SELECT ego, count(*) AS nodes FROM ego_nodes GROUP BY 1) n LEFT JOIN (SELECT ego, count(*) AS edges FROM ego_edges GROUP BY 1) e USING (ego)",
+    "tree_one_edges": "SELECT * FROM tier_edges WHERE ego = 'P0000000100'",
     "ego_one_nodes": f"SELECT * FROM ego_nodes WHERE ego IN {_ONE}",
     "ego_one_edges": f"SELECT * FROM ego_edges WHERE ego IN {_ONE}",
     "ego_one_nodes_ar": f"SELECT ego, id, coalesce(label, id) AS label, sex, CASE WHEN ego = id THEN {kin_ar("''", "CAST(NULL AS VARCHAR)")} ELSE {kin_ar('path', 'sex')} END AS kin FROM ego_reach WHERE ego IN {_ONE}",
-    "ego_one_nodes_depth1": f"SELECT n.* FROM ego_nodes n JOIN ego_reach r USING (ego, id) WHERE r.g <= 1 AND n.ego IN {_ONE}",
+    "ego_one_nodes_depth1": _NEAR,
     "ego_one_details": f"SELECT n.*, coalesce(c.full_name_ar, c.full_name) AS label_ar, CAST(c.dob AS VARCHAR) AS dob FROM ego_nodes n LEFT JOIN cit_gold c ON c.entity_person_id = n.id WHERE n.ego IN {_ONE}",
     "ego_resident_one_nodes": "SELECT * FROM net_nodes WHERE ego = (SELECT min(entity_person_id) FROM res_gold)",
     "tree_one": "SELECT * FROM tier_nodes WHERE ego = 'P0000000100'",
@@ -83,9 +99,9 @@ _FINAL = {
   UNION ALL SELECT c.ego, c.id, coalesce(f.id, c.ego), 'ancestor' FROM cl c LEFT JOIN fx f ON f.ego = c.ego AND f.o = 2 WHERE c.kin = 'grandparents'
   UNION ALL SELECT c.ego, c.id, coalesce(f.id, c.ego), 'descendant' FROM cl c LEFT JOIN fx f ON f.ego = c.ego AND f.o = 3 WHERE c.kin = 'grandchildren'
   UNION ALL SELECT c.ego, c.id, f.id, 'in-law' FROM cl c JOIN fx f ON f.ego = c.ego AND f.o = 1 WHERE c.kin = 'inlaws')""",
-    "kin_terms_en": f"SELECT path, sex, {kin_en('path', 'sex')} AS kin FROM ({_PATHS})",
-    "kin_terms_ar": f"SELECT path, sex, {kin_ar('path', 'sex')} AS kin FROM ({_PATHS})",
-    "ego_cluster": f"SELECT path, sex, CASE WHEN kin LIKE '%-in-law%' OR kin = 'spouse' THEN 'inlaws' WHEN kin IN ('grandfather', 'grandmother', 'grandparent') THEN 'ancestors' WHEN kin IN ('grandson', 'granddaughter', 'grandchild') THEN 'descendants' END AS cluster FROM (SELECT path, sex, {kin_en('path', 'sex')} AS kin FROM ({_PATHS}))",
+    "kin_terms_en": f"SELECT path, sex, n, {kin_en('path', 'sex')} AS kin FROM ({_PATHS})",
+    "kin_terms_ar": f"SELECT path, sex, n, {kin_ar('path', 'sex')} AS kin FROM ({_PATHS})",
+    "ego_cluster": f"SELECT path, sex, n, CASE WHEN kin LIKE '%-in-law%' OR kin = 'spouse' THEN 'inlaws' WHEN kin IN ('grandfather', 'grandmother', 'grandparent') THEN 'ancestors' WHEN kin IN ('grandson', 'granddaughter', 'grandchild') THEN 'descendants' END AS cluster FROM (SELECT path, sex, n, {kin_en('path', 'sex')} AS kin FROM ({_PATHS}))",
     "relation_label": f"SELECT DISTINCT code, {RELATION.format('code')} AS en, {_REL_AR} AS ar FROM (SELECT lookup_family_relationship_id AS code FROM req)",
     "edge_label": "SELECT DISTINCT type, CASE type WHEN 'CHILD_OF' THEN 'Child of' WHEN 'SPOUSE_OF' THEN 'Spouse of' END AS label FROM tier_edges",
     "first_words": r"SELECT doc_id, array_to_string(list_slice(regexp_split_to_array(trim(text), '\s+'), 1, 2), ' ') AS words FROM documents",

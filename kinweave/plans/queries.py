@@ -3,25 +3,24 @@
 from __future__ import annotations
 
 import uuid
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import kin as K
 from ..functions import text as T
-from ..operators import ego, graph, layout, links, payload, reports, resolve, upsert
+from ..operators import ego, graph, keyed, layout, links, lookup, payload, reports, resolve, upsert
 from ..operators.tables import settle, shared_dir
 from ..sources import bronze
+from .stages import STAGES, Silver, silver
 
-#: The instant that cached payloads carry in queries.
-GENERATED = "2024-01-01 00:00:00"
 #: Person numbers of the queries about one person, or one pair.
 ONE, OTHER = "P0000000100", "P0000000109"
 
 
 class Registry:
-    """Silver tables over a data folder, planned when asked for."""
+    """Silver tables over a data folder: planned where a query is about how they are made, else those that are kept."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
@@ -29,6 +28,14 @@ class Registry:
     def _bronze(self, f) -> DataFrame:
         return f(self.spark, self.dir)
 
+    @cached_property
+    def silver(self) -> Silver:
+        return silver(self.spark, self.dir)
+
+    def kept(self, name: str) -> DataFrame:
+        """A silver table, written once for all queries."""
+        return self.silver.table(name)
+
     @cached_property
     def persons(self) -> DataFrame:
         return self._bronze(bronze.person_master)
@@ -63,8 +70,8 @@ class Registry:
 
     @cached_property
     def resident_table(self) -> DataFrame:
-        """The residents, written once: links, names and networks read them."""
-        return settle(self.residents, "residents")
+        """The residents as they are kept: links, names and networks read them."""
+        return self.kept("residents")
 
     @cached_property
     def resident_ids(self) -> DataFrame:
@@ -88,23 +95,23 @@ class Registry:
 
     @cached_property
     def sponsorship(self) -> DataFrame:
-        return settle(links.sponsorship_links(self.resident_table, self.sponsors), "sponsorship")
+        return self.kept("sponsorship")
 
     @cached_property
     def groups(self) -> DataFrame:
-        return links.family_groups(self.resident_table, self.sponsors)
+        return self.kept("groups")
 
     @cached_property
     def child_of(self) -> DataFrame:
-        return links.parent_edges(self.detail).select(F.col("dst").alias("child"), F.col("src").alias("parent")).distinct()
+        return self.kept("child_of")
 
     @cached_property
     def spouse_of(self) -> DataFrame:
-        return links.spouse_edges(self.detail).select(F.col("src").alias("a"), F.col("dst").alias("b"))
+        return self.kept("spouse_of")
 
     @cached_property
     def people(self) -> DataFrame:
-        return self.persons.select(F.col("spm_person_no").alias("id"), F.coalesce("spm_full_ename", "spm_full_aname").alias("label"), T.sex_of("spm_gender").alias("sex"))
+        return self.kept("people")
 
     @cached_property
     def egos(self) -> DataFrame:
@@ -112,20 +119,20 @@ class Registry:
 
     @cached_property
     def ego_people(self) -> DataFrame:
-        return self.citizens.select(F.col("entity_person_id").alias("id"), F.coalesce("full_name_en", "full_name").alias("label"), "sex")
+        return self.kept("citizens").select(F.col("entity_person_id").alias("id"), F.coalesce("full_name_en", "full_name").alias("label"), "sex")
 
     @cached_property
     def ego(self) -> tuple[DataFrame, DataFrame]:
-        return ego.citizen_ego(settle(self.ego_people, "people"), settle(self.parents, "parents"), settle(self.spouses, "spouses"))
+        return ego.citizen_ego(self.ego_people, self.kept("parents"), self.kept("spouses"))
 
     @cached_property
     def names(self) -> DataFrame:
         cols = [F.col("entity_person_id").alias("id"), F.col("full_name").alias("label"), "sex", "person_type"]
-        return settle(self.citizens.select(*cols).unionByName(self.resident_table.select(*cols)), "names")
+        return self.kept("citizens").select(*cols).unionByName(self.resident_table.select(*cols))
 
     @cached_property
     def network(self) -> tuple[DataFrame, DataFrame]:
-        return ego.resident_ego(self.resident_table, self.sponsorship, settle(self.groups, "groups"), self.names.drop("person_type"))
+        return ego.resident_ego(self.resident_table, self.sponsorship, self.groups, self.names.drop("person_type"))
 
     @cached_property
     def sponsored_by(self) -> DataFrame:
@@ -137,15 +144,21 @@ class Registry:
 
     @cached_property
     def cache(self) -> DataFrame:
-        return payload.payloads(*self.ego, generated_at=GENERATED)
+        return self.kept("ego_cache").select("entity_person_id", "ego_json", "generated_at")
 
     @cached_property
-    def one(self) -> DataFrame:
-        """The entity of one person number."""
-        return self.citizen_alias.where(F.col("spm_person_no") == ONE).select(F.col("entity_person_id").alias("id"))
+    def one(self) -> list[str]:
+        """The entity of one person number, by a lookup."""
+        return [r[0] for r in lookup.find(self.kept("number_index"), "spm_person_no", [ONE]).select("entity_person_id").collect()]
+
+    def ego_of(self, ids: list[str], lang: str = "en", depth: int = 3) -> tuple[DataFrame, DataFrame]:
+        return lookup.networks_of(self.kept("entity_steps"), self.kept("entity_index"), ids, lang, depth)
 
     def ego_of_one(self, lang: str = "en", depth: int = 3) -> tuple[DataFrame, DataFrame]:
-        return ego.citizen_ego(settle(self.ego_people, "people"), settle(self.parents, "parents"), settle(self.spouses, "spouses"), ids=self.one, lang=lang, depth=depth)
+        return self.ego_of(self.one, lang, depth)
+
+    def tree_of_one(self) -> tuple[DataFrame, DataFrame]:
+        return lookup.tree_of(self.kept("person_steps"), self.kept("person_index"), [ONE])
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -187,31 +200,77 @@ def _table(r: Registry) -> DataFrame:
 
 
 def _cached(r: Registry) -> DataFrame:
-    """The document of one person, looked up in a cache table of it and its parents, which was also exported line by line."""
-    path = _files(r, "cache")
-    made = settle(payload.payloads(*r.ego_of_one(), generated_at=GENERATED), "payloads")
-    upsert.upsert_table(r.spark, path, made, ["entity_person_id"])
-    upsert.export_json(upsert.read_table(r.spark, path), f"{path}-json")
-    lines = r.spark.read.text(f"{path}-json").select(F.col("value").alias("ego_json")).distinct()
-    hit = upsert.read_table(r.spark, path).join(r.one.withColumnRenamed("id", "entity_person_id"), "entity_person_id", "left_semi")
-    return hit.join(lines, "ego_json", "left_semi").select("entity_person_id", "ego_json")
+    """The document of one person, looked up in the cache of all entities: one folder and few row groups of it are read."""
+    return keyed.rows_of(r.kept("ego_cache"), "entity_person_id", r.one).select("entity_person_id", "ego_json")
+
+
+def _exported(r: Registry) -> DataFrame:
+    """The whole cache exported as JSON lines, and read back as roots and their numbers of nodes and edges."""
+    path = _files(r, "json")
+    upsert.export_json(r.cache, path)
+    doc = F.from_json("value", "root string, lang string, nodes array<struct<id string>>, edges array<struct<source string>>")
+    return r.spark.read.text(path).select(doc.alias("d")).select("d.root", "d.lang", F.size("d.nodes").alias("nodes"), F.size("d.edges").alias("edges"))
+
+
+def _keyed(r: Registry) -> DataFrame:
+    """All persons laid out by key; then, in one write, men get other values and persons of unknown sex go; all of it again, which changes nothing."""
+    path = _files(r, "keyed")
+    people = r.people.select("id", "label", "sex", F.lit("old").alias("state"))
+    keyed.create(people, path, ["id"], 16)
+    men = people.where("sex = 'M'").withColumns({"label": F.upper("label"), "state": F.lit("new")})
+    for _ in range(2):
+        keyed.upsert(r.spark, path, men, ["id"], gone=people.where("sex is null").select("id"))
+    return keyed.read(r.spark, path).select("id", "label", "sex", "state")
 
 
 def _lca_one(r: Registry) -> DataFrame:
     """Common ancestors of one pair, and of a person with itself."""
-    pairs = r.people.where(F.col("id") == ONE).select(F.col("id").alias("a"), F.explode(F.array(F.lit(OTHER), F.col("id"))).alias("b"))
-    return graph.common_ancestors(pairs, r.child_of, r.people, limit=20, depth=None)
+    return lookup.common_ancestors_of(r.kept("person_steps"), r.kept("person_index"), [(ONE, OTHER), (ONE, ONE)], limit=20)
+
+
+def _details(r: Registry) -> DataFrame:
+    """The network of one person, with further details of its nodes by the same index."""
+    nodes = r.ego_of_one()[0]
+    who = [x[0] for x in nodes.select("id").distinct().collect()]
+    more = lookup.find(r.kept("entity_index"), "id", who).select(F.col("id").alias("entity_person_id"), F.col("label_ar").alias("full_name_ar"), F.lit(None).cast("string").alias("full_name"), "dob")
+    return ego.with_details(nodes, more)
+
+
+def _stage_counts(r: Registry) -> DataFrame:
+    """All silver tables, made where they are lacking, and their rows."""
+    r.silver.run()
+    rows = [r.kept(s.name).agg(F.lit(s.name).alias("stage"), F.count("*").alias("n")) for s in STAGES]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _beyond(r: Registry) -> DataFrame:
+    """Which bounds of the operators refuse a value one beyond them, for each of the sexes that persons have; and a network of an id that nobody has."""
+    tried = {
+        "depth of networks": lambda v: r.ego_of(r.one, depth=v),
+        "depth of trees": lambda v: graph.check_depth(v),
+        "depth of sponsorship": lambda v: graph.check_depth(v, 3),
+        "common ancestors": lambda v: graph.common_ancestors(None, None, None, limit=v),
+    }
+    most = {"depth of networks": 5, "depth of trees": 5, "depth of sponsorship": 3, "common ancestors": 20}
+
+    def refused(name: str, value: int) -> bool:
+        try:
+            tried[name](value)
+        except ValueError:
+            return True
+        return False
+
+    bounds = F.array(*(F.struct(F.lit(n).alias("what"), F.lit(refused(n, 0)).alias("below"), F.lit(refused(n, m + 1)).alias("above")) for n, m in most.items()))
+    unknown = r.ego_of(["nobody", *r.one], depth=1)[0].select("ego").distinct()
+    per = r.people.groupBy("sex").agg(F.count("*").alias("persons")).select("sex", "persons", F.explode(bounds).alias("b")).select("sex", "persons", "b.*")
+    return per.join(F.broadcast(unknown.agg(F.count("*").alias("egos"))))
 
 
-#: Paths that the kin queries label: all signatures of up to five steps.
-def _paths(spark: SparkSession) -> DataFrame:
-    """All signatures of at most five steps with each sex."""
-    step = spark.createDataFrame([("",), ("U",), ("D",), ("S",)], "s string")
-    p = step.withColumnRenamed("s", "path")
-    for _ in range(4):
-        p = p.join(F.broadcast(step)).select(F.concat("path", "s").alias("path"))
-    sex = F.explode(F.array(F.lit("M"), F.lit("F"), F.lit("X")))
-    return p.distinct().select("path", sex.alias("sex"))
+def _paths(r: Registry) -> DataFrame:
+    """The signatures by which citizens are reached within two generations, with the sex of whom they lead to."""
+    steps = ego.kin_steps(r.kept("parents"), r.kept("spouses"))
+    reach = ego.citizen_reach(r.ego_people.select("id"), settle(steps, "steps"), depth=2)
+    return settle(reach.join(r.ego_people.select("id", "sex"), "id", "left").groupBy("path", "sex").agg(F.count("*").alias("n")), "paths")
 
 
 def _text_time(df: DataFrame) -> DataFrame:
@@ -291,8 +350,8 @@ FUNCTIONS = {
     "book_members": lambda r: links.book_members(r.detail),
     "family_membership": lambda r: links.family_membership(r.detail, r.master, r.citizen_alias),
     "sponsor_union": lambda r: r.sponsors,
-    "sponsorship_links": lambda r: r.sponsorship,
-    "family_groups": lambda r: r.groups,
+    "sponsorship_links": lambda r: links.sponsorship_links(r.resident_table, links.all_sponsors(r.kept("citizen_alias"), r.kept("resident_alias"))),
+    "family_groups": lambda r: links.family_groups(r.resident_table, links.all_sponsors(r.kept("citizen_alias"), r.kept("resident_alias"))),
     "detail_with_relation": lambda r: links.with_relation(r.detail, r._bronze(bronze.family_relationships).select((F.col("id").cast("int") + 1).alias("code"), F.col("name_id").alias("description"))),
     # relations
     "siblings": lambda r: graph.siblings(r.child_of),
@@ -303,9 +362,9 @@ FUNCTIONS = {
     "ego_fixed_nodes": lambda r: graph.fixed_ego(r.people, r.child_of, r.spouse_of)[0],
     "ego_fixed_edges": lambda r: graph.fixed_ego(r.people, r.child_of, r.spouse_of)[1],
     # kin terms and labels
-    "kin_terms_en": lambda r: _paths(r.spark).withColumn("kin", K.kin_en("path", "sex")),
-    "kin_terms_ar": lambda r: _paths(r.spark).withColumn("kin", K.kin_ar("path", "sex")),
-    "ego_cluster": lambda r: _paths(r.spark).select("path", "sex", K.kin_cluster(K.kin_en("path", "sex")).alias("cluster")),
+    "kin_terms_en": lambda r: _paths(r).withColumn("kin", K.kin_en("path", "sex")),
+    "kin_terms_ar": lambda r: _paths(r).withColumn("kin", K.kin_ar("path", "sex")),
+    "ego_cluster": lambda r: _paths(r).withColumn("kin", K.kin_en("path", "sex")).select("path", "sex", "n", K.kin_cluster("kin").alias("cluster")),
     "relation_label": _relation_labels,
     "edge_label": lambda r: graph.induced_edges(settle(r.tiers, "tiers"), r.child_of, r.spouse_of).select("type", T.edge_label("type").alias("label")).distinct(),
     "first_words": lambda r: r._bronze(lambda s, d: bronze.table(s, d, "documents")).select("doc_id", T.first_words("text", 2).alias("words")),
@@ -332,15 +391,20 @@ FUNCTIONS = {
     "ego_one_edges": lambda r: r.ego_of_one()[1],
     "ego_one_nodes_ar": lambda r: r.ego_of_one(lang="ar")[0].drop("cluster"),
     "ego_one_nodes_depth1": lambda r: r.ego_of_one(depth=1)[0],
-    "ego_one_details": lambda r: ego.with_details(r.ego_of_one()[0], r.citizens),
-    "ego_resident_one_nodes": lambda r: ego.resident_ego(r.resident_table, r.sponsorship, settle(r.groups, "groups"), r.names.drop("person_type"), ids=r.resident_ids.agg(F.min("id").alias("id")))[0],
-    "tree_one": lambda r: graph.five_tier_nodes(r.egos.where(F.col("id") == ONE), r.people, r.child_of, r.spouse_of),
+    "ego_one_details": _details,
+    "ego_resident_one_nodes": lambda r: ego.resident_ego(r.resident_table, r.sponsorship, r.groups, r.names.drop("person_type"), ids=r.resident_ids.agg(F.min("id").alias("id")))[0],
+    "tree_one": lambda r: r.tree_of_one()[0],
+    "tree_one_edges": lambda r: r.tree_of_one()[1],
     "lca_one": _lca_one,
     "cache_one": _cached,
     # files and tables
     "csv_roundtrip": _csv,
     "id_file": _id_file,
     "table_upsert": _table,
+    "table_keyed": _keyed,
+    "cache_export": _exported,
+    "stage_counts": _stage_counts,
+    "bounds_refused": _beyond,
     # cache and loads
     "upsert_merge": _upsert,
     "edge_endpoint_check": lambda r: upsert.loadable_edges(r.sponsorship.select(F.col("sponsored_entity_person_id").alias("src"), F.col("sponsor_entity_person_id").alias("dst")), r.residents.select(F.col("entity_person_id").alias("id"))),

@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import keyed
 from ..operators.ego import citizen_reach, kin_steps, near_steps
 from ..operators.tables import settle
-from ..operators.upsert import delete_keys, read_table, upsert_table
+
+
+#: Folders of a cache that a refresh makes.
+FOLDERS = 64
 
 
 def affected(changed: DataFrame, parent_links: DataFrame, spouse_links: DataFrame, depth: int = 3, old: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
@@ -28,11 +32,12 @@ def affected(changed: DataFrame, parent_links: DataFrame, spouse_links: DataFram
 
 
 def refresh(changes: DataFrame, build: Callable[[DataFrame], DataFrame], widen: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """For each batch of ``changes(id)``: widen the ids, rebuild their documents and merge them into the table at ``path``.
+    """For each batch of ``changes(id)``: widen the ids, rebuild their documents and merge them into the keyed table at ``path``.
 
-    Ids for which ``build`` gives no document (persons that are gone) lose
-    theirs.  A batch that runs again merges the same rows, so the table is exact
-    after a failure.
+    Ids for which ``build`` gives no document (persons that are gone) lose theirs
+    in the same write.  Only folders with a changed document are rewritten.  A
+    batch that runs again merges the same rows, so the table is exact after a
+    failure.  A table that is absent is made, of FOLDERS folders.
     """
 
     def one(batch: DataFrame, _: int) -> None:
@@ -41,10 +46,12 @@ def refresh(changes: DataFrame, build: Callable[[DataFrame], DataFrame], widen:
             spark = batch.sparkSession
             wide = settle(widen(ids), "refresh")
             made = settle(build(wide), "documents")
-            upsert_table(spark, path, made, ["entity_person_id"])
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+                keyed.create(made, path, ["entity_person_id"], FOLDERS)
+                return
             gone = wide.select(F.col("id").alias("entity_person_id")).join(made.select("entity_person_id"), "entity_person_id", "left_anti")
-            if read_table(spark, path).join(gone, "entity_person_id", "left_semi").limit(1).count():
-                delete_keys(spark, path, gone, ["entity_person_id"])
+            keyed.upsert(spark, path, made, ["entity_person_id"], gone)
 
     writer = changes.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

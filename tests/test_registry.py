@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kinweave.operators import ego, graph, layout, links, payload, resolve, upsert
+from kinweave.operators import ego, graph, keyed, layout, links, payload, resolve, upsert
 
 PERSON = "spm_person_no string, spm_full_aname string, spm_full_ename string, spm_dob string, spm_national_id string, spm_gender int, spm_place_of_birth_eng string, nat_code_curr_nat int, emi_code int, cit_code int, spm_modified_date timestamp, spm_created_date timestamp"
 
@@ -201,4 +201,4 @@ def test_stream_of_changes_refreshes_the_affected(spark, tmp_path):
     path = f"file://{tmp_path}/cache"
     query = refresh(changes, build, lambda ids: affected(ids, parents, spouses, depth=1), path, str(tmp_path / "check"))
     query.awaitTermination()
-    assert {r["entity_person_id"] for r in upsert.read_table(spark, path).collect()} == {"dau", "gf", "gm"}
+    assert {r["entity_person_id"] for r in keyed.read(spark, path).collect()} == {"dau", "gf", "gm"}
