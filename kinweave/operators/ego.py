@@ -258,6 +258,17 @@ def with_details(nodes: DataFrame, entities: DataFrame) -> DataFrame:
 UP, DOWN, PEER = 1, 2, 3
 
 
+def _sponsor_moves(residents: DataFrame, links: DataFrame, groups: DataFrame, lang: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Steps up and down ``(from, to, way, role, relation)``, and ``(family_group_id, member, relation)``."""
+    one = links.groupBy(F.col("sponsored_entity_person_id").alias("from")).agg(F.min(F.struct("sponsor_type", F.col("sponsor_entity_person_id").alias("to"), "relation_to_sponsor")).alias("s"))
+    up = one.select("from", "s.to", F.lit(UP).alias("way"), F.when(F.col("s.sponsor_type") == "citizen", "citizen_sponsor").otherwise("resident_sponsor").alias("role"), F.col("s.relation_to_sponsor").alias("relation"))
+    down = links.groupBy(F.col("sponsor_entity_person_id").alias("from"), F.col("sponsored_entity_person_id").alias("to")).agg(F.min("relationship_code").alias("code"))
+    down = down.select("from", "to", F.lit(DOWN).alias("way"), F.lit("sponsored_resident").alias("role"), relation_label("code", lang).alias("relation"))
+    member = groups.select("family_group_id", F.col("entity_person_id").alias("member")).distinct()
+    code = residents.select(F.col("entity_person_id").alias("member"), relation_label("relationship_code", lang).alias("relation"))
+    return up, down, member.join(code, "member", "left")
+
+
 def resident_ego(residents: DataFrame, links: DataFrame, groups: DataFrame, names: DataFrame, ids: DataFrame | None = None, lang: str = "en", depth: int = 2) -> tuple[DataFrame, DataFrame]:
     """Sponsorship networks: nodes (ego, id, label, sex, role, relation, cluster) and edges (ego, source, target, type).
 
@@ -269,14 +280,9 @@ def resident_ego(residents: DataFrame, links: DataFrame, groups: DataFrame, name
     """
     if not 1 <= depth <= 3:
         raise ValueError("depth must be from 1 to 3")
-    one = links.groupBy(F.col("sponsored_entity_person_id").alias("from")).agg(F.min(F.struct("sponsor_type", F.col("sponsor_entity_person_id").alias("to"), "relation_to_sponsor")).alias("s"))
-    up = one.select("from", "s.to", F.lit(UP).alias("way"), F.when(F.col("s.sponsor_type") == "citizen", "citizen_sponsor").otherwise("resident_sponsor").alias("role"), F.col("s.relation_to_sponsor").alias("relation"))
-    down = links.groupBy(F.col("sponsor_entity_person_id").alias("from"), F.col("sponsored_entity_person_id").alias("to")).agg(F.min("relationship_code").alias("code"))
-    down = down.select("from", "to", F.lit(DOWN).alias("way"), F.lit("sponsored_resident").alias("role"), relation_label("code", lang).alias("relation"))
+    up, down, member = _sponsor_moves(residents, links, groups, lang)
     moves = small(settle(up.unionByName(down), "moves"))
-    member = groups.select("family_group_id", F.col("entity_person_id").alias("member")).distinct()
-    code = residents.select(F.col("entity_person_id").alias("member"), relation_label("relationship_code", lang).alias("relation"))
-    member = small(settle(member.join(code, "member", "left"), "members"))
+    member = small(settle(member, "members"))
     start = residents.select(F.col("entity_person_id").alias("id")).distinct()
     start = start if ids is None else start.join(ids, "id", "left_semi")
     reached = front = settle(start.select(F.col("id").alias("ego"), "id", F.lit(None).cast("string").alias("from"), F.lit(0).alias("way"), F.lit("self").alias("role"), F.lit(None).cast("string").alias("relation")), "start")
@@ -295,3 +301,51 @@ def resident_ego(residents: DataFrame, links: DataFrame, groups: DataFrame, name
     flip = F.col("way") == DOWN
     edges = reached.where("way > 0").select("ego", F.when(flip, F.col("id")).otherwise(F.col("from")).alias("source"), F.when(flip, F.col("from")).otherwise(F.col("id")).alias("target"), F.when(F.col("way") == PEER, "SAME_FAMILY_GROUP").otherwise("SPONSORED_BY").alias("type"))
     return nodes, edges
+
+
+def folded_networks(residents: DataFrame, links: DataFrame, groups: DataFrame, ids: DataFrame | None = None, lang: str = "en", depth: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Sponsorship networks without a row for every member of every network: references and the lists that they name.
+
+    ``refs(ego, level, from, way, at, n, role, relation)``: a sponsor is named
+    itself (n = 1); those whom a person sponsors, and the members of a group, are
+    one reference each, to a list of n.  ``lists(way, at, id, role, relation)``
+    are kept once for all egos.  So a sponsor of m costs m references and a list
+    of m, not m * m rows.  Lists are not followed further, so ``depth`` is 1 or
+    2; ``unfolded`` gives the nodes of ``resident_ego``.
+    """
+    if not 1 <= depth <= 2:
+        raise ValueError("depth must be 1 or 2")
+    up, down, member = _sponsor_moves(residents, links, groups, lang)
+    up, down, member = settle(up, "up"), settle(down, "down"), settle(member, "members")
+    peer = member.select(F.lit(PEER).alias("way"), F.col("family_group_id").alias("at"), F.col("member").alias("id"), F.lit("family_member").alias("role"), "relation")
+    lists = settle(down.select("way", F.col("from").alias("at"), F.col("to").alias("id"), "role", "relation").unionByName(peer), "lists")
+    sizes = settle(lists.groupBy("way", "at").agg(F.count("*").alias("n")), "sizes")
+    start = residents.select(F.col("entity_person_id").alias("ego")).distinct()
+    start = start if ids is None else start.join(ids.select(F.col("id").alias("ego")), "ego", "left_semi")
+    at = start.select("ego", F.col("ego").alias("from"))
+    none = F.lit(None).cast("string")
+    refs = start.select("ego", F.lit(0).alias("level"), none.alias("from"), F.lit(0).alias("way"), F.col("ego").alias("at"), F.lit(1).cast("long").alias("n"), F.lit("self").alias("role"), none.alias("relation"))
+    for level in range(1, depth + 1):
+        here = ("ego", F.lit(level).alias("level"), "from")
+        ups = at.join(up, "from").where("to <> ego").select(*here, "way", F.col("to").alias("at"), F.lit(1).cast("long").alias("n"), "role", "relation")
+        mine = at.join(sizes.where(F.col("way") == DOWN).select(F.col("at").alias("from"), "n"), "from").select(*here, F.lit(DOWN).alias("way"), F.col("from").alias("at"), "n")
+        inside = at.join(member.select(F.col("member").alias("from"), F.col("family_group_id").alias("at")), "from")
+        inside = inside.join(sizes.where(F.col("way") == PEER).select("at", "n"), "at").select(*here, F.lit(PEER).alias("way"), "at", "n")
+        named = mine.unionByName(inside).withColumns({"role": none, "relation": none})
+        new = settle(ups.unionByName(named), "refs")
+        refs = refs.unionByName(new)
+        if level < depth:  # sponsors, and those whom the ego sponsors itself
+            ahead = new.where(F.col("way") == UP).select("ego", F.col("at").alias("from"))
+            below = new.where(F.col("way") == DOWN).select("ego", "at").join(lists.where(F.col("way") == DOWN).select("at", F.col("id").alias("from")), "at").select("ego", "from")
+            at = settle(ahead.unionByName(below).where(F.col("from") != F.col("ego")).distinct(), "ahead")
+    return refs, lists
+
+
+def unfolded(refs: DataFrame, lists: DataFrame, names: DataFrame) -> DataFrame:
+    """The nodes of ``resident_ego`` from references and lists: a person is reached at the least level, then by the first way, then from the smallest id."""
+    named = refs.where(F.col("way") <= UP).select("ego", F.col("at").alias("id"), "level", "way", "from", "role", "relation")
+    listed = refs.where(F.col("way") > UP).select("ego", "level", "from", "way", "at").join(lists, ["way", "at"]).where((F.col("id") != F.col("ego")) & (F.col("id") != F.col("from")))
+    every = named.unionByName(listed.select(*named.columns))
+    best = every.groupBy("ego", "id").agg(F.min(F.struct("level", "way", "from", "role", "relation")).alias("b")).select("ego", "id", "b.way", "b.role", "b.relation")
+    clusters = F.when(F.col("way") == 0, "ego").when(F.col("way") == UP, "sponsors").when(F.col("way") == DOWN, "sponsored").otherwise("family")
+    return best.join(names, "id", "left").select("ego", "id", F.coalesce("label", "id").alias("label"), "sex", "role", "relation", clusters.alias("cluster"))

@@ -15,6 +15,31 @@ def merge(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
     return kept.unionByName(source)
 
 
+def merge_properties(target: DataFrame, source: DataFrame, key: list[str], on_create: tuple[str, ...] = ()) -> DataFrame:
+    """All rows of either, a column at a time: columns that ``source`` has replace those of ``target``, the others stay.
+
+    Columns in ``on_create`` are set for new rows only.  A column that one side
+    lacks is null for rows of the other alone.  A null that the source gives
+    takes the value away, as it is given.  A null in a key is a value like others.
+    Either side must not repeat a key.
+    """
+    t, s = target.withColumn("_old", F.lit(True)).alias("t"), source.withColumn("_new", F.lit(True)).alias("s")
+    both = t.join(s, [F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in key], "full")
+    old, new = F.col("t._old").isNotNull(), F.col("s._new").isNotNull()
+
+    def value(c: str):
+        if c in key:
+            return F.when(new, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
+        if c not in source.columns:
+            return F.col(f"t.{c}")
+        if c not in target.columns:
+            return F.when(old, F.lit(None)).otherwise(F.col(f"s.{c}")) if c in on_create else F.col(f"s.{c}")
+        return F.when(new & ~old if c in on_create else new, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
+
+    columns = [*target.columns, *(c for c in source.columns if c not in target.columns)]
+    return both.select(*(value(c).alias(c) for c in columns))
+
+
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: list[str], partition_by: list[str] | None = None) -> None:
     """Merges into a table kept as numbered versions below ``path``.
 

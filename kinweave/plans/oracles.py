@@ -44,6 +44,16 @@ _FINAL = {
     "bounds_refused": """SELECT sex, count(*) AS persons, what, true AS below, true AS above, CAST(1 AS BIGINT) AS egos FROM people, (VALUES ('depth of networks'), ('depth of trees'), ('depth of sponsorship'), ('common ancestors')) w(what) GROUP BY sex, what""",
     "table_keyed": "SELECT id, CASE WHEN sex = 'M' THEN upper(label) ELSE label END AS label, sex, CASE WHEN sex = 'M' THEN 'new' ELSE 'old' END AS state FROM people WHERE sex IS NOT NULL",
     "cache_export": "SELECT n.ego AS root, 'en' AS lang, CAST(n.nodes AS INTEGER) AS nodes, CAST(coalesce(e.edges, 0) AS INTEGER) AS edges FROM (SELECT ego, count(*) AS nodes FROM ego_nodes GROUP BY 1) n LEFT JOIN (SELECT ego, count(*) AS edges FROM ego_edges GROUP BY 1) e USING (ego)",
+    "ego_resident_unfolded": "SELECT * FROM net_nodes",
+    "ego_resident_folded": """SELECT * FROM (WITH res AS (SELECT entity_person_id AS ego FROM res_gold), grp AS (SELECT DISTINCT entity_person_id AS m, family_group_id AS g FROM fgroups),
+    ahead AS (SELECT ego, ego AS f, 1 AS level FROM res UNION ALL SELECT DISTINCT r.ego, v.t, 2 FROM res r JOIN net_moves v ON v.f = r.ego AND v.way < 3 WHERE v.t <> r.ego)
+  SELECT ego, 0 AS level, CAST(NULL AS VARCHAR) AS "from", 0 AS way, ego AS at, CAST(1 AS BIGINT) AS n, 'self' AS role, CAST(NULL AS VARCHAR) AS relation FROM res
+  UNION ALL SELECT a.ego, a.level, a.f, 1, v.t, 1, v.role, v.relation FROM ahead a JOIN net_moves v ON v.f = a.f AND v.way = 1 WHERE v.t <> a.ego
+  UNION ALL SELECT a.ego, a.level, a.f, 2, a.f, d.n, NULL, NULL FROM ahead a JOIN (SELECT f, count(*) AS n FROM net_moves WHERE way = 2 GROUP BY 1) d ON d.f = a.f
+  UNION ALL SELECT a.ego, a.level, a.f, 3, x.g, y.n, NULL, NULL FROM ahead a JOIN grp x ON x.m = a.f JOIN (SELECT g, count(*) AS n FROM grp GROUP BY 1) y ON y.g = x.g)""",
+    "upsert_properties": """SELECT p.id, CASE WHEN c.n IS NULL THEN p.label ELSE upper(p.label) END AS label, CASE WHEN k.child IS NOT NULL THEN p.sex END AS sex, c.n AS children, CASE WHEN k.child IS NOT NULL THEN 'known' ELSE 'made' END AS state
+  FROM people p LEFT JOIN (SELECT parent, count(*) AS n FROM child_of GROUP BY 1) c ON c.parent = p.id LEFT JOIN (SELECT DISTINCT child FROM child_of) k ON k.child = p.id WHERE c.n IS NOT NULL OR k.child IS NOT NULL""",
+    "table_daily": "SELECT sex, count(*) AS n, min(entity_person_id) AS first FROM cit_gold WHERE CAST(updated_at AS TIMESTAMP) >= TIMESTAMP '2020-01-01 12:00:00' AND CAST(updated_at AS TIMESTAMP) < TIMESTAMP '2020-02-01 00:00:00' GROUP BY 1",
     "tree_one_edges": "SELECT * FROM tier_edges WHERE ego = 'P0000000100'",
     "ego_one_nodes": f"SELECT * FROM ego_nodes WHERE ego IN {_ONE}",
     "ego_one_edges": f"SELECT * FROM ego_edges WHERE ego IN {_ONE}",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kin as K
 from ..functions import text as T
-from ..operators import ego, graph, keyed, layout, links, lookup, payload, reports, resolve, upsert
+from ..operators import catalogue, ego, graph, keyed, layout, links, lookup, payload, reports, resolve, upsert
 from ..operators.tables import settle, shared_dir
 from ..sources import bronze
 from .stages import STAGES, Silver, silver
@@ -289,6 +289,26 @@ def _upsert(r: Registry) -> DataFrame:
     return upsert.merge(base, new, ["id"])
 
 
+def _properties(r: Registry) -> DataFrame:
+    """All persons with a parent; then properties of all parents merged over them: their label replaced, a count given, and a state that only new rows get."""
+    has = lambda column: r.people.join(r.child_of.select(F.col(column).alias("id")).distinct(), "id", "left_semi")
+    base = has("child").select("id", "label", "sex", F.lit("known").alias("state"))
+    counts = r.child_of.groupBy(F.col("parent").alias("id")).agg(F.count("*").alias("children"))
+    given = has("parent").join(counts, "id").select("id", F.upper("label").alias("label"), "children", F.lit("made").alias("state"))
+    return upsert.merge_properties(base, given, ["id"], on_create=("state",))
+
+
+def _daily(r: Registry) -> DataFrame:
+    """Entities as a table of the catalogue, in folders by the day of their last change, replaced once; those of a month, counted by sex."""
+    name = f"gold_{uuid.uuid4().hex}"
+    catalogue.ensure_namespace(r.spark, name, _files(r, "namespace"))
+    rows = r.kept("citizens").select("entity_person_id", "sex", "updated_at")
+    catalogue.save(rows.where("sex = 'F'"), f"{name}.entities", day_of="updated_at")
+    catalogue.save(rows, f"{name}.entities", day_of="updated_at")
+    month = catalogue.within(r.spark.table(f"{name}.entities"), "updated_at", "2020-01-01 12:00:00", "2020-02-01 00:00:00")
+    return month.groupBy("sex").agg(F.count("*").alias("n"), F.min("entity_person_id").alias("first"))
+
+
 def _autocreate(r: Registry) -> DataFrame:
     known = r.residents.select(F.col("entity_person_id").alias("id"), "person_type")
     ends = r.sponsorship.select(F.col("sponsor_entity_person_id").alias("id"))
@@ -374,6 +394,8 @@ FUNCTIONS = {
     "ego_citizen_edges": lambda r: r.ego[1],
     "ego_resident_nodes": lambda r: r.network[0],
     "ego_resident_edges": lambda r: r.network[1],
+    "ego_resident_folded": lambda r: ego.folded_networks(r.resident_table, r.sponsorship, r.groups)[0],
+    "ego_resident_unfolded": lambda r: ego.unfolded(*ego.folded_networks(r.resident_table, r.sponsorship, r.groups), r.names.drop("person_type")),
     "tree_five_tier_nodes": lambda r: r.tiers,
     "tree_five_tier_edges": lambda r: graph.induced_edges(settle(r.tiers, "tiers"), r.child_of, r.spouse_of),
     "tree_citizen_kin": lambda r: graph.citizen_tree_nodes(r.egos, r.people, r.child_of, r.spouse_of),
@@ -407,6 +429,8 @@ FUNCTIONS = {
     "bounds_refused": _beyond,
     # cache and loads
     "upsert_merge": _upsert,
+    "upsert_properties": _properties,
+    "table_daily": _daily,
     "edge_endpoint_check": lambda r: upsert.loadable_edges(r.sponsorship.select(F.col("sponsored_entity_person_id").alias("src"), F.col("sponsor_entity_person_id").alias("dst")), r.residents.select(F.col("entity_person_id").alias("id"))),
     "sponsor_autocreate": _autocreate,
     "payload_json": lambda r: r.cache.select("entity_person_id", "ego_json"),

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kinweave.operators import ego, graph, keyed, lookup
+from kinweave.operators import catalogue, ego, graph, keyed, lookup, upsert
 from kinweave.operators.schema import Table, field
 from kinweave.plans import stages
 from kinweave.plans.stages import Silver, Stage
@@ -256,3 +256,53 @@ def test_upserts_by_key_refuse_repeats_and_other_columns(spark, tmp_path):
         keyed.upsert(spark, path, df.drop("v"), ["k"])
     with pytest.raises(ValueError, match="not laid out"):
         keyed.rows_of(df, "k", ["a"])
+
+
+# ------------------------------------------------------------------ folded networks, properties, the catalogue
+
+
+def test_a_large_sponsor_costs_a_list_not_a_square(spark):
+    m = 3000
+    r = spark.range(m).select(F.concat(F.lit("r"), F.col("id")).alias("r"))
+    residents = r.select(F.col("r").alias("entity_person_id"), F.lit("3").alias("relationship_code"))
+    links_ = r.select(F.lit("c").alias("sponsor_entity_person_id"), F.col("r").alias("sponsored_entity_person_id"), F.lit("x").alias("relation_to_sponsor"), F.lit("3").alias("relationship_code"), F.lit("citizen").alias("sponsor_type"))
+    groups = r.select(F.col("r").alias("entity_person_id"), F.lit("SPON:c").alias("family_group_id"))
+    refs, lists = ego.folded_networks(residents, links_, groups)
+    assert refs.count() <= 5 * m and lists.count() == 2 * m
+    names = spark.createDataFrame([("c", "C", "M")], "id string, label string, sex string")
+    two = spark.createDataFrame([("r5",), ("r7",)], "id string")
+    folded = ego.unfolded(*ego.folded_networks(residents, links_, groups, ids=two), names)
+    assert rows(folded) == rows(ego.resident_ego(residents, links_, groups, names, ids=two)[0])
+
+
+def test_unfolded_networks_equal_the_full_ones(spark):
+    rng = random.Random(4)
+    ids = [f"r{i}" for i in range(25)]
+    residents = spark.createDataFrame([(i, rng.choice(["2", "3", None])) for i in ids], "entity_person_id string, relationship_code string")
+    link = "sponsor_entity_person_id string, sponsored_entity_person_id string, relation_to_sponsor string, relationship_code string, sponsor_type string"
+    links_ = spark.createDataFrame([(rng.choice([*ids, "c1", "c2"]), i, rng.choice("xyz"), rng.choice("234"), rng.choice(["citizen", "resident"])) for i in ids for _ in range(2)], link)
+    groups = spark.createDataFrame(sorted({(i, f"SPON:{rng.randrange(6)}") for i in ids for _ in range(2)}), "entity_person_id string, family_group_id string")
+    names = spark.createDataFrame([("c1", "C", "M")], "id string, label string, sex string")
+    for depth in (1, 2):
+        assert rows(ego.unfolded(*ego.folded_networks(residents, links_, groups, depth=depth), names)) == rows(ego.resident_ego(residents, links_, groups, names, depth=depth)[0])
+    with pytest.raises(ValueError):
+        ego.folded_networks(residents, links_, groups, depth=3)
+
+
+def test_properties_merge_column_by_column(spark):
+    old = spark.createDataFrame([("1", "a", "m", "old"), (None, "b", None, "old"), ("3", "c", "f", "old")], "k string, v string, sex string, state string")
+    new = spark.createDataFrame([("1", "A", 1, "made"), (None, None, 2, "made"), ("9", "Z", 3, "made")], "k string, v string, n int, state string")
+    got = {r.k: tuple(r)[1:] for r in upsert.merge_properties(old, new, ["k"], on_create=("state",)).collect()}
+    assert got == {"1": ("A", "m", "old", 1), None: (None, None, "old", 2), "3": ("c", "f", "old", None), "9": ("Z", None, "made", 3)}
+
+
+def test_days_of_a_catalogue_table_are_pruned(spark, tmp_path):
+    catalogue.ensure_namespace(spark, "pruned", f"file://{tmp_path}/ns")
+    df = spark.createDataFrame([("a", "2020-01-01 23:59:59"), ("b", "2020-01-02 00:00:00"), ("c", "2020-01-03 00:00:00"), ("d", None)], "id string, at string").withColumn("at", F.col("at").cast("timestamp"))
+    for _ in range(2):
+        catalogue.save(df, "pruned.t", day_of="at")
+    hit = catalogue.within(spark.table("pruned.t"), "at", "2020-01-02 00:00:00", "2020-01-03 00:00:00")
+    assert [tuple(r)[0] for r in hit.collect()] == ["b"] and hit.columns == ["id", "at"]
+    assert "PartitionFilters: [isnotnull(at_day" in _plan(hit)
+    assert spark.table("pruned.t").count() == 4
+    spark.sql("DROP NAMESPACE pruned CASCADE")
