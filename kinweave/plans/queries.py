@@ -261,9 +261,9 @@ def _beyond(r: Registry) -> DataFrame:
         return False
 
     bounds = F.array(*(F.struct(F.lit(n).alias("what"), F.lit(refused(n, 0)).alias("below"), F.lit(refused(n, m + 1)).alias("above")) for n, m in most.items()))
-    unknown = r.ego_of(["nobody", *r.one], depth=1)[0].select("ego").distinct()
-    per = r.people.groupBy("sex").agg(F.count("*").alias("persons")).select("sex", "persons", F.explode(bounds).alias("b")).select("sex", "persons", "b.*")
-    return per.join(F.broadcast(unknown.agg(F.count("*").alias("egos"))))
+    egos = r.ego_of(["nobody", *r.one], depth=1)[0].select("ego").distinct().count()
+    per = r.people.groupBy("sex").agg(F.count("*").alias("persons"))
+    return per.select("sex", "persons", F.explode(bounds).alias("b")).select("sex", "persons", "b.*", F.lit(egos).cast("long").alias("egos"))
 
 
 def _paths(r: Registry) -> DataFrame:
