@@ -5,7 +5,9 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -13,12 +15,16 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, column, place, read, scratch
+from .common import arrow_map, column, cut, place, read, scratch, shuffle_parts
 
 #: Fixed value: the base32 alphabet.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
+#: What ends a record.
+END = b"\r\n\r\n"
+#: Compressed bytes after which a task begins a further file.
+FILE_BYTES = 256 << 20
 
 
 def base32(hex40: Column) -> Column:
@@ -48,7 +54,7 @@ def _compressed(rows: DataFrame) -> DataFrame:
 
 
 def write_archive(pages: DataFrame, folder: str, min_payload: int = 0) -> None:
-    """Writes ``folder/payloads`` (key, size, frame: each payload once, compressed) and ``folder/headers`` (one row for each record).
+    """Writes ``folder/payloads`` (key, size, frame: each payload once, compressed) and ``folder/headers`` (one row for each record: page_id, key, size, response, header).
 
     A payload is known by its SHA-256 and length.  Of records with equal
     payloads of at least ``min_payload`` bytes the one with the largest page_id
@@ -79,20 +85,22 @@ def write_archive(pages: DataFrame, folder: str, min_payload: int = 0) -> None:
         F.lit("\r\n" + HTTP),
     ).cast("binary")
     zstd = lambda df, name: df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
-    zstd(records.select("page_id", "key", "size", header.alias("header")), "headers")
+    zstd(records.select("page_id", "key", "size", (F.col("type") == "response").alias("response"), header.alias("header")), "headers")
     # a frame for each payload of a map task, not of a record, is moved; equal payloads have equal frames
     zstd(_compressed(rows).groupBy("key", "size").agg(F.max_by("frame", F.coalesce("page_id", F.lit(-(1 << 63)))).alias("frame")), "payloads")
 
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """``(header, frame)`` of every record: exact header bytes with the compressed full payload they stand for."""
-    headers = spark.read.parquet(f"{folder}/headers")
-    return headers.join(spark.read.parquet(f"{folder}/payloads"), ["key", "size"], "left").select("header", "frame")
-
+    """``(header, key, size, frame)`` of every record: exact header bytes; a response's payload joins it by digest and length, a revisit has none.
 
-def record_bytes(header: bytes, payload: bytes) -> bytes:
-    """The original record: a revisit has no payload of its own."""
-    return header + (payload if b"\r\nWARC-Type: response\r\n" in header else b"") + b"\r\n\r\n"
+    Revisits stay where they are, so a payload with many copies moves once.  A
+    response without its payload has a null frame, which ``export_files``
+    refuses; an archive without records gives no rows.
+    """
+    headers = spark.read.parquet(f"{folder}/headers")
+    stored = spark.read.parquet(f"{folder}/payloads")
+    own = headers.where("response").join(stored, ["key", "size"], "left").select("header", "key", "size", "frame")
+    return own.unionByName(headers.where("not response").select("header", "key", "size", F.lit(None).cast("binary").alias("frame")))
 
 
 def parse_header(header: bytes) -> dict[str, str]:
@@ -108,100 +116,147 @@ def _page(uid: str | None) -> int | None:
     return None if value == "null" else int(value)
 
 
-_RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-
-
-def _record(header: bytes, size: int | None, digest: str | None) -> tuple:
-    """A row of ``_RECORD`` from a header and its payload's size and digest; raises ValueError if they do not fit."""
+def record_bytes(header: bytes, key: str, size: int, frame: bytes | None, z: zstandard.ZstdDecompressor) -> bytes:
+    """The original record; ValueError if its payload is missing, damaged, or is not the one its SHA-256 and length name."""
     h = parse_header(header)
-    if size is None:
+    if h["WARC-Type"] != "response":
+        return header + END
+    if frame is None:
         raise ValueError(f"payload of {h['WARC-Record-ID']} is missing")
-    block = len(header) - header.index(b"\r\n\r\n") - 4 + (size if h["WARC-Type"] == "response" else 0)
-    if h["WARC-Payload-Digest"] != f"sha1:{digest}" or int(h["Content-Length"]) != block:
-        raise ValueError(f"record {h['WARC-Record-ID']} does not match its header")
-    return _page(h["WARC-Record-ID"]), size, digest, h["WARC-Type"], _page(h.get("WARC-Refers-To"))
+    try:
+        payload = z.decompress(frame)
+    except zstandard.ZstdError as e:
+        raise ValueError(f"payload of {h['WARC-Record-ID']} is damaged") from e
+    if len(payload) != size or hashlib.sha256(payload).hexdigest() != key:
+        raise ValueError(f"payload of {h['WARC-Record-ID']} is not the one of its key")
+    return header + payload + END
 
 
-def _records(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+def export_files(records: DataFrame, folder: str, most: int = FILE_BYTES) -> DataFrame:
+    """Writes the records of ``read_archive`` as ``*.warc.gz`` files, a gzip member for each; returns (file, records).
 
+    A task goes on to a further file after about ``most`` compressed bytes.
+    Tasks without records write no file, an empty archive none at all.  A
+    payload that is missing or is not the one of its key raises ValueError.
+    """
+    from pyspark import TaskContext
 
-def _facts(z: zstandard.ZstdDecompressor, frame: bytes | None) -> tuple[int | None, str | None]:
-    """(size, base32 SHA-1) of the payload in a frame."""
-    if frame is None:
-        return None, None
-    payload = z.decompress(frame)
-    return len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
-
+    def run(batches: Iterator[pa.RecordBatch]):
+        ctx = TaskContext.get()
+        fs, root = pafs.FileSystem.from_uri(folder)
+        fs.create_dir(root, recursive=True)
+        name, part = f"{root}/records-{ctx.partitionId():06d}", f".{ctx.taskAttemptId()}.part"
+        z, out, done, n, size = zstandard.ZstdDecompressor(), None, [], 0, 0
 
-def describe(records: DataFrame) -> DataFrame:
-    """Parses whole records ``(header, frame)`` and verifies lengths and digests; a damaged archive raises ValueError."""
+        def close():
+            out.close()
+            at = f"{name}-{len(done):04d}"
+            place(fs, at + part, f"{at}.warc.gz")
+            done.append((f"{at}.warc.gz", n))
 
-    def run(batches: Iterator[pa.RecordBatch]):
-        z = zstandard.ZstdDecompressor()
         for b in batches:
-            yield _records([_record(h, *_facts(z, f)) for h, f in zip(column(b, "header").to_pylist(), column(b, "frame").to_pylist(), strict=True)])
+            for row in zip(*(column(b, c).to_pylist() for c in ("header", "key", "size", "frame")), strict=True):
+                member = gzip.compress(record_bytes(*row, z), compresslevel=4, mtime=0)
+                if out is None:
+                    out, n, size = fs.open_output_stream(f"{name}-{len(done):04d}{part}", compression=None), 0, 0
+                out.write(member)
+                n, size = n + 1, size + len(member)
+                if size >= most:
+                    close()
+                    out = None
+        if out is not None:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in done], pa.string()), pa.array([k for _, k in done], pa.int64())], ["file", "records"])
 
-    return arrow_map(records, run, _RECORD)
+    return arrow_map(records, run, "file string, records long")
 
 
-def describe_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """``describe`` of all records of an archive: each stored payload is unpacked and verified once, and its size and digest join the headers, so no payload moves.
+def read_records(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(header fields, block) of each record of an open ``.warc.gz`` file, one at a time; a cut or damaged file raises ValueError."""
+    try:
+        with gzip.GzipFile(fileobj=stream, mode="rb") as f:
+            while head := f.readline():
+                while not head.endswith(b"\r\n\r\n"):
+                    line = f.readline()
+                    if not line:
+                        raise ValueError("a record's header is cut")
+                    head += line
+                h = parse_header(head)
+                n = int(h["Content-Length"])
+                block = f.read(n)
+                if len(block) != n or f.read(len(END)) != END:
+                    raise ValueError(f"record {h['WARC-Record-ID']} does not match its header")
+                yield h, block
+    except (EOFError, OSError, zlib.error) as e:
+        raise ValueError("a WARC file is cut or damaged") from e
 
-    An archive without records gives no rows; one whose header lacks its payload, or differs from it, raises ValueError.
-    """
 
-    def verify(batches: Iterator[pa.RecordBatch]):
-        z = zstandard.ZstdDecompressor()
-        for b in batches:
-            got = [_facts(z, f) for f in column(b, "frame").to_pylist()]
-            yield pa.RecordBatch.from_arrays([column(b, "key"), column(b, "size"), pa.array([n for n, _ in got], pa.int64()), pa.array([d for _, d in got], pa.string())], ["key", "size", "bytes", "digest"])
+def _page(uid: str | None) -> int | None:
+    value = uid[len("<urn:page:") : -1] if uid else "null"
+    return None if value == "null" else int(value)
 
-    def run(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
-            yield _records([_record(*x) for x in zip(*(column(b, c).to_pylist() for c in ("header", "bytes", "digest")), strict=True)])
 
-    facts = arrow_map(spark.read.parquet(f"{folder}/payloads"), verify, "key string, size long, bytes long, digest string")
-    headers = spark.read.parquet(f"{folder}/headers")
-    return arrow_map(headers.join(facts, ["key", "size"], "left").select("header", "bytes", "digest"), run, _RECORD)
+_ROW = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
 
 
-def export_files(records: DataFrame, folder: str) -> DataFrame:
-    """Writes the rebuilt records as ``*.warc.gz`` files, a gzip member for each record; returns (file, records)."""
-    from pyspark import TaskContext
+def _described(h: dict[str, str], block: bytes) -> tuple:
+    """A row of ``_ROW``: a response's length and digest are taken from its bytes, a revisit's length is left null."""
+    head, mark, payload = block.partition(b"\r\n\r\n")
+    digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    response = h["WARC-Type"] == "response"
+    if not mark or (h["WARC-Payload-Digest"] != f"sha1:{digest}" if response else payload):
+        raise ValueError(f"record {h['WARC-Record-ID']} does not match its header")
+    return _page(h["WARC-Record-ID"]), len(payload) if response else None, h["WARC-Payload-Digest"].removeprefix("sha1:"), h["WARC-Type"], _page(h.get("WARC-Refers-To"))
+
+
+def describe_files(files: DataFrame) -> DataFrame:
+    """``files(file, records)`` -> ``(page_id, payload_bytes, payload_digest, record_type, refers_to)``, read from the files' bytes.
+
+    Each record is parsed and its length and digest are verified; a revisit
+    takes the length of the response that it refers to, which must be there with
+    the same digest.  A damaged file, one with another number of records, or a
+    revisit without its response raises an error; no files give no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]):
-        ctx = TaskContext.get()
-        fs, root = pafs.FileSystem.from_uri(folder)
-        fs.create_dir(root, recursive=True)
-        name = f"{root}/records-{ctx.partitionId():06d}"
-        n, z = 0, zstandard.ZstdDecompressor()
-        with fs.open_output_stream(f"{name}.{ctx.taskAttemptId()}.part", compression=None) as f:
-            for b in batches:
-                for header, frame in zip(column(b, "header").to_pylist(), column(b, "frame").to_pylist(), strict=True):
-                    f.write(gzip.compress(record_bytes(header, z.decompress(frame)), mtime=0))
-                    n += 1
-        place(fs, f"{name}.{ctx.taskAttemptId()}.part", f"{name}.warc.gz")
-        yield pa.RecordBatch.from_arrays([pa.array([f"{name}.warc.gz"]), pa.array([n], pa.int64())], ["file", "records"])
+        for b in batches:
+            for name, n in zip(column(b, "file").to_pylist(), column(b, "records").to_pylist(), strict=True):
+                fs, path = pafs.FileSystem.from_uri(name)
+                rows, seen = [], 0
+                with fs.open_input_stream(path, compression=None) as f:
+                    for h, block in read_records(f):
+                        rows.append(_described(h, block))
+                        seen += 1
+                        if len(rows) == 5000:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ROW.types, strict=True)], schema=_ROW)
+                            rows = []
+                if seen != n:
+                    raise ValueError(f"{path} has {seen} records, not {n}")
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ROW.types, strict=True)], schema=_ROW)
+
+    found = cut(arrow_map(files, run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"), "warc-read")
+    responses, revisits = found.where("record_type = 'response'"), found.where("record_type <> 'response'")
+    sizes = responses.where("page_id is not null").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("size"))
+    lost = F.raise_error(F.concat(F.lit("revisit without its response: page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null")))).cast("long")
+    joined = revisits.join(sizes, ["refers_to", "payload_digest"], "left").withColumn("payload_bytes", F.coalesce("size", lost))
+    return responses.unionByName(joined.select(responses.columns))
 
-    return arrow_map(records, run, "file string, records long")
 
+def describe_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """Rebuilds all records of an archive by joins, writes them as WARC files below the shared folder, and describes what is read back from those.
 
-def read_files(blob: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header fields, block) of each record in a ``.warc.gz`` file's bytes."""
-    data = gzip.decompress(blob)
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at) + 4
-        h = parse_header(data[at:end])
-        n = int(h["Content-Length"])
-        yield h, data[end : end + n]
-        at = end + n + 4
+    Payloads are held against their SHA-256 as records are rebuilt and against
+    the SHA-1 of their header as files are read; an archive without records
+    gives no rows, one that is damaged an error.
+    """
+    files = cut(export_files(read_archive(spark, folder), scratch(spark, "warc-files")), "warc-list")
+    tasks = max(1, min(files.count(), 16 * shuffle_parts(spark)))
+    return describe_files(files.repartition(tasks))
 
 
 def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes all pages as records and describes the archive read back; nulls, repeats and empty tables as in ``write_archive``."""
+    """Writes all pages as an archive, rebuilds its records into WARC files and describes those; nulls, repeats and empty tables as in ``write_archive``."""
     folder = scratch(spark, "warc")
     write_archive(read(spark, sf_dir, "pages"), folder)
     return describe_archive(spark, folder)

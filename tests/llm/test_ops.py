@@ -847,32 +847,77 @@ def test_suffix_automaton_gives_matching_statistics():
 # ------------------------------------------------------------------ op9
 
 
+PAGES = "page_id long, url string, html string, payload string"
+
+
 def test_warc_round_trip(spark, tmp_path):
-    html = ["<p>a</p>", "<p>b</p>", "<p>a</p>", None, "", "é\r\n\r\nx", "<p>a</p>"]
-    pages = spark.createDataFrame([(i, f"http://h/{i}" if i % 2 else None, t, "clash") for i, t in enumerate(html)] + [(1, "http://h/1", html[1], "clash")], "page_id long, url string, html string, payload string")
+    long = "<p>é</p>" * 30_000
+    html = ["<p>a</p>", "<p>b</p>", "<p>a</p>", None, "", "é\r\n\r\nx", "<p>a</p>", long]
+    pages = spark.createDataFrame([(i, f"http://h/{i}" if i % 2 else None, t, "clash") for i, t in enumerate(html)] + [(1, "http://h/1", html[1], "clash"), (None, "u", html[0], ""), (None, None, "alone", "")], PAGES)
     folder = f"file://{tmp_path}/w"
     warc.write_archive(pages, folder)
-    records = warc.read_archive(spark, folder)
-    rows = warc.describe(records).collect()
+    rows = warc.describe_archive(spark, folder).collect()
+    texts = dict(enumerate(html))
     for r in rows:
-        body = (html[r["page_id"]] or "").encode()
-        last = max(i for i, t in enumerate(html) if (t or "") == (html[r["page_id"]] or ""))
+        if r["page_id"] is None:
+            continue
+        body = (texts[r["page_id"]] or "").encode()
+        last = max(i for i, t in texts.items() if (t or "") == (texts[r["page_id"]] or ""))
         want = ("response", None) if last == r["page_id"] else ("revisit", last)
         assert (r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) == (len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(), *want)
-    assert len(rows) == 8 and spark.read.parquet(f"{folder}/payloads").count() == 4
-    files = warc.export_files(records.coalesce(1), f"file://{tmp_path}/files").collect()
-    found = [x for f in files for x in warc.read_files(open(f["file"], "rb").read())]
-    assert len(found) == 8 and {h["WARC-Type"] for h, _ in found} == {"response", "revisit"}
+    # a null page_id is the smallest: it revisits, or is the response where no other page has the payload
+    assert sorted((r["payload_bytes"], r["record_type"], r["refers_to"]) for r in rows if r["page_id"] is None) == [(5, "response", None), (8, "revisit", 6)]
+    assert len(rows) == 11 and spark.read.parquet(f"{folder}/payloads").count() == 6
+    files = warc.export_files(warc.read_archive(spark, folder).coalesce(1), f"file://{tmp_path}/files", most=600).collect()
+    assert len(files) > 1 and sum(f["records"] for f in files) == 11
+    found = [x for f in files for x in warc.read_records(open(f["file"], "rb"))]
+    assert {h["WARC-Type"] for h, _ in found} == {"response", "revisit"}
     assert any(block.endswith("é\r\n\r\nx".encode()) for _, block in found)
     small = f"file://{tmp_path}/s"
-    warc.write_archive(pages, small, min_payload=9)
-    assert {r["record_type"] for r in warc.describe(warc.read_archive(spark, small)).collect()} == {"response"}
+    warc.write_archive(pages, small, min_payload=1 << 20)
+    assert {r["record_type"] for r in warc.describe_archive(spark, small).collect()} == {"response"}
+
 
+def test_archive_without_records(spark, tmp_path):
+    warc.write_archive(spark.createDataFrame([], PAGES), f"file://{tmp_path}/none")
+    assert warc.describe_archive(spark, f"file://{tmp_path}/none").collect() == []
 
-def test_damaged_archive_is_refused(spark):
-    bad = spark.createDataFrame([(bytearray(b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Payload-Digest: sha1:X\r\nContent-Length: 3\r\n\r\n"), bytearray(zstandard.compress(b"abc")))], "header binary, frame binary")
-    with pytest.raises(Exception, match="does not match"):
-        warc.describe(bad).collect()
+
+def test_damaged_archive_is_refused(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "abc", ""), (2, "u", "abc", ""), (3, "u", "other", "")], PAGES)
+    folder = f"file://{tmp_path}/good"
+    warc.write_archive(pages, folder)
+
+    def spoilt(name, headers=lambda h: h, payloads=lambda p: p):
+        headers(spark.read.parquet(f"{folder}/headers")).write.parquet(f"file://{tmp_path}/{name}/headers")
+        payloads(spark.read.parquet(f"{folder}/payloads")).write.parquet(f"file://{tmp_path}/{name}/payloads")
+        return lambda: warc.describe_archive(spark, f"file://{tmp_path}/{name}").collect()
+
+    swap = lambda a, b: lambda h: h.withColumn("header", warc.F.expr(f"cast(replace(cast(header as string), '{a}', '{b}') as binary)"))
+    other = bytearray(zstandard.compress(b"abd"))
+    digest = base64.b32encode(hashlib.sha1(b"abc").digest()).decode()
+    cases = [
+        (spoilt("payload", payloads=lambda p: p.withColumn("frame", warc.F.lit(other))), "not the one of its key"),
+        (spoilt("frame", payloads=lambda p: p.withColumn("frame", warc.F.lit(bytearray(b"zz")))), "is damaged"),
+        (spoilt("missing", payloads=lambda p: p.where("size <> 3")), "is missing"),
+        (spoilt("keys", *[lambda t: t.withColumn("key", warc.F.reverse("key"))] * 2), "not the one of its key"),
+        (spoilt("digest", headers=swap(digest, digest[::-1])), "does not match"),
+        (spoilt("length", headers=swap("Content-Length: ", "Content-Length: 1")), "does not match"),
+        (spoilt("refers", headers=swap("Refers-To: <urn:page:2>", "Refers-To: <urn:page:3>")), "revisit without its response"),
+    ]
+    for run, what in cases:
+        with pytest.raises(Exception, match=what):
+            run()
+    files = warc.export_files(warc.read_archive(spark, folder), f"file://{tmp_path}/files")
+    files = spark.createDataFrame(files.collect(), files.schema)
+    assert warc.describe_files(files).count() == 3
+    with pytest.raises(Exception, match="records, not"):
+        warc.describe_files(files.withColumn("records", warc.F.col("records") + 1)).collect()
+    name = files.first()["file"]
+    whole = open(name, "rb").read()
+    open(name, "wb").write(whole[:-9])
+    with pytest.raises(Exception, match="cut or damaged"):
+        warc.describe_files(files).collect()
 
 
 @pytest.mark.parametrize("run", [lambda d: substring_dedup.dedup_substrings(d), lambda d: simhash.fingerprints(d), lambda d: license_scan.scan_licenses(d), lambda d: token_store.tokenize(d, token_store.tokenizer_path())])
