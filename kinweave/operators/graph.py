@@ -181,6 +181,12 @@ def resident_tree(egos: DataFrame, persons: DataFrame, sponsored_by: DataFrame,
     return nodes, src.join(links, "source").join(dst, ["ego", "target"], "left_semi").select("ego", "source", "target", F.lit("SPONSORED_BY").alias("type"))
 
 
+def with_relations(edges: DataFrame, links: DataFrame) -> DataFrame:
+    """Edges of resident trees with ``relation``, that of the link they stand for; of several the smallest."""
+    known = links.groupBy(F.col("sponsored_entity_person_id").alias("source"), F.col("sponsor_entity_person_id").alias("target")).agg(F.min("relation_to_sponsor").alias("relation"))
+    return edges.join(known, ["source", "target"], "left").select("ego", "source", "target", "type", "relation")
+
+
 def unified_tree(egos: DataFrame, citizens: DataFrame, residents: DataFrame) -> DataFrame:
     """Nodes of the citizens' tree of an ego, or of the residents' where the first has none."""
     c = citizens.select("ego", "id", "label", "sex", "person_type")

@@ -284,6 +284,18 @@ part(
 )
 part("tier_edges", """SELECT DISTINCT x.ego, c.child AS source, c.parent AS target, 'CHILD_OF' AS type FROM tiers x JOIN child_of c ON c.child = x.id JOIN tiers y ON y.ego = x.ego AND y.id = c.parent
   UNION ALL SELECT DISTINCT x.ego, s.a, s.b, 'SPOUSE_OF' FROM tiers x JOIN spouse_of s ON s.a = x.id JOIN tiers y ON y.ego = x.ego AND y.id = s.b""")
+part("shown", "SELECT ego, id, kin FROM tier_nodes UNION ALL SELECT i.id, i.inlaw, 'in-law' FROM inl i WHERE i.id IN (SELECT id FROM people) AND i.inlaw IN (SELECT id FROM people) AND (i.id, i.inlaw) NOT IN (SELECT (ego, id) FROM tier_nodes)")
+part("elders", "SELECT ego, min(id) FILTER (kin = 'father') AS fa, min(id) FILTER (kin = 'mother') AS mo FROM tier_nodes GROUP BY 1")
+part(
+    "clustered",
+    """SELECT DISTINCT m.ego, m.cluster, m.id FROM (SELECT e.ego, 'grandparents_f' AS cluster, c.parent AS id FROM elders e JOIN child_of c ON c.child = e.fa
+      UNION ALL SELECT e.ego, 'grandparents_m', c.parent FROM elders e JOIN child_of c ON c.child = e.mo
+      UNION ALL SELECT w.ego, 'inlaws', c.parent FROM shown w JOIN child_of c ON c.child = w.id WHERE w.kin IN ('husband', 'wife', 'spouse') AND NOT EXISTS (SELECT 1 FROM child_of o WHERE o.child = w.ego AND o.parent = c.parent)
+      UNION ALL SELECT k.ego, 'grandchildren', c.child FROM (SELECT s.ego, s.id FROM shown s JOIN child_of o ON o.parent = s.ego AND o.child = s.id) k JOIN child_of c ON c.parent = k.id) m
+    JOIN shown s ON s.ego = m.ego AND s.id = m.id""",
+)
+part("gram_of", "SELECT DISTINCT id, substr(lower(label), i, 3) AS gram FROM (SELECT id, label, unnest(range(1, length(label) - 1)) AS i FROM people)")
+part("gram_n", "SELECT gram, count(*) AS n FROM gram_of GROUP BY 1 UNION ALL SELECT '', count(*) FROM people")
 part(
     "ctree",
     """SELECT e.ego, e.id, coalesce(p.label, p.id) AS label, p.sex, 'citizen' AS person_type, e.kin FROM (SELECT ego, id, arg_min(kin, o) AS kin FROM (

@@ -36,7 +36,7 @@ _NEAR = f"""SELECT * FROM (WITH RECURSIVE me AS (SELECT DISTINCT entity_person_i
   SELECT *, CASE WHEN kin LIKE '%-in-law%' OR kin = 'spouse' THEN 'inlaws' WHEN kin IN ('grandfather', 'grandmother', 'grandparent') THEN 'ancestors' WHEN kin IN ('grandson', 'granddaughter', 'grandchild') THEN 'descendants' END AS cluster FROM termed)"""
 _STAGES = {
     "citizens": "cit_gold", "citizen_alias": "cit_alias", "parents": "plinks", "spouses": "slinks", "people": "people", "child_of": "child_of", "spouse_of": "spouse_of", "residency": "joined", "residents": "res_gold",
-    "resident_alias": "res_alias", "sponsorship": "slinks_r", "groups": "fgroups", "entity_steps": "ego_steps", "entity_index": "cit_gold", "number_index": "cit_alias", "person_index": "people", "ego_cache": "ego_people",
+    "resident_alias": "res_alias", "sponsorship": "slinks_r", "groups": "fgroups", "entity_steps": "ego_steps", "entity_index": "cit_gold", "number_index": "cit_alias", "person_index": "people", "name_grams": "gram_n", "name_postings": "(SELECT id FROM gram_of JOIN gram_n USING (gram) WHERE n * 16 <= (SELECT count(*) FROM people))", "ego_cache": "ego_people",
     "person_steps": "(SELECT child, parent, 'U' FROM child_of UNION SELECT parent, child, 'D' FROM child_of UNION SELECT a, b, 'S' FROM spouse_sym)",
 }
 _FINAL = {
@@ -115,11 +115,13 @@ _FINAL = {
     "relation_label": f"SELECT DISTINCT code, {RELATION.format('code')} AS en, {_REL_AR} AS ar FROM (SELECT lookup_family_relationship_id AS code FROM req)",
     "edge_label": "SELECT DISTINCT type, CASE type WHEN 'CHILD_OF' THEN 'Child of' WHEN 'SPOUSE_OF' THEN 'Spouse of' END AS label FROM tier_edges",
     "first_words": r"SELECT doc_id, array_to_string(list_slice(regexp_split_to_array(trim(text), '\s+'), 1, 2), ' ') AS words FROM documents",
+    "name_search_terms": """SELECT term, id, label FROM people, (VALUES ('CUSTOMER#00000001'), ('customer'), ('0123'), ('#000000'), ('99'), ('er#00000001'), ('x'), ('nobody'), ('')) t(term) WHERE contains(lower(label), lower(term))""",
     "name_search": "SELECT id, label FROM people WHERE lower(label) LIKE '%customer#00000001%'",
     "ego_citizen_nodes": "SELECT * FROM ego_nodes",
     "ego_citizen_edges": "SELECT * FROM ego_edges",
     "ego_resident_nodes": "SELECT * FROM net_nodes",
     "ego_resident_edges": "SELECT * FROM net_edges",
+    "tree_resident_relations": """SELECT e.*, r.relation FROM (SELECT DISTINCT x.ego, s.child AS source, s.parent AS target, 'SPONSORED_BY' AS type FROM rtree x JOIN spon s ON s.child = x.id JOIN rtree y ON y.ego = x.ego AND y.id = s.parent) e LEFT JOIN (SELECT sponsored_entity_person_id AS c, sponsor_entity_person_id AS p, min(relation_to_sponsor) AS relation FROM slinks_r GROUP BY 1, 2) r ON r.c = e.source AND r.p = e.target""",
     "tree_five_tier_nodes": "SELECT * FROM tier_nodes",
     "tree_five_tier_edges": "SELECT * FROM tier_edges",
     "tree_citizen_kin": "SELECT * FROM ctree",
@@ -132,6 +134,13 @@ _FINAL = {
     "relationships_of": """SELECT DISTINCT * FROM (SELECT ego, 'parent' AS relation, target AS id FROM tier_edges WHERE type = 'CHILD_OF' AND source = ego UNION ALL SELECT ego, 'child', source FROM tier_edges WHERE type = 'CHILD_OF' AND target = ego
   UNION ALL SELECT ego, 'spouse', CASE WHEN source = ego THEN target ELSE source END FROM tier_edges WHERE type = 'SPOUSE_OF' AND ego IN (source, target))""",
     "layout_five_tier": _LAYOUT,
+    "layout_cluster_members": "SELECT * FROM clustered",
+    "layout_clusters": """SELECT m.ego, '__cluster_' || cluster || '__' AS id, count(*) AS n, CAST(round(CASE cluster WHEN 'grandparents_f' THEN -2.88 WHEN 'grandparents_m' THEN 2.88 WHEN 'grandchildren' THEN 0
+    ELSE (coalesce(any_value(w.k) + 1.5, 2.5)) * 3.2 END, 6) AS DOUBLE) AS x, CAST(CASE cluster WHEN 'inlaws' THEN -1.8 WHEN 'grandchildren' THEN 3.6 ELSE -3.6 END AS DOUBLE) AS y
+  FROM clustered m LEFT JOIN (SELECT ego, count(*) AS k FROM tier_nodes WHERE kin IN ('husband', 'wife', 'spouse') GROUP BY 1) w ON w.ego = m.ego GROUP BY m.ego, cluster""",
+    "layout_cluster_edges": """SELECT c.ego, '__cluster_' || c.cluster || '__' AS source, coalesce(t.id, c.ego) AS target, CASE c.cluster WHEN 'inlaws' THEN 'IN_LAW' WHEN 'grandchildren' THEN 'DESCENDANT' WHEN 'grandparents_f' THEN 'PATERNAL_GP' ELSE 'MATERNAL_GP' END AS type
+  FROM (SELECT DISTINCT ego, cluster FROM clustered) c LEFT JOIN (SELECT ego, id, 'inlaws' AS cluster FROM tier_nodes WHERE kin IN ('husband', 'wife', 'spouse') UNION ALL SELECT ego, id, 'grandchildren' FROM tier_nodes WHERE kin IN ('son', 'daughter', 'child')
+    UNION ALL SELECT ego, fa, 'grandparents_f' FROM elders UNION ALL SELECT ego, mo, 'grandparents_m' FROM elders) t ON t.ego = c.ego AND t.cluster = c.cluster""",
     "layout_bounds": f"SELECT ego, min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y, round((min(x) + max(x)) / 2, 6) AS mid_x, round((min(y) + max(y)) / 2, 6) AS mid_y FROM ({_LAYOUT}) GROUP BY 1",
     "upsert_merge": """SELECT id, label, 'old' AS state FROM people WHERE id IN (SELECT child FROM child_of) AND id NOT IN (SELECT parent FROM child_of WHERE parent IS NOT NULL)
   UNION ALL SELECT id, upper(label), 'new' FROM people WHERE id IN (SELECT parent FROM child_of)""",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kin as K
 from ..functions import text as T
-from ..operators import catalogue, ego, graph, keyed, layout, links, lookup, payload, reports, resolve, upsert
+from ..operators import catalogue, ego, graph, keyed, layout, links, lookup, payload, reports, resolve, search, upsert
 from ..operators.tables import settle, shared_dir
 from ..sources import bronze
 from .stages import STAGES, Silver, silver
@@ -344,6 +344,29 @@ def _layout(r: Registry) -> DataFrame:
     return _round(layout.five_tier_layout(t, graph.induced_edges(t, r.child_of, r.spouse_of)))
 
 
+def _shown(r: Registry) -> tuple[DataFrame, DataFrame]:
+    """The five-tier trees with the parents of spouses, which the layout shows as a cluster, and the edges among all of these."""
+    tiers = r.tiers.select("ego", "id", "kin")
+    known = r.egos.withColumnRenamed("id", "inlaw")
+    more = graph.inlaws(r.child_of, r.spouse_of).join(r.egos, "id", "left_semi").join(known, "inlaw", "left_semi").select(F.col("id").alias("ego"), F.col("inlaw").alias("id"), F.lit("in-law").alias("kin"))
+    nodes = settle(tiers.unionByName(more.join(tiers, ["ego", "id"], "left_anti")), "shown")
+    return nodes, graph.induced_edges(nodes, r.child_of, r.spouse_of)
+
+
+def _clustered(r: Registry, make) -> DataFrame:
+    nodes, edges = _shown(r)
+    return make(nodes, layout.cluster_members(nodes, edges))
+
+
+#: Parts of names: some are in few names, some in nearly all, some in none, some too short for a trigram.
+TERMS = ["CUSTOMER#00000001", "customer", "0123", "#000000", "99", "er#00000001", "x", "nobody", ""]
+
+
+def _named(r: Registry, term: str) -> DataFrame:
+    found = search.named(r.kept("name_grams"), r.kept("name_postings"), r.kept("person_index"), term)
+    return found.select("id", "label")
+
+
 FUNCTIONS = {
     # normalising, keys, ids
     "normalize_person": lambda r: resolve.normalize_citizens(r.persons).select("spm_person_no", "name_ar_norm", "name_en_norm", F.col("dob_norm").cast("string").alias("dob_norm"), "national_id_norm", "gender_norm"),
@@ -388,7 +411,8 @@ FUNCTIONS = {
     "relation_label": _relation_labels,
     "edge_label": lambda r: graph.induced_edges(settle(r.tiers, "tiers"), r.child_of, r.spouse_of).select("type", T.edge_label("type").alias("label")).distinct(),
     "first_words": lambda r: r._bronze(lambda s, d: bronze.table(s, d, "documents")).select("doc_id", T.first_words("text", 2).alias("words")),
-    "name_search": lambda r: r.people.where(T.contains_ignoring_case("label", "CUSTOMER#00000001")).select("id", "label"),
+    "name_search": lambda r: _named(r, "CUSTOMER#00000001"),
+    "name_search_terms": lambda r: reduce(DataFrame.unionByName, [_named(r, t).select(F.lit(t).alias("term"), "id", "label") for t in TERMS]),
     # networks
     "ego_citizen_nodes": lambda r: r.ego[0],
     "ego_citizen_edges": lambda r: r.ego[1],
@@ -401,6 +425,7 @@ FUNCTIONS = {
     "tree_citizen_kin": lambda r: graph.citizen_tree_nodes(r.egos, r.people, r.child_of, r.spouse_of),
     "tree_resident": lambda r: graph.resident_tree(r.resident_ids, r.names, r.sponsored_by)[0],
     "tree_resident_edges": lambda r: graph.resident_tree(r.resident_ids, r.names, r.sponsored_by)[1],
+    "tree_resident_relations": lambda r: graph.with_relations(graph.resident_tree(r.resident_ids, r.names, r.sponsored_by)[1], r.sponsorship),
     "tree_unified": lambda r: graph.unified_tree(r.egos.unionByName(r.resident_ids), graph.citizen_tree_nodes(r.egos, r.people, r.child_of, r.spouse_of), graph.resident_tree(r.resident_ids, r.names, r.sponsored_by)[0]),
     "sponsored_family": lambda r: graph.sponsored_family(r.sponsored_by, r.residents.select(F.col("entity_person_id").alias("id")), r.sponsored_by.select(F.col("parent").alias("id"))),
     "lca_pairs": lambda r: graph.common_ancestors(r.pairs, r.child_of, r.people, limit=None, depth=None, bulk=True).drop("rank"),
@@ -408,6 +433,9 @@ FUNCTIONS = {
     "relationships_of": lambda r: graph.relationships(graph.induced_edges(settle(r.tiers, "tiers"), r.child_of, r.spouse_of)),
     "layout_five_tier": _layout,
     "layout_bounds": lambda r: _round(layout.bounding_box(_layout(r))),
+    "layout_clusters": lambda r: _round(_clustered(r, layout.clusters)),
+    "layout_cluster_members": lambda r: _clustered(r, lambda nodes, members: members),
+    "layout_cluster_edges": lambda r: _clustered(r, layout.cluster_edges),
     # one person
     "ego_one_nodes": lambda r: r.ego_of_one()[0],
     "ego_one_edges": lambda r: r.ego_of_one()[1],

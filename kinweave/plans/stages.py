@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import kin, text
-from ..operators import ego, graph, keyed, links, payload, resolve, schema
+from ..operators import ego, graph, keyed, links, payload, resolve, schema, search
 from ..operators.schema import Table, field
 from ..operators.tables import shared_dir
 from ..sources import bronze
@@ -116,6 +116,9 @@ STAGES: tuple[Stage, ...] = (
     Stage(_table("number_index", "spm_person_no!", "entity_person_id", key=("spm_person_no",)), ("citizen_alias",), lambda a: a.select("spm_person_no", "entity_person_id"), bucket="spm_person_no"),
     Stage(_table("person_steps", "from!", "to!", "kind!", key=("from", "to", "kind")), ("child_of", "spouse_of"), _number_steps, (ego, graph), bucket="from"),
     Stage(_table("person_index", "id!", "label", "sex", key=("id",)), ("people",), lambda p: p, bucket="id"),
+    # trigrams of names: how many names hold each, and their postings
+    Stage(_table("name_grams", "gram!", "n!", key=("gram",)), ("people",), search.gram_counts, (search,), bucket="gram"),
+    Stage(_table("name_postings", "slot!", "gram!", "id!", key=("slot", "id")), ("people", "name_grams"), search.postings, (search,), bucket="slot"),
     Stage(_table("ego_cache", "entity_person_id!", "ego_json!", "generated_at!", key=("entity_person_id",)), ("entity_index", "parents", "spouses"), _documents, (ego, payload, kin), keyed="entity_person_id"),
 )
 
