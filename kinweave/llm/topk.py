@@ -14,14 +14,23 @@ K = 5
 CANDIDATES, QUERIES = 8192, 4096
 #: Dimensions of a vertical block.
 DIMS = 16
+#: Squared norms stay below this, a little under the largest long.
+NORM = 9.2e18
 
 
 def quantise(embeddings: DataFrame, scale: int = 256) -> DataFrame:
-    """``(vec_id, v array<long>)`` with floor(scale * x); vectors (and ids) null or with null or non-finite components go."""
+    """``(vec_id, v array<long>)`` with floor(scale * x); vectors (and ids) null or with null or non-finite components go.
+
+    Repeated rows stay, each by itself.  A vector whose squared norm could pass
+    a long raises an error: below it no inner product, whole or of some
+    dimensions, leaves a long.
+    """
     x = F.transform("embedding", lambda e: e.cast("double"))
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x")).where("vec_id is not null and x is not null")
     rows = rows.where(F.forall("x", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))))
-    return rows.select("vec_id", F.transform("x", lambda e: F.floor(e * scale).cast("long")).alias("v"))
+    norm = F.aggregate("x", F.lit(0.0), lambda a, e: a + F.pow(F.abs(e * scale) + 1, F.lit(2.0)))
+    refused = F.raise_error(F.concat(F.lit("the scores of a vector leave a long: vec_id "), F.col("vec_id").cast("string"))).cast("array<bigint>")
+    return rows.select("vec_id", F.when(norm < NORM, F.transform("x", lambda e: F.floor(e * scale).cast("long"))).otherwise(refused).alias("v"))
 
 
 def branch_and_bound(cand: np.ndarray, cand_id: np.ndarray, query: np.ndarray, query_id: np.ndarray, k: int = K) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -79,8 +88,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     k rows for each of its queries, and the best k of those are the result.
     A query meets all vectors of its own length but those with its own id; with
     fewer than k it gets them all.  Repeated rows of a candidate each count;
-    equal repeated query rows count once.  Empty sides give no rows.  Scores
-    must fit in 64 bits.
+    equal repeated query rows count once.  Empty sides give no rows.  Squared
+    norms must fit in 64 bits, as ``quantise`` sees to.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -106,6 +115,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 
 
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best of every fiftieth vector among all others; nulls and too large values as in ``quantise``, repeats and empty tables as in ``top_k``."""
     vectors = quantise(read(spark, sf_dir, "embeddings"))
     return top_k(vectors, vectors.where("vec_id % 50 = 0"))
 

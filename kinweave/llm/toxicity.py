@@ -107,17 +107,21 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_DOCS) -> Model:
     """Fits on at most ``rows`` labelled documents outside the held-out fifth, chosen by a hash of the id.
 
     Null ids, null labels and null texts are not learned from; a repeated id counts as
-    toxic if one of its labels is 1.  Without any label every score is 0.5.
+    toxic if one of its labels is 1, and of its texts the first in order is learned.
+    Without any label every score is 0.5.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = sample_by_hash(known, "doc_id", rows)
-    got = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null").join(F.broadcast(chosen), "doc_id").limit(2 * rows).collect()  # bounded by rows
-    got.sort(key=lambda r: (r["doc_id"], r["text"]))
+    got = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()  # at most rows
+    got.sort(key=lambda r: r["doc_id"])
     return fit([r["text"] for r in got], [r["toxic"] for r in got])
 
 
 def score_texts(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs(doc_id, text)`` -> ``(doc_id, score, predicted)``; null and empty texts get the score of the bias alone."""
+    """``docs(doc_id, text)`` -> ``(doc_id, score, predicted)``; null and empty texts get the score of the bias alone.
+
+    Long texts are scored whole, repeated rows each alike, an empty table gives no rows; other columns are not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]):
         hashes, dense = word_hashes(), model.dense()
@@ -129,6 +133,7 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every document by a model of the labels outside the held-out fifth; nulls, repeats and empty tables as in ``train`` and ``score_texts``."""
     docs = read(spark, sf_dir, "documents")
     model = train(docs, read(spark, sf_dir, "labels"))
     return score_texts(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")

@@ -635,6 +635,29 @@ def test_mixed_documents_keep_repeated_and_null_ids_apart(spark):
 # ------------------------------------------------------------------ op7, op10
 
 
+def test_top_k_refuses_scores_beyond_a_long_and_counts_repeats(spark):
+    rows = lambda *v: spark.createDataFrame([(i, x) for i, x in v], "vec_id long, embedding array<double>")
+    for big in ([1e30, 0.0], [-1e30, 0.0], [2.0**24, 2.0**24]):
+        with pytest.raises(Exception, match="leave a long: vec_id 7"):
+            topk.quantise(rows((0, [1.0, 1.0]), (7, big))).collect()
+    q = topk.quantise(rows((0, [1.0, 2.0**22]), (1, [1.0, 2.0**22]), (1, [1.0, 2.0**22]), (None, [1.0, 1.0]), (2, [0.0, 0.0])))
+    got = [tuple(r) for r in topk.top_k(q, q.where("vec_id = 0")).orderBy("rank").collect()]
+    assert got == [(0, 1, 1, 2**60 + 2**16), (0, 2, 1, 2**60 + 2**16), (0, 3, 2, 0)]
+
+
+def test_toxicity_learns_the_first_text_of_a_repeated_id(spark):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in ids], "doc_id long, toxic int")
+    texts = lambda i: "you vile awful fool" if i % 2 else "a calm walk in the park"
+    once = docs(spark, [texts(i) for i in ids], ids=ids)
+    more = docs(spark, [t for i in ids for t in (texts(i), texts(i), "zz later " + texts(i + 1), None)], ids=[i for i in ids for _ in range(4)])
+    a, b = toxicity.train(once, labels), toxicity.train(more, labels)
+    assert len(a.weights) and a.bias == b.bias and list(a.buckets) == list(b.buckets) and list(a.weights) == list(b.weights)
+    long = docs(spark, ["word " * 200_000 + "vile awful fool", "calm", "calm"], ids=[1, 2, 2])
+    got = sorted(map(tuple, toxicity.score_texts(long, a).collect()))
+    assert len(got) == 3 and got[1] == got[2] and got[0][1] > got[1][1]
+
+
 def test_toxicity_on_held_out_documents(spark):
     rng = random.Random(7)
     texts, labels = [], []
