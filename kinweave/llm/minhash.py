@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, column, cut, mix64, read, shuffle_parts, text_bytes
 from .components import components
-from .simhash import deal, repeats, shingle_hashes
+from .simhash import deal, majority, repeats, shingle_hashes
 
 #: Words of a shingle; sets are linked if PERCENT * union <= 100 * intersection.
 SHINGLE, PERCENT = 5, 85
@@ -47,10 +47,11 @@ def symbols(sets: list[np.ndarray]) -> np.ndarray:
     return mix64(low).astype(np.uint16)
 
 
-def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+def signatures(docs: DataFrame, size: int = SHINGLE, lanes: int = 0) -> DataFrame:
     """``docs(doc_id, text)`` -> ``(doc_id, th, sid, n, sig)``: hash of the text, digest, size and signature of its set of shingles.
 
-    Null texts and texts without words have n = 0 and no signature.
+    Null texts and texts without words have n = 0 and no signature.  ``lanes``:
+    a column ``fp`` with the set's fingerprint of so many words of 64 bits.
     """
 
     def made(held: list[tuple]) -> pa.RecordBatch:
@@ -58,9 +59,10 @@ def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         rows = iter(symbols(full) if full else [])
         sig = [next(rows).tobytes() if len(h) else None for _, _, h in held]
         sid = [xxhash.xxh3_128_digest(h.tobytes()) for _, _, h in held]
+        fp = [pa.array([majority(h, lanes) for _, _, h in held], pa.binary())] if lanes else []
         return pa.RecordBatch.from_arrays(
-            [pa.array([d for d, _, _ in held], pa.int64()), pa.array([t for _, t, _ in held], pa.int64()), pa.array(sid, pa.binary()), pa.array([len(h) for _, _, h in held], pa.int64()), pa.array(sig, pa.binary())],
-            ["doc_id", "th", "sid", "n", "sig"],
+            [pa.array([d for d, _, _ in held], pa.int64()), pa.array([t for _, t, _ in held], pa.int64()), pa.array(sid, pa.binary()), pa.array([len(h) for _, _, h in held], pa.int64()), pa.array(sig, pa.binary()), *fp],
+            ["doc_id", "th", "sid", "n", "sig", "fp"][: 5 + len(fp)],
         )
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -76,7 +78,7 @@ def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             yield made(held)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
-    return arrow_map(rows, run, "doc_id long, th long, sid binary, n long, sig binary")
+    return arrow_map(rows, run, "doc_id long, th long, sid binary, n long, sig binary" + (", fp binary" if lanes else ""))
 
 
 # --------------------------------------------------------------------------- multi-index
@@ -223,7 +225,7 @@ def weighed(rows: DataFrame) -> DataFrame:
     return rows.join(heavy, "key", "left_anti").unionByName(dealt)
 
 
-def confirmed(groups: DataFrame, nodes: DataFrame, docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+def confirmed(groups: DataFrame, nodes: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``groups(key, rid, comp)`` -> ``(u, v)``: links between components within each key, by the sets of whole texts."""
     spark = docs.sparkSession
     asked = cut(groups.join(nodes.select("rid", F.col("low.doc_id").alias("_id"), F.col("low.th").alias("_th")), "rid").select("key", "rid", "comp", "_id", "_th"), "asked")
@@ -236,7 +238,7 @@ def confirmed(groups: DataFrame, nodes: DataFrame, docs: DataFrame, size: int =
 
     def run(batches: Iterator[pa.RecordBatch]):
         def solve(rid, comp, sets):
-            links = exact_links(sets, np.array(comp))
+            links = exact_links(sets, np.array(comp), percent)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([rid[i] for i, _ in links], pa.int64()), pa.array([rid[j] for _, j in links], pa.int64())], ["u", "v"])
 
@@ -272,6 +274,26 @@ def first_groups(members: DataFrame, nodes: DataFrame) -> DataFrame:
     return mine.unionByName(leads).withColumn("comp", F.col("rid"))
 
 
+def joined_sets(nodes: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, find: Callable[[DataFrame], DataFrame] = candidates) -> DataFrame:
+    """``nodes(rid, sid, n, sig, low)``, sets that are not empty -> ``(node, root)``: rids of the sets that links join, and the smallest of each.
+
+    Each set is first compared with two leads of its buckets; then ``find``, like
+    ``candidates``, says which rows of the buckets that still hold several components may be linked.
+    """
+    keys = cut(keyed(nodes), "keys")
+    lead = cut(keys.groupBy("key").agg(F.count("*").alias("k"), F.min("rid").alias("lead")).where("k > 1").select("key", "lead"), "leads")
+    members = cut(keys.join(lead, "key").select("key", "rid", "lead"), "members")
+    first = cut(confirmed(first_groups(members, nodes), nodes, docs, size, percent), "links")
+    joined = cut(components(first), "joined")
+    named = members.select("key", "rid").join(joined, F.col("rid") == F.col("node"), "left").select("key", "rid", F.coalesce("root", "rid").alias("comp"))
+    named = cut(named, "named")
+    mixed = cut(named.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key"), "mixed")
+    rest = find(named.join(mixed, "key", "left_semi").join(nodes.drop("sid", "low"), "rid"))
+    rest = weighed(cut(rest, "candidates"))
+    second = cut(confirmed(rest, nodes, docs, size, percent), "links")
+    return components(first.unionByName(second)) if second.limit(1).count() else joined
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``docs(doc_id, text)`` -> ``(doc_id, n_shingles, component_id, kept)``, a row for each document.
 
@@ -296,18 +318,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     rows = cut(signatures(docs, size), "signatures")
     low = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "n", "sig")).alias("low")
     nodes = cut(rows.where("n > 0").groupBy("sid").agg(low).select(F.monotonically_increasing_id().alias("rid"), "sid", "low.n", "low.sig", F.struct("low.no_id", "low.doc_id", "low.th").alias("low")), "sets")
-    keys = cut(keyed(nodes), "keys")
-    lead = cut(keys.groupBy("key").agg(F.count("*").alias("k"), F.min("rid").alias("lead")).where("k > 1").select("key", "lead"), "leads")
-    members = cut(keys.join(lead, "key").select("key", "rid", "lead"), "members")
-    first = cut(confirmed(first_groups(members, nodes), nodes, docs, size), "links")
-    joined = cut(components(first), "joined")
-    named = members.select("key", "rid").join(joined, F.col("rid") == F.col("node"), "left").select("key", "rid", F.coalesce("root", "rid").alias("comp"))
-    named = cut(named, "named")
-    mixed = cut(named.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key"), "mixed")
-    rest = candidates(named.join(mixed, "key", "left_semi").join(nodes.select("rid", "n", "sig"), "rid").select("key", "rid", "comp", "n", "sig"))
-    rest = weighed(cut(rest, "candidates"))
-    second = cut(confirmed(rest, nodes, docs, size), "links")
-    root = components(first.unionByName(second)) if second.limit(1).count() else joined
+    root = joined_sets(nodes, docs, size)
     named = nodes.join(root, F.col("rid") == F.col("node"), "left").select("sid", "low", F.coalesce("root", "rid").alias("root"))
     label = cut(named.groupBy("root").agg(F.min("low").alias("first")), "lows")
     label = cut(named.join(label, "root").select("sid", F.col("first.doc_id").alias("first"), F.lit(True).alias("has")), "labels")

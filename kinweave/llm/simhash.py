@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -159,14 +158,13 @@ def _union(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         parent = _find(parent)
 
 
-def link_groups(words: np.ndarray, group: np.ndarray, radius: int, side: np.ndarray | None = None, same: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> np.ndarray:
+def link_groups(words: np.ndarray, group: np.ndarray, radius: int, side: np.ndarray | None = None) -> np.ndarray:
     """Root row of every row under links within its group; rows come sorted by group.
 
     All rows are compared with the row 1, 2, 3, ... places on at once, over
     vertical planes.  Rows whose group has ended, and groups that are joined
     already, leave the block when it is compacted.  With ``side`` (1 or 2 in rows
-    of chunk pairs, else 0) rows of one side, 1 or 2, need not be compared.  With
-    ``same`` only those pairs within the radius are links for which it says so.
+    of chunk pairs, else 0) rows of one side, 1 or 2, need not be compared.
     """
     m = len(words)
     parent = np.arange(m)
@@ -207,11 +205,41 @@ def link_groups(words: np.ndarray, group: np.ndarray, radius: int, side: np.ndar
         hit = within(planes_, by, radius, np.packbits(live, bitorder="little").view(np.uint64))
         if hit.any():
             i = np.flatnonzero(np.unpackbits(hit.view(np.uint8), bitorder="little"))
-            if same is not None:
-                i = i[same(rows[i], rows[i + by])]
             parent = _union(parent, rows[i], rows[i + by])
 
 
+def pairs_within(words: np.ndarray, group: np.ndarray, radius: int, wanted: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) of rows of one group that differ in at most ``radius`` bits, some at a time; rows come sorted by group.
+
+    Only pairs for which ``wanted`` says so are compared.  As in ``link_groups``, all
+    rows meet the row 1, 2, 3, ... places on at once, over vertical planes, and rows
+    whose group has ended leave the block when it is compacted.
+    """
+    rows, planes_, by, next_compact = np.arange(len(words)), None, 0, 1
+    while True:
+        by += 1
+        if planes_ is None or by >= next_compact:
+            g = group[rows]
+            size = np.searchsorted(g, g, side="right") - np.searchsorted(g, g)
+            rows = rows[size > by]
+            if not len(rows):
+                return
+            end = np.searchsorted(group[rows], group[rows], side="right")
+            planes_, next_compact = planes(words[rows]), by + max(1, by // 2)
+        i = np.flatnonzero(np.arange(len(rows)) + by < end)
+        if not len(i):
+            return
+        i = i[wanted(rows[i], rows[i + by])]
+        if not len(i):
+            continue
+        live = np.zeros(planes_.shape[1] * WORD, np.uint8)
+        live[i] = 1
+        hit = within(planes_, by, radius, np.packbits(live, bitorder="little").view(np.uint64))
+        if hit.any():
+            i = np.flatnonzero(np.unpackbits(hit.view(np.uint8), bitorder="little"))
+            yield rows[i], rows[i + by]
+
+
 # --------------------------------------------------------------------------- buckets
 
 
@@ -236,20 +264,6 @@ def radius_of(similarity: float, bits: int, sigmas: float = 5.0) -> int:
     return int(round(bits * p + sigmas * np.sqrt(bits * p * (1 - p))))
 
 
-def sampled_keys(count: int, bits: int, similarity: float, miss: float = 0.001, seed: int = 3) -> list[list[int]]:
-    """Random choices of bits as keys.  Their width follows log2 of the number of fingerprints, so buckets stay small;
-    their number is such that pairs of that similarity share none of them with probability ``miss``, averaged over their distances."""
-    rng = np.random.default_rng(seed)
-    width = int(np.clip(np.ceil(np.log2(max(count, 2))) - 7, 10, 24))
-    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    share = np.array([math.comb(bits, d) * p**d * (1 - p) ** (bits - d) for d in range(bits + 1)])
-    apart = 1 - (1 - np.arange(bits + 1) / bits) ** width
-    tables = 1
-    while share @ apart**tables > miss:
-        tables += 1
-    return [sorted(rng.choice(bits, width, replace=False).tolist()) for _ in range(tables)]
-
-
 def deal(rows: DataFrame, group: int, by: str) -> DataFrame:
     """``rows(key, ...)`` with ``side``: keys of more than ``group`` rows become one key for each pair of chunks, dealt by a hash of ``by``."""
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > group)
@@ -264,11 +278,9 @@ def deal(rows: DataFrame, group: int, by: str) -> DataFrame:
     return rows.join(heavy, "key", "left_anti").withColumn("side", F.lit(0)).unionByName(dealt)
 
 
-def bucket_links(fps: DataFrame, radius: int, keys: list[list[int]], group: int = GROUP, extra: DataFrame | None = None) -> DataFrame:
+def bucket_links(fps: DataFrame, radius: int, keys: list[list[int]], group: int = GROUP) -> DataFrame:
     """``fps(fp)``, distinct -> ``(u, v)``: links that join what is within the radius in a common bucket.
 
-    ``extra(key, fp)`` are further places of fingerprints in buckets.
-
     A bucket gives at most one link for each member, not all its pairs.
     Buckets of more than ``group`` members are split into chunks and every pair
     of chunks is a group of its own, so no task holds a whole hot bucket.
@@ -289,8 +301,6 @@ def bucket_links(fps: DataFrame, radius: int, keys: list[list[int]], group: int
                 yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), fp], ["key", "fp"])
 
     rows = arrow_map(fps.select("fp"), key_rows, "key long, fp binary")
-    if extra is not None:
-        rows = rows.unionByName(extra)
     rows = deal(rows, group, "fp")
     ordered = rows.repartition(shuffle_parts(spark), "key").sortWithinPartitions("key", "fp")
 
@@ -322,18 +332,17 @@ def bucket_links(fps: DataFrame, radius: int, keys: list[list[int]], group: int
     return arrow_map(ordered.select("key", "fp", "side"), run, "u binary, v binary")
 
 
-def near_components(fps: DataFrame, radius: int, similarity: float | None = None) -> DataFrame:
+def near_components(fps: DataFrame, radius: int) -> DataFrame:
     """``fps(doc_id, fp)`` -> ``(doc_id, fp, component_id)``: the smallest doc_id reachable over links within the radius.
 
-    All links are found, by blocks of the fingerprint; with a ``similarity``
-    buckets come from samples of its bits instead, for radii that blocks cannot serve.  Equal fingerprints are one
+    All links are found, by blocks of the fingerprint.  Equal fingerprints are one
     node; repeated doc_ids each keep a row; null doc_ids never name a component
     unless it has no other; an empty table gives no rows.
     """
     node = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "fps")
     first = node.agg(F.count("*").alias("n"), F.max(F.length("fp")).alias("bytes")).first()
     count, bits = first["n"], 8 * (first["bytes"] or 8)
-    keys = sampled_keys(count, bits, similarity) if similarity else exact_keys(count, radius, bits)
+    keys = exact_keys(count, radius, bits)
     root = components(bucket_links(node, radius, keys))
     named = node.join(root, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     label = cut(named.groupBy("root").agg(F.min("low").alias("component_id")), "lows")
@@ -341,135 +350,11 @@ def near_components(fps: DataFrame, radius: int, similarity: float | None = None
     return fps.join(label, "fp").select("doc_id", "fp", "component_id")
 
 
-#: Five-word shingles, similarity 0.8, and words of 64 bits of the wide fingerprint.
-SHINGLE, SIMILARITY, LANES = 5, 0.8, 4
-#: Shingles up to which a set is also found by its smallest hashes, as fingerprints of small sets vary more.
-SHORT = 100
-#: Candidates whose shingles are compared in one group (larger ones are split into pairs of chunks), and shingles of whole groups that a task gathers.
-VERIFY_GROUP, HELD = 4096, 1 << 20
-
-
-def signatures(docs: DataFrame, size: int, lanes: int, similarity: float) -> DataFrame:
-    """``docs(doc_id, text)`` -> ``(doc_id, th, sid, fp, rare)``: hash of the text, digest and fingerprint of its distinct shingles.
-
-    ``rare``: of a set of at most SHORT shingles, so many of the smallest hashes
-    that a set of that similarity holds one of them among its own.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
-            sid, fps, rare = [], [], []
-            for t in text_bytes(column(b, "text")):
-                h = np.unique(shingle_hashes(t, size))
-                n = len(h)
-                sid.append(xxhash.xxh3_128_digest(h.tobytes()))
-                fps.append(majority(h, lanes))
-                rare.append(h[: n - math.ceil(similarity * n - 1e-9) + 1].view(np.int64).tolist() if n <= SHORT else [])
-            yield pa.RecordBatch.from_arrays(
-                [column(b, "doc_id").cast(pa.int64()), column(b, "th"), pa.array(sid, pa.binary()), pa.array(fps, pa.binary()), pa.array(rare, pa.list_(pa.int64()))],
-                ["doc_id", "th", "sid", "fp", "rare"],
-            )
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
-    return arrow_map(rows, run, "doc_id long, th long, sid binary, fp binary, rare array<long>")
-
-
-def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
-    """Whether two sorted sets of shingle hashes have that Jaccard similarity; empty sets are alike."""
-    least, most = sorted((len(a), len(b)))
-    if least < similarity * most - 1e-9:
-        return False
-    both = np.concatenate([a, b])
-    both.sort(kind="stable")
-    common = int((both[1:] == both[:-1]).sum())
-    return common >= similarity * (least + most - common) - 1e-9
-
-
-def verified_links(rows: DataFrame, radius: int, size: int, similarity: float, group: int) -> DataFrame:
-    """``rows(key, sid, fp, text)`` -> ``(u, v)``, sids: links that join what is alike by exact Jaccard similarity of the shingles within a key.
-
-    All pairs of a key within the radius that no link joins yet are compared;
-    rows that repeat a sid count once.
-    """
-    ordered = deal(rows, group, "sid").repartition(shuffle_parts(rows.sparkSession), "key").sortWithinPartitions("key", "sid")
-
-    def solve(held: list[tuple]):
-        key = np.array([r[0] for r in held], np.int64)
-        group_no = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
-        words = np.frombuffer(b"".join(r[2] for r in held), ">u8").astype(np.uint64).reshape(len(held), -1)
-        side = np.array([r[3] for r in held])
-        sets = [r[4] for r in held]
-        same = lambda i, j: np.fromiter((alike(sets[x], sets[y], similarity) for x, y in zip(i.tolist(), j.tolist(), strict=True)), bool, len(i))
-        root = link_groups(words, group_no, radius, side if side.any() else None, same)
-        at = np.flatnonzero(root != np.arange(len(root)))
-        return pa.RecordBatch.from_arrays([pa.array([held[i][1] for i in at], pa.binary()), pa.array([held[i][1] for i in root[at]], pa.binary())], ["u", "v"])
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        held: list[tuple] = []
-        weight = 0
-        for b in batches:  # rows come sorted by key; whole keys are solved once enough shingles are held
-            for key, sid, fp, side, text in zip(*(column(b, c).to_pylist() for c in ("key", "sid", "fp", "side")), text_bytes(column(b, "text")), strict=True):
-                if held and (key, sid) == held[-1][:2]:
-                    continue
-                if held and key != held[-1][0] and weight >= HELD:
-                    yield solve(held)
-                    held, weight = [], 0
-                held.append((key, sid, fp, side, np.unique(shingle_hashes(text, size))))
-                weight += len(held[-1][4]) + 50
-        if held:
-            yield solve(held)
-
-    return arrow_map(ordered.select("key", "sid", "fp", "side", "text"), run, "u binary, v binary")
-
-
-def near_copies(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, lanes: int = LANES, group: int = VERIFY_GROUP) -> tuple[DataFrame, DataFrame]:
-    """``docs(doc_id, text)`` -> rows ``(doc_id, th, sid, ...)`` and ``(sid, first)``: the first document of each set's group of near copies.
-
-    Links are pairs whose sets of word shingles have the Jaccard similarity,
-    exactly.  Wide fingerprints only find candidates: what a chain of
-    fingerprints within a generous radius joins is compared as shingles.
-    ``first`` is (doc_id is null, doc_id, th), the smallest of the group.
-    """
-    rows = cut(signatures(docs, size, lanes, similarity), "signatures")
-    nodes = cut(rows.groupBy("sid").agg(F.first("fp").alias("fp"), F.first("rare").alias("rare"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")).alias("low")), "sets")
-    fps = cut(nodes.select("fp").distinct(), "fps")
-    bits, radius = WORD * lanes, radius_of(similarity, WORD * lanes)
-    extra = nodes.select(F.explode("rare").alias("key"), "fp").distinct()
-    chain = components(bucket_links(fps, radius, sampled_keys(fps.count(), bits, similarity), extra=extra))
-    chained = nodes.join(chain, F.col("fp") == F.col("node"), "left").select("sid", "fp", "low", F.xxhash64(F.coalesce("root", "fp")).alias("key"))
-    chained = cut(chained, "chained")
-    many = chained.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    asked = chained.join(many, "key", "left_semi").select("key", "sid", "fp", F.col("low.doc_id").alias("_id"), F.col("low.th").alias("_th"))
-    asked = cut(asked, "asked")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(asked, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("key", "sid", "fp", "text")
-    if repeats(rows):
-        texts = texts.dropDuplicates(["key", "sid"])
-    root = components(verified_links(cut(texts, "asked-texts"), radius, size, similarity, group))
-    named = nodes.join(root, F.col("sid") == F.col("node"), "left").select("sid", "low", F.coalesce("root", "sid").alias("root"))
-    label = cut(named.groupBy("root").agg(F.min("low").alias("first")), "lows")
-    return rows, cut(named.join(label, "root").select("sid", "first"), "labels")
-
-
 def repeats(rows: DataFrame) -> bool:
     """Whether a document occurs twice with one text."""
     return rows.groupBy("doc_id", "th").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() > 0
 
 
-def keep_one(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, lanes: int = LANES) -> DataFrame:
-    """One document of each group of near copies, with its columns as they are: the one with the smallest doc_id.
-
-    Of texts that share that doc_id, the one with the smallest hash; a null
-    doc_id comes last.  Rows with one doc_id and one text are one document, of which any row stays.
-    """
-    rows, label = near_copies(docs, size, similarity, lanes)
-    stay = cut(label.select(F.col("first.doc_id").alias("_id"), F.col("first.th").alias("_th")).distinct(), "stay")
-    kept = docs.join(stay.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(stay["_id"]) & (F.xxhash64(docs["text"]) == stay["_th"]))
-    if repeats(rows):
-        kept = kept.dropDuplicates(["_id", "_th"])
-    return kept.drop("_id", "_th")
-
-
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     fps = cut(fingerprints(read(spark, sf_dir, "documents")), "fingerprints")
     return near_components(fps, 3).select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")

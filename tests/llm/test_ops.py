@@ -11,7 +11,7 @@ import pytest
 import xxhash
 import zstandard
 
-from kinweave.llm import components, decontaminate, language_id, license_scan, mixing, simhash, substring_dedup, token_store, topk, toxicity, warc
+from kinweave.llm import components, decontaminate, language_id, license_scan, minhash, mixing, near_copies, simhash, substring_dedup, token_store, topk, toxicity, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_bytes int, component_id string, score string"
 
@@ -234,7 +234,7 @@ def test_near_copies_keep_one(spark):
         t = [f"w{rng.randrange(10**6)}" for _ in range(200)]
         texts += [" ".join(t), " ".join(t[:90] + ["other"] + t[91:]), " ".join(t)]
     texts += [" ".join(f"v{rng.randrange(10**6)}" for _ in range(100)) for _ in range(20)]
-    kept = sorted(r["doc_id"] for r in simhash.keep_one(docs(spark, texts)).collect())
+    kept = sorted(r["doc_id"] for r in near_copies.keep_one(docs(spark, texts)).collect())
     assert kept == [*range(0, 90, 3), *range(90, 110)]
 
 
@@ -250,12 +250,14 @@ def test_near_copies_are_decided_by_exact_similarity(spark):
         t = [f"w{rng.randrange(10**9)}" for _ in range(9)]
         alike[len(texts) + 1] = True
         texts += [" ".join(t), " ".join(t[:8])]
-    kept = {r["doc_id"] for r in simhash.keep_one(docs(spark, texts)).collect()}
+    kept = {r["doc_id"] for r in near_copies.keep_one(docs(spark, texts)).collect()}
     assert kept == {i for i in range(len(texts)) if not alike.get(i)}
 
 
 @pytest.mark.parametrize("group", [4096, 6])
-def test_chains_of_near_copies_equal_brute_force(spark, group):
+def test_chains_of_near_copies_equal_brute_force(spark, group, monkeypatch):
+    monkeypatch.setattr(near_copies, "GROUP", group)
+    monkeypatch.setattr(minhash, "WEIGHT", group << 8)
     rng = random.Random(81)
     texts = []
     for _ in range(6):
@@ -272,7 +274,7 @@ def test_chains_of_near_copies_equal_brute_force(spark, group):
             if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
                 a, b = sorted((root[i], root[j]))
                 root = [a if r == b else r for r in root]
-    rows, label = simhash.near_copies(docs(spark, texts), group=group)
+    rows, label = near_copies.near_copies(docs(spark, texts))
     got = {r["doc_id"]: r["first"]["doc_id"] for r in rows.join(label, "sid").collect()}
     assert [got[i] for i in range(len(texts))] == root
 
@@ -282,10 +284,51 @@ def test_documents_that_share_an_id_stay_unless_near_copies(spark):
     texts = [prose(rng, 60, 10**6) for _ in range(12)]
     texts += [texts[0], texts[1], texts[6]]
     ids = [None] * 4 + [5] * 4 + [6, 7, 8, 9] + [None, 3, 5]
-    kept = Counter((r["doc_id"], r["text"]) for r in simhash.keep_one(docs(spark, texts, ids=ids)).collect())
+    kept = Counter((r["doc_id"], r["text"]) for r in near_copies.keep_one(docs(spark, texts, ids=ids)).collect())
     assert kept == Counter((ids[i], texts[i]) for i in [0, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 13])
 
 
+def test_pairs_within_groups_equal_brute_force():
+    rng = np.random.default_rng(4)
+    group = np.sort(np.concatenate([rng.integers(0, 60, 300), np.full(150, 7), [99]]))
+    words = rng.integers(0, 1 << 63, (len(group), 2), dtype=np.uint64)
+    words[1::2] = words[: -1 : 2][: len(words[1::2])] ^ (np.uint64(1) << rng.integers(0, 12, (len(words) // 2, 2)).astype(np.uint64))
+    mine = lambda i, j: (i + j) % 3 > 0
+    for radius in (0, 2, 55):
+        got = sorted(p for i, j in simhash.pairs_within(words, group, radius, mine) for p in zip(i.tolist(), j.tolist(), strict=True))
+        i, j = np.triu_indices(len(group), 1)
+        near = (group[i] == group[j]) & mine(i, j) & (np.bitwise_count(words[i] ^ words[j]).sum(1) <= radius)
+        assert got == list(zip(i[near].tolist(), j[near].tolist(), strict=True)) and (radius == 0 or got)
+    assert list(simhash.pairs_within(words[:0], group[:0], 2, mine)) == []
+
+
+def test_a_pair_of_signatures_is_owned_by_one_bucket_as_in_minhash():
+    rng = np.random.default_rng(5)
+    a = rng.integers(0, 4, (50, minhash.SLOTS)).astype(np.uint16)
+    b = np.where(rng.random(a.shape) < 0.3, a + 1, a).astype(np.uint16)
+    for slot in range(minhash.SLOTS):
+        want = [bool(minhash.owned(b[k : k + 1], a[k], slot)[0]) for k in range(len(a))]
+        assert near_copies.owned_pairs(a, b, np.full(len(a), slot)).tolist() == want
+
+
+def test_near_copies_at_the_threshold_in_a_fixed_number_of_buckets(spark):
+    rng = random.Random(83)
+    texts, alike = [], set()
+    for k in range(300):
+        n = rng.choice([5, 11, 40, 99, 101, 160, 400])
+        base = [f"w{rng.randrange(10**9)}" for _ in range(n + 4)]
+        cut_ = n // 5 + (k % 2)  # shingles left out, at and just below 0.8
+        texts += [" ".join(base), " ".join(base[cut_:])]
+        if 100 * (n - cut_) >= 80 * n:
+            alike.add(len(texts) - 1)
+    template = [f"t{i}" for i in range(120)]  # pages of one template, similarity of about a half, stay
+    texts += [" ".join(template + [f"v{rng.randrange(10**9)}" for _ in range(60)]) for _ in range(60)]
+    table = docs(spark, texts)
+    assert {r["doc_id"] for r in near_copies.keep_one(table).collect()} == set(range(len(texts))) - alike
+    nodes = minhash.signatures(table, 5, 4).selectExpr("doc_id rid", "sig")
+    assert minhash.keyed(nodes).count() == minhash.SLOTS * len(texts)
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, j) for j in range(200, 260)] + [(300, 300), (None, 3), (7, 200)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
