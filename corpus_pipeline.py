@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinweave.llm import decontaminate, language_id, mixing, simhash, token_store
+from kinweave.llm import decontaminate, language_id, mixing, near_copies, token_store
 from kinweave.llm.common import read, scratch
 
 
@@ -25,7 +25,7 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     documents of their own; null and empty texts are one group; an empty table
     stays empty.
     """
-    return simhash.keep_one(docs)
+    return near_copies.keep_one(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
