@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, column, cut, shuffle_parts
 from .minhash import CHUNKS, GROUP, SLOTS, SYMBOLS, joined_sets, signatures, weighed
-from .simhash import WORD, deal, pairs_within, radius_of, repeats
+from .simhash import WORD, deal, few_bits, radius_of, repeats
 
 #: Five-word shingles, similarity of 80 %, and words of 64 bits of the wide fingerprint.
 SHINGLE, PERCENT, LANES = 5, 80, 4
 #: Up to so many shingles a set's fingerprint varies more than the radius allows for; such sets are compared as they are.
 SHORT = 100
+#: Pairs that are compared in one block.
+BLOCK = 1 << 15
 
 
 def owned_pairs(a: np.ndarray, b: np.ndarray, slot: np.ndarray) -> np.ndarray:
@@ -29,27 +31,47 @@ def owned_pairs(a: np.ndarray, b: np.ndarray, slot: np.ndarray) -> np.ndarray:
     return ((wrong <= 1).argmax(1) == c) & (wrong[at, c] <= 1) & np.where(wrong[at, c] == 1, apart[at, c, j], j == 0)
 
 
+def pairs_across(group: np.ndarray, comp: np.ndarray, block: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one group and two components, each once, some ``block`` at a time; rows come sorted by group.
+
+    One of the two is always outside the group's most frequent component, so a group that is nearly joined has few pairs.
+    """
+    m = len(group)
+    order = np.lexsort((comp, group))
+    g, c = group[order], comp[order]
+    first = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (c[1:] != c[:-1])])[:m])
+    count = np.diff(np.append(first, m))
+    by_size = np.lexsort((-count, g[first]))
+    lead = by_size[np.concatenate([[True], np.diff(g[first][by_size]) != 0])[: len(by_size)]]
+    outside = np.ones(m, bool)
+    outside[order] = np.repeat(~np.isin(np.arange(len(first)), lead), count)
+    u = np.flatnonzero(outside)
+    start, end = np.searchsorted(group, group[u]), np.searchsorted(group, group[u], side="right")
+    upto = np.cumsum(end - start)
+    lo = 0
+    while lo < len(u):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + block, side="right")))
+        size = (end - start)[lo:hi]
+        i = np.repeat(u[lo:hi], size)
+        j = np.arange(len(i)) + np.repeat(start[lo:hi] - np.cumsum(size) + size, size)
+        keep = (comp[i] != comp[j]) & (~outside[j] | (j > i))
+        yield i[keep], j[keep]
+        lo = hi
+
+
 def bucket_candidates(key: np.ndarray, n: np.ndarray, comp: np.ndarray, sig: np.ndarray, fp: np.ndarray, slot: np.ndarray, side: np.ndarray, radius: int, percent: int) -> np.ndarray:
     """Rows, sorted by key, that may be linked with a row of another component in their bucket."""
     need = np.zeros(len(key), bool)
     group = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
-    sides = side.any()
-
-    def wanted(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        ok = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
-        if sides:
-            ok &= (side[i] != side[j]) | (side[i] == 0)
-        short = np.flatnonzero(ok & (np.minimum(n[i], n[j]) <= SHORT))
-        mark(i[short], j[short])
-        ok[short] = False
-        return ok
-
-    def mark(i: np.ndarray, j: np.ndarray) -> None:
+    for i, j in pairs_across(group, comp):
+        low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+        ok = (100 * low >= percent * high) & ((side[i] != side[j]) | (side[i] == 0))
+        i, j, short = i[ok], j[ok], low[ok] <= SHORT
+        near = short.copy()
+        near[~short] = few_bits(fp[i[~short]] ^ fp[j[~short]], radius)
+        i, j = i[near], j[near]
         mine = owned_pairs(sig[i], sig[j], slot[i])
         need[i[mine]] = need[j[mine]] = True
-
-    for i, j in pairs_within(fp, group, radius, wanted):
-        mark(i, j)
     return need
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -208,36 +208,24 @@ def link_groups(words: np.ndarray, group: np.ndarray, radius: int, side: np.ndar
             parent = _union(parent, rows[i], rows[i + by])
 
 
-def pairs_within(words: np.ndarray, group: np.ndarray, radius: int, wanted: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (i, j) of rows of one group that differ in at most ``radius`` bits, some at a time; rows come sorted by group.
-
-    Only pairs for which ``wanted`` says so are compared.  As in ``link_groups``, all
-    rows meet the row 1, 2, 3, ... places on at once, over vertical planes, and rows
-    whose group has ended leave the block when it is compacted.
-    """
-    rows, planes_, by, next_compact = np.arange(len(words)), None, 0, 1
-    while True:
-        by += 1
-        if planes_ is None or by >= next_compact:
-            g = group[rows]
-            size = np.searchsorted(g, g, side="right") - np.searchsorted(g, g)
-            rows = rows[size > by]
-            if not len(rows):
-                return
-            end = np.searchsorted(group[rows], group[rows], side="right")
-            planes_, next_compact = planes(words[rows]), by + max(1, by // 2)
-        i = np.flatnonzero(np.arange(len(rows)) + by < end)
-        if not len(i):
-            return
-        i = i[wanted(rows[i], rows[i + by])]
-        if not len(i):
-            continue
-        live = np.zeros(planes_.shape[1] * WORD, np.uint8)
-        live[i] = 1
-        hit = within(planes_, by, radius, np.packbits(live, bitorder="little").view(np.uint64))
-        if hit.any():
-            i = np.flatnonzero(np.unpackbits(hit.view(np.uint8), bitorder="little"))
-            yield rows[i], rows[i + by]
+def few_bits(x: np.ndarray, radius: int) -> np.ndarray:
+    """Which rows, each the XOR of two fingerprints, have at most ``radius`` bits: a block of pairs over vertical planes, left once all exceed it."""
+    m = len(x)
+    if not m:
+        return np.zeros(0, bool)
+    p = planes(x)
+    c = Counter(p.shape[1], radius)
+    live = np.packbits(np.arange(p.shape[1] * WORD) < m, bitorder="little").view(np.uint64)
+    for b in range(0, len(p), 3):
+        d = p[b : b + 3]
+        if len(d) == 3:
+            c.add3(*d)
+        else:
+            for y in d:
+                c.add(y)
+        if b % 12 == 9 and not (live & ~c.over).any():
+            return np.zeros(m, bool)
+    return np.unpackbits((live & ~c.over).view(np.uint8), bitorder="little")[:m].astype(bool)
 
 
 # --------------------------------------------------------------------------- buckets

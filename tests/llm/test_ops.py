@@ -288,18 +288,26 @@ def test_documents_that_share_an_id_stay_unless_near_copies(spark):
     assert kept == Counter((ids[i], texts[i]) for i in [0, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 13])
 
 
-def test_pairs_within_groups_equal_brute_force():
+@pytest.mark.parametrize("block", [1 << 15, 100, 1])
+def test_pairs_across_components_equal_brute_force(block):
     rng = np.random.default_rng(4)
     group = np.sort(np.concatenate([rng.integers(0, 60, 300), np.full(150, 7), [99]]))
-    words = rng.integers(0, 1 << 63, (len(group), 2), dtype=np.uint64)
-    words[1::2] = words[: -1 : 2][: len(words[1::2])] ^ (np.uint64(1) << rng.integers(0, 12, (len(words) // 2, 2)).astype(np.uint64))
-    mine = lambda i, j: (i + j) % 3 > 0
-    for radius in (0, 2, 55):
-        got = sorted(p for i, j in simhash.pairs_within(words, group, radius, mine) for p in zip(i.tolist(), j.tolist(), strict=True))
-        i, j = np.triu_indices(len(group), 1)
-        near = (group[i] == group[j]) & mine(i, j) & (np.bitwise_count(words[i] ^ words[j]).sum(1) <= radius)
-        assert got == list(zip(i[near].tolist(), j[near].tolist(), strict=True)) and (radius == 0 or got)
-    assert list(simhash.pairs_within(words[:0], group[:0], 2, mine)) == []
+    comp = np.where(rng.random(len(group)) < 0.6, group % 3, rng.integers(0, 9, len(group)))
+    i, j = np.triu_indices(len(group), 1)
+    want = (group[i] == group[j]) & (comp[i] != comp[j])
+    got = [tuple(sorted(p)) for a, b in near_copies.pairs_across(group, comp, block) for p in zip(a.tolist(), b.tolist(), strict=True)]
+    assert sorted(got) == list(zip(i[want].tolist(), j[want].tolist(), strict=True))
+    assert list(near_copies.pairs_across(group[:0], comp[:0])) == []
+    assert list(near_copies.pairs_across(group, group)) == []  # one component in each group
+
+
+def test_few_bits_of_blocks():
+    rng = np.random.default_rng(6)
+    for m in (0, 1, 63, 64, 200):
+        x = rng.integers(0, 1 << 63, (m, 4), dtype=np.uint64) & rng.integers(0, 1 << 63, (m, 4), dtype=np.uint64)
+        for radius in (0, 1, 60, 67, 256):
+            assert (simhash.few_bits(x, radius) == (np.bitwise_count(x).sum(1) <= radius)).all()
+            assert simhash.few_bits(x * np.uint64(0), radius).all()
 
 
 def test_a_pair_of_signatures_is_owned_by_one_bucket_as_in_minhash():
