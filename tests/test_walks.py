@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from kinweave.operators import ego
+from kinweave.operators import catalogue, ego, graph
 
 
 def steps_of(spark, seed):
@@ -39,3 +39,26 @@ def test_a_large_star_is_not_composed(spark):
     steps = ego.kin_steps(none, wives)
     hubs = ego.spouse_hubs(steps)
     assert ego._ways(spark.createDataFrame([("w7",)], "id string"), steps.where("kind <> 'S'"), hubs) is None
+
+
+def test_many_days_share_folders_and_are_still_pruned(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalogue, "FOLDERS", 10)
+    catalogue.ensure_namespace(spark, "spans", f"file://{tmp_path}/ns")
+    df = spark.range(200).select("id", F.expr("timestampadd(HOUR, 12 * id, TIMESTAMP'2020-01-01 00:00:00')").alias("at"))
+    df = df.unionByName(spark.sql("SELECT 900L AS id, TIMESTAMP'0001-01-01 00:00:00' AS at UNION ALL SELECT 901L, CAST(NULL AS TIMESTAMP)"))
+    catalogue.save(df, "spans.t", day_of="at")
+    catalogue.save(df.where("id = 7"), "spans.t", day_of="at", mode="append")
+    table = spark.table("spans.t")
+    assert table.select(table.columns[-1]).distinct().count() <= 10 and table.count() == 203
+    hit = catalogue.within(table, "at", "2020-02-01 06:00:00", "2020-02-10 12:00:00")
+    assert sorted(r.id for r in hit.collect()) == list(range(63, 81)) and hit.columns == ["id", "at"]
+    assert 1 <= len(hit.inputFiles()) < len(table.inputFiles())
+    spark.sql("DROP NAMESPACE spans CASCADE")
+
+
+def test_a_five_tier_tree_is_one_minimum_over_its_ways(spark):
+    edges = spark.createDataFrame([("b", "a"), ("c", "b")], "child string, parent string")
+    persons = spark.createDataFrame([(i, i, "M") for i in "abc"], "id string, label string, sex string")
+    nodes = graph.five_tier_nodes(persons.select("id"), persons, edges, spark.createDataFrame([], "a string, b string"))
+    assert {(r.ego, r.id): r.kin for r in nodes.where("ego = 'c'").collect()} == {("c", "c"): "self", ("c", "b"): "father", ("c", "a"): "paternal grandfather"}
+    assert nodes._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 0  # before: one for each term
