@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from kinweave.operators import catalogue, ego, graph
+from kinweave.operators import catalogue, ego, graph, keyed, upsert
 
 
 def steps_of(spark, seed):
@@ -62,3 +62,13 @@ def test_a_five_tier_tree_is_one_minimum_over_its_ways(spark):
     nodes = graph.five_tier_nodes(persons.select("id"), persons, edges, spark.createDataFrame([], "a string, b string"))
     assert {(r.ego, r.id): r.kin for r in nodes.where("ego = 'c'").collect()} == {("c", "c"): "self", ("c", "b"): "father", ("c", "a"): "paternal grandfather"}
     assert nodes._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 0  # before: one for each term
+
+
+def test_exported_documents_and_keyed_tables_are_compressed(spark, tmp_path):
+    cache = spark.range(50).select(F.col("id").cast("string").alias("k"), F.repeat(F.lit("id"), 1000).alias("ego_json"))
+    upsert.export_json(cache, f"file://{tmp_path}/json")
+    assert spark.read.text(f"file://{tmp_path}/json").count() == 50
+    assert all(f.endswith(".gz") for f in spark.read.text(f"file://{tmp_path}/json").inputFiles())
+    keyed.create(cache, f"file://{tmp_path}/keyed", ["k"], 2)
+    assert keyed.read(spark, f"file://{tmp_path}/keyed").count() == 50
+    assert all("zstd" in f for f in keyed.read(spark, f"file://{tmp_path}/keyed").inputFiles())
