@@ -12,7 +12,7 @@ from itertools import count
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import hold, settle
+from .tables import NAMES, hold, numbered, settle, small
 
 
 def symmetric(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -85,17 +85,15 @@ def common_ancestors(pairs: DataFrame, child_of: DataFrame, persons: DataFrame,
 
     A person is its own ancestor at distance 0, so a = b gives itself first.
     Without a ``depth`` ancestors of all generations count.  For few pairs only
-    their own ancestors are walked; ``bulk`` walks everyone's, in fewer joins.
+    their own ancestors are walked; ``bulk`` walks everyone's, a list for each
+    person and generation.
     """
     if limit is not None and not 1 <= limit <= 20:
         raise ValueError("limit must be from 1 to 20")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     if bulk:
-        known = all_ancestors(child_of, depth)
-        alone = ids.join(known.where("d = 0").select("id"), "id", "left_anti").select("id", F.col("id").alias("rel"), F.lit(0).alias("d"))
-        c = settle(known.join(ids, "id", "left_semi").unionByName(alone), "ancestors")
-    else:
-        c = closure(ids, child_of, depth, few=few)
+        return _common_in_bulk(pairs, child_of, persons, limit, depth)
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    c = closure(ids, child_of, depth, few=few)
     up_a = c.select(F.col("id").alias("a"), F.col("rel").alias("ancestor_id"), F.col("d").alias("da"))
     up_b = c.select(F.col("id").alias("b"), F.col("rel").alias("ancestor_id"), F.col("d").alias("db"))
     rows = pairs.distinct().join(up_a, "a").join(up_b, ["b", "ancestor_id"]).withColumn("total_depth", F.col("da") + F.col("db"))
@@ -106,6 +104,91 @@ def common_ancestors(pairs: DataFrame, child_of: DataFrame, persons: DataFrame,
     return rows.join(names, "ancestor_id", "left").select("a", "b", "ancestor_id", "full_name", "da", "db", "total_depth", "rank")
 
 
+#: Generations that are walked for everyone before the pairs that are settled by them are set aside.
+NEAREST = 8
+
+#: Generations after which a walk looks whether it still finds anybody, and pairs of persons in one task.
+ROUNDS, PAIRS = 32, 8_000
+
+
+def _ancestor_lists(edges: DataFrame, ids: DataFrame, depth: int | None) -> tuple[list[DataFrame], bool]:
+    """``edges(child, parent)`` -> a table ``(id, d, up)`` for each generation, and whether they are all: who is ``d`` steps up, by whatever way.
+
+    A list is made of the lists of the parents, so persons are joined once a
+    generation, not ancestors.  Somebody may be in several lists of a person,
+    the first of which gives the least distance; where ways go in circles, the
+    walk ends when no list has anybody new.
+    """
+    lists = [ids.select("id", F.lit(0).alias("d"), F.array("id").alias("up"))]
+    last, known = lists[0].drop("d"), None
+    for d in count(1) if depth is None else range(1, depth + 1):
+        last = edges.join(last.withColumnRenamed("id", "parent"), "parent").groupBy(F.col("child").alias("id")).agg(F.array_distinct(F.flatten(F.collect_list("up"))).alias("up"))
+        last = settle(last, "ancestors")
+        if last.isEmpty():
+            return lists, True
+        lists.append(last.select("id", F.lit(d).alias("d"), "up"))
+        if d % ROUNDS == 0:
+            now = reduce(DataFrame.unionByName, lists).select("id", F.explode("up").alias("rel")).distinct().count()
+            if now == known:
+                return lists, True
+            known = now
+    return lists, False
+
+
+def _common_in_bulk(pairs: DataFrame, child_of: DataFrame, persons: DataFrame, limit: int | None, depth: int | None) -> DataFrame:
+    """``common_ancestors`` of many pairs, over numbers in the order of ids.
+
+    Both lists of a pair meet in one task.  With a ``limit``, only NEAREST
+    generations are walked for everyone: an ancestor beyond them is farther than
+    those found, once as many as asked for lie within so many steps in all.  The
+    pairs that this does not settle are walked by themselves.
+    """
+    pairs = settle(pairs.select("a", "b").distinct(), "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(child_of.select(F.explode(F.array("child", "parent")).alias("id")))
+    known = numbered(ids.where("id is not null"), "id")
+    code = lambda df, c: df.join(known.select(F.col("id").alias(c), F.col("code").alias(f"_{c}")), c)
+    edges = settle(code(code(child_of.select("child", "parent").distinct(), "child"), "parent").select(F.col("_child").alias("child"), F.col("_parent").alias("parent")), "edges")
+    key = F.shiftleft(F.col("_a").cast("long"), 32).bitwiseOR(F.col("_b").cast("long"))
+    asked = settle(code(code(pairs, "a"), "b").select("a", "b", "_a", "_b", key.alias("key")), "asked")
+    within = NEAREST if limit is not None and (depth is None or depth > NEAREST) else depth
+    lists, whole = _ancestor_lists(edges, known.select(F.col("code").alias("id")), within)
+    parts = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-asked.count() // PAIRS))
+    side = lambda c, mark: asked.select(F.col(c).alias("id"), "key", F.lit(mark).alias("first"))
+    met = reduce(DataFrame.unionByName, lists).join(side("_a", True).unionByName(side("_b", False)), "id").select("key", "first", "d", "up").repartition(parts, "key")
+    met = met.select("key", F.when(F.col("first"), F.col("d")).alias("da"), F.when(~F.col("first"), F.col("d")).alias("db"), F.explode("up").alias("rel"))
+    met = met.groupBy("key", "rel").agg(F.min("da").alias("da"), F.min("db").alias("db")).where("da is not null and db is not null")
+    columns = ("a", "b", "ancestor_id", "full_name", "da", "db", "total_depth", "rank")
+    rest = None
+    if limit is None:
+        rows = met
+    else:
+        # total, da and the ancestor as one number, in the order of ranks
+        order = F.expr("shiftleft(cast(da + db AS long), 46) | shiftleft(cast(da AS long), 32) | cast(rel AS long)") if len(lists) < 1 << 12 else F.struct(F.expr("da + db"), "da", "rel")
+        if limit == 1:
+            best = met.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rel", "da", "db") if len(lists) >= 1 << 12 else order).alias("o"))
+            rows = best.select("key", "o.rel", "o.da", "o.db") if len(lists) >= 1 << 12 else best.selectExpr("key", "cast(o & 4294967295 AS int) rel", "cast(shiftright(o, 32) & 16383 AS int) da", "cast(shiftright(o, 46) AS int) - cast(shiftright(o, 32) & 16383 AS int) db")
+            rows = rows.withColumn("rank", F.lit(1))
+        else:
+            rows = met.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(order))).where(F.col("rank") <= limit)
+        if not whole and within != depth:
+            rows = settle(rows, "nearest")
+            done = rows.where((F.col("rank") == limit) & (F.col("da") + F.col("db") <= within)).select("key")
+            deep = lists[-1].select("id")  # all others have no ancestor farther up
+            open_ = asked.join(done, "key", "left_anti")
+            far = open_.join(deep.withColumnRenamed("id", "_a"), "_a", "left_semi").select("key", "a", "b").unionByName(open_.join(deep.withColumnRenamed("id", "_b"), "_b", "left_semi").select("key", "a", "b"))
+            far = settle(far.distinct(), "far")
+            rows = rows.join(far, "key", "left_anti")
+            rest = far.select("a", "b")
+            rest = None if rest.isEmpty() else rest
+    names = known.select(F.col("code").alias("rel"), F.col("id").alias("ancestor_id")).join(persons.select(F.col("id").alias("ancestor_id"), F.col("label").alias("full_name")), "ancestor_id", "left")
+    names = small(settle(names, "names"), NAMES)
+    rows = rows.join(asked.select("key", "a", "b").hint("shuffle_hash"), "key").drop("key").join(names, "rel")
+    rows = rows.withColumn("total_depth", F.col("da") + F.col("db")).withColumn("rank", F.col("rank") if limit is not None else F.lit(None).cast("int")).select(*columns)
+    if rest is not None:
+        rows = rows.unionByName(common_ancestors(rest, child_of, persons, limit, depth))
+    return rows
+
+
 def check_depth(depth: int, most: int = 5) -> int:
     if not 1 <= depth <= most:
         raise ValueError(f"depth must be from 1 to {most}")

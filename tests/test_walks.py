@@ -72,3 +72,23 @@ def test_exported_documents_and_keyed_tables_are_compressed(spark, tmp_path):
     keyed.create(cache, f"file://{tmp_path}/keyed", ["k"], 2)
     assert keyed.read(spark, f"file://{tmp_path}/keyed").count() == 50
     assert all("zstd" in f for f in keyed.read(spark, f"file://{tmp_path}/keyed").inputFiles())
+
+
+def test_common_ancestors_in_bulk_are_lists_of_generations(spark, monkeypatch):
+    r = random.Random(5)
+    edges = {(f"p{k:02}", f"p{r.randrange(max(k - 9, 0), k):02}") for k in range(3, 40) for _ in range(2)}
+    edges |= {("p41", "p40"), ("p40", "p41"), ("p42", "p41"), ("p43", "p43")}  # ways in circles
+    edges |= {(f"q{k}", f"q{k + 1}") for k in range(10, 20)}  # a line longer than what is walked for everyone
+    child_of = spark.createDataFrame(sorted(edges), "child string, parent string")
+    persons = spark.createDataFrame([(f"p{k:02}", f"n{k}") for k in range(30)], "id string, label string")
+    pairs = [(f"p{k:02}", f"p{k + 3:02}") for k in range(0, 42)] + [("p07", "p07"), ("q10", "q19"), ("q11", "x"), ("x", "x"), ("p42", "p40")]
+    asked = spark.createDataFrame(pairs, "a string, b string")
+    monkeypatch.setattr(graph, "ROUNDS", 4)
+    monkeypatch.setattr(graph, "NEAREST", 4)
+    for limit, depth in ((1, None), (None, 2)):
+        want = graph.common_ancestors(asked, child_of, persons, limit, depth)
+        with monkeypatch.context() as m:
+            m.setattr(graph, "all_ancestors", None)  # before: doubling joined every ancestor of a person with all of theirs
+            got = graph.common_ancestors(asked, child_of, persons, limit, depth, bulk=True)
+            columns = [c for c in got.columns if limit is not None or c != "rank"]
+            assert rows(got.select(columns)) == rows(want.select(columns))
