@@ -92,3 +92,35 @@ def test_common_ancestors_in_bulk_are_lists_of_generations(spark, monkeypatch):
             got = graph.common_ancestors(asked, child_of, persons, limit, depth, bulk=True)
             columns = [c for c in got.columns if limit is not None or c != "rank"]
             assert rows(got.select(columns)) == rows(want.select(columns))
+
+
+def test_resident_and_citizen_trees_walk_no_texts(spark, monkeypatch):
+    r = random.Random(3)
+    links = spark.createDataFrame(sorted({(f"r{r.randrange(20)}", f"r{r.randrange(14)}", str(r.randrange(3))) for _ in range(40)} | {("r1", "c9", None), ("r2", "r2", "x")}, key=str), "sponsored_entity_person_id string, sponsor_entity_person_id string, relation_to_sponsor string")
+    sponsored_by = links.selectExpr("sponsored_entity_person_id child", "sponsor_entity_person_id parent").distinct()
+    persons = spark.createDataFrame([(f"r{i}", f"n{i}" if i % 3 else None, "M", "resident") for i in range(18)], "id string, label string, sex string, person_type string")
+    egos = spark.createDataFrame([(f"r{i}",) for i in range(1, 20)], "id string")
+    edges = {(x.child, x.parent) for x in sponsored_by.collect()}
+    known = {f"r{i}" for i in range(18)}
+    tree = {}
+    for e in known - {"r0"}:
+        tree[e] = {e}
+        for pairs in (edges, {(b, a) for a, b in edges}):
+            front = {e}
+            for _ in range(2):
+                front = {b for a, b in pairs if a in front}
+                tree[e] |= front & known
+    with monkeypatch.context() as m:
+        m.setattr(graph, "closure", None)  # before: four walks over texts, each compared with what was reached
+        nodes, found = graph.resident_tree(egos, persons, sponsored_by)
+        related = graph.resident_tree(egos, persons, sponsored_by, links=links)[1]
+        assert {(x.ego, x.id) for x in nodes.collect()} == {(e, i) for e, more in tree.items() for i in more}
+        assert rows(related) == rows(graph.with_relations(found, links))
+        people = spark.createDataFrame([(i, i, "F") for i in ("a", "b", "c", "d", "r3")], "id string, label string, sex string")
+        child_of = spark.createDataFrame([("b", "a"), ("c", "b"), ("d", "c"), ("a", "a")], "child string, parent string")
+        spouse_of = spark.createDataFrame([("a", "b"), ("c", "r3")], "a string, b string")
+        citizens = graph.citizen_tree_nodes(people.select("id"), people, child_of, spouse_of)
+        kin = {(x.ego, x.id): x.kin for x in citizens.collect()}
+        assert kin["a", "a"] == "self" and kin["b", "a"] == "spouse" and kin["d", "b"] == "relative" and kin["b", "c"] == "child" and ("d", "a") not in kin
+        either = graph.tree_of_either(people.select("id"), people, child_of, spouse_of, egos, persons, sponsored_by)
+        assert rows(either) == rows(graph.unified_tree(people.select("id").unionByName(egos), citizens, nodes))
