@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from kinweave.operators import catalogue, ego, graph, keyed, upsert
+from kinweave.operators import catalogue, ego, graph, keyed, lookup, upsert
 
 
 def steps_of(spark, seed):
@@ -161,3 +161,24 @@ def test_rows_of_networks_are_not_kept(spark, monkeypatch):
     nodes, edges = ego.resident_ego(residents, links_, groups, spark.createDataFrame([], "id string, label string, sex string"))
     assert nodes.count() == m * m and edges.count() == m * (m - 1)
     assert sum(df.count() for df in kept) < 20 * m
+
+
+def test_networks_of_few_by_waves_equal_those_by_hubs(spark, monkeypatch):
+    persons, steps = steps_of(spark, 2)
+    ids = ["p5", "p9", "p20", "nobody"]
+    egos = spark.createDataFrame([(i,) for i in ids[:3]], "id string")
+    for depth in (1, 3):
+        want = [rows(df) for df in ego.networks(egos, steps, persons, depth=depth)]
+        monkeypatch.setattr(lookup, "NEAR", 2)
+        monkeypatch.setattr(ego, "near_steps", None)
+        monkeypatch.setattr(ego, "spouse_hubs", None)  # marriages of the whole population are not looked at
+        assert [rows(df) for df in lookup.networks_of(steps, persons, ids, depth=depth)] == want
+        monkeypatch.undo()
+    wives = spark.createDataFrame([(f"q{i}", f"q{i + 1}") for i in range(9)], "husband_entity_person_id string, wife_entity_person_id string")
+    parents = spark.createDataFrame([("q0", "c"), ("q9", "c"), ("c", "q4")], "parent_entity_person_id string, child_entity_person_id string")
+    chain = ego.kin_steps(parents, wives).localCheckpoint()
+    codes = lambda df, c: df.withColumn(c, F.abs(F.xxhash64(c)))
+    q3 = codes(spark.createDataFrame([("q3",), ("c",)], "id string"), "id")
+    walk = codes(codes(chain, "from"), "to").localCheckpoint()
+    got = ego._by_waves(q3, walk, 3).select("ego", "id", "g", "label.n", "label.path")
+    assert rows(got) == rows(ego.citizen_reach(q3, walk, 3))
