@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from kinweave.operators import catalogue, ego, graph, keyed, lookup, upsert
+from kinweave.plans import stages
 
 
 def steps_of(spark, seed):
@@ -182,3 +183,13 @@ def test_networks_of_few_by_waves_equal_those_by_hubs(spark, monkeypatch):
     walk = codes(codes(chain, "from"), "to").localCheckpoint()
     got = ego._by_waves(q3, walk, 3).select("ego", "id", "g", "label.n", "label.path")
     assert rows(got) == rows(ego.citizen_reach(q3, walk, 3))
+
+
+def test_buckets_of_an_index_grow_with_its_input(monkeypatch):
+    silver = stages.Silver(None, "/none", "/none")
+    size = {6: 1_900_000, 60: 19_000_000, 360: 114_000_000}  # bytes of customers, in multiples of sf0.1
+    count = {}
+    for n, b in size.items():
+        monkeypatch.setattr(silver, "_files", lambda t, b=b: [("f", b, 0)])
+        count[n] = silver.buckets("entity_steps")
+    assert count[60] >= 8 * count[6] and count[360] >= 4 * count[60]
