@@ -23,10 +23,11 @@ RAREST = 4
 
 
 def _grams(names: DataFrame) -> DataFrame:
-    """``names(id, label)`` -> ``(id, gram)``, each trigram of a name once; names of fewer than three characters and null ones have none."""
-    low = F.lower("label")
-    at = F.when(F.length(low) >= 3, F.sequence(F.lit(1), F.length(low) - 2))
-    return names.select("id", F.explode(F.array_distinct(F.transform(at, lambda i: F.substr(low, i, F.lit(3))))).alias("gram"))
+    """``names(id, label)`` -> ``(id, gram)``, each trigram of an id's names once; names of fewer than three characters and null ones have none."""
+    grams = lambda low: F.transform(F.sequence(F.lit(1), F.length(low) - 2), lambda i: F.substr(low, i, F.lit(3)))
+    known = names.where(F.length("label") >= 3).groupBy("id").agg(F.collect_set(F.lower("label")).alias("lows"))  # an id may have several
+    long_ = F.filter("lows", lambda low: F.length(low) >= 3)
+    return known.select("id", F.explode(F.array_distinct(F.flatten(F.transform(long_, grams)))).alias("gram"))
 
 
 def gram_counts(names: DataFrame) -> DataFrame:
